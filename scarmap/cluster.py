@@ -64,6 +64,11 @@ def checked_broadcast(df: DataFrame, weight: Column | None = None, limit: int =
     return F.broadcast(df) if size <= limit else df
 
 
+def spread(df: DataFrame, *by: str) -> DataFrame:
+    """Rows over all cores. For few rows with much work each, which would be merged into one task by size."""
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, 2), *by)
+
+
 def same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
     """Null-safe equality of all keys (an equi-join for Spark)."""
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])

@@ -186,11 +186,7 @@ def clip_area(edges: Column, minx: Column, miny: Column, maxx: Column, maxy: Col
         doubled = s * (v["h0"] + v["h1"]) + (t - s) * (v["h1"] + v["h2"]) + (1 - t) * (v["h2"] + v["h3"])
         return v["w"] * doubled / 2
 
-    near = F.filter(
-        edges,
-        lambda e: (F.greatest(e["x1"], e["x2"]) > minx) & (F.least(e["x1"], e["x2"]) < maxx) & (e["x1"] != e["x2"]),
-    )
-    parts = F.transform(F.transform(F.transform(near, span), kinks), heights)
+    parts = F.transform(F.transform(F.transform(edges, span), kinks), heights)
     return F.greatest(_total(parts, integral), zero)
 
 

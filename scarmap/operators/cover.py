@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType, IntegerType, StructField, StructType
 
-from scarmap.cluster import MAX_BROADCAST_UNITS, checked_broadcast, settle
+from scarmap.cluster import MAX_BROADCAST_UNITS, checked_broadcast, settle, spread
 from scarmap.functions import geometry as G
 from scarmap.operators.raster import Grid
 
@@ -95,7 +95,7 @@ def cell_cover(polygons: DataFrame, keys: list[str], grid: Grid, edges: str = "e
                 if found:
                     yield _to_batch(batch, i, keys, found)
 
-    return blocks.repartition(*keys, "_bx", "_by").mapInArrow(cut, schema)
+    return spread(blocks, *keys, "_bx", "_by").mapInArrow(cut, schema)
 
 
 def _to_batch(batch: pa.RecordBatch, i: int, keys: list[str], found: list) -> pa.RecordBatch:

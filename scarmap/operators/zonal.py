@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from scarmap.cluster import spread
 from scarmap.functions import geometry as G
 from scarmap.operators.cover import box_cells
 from scarmap.operators.raster import Grid, spread_dates
@@ -47,14 +48,25 @@ def pixel_overlaps(buildings: DataFrame, keys: list[str], grid: Grid, edges: str
         F.least(cut["minx"], cut["maxx"]).alias("minx"), F.least(cut["miny"], cut["maxy"]).alias("miny"),
         F.greatest(cut["minx"], cut["maxx"]).alias("maxx"), F.greatest(cut["miny"], cut["maxy"]).alias("maxy"),
     )
-    pieces = large.repartition(*keys, "_bx", "_by").select(*keys, "_edges", widened.alias("_box"))
+    pieces = spread(large, *keys, "_bx", "_by").select(*keys, "_edges", widened.alias("_box"))
     return _overlaps(small, keys, grid).unionByName(_overlaps(pieces, keys, grid))
 
 
 def _overlaps(rows: DataFrame, keys: list[str], grid: Grid) -> DataFrame:
-    xs, ys = box_cells("_box", grid)
-    cells = rows.select(*keys, "_edges", F.explode(xs).alias("cx"), ys.alias("_ys"))
-    cells = cells.select(*keys, "_edges", "cx", F.explode("_ys").alias("cy"))
+    """Column of cells by column: the edges beside a column are dropped before its cells are made."""
+    xs, _ = box_cells("_box", grid)
+    columns = rows.select(*keys, "_edges", "_box", F.explode(xs).alias("cx"))
+    b = grid.box(F.col("cx"), F.lit(0))
+    beside = F.filter(
+        "_edges",
+        lambda e: (F.greatest(e["x1"], e["x2"]) > b["minx"]) & (F.least(e["x1"], e["x2"]) < b["maxx"]) & (e["x1"] != e["x2"]),
+    )
+    columns = columns.select(*keys, beside.alias("_edges"), "_box", "cx").where(F.size("_edges") > 0)
+    heights = F.flatten(F.transform("_edges", lambda e: F.array(e["y1"], e["y2"])))
+    low = F.greatest(F.array_min(heights), F.col("_box.miny"))
+    high = F.least(F.array_max(heights), F.col("_box.maxy"))
+    first, last = grid.at(F.lit(0.0), low)[1], grid.at(F.lit(0.0), high)[1]
+    cells = columns.select(*keys, "_edges", "cx", F.explode(F.when(last >= first, F.sequence(first, last))).alias("cy"))
     b = grid.box(F.col("cx"), F.col("cy"))
     part = G.clip_area(F.col("_edges"), b["minx"], b["miny"], b["maxx"], b["maxy"])
     return cells.select(*keys, "cx", "cy", part.alias("overlap_area")).where("overlap_area > 0")

@@ -19,10 +19,10 @@ from scarmap.operators.series import join_features
 from scarmap.sources import schemas as S
 
 
-def features_of(spark: SparkSession, path: str) -> DataFrame:
+def features_of(lines: DataFrame) -> DataFrame:
     """GeoJSON features, one per line: a line file or the usual one-feature-per-line collection."""
     line = F.regexp_replace(F.trim(F.col("value")), r",$", "")
-    rows = spark.read.text(path).where(F.col("value").rlike(r'^\s*\{\s*"type"\s*:\s*"Feature"\s*,'))
+    rows = lines.where(F.col("value").rlike(r'^\s*\{\s*"type"\s*:\s*"Feature"\s*,'))
     return rows.select(F.from_json(line, S.FEATURE).alias("f")).select("f.*")
 
 
@@ -43,7 +43,11 @@ def with_geometry(df: DataFrame, rings: str = "rings") -> DataFrame:
 
 def scan_labels(spark: SparkSession, path: str) -> DataFrame:
     """Damage points."""
-    f = features_of(spark, path)
+    return labels_of(spark.read.text(path))
+
+
+def labels_of(lines: DataFrame) -> DataFrame:
+    f = features_of(lines)
     p = F.from_json("properties", S.LABEL_PROPERTIES)
     at = F.from_json(F.get_json_object("geometry", "$.coordinates"), "array<double>")
     rows = f.select(p.alias("p"), at.alias("c"))
@@ -60,7 +64,11 @@ def scan_labels_by_aoi(labels: DataFrame, aoi: str, all_labels: bool = False) ->
 
 def scan_polygons(spark: SparkSession, path: str, properties: str) -> DataFrame:
     """GeoJSON polygons with the given properties, rings, edges and bounds."""
-    rows = features_of(spark, path).select(F.from_json("properties", properties).alias("p"), geojson_rings(F.col("geometry")).alias("rings"))
+    return polygons_of(spark.read.text(path), properties)
+
+
+def polygons_of(lines: DataFrame, properties: str) -> DataFrame:
+    rows = features_of(lines).select(F.from_json("properties", properties).alias("p"), geojson_rings(F.col("geometry")).alias("rings"))
     return with_geometry(rows.select("p.*", "rings"))
 
 
@@ -105,6 +113,10 @@ def within_bbox(df: DataFrame, bbox: tuple[float, float, float, float], box: str
 def scan_observations(spark: SparkSession, path: str, sat: str, window: str, aoi=None, orbit=None, damages=None) -> DataFrame:
     """Stored point series; sensor, window, area and orbit select partitions. NaN becomes null."""
     df = spark.read.parquet(path).where((F.col("sat") == sat) & (F.col("window") == window))
+    return select_observations(df, aoi, orbit, damages)
+
+
+def select_observations(df: DataFrame, aoi=None, orbit=None, damages=None) -> DataFrame:
     if aoi is not None:
         df = L.keep_aoi(df, aoi)
     if orbit is not None:

@@ -62,9 +62,13 @@ def polygon_geometry(rings: str = "rings") -> Column:
 
 def write_geojson(df: DataFrame, path: str, geometry: Column, properties: list[str]) -> None:
     """One GeoJSON feature per line."""
+    geojson_lines(df, geometry, properties).write.mode("overwrite").text(path)
+
+
+def geojson_lines(df: DataFrame, geometry: Column, properties: list[str]) -> DataFrame:
     feature = F.struct(
         F.lit("Feature").alias("type"),
         F.struct(*[F.col(c).cast("string").alias(c) if df.schema[c].dataType.typeName() == "date" else F.col(c) for c in properties]).alias("properties"),
         geometry.alias("geometry"),
     )
-    df.select(F.to_json(feature, {"ignoreNullFields": "false"}).alias("value")).write.mode("overwrite").text(path)
+    return df.select(F.to_json(feature, {"ignoreNullFields": "false"}).alias("value"))
