@@ -60,7 +60,7 @@ def _levels(level):
 
     @query(
         f"damage_rate_adm{level}",
-        sql(f"SELECT adm{level}_id, n_buildings_damaged, n_buildings, round(perc_destroyed, 6) + 0.0 AS perc_destroyed FROM ({_rates_sql(level)})", "wide", "buildings"),
+        sql(f"SELECT adm{level}_id, n_buildings_damaged, n_buildings, round(perc_destroyed + 1e-9, 6) + 0.0 AS perc_destroyed FROM ({_rates_sql(level)})", "wide", "buildings"),
     )
     def rates(spark, sf):
         return rounded(_rates(spark, sf, level))
@@ -69,7 +69,7 @@ def _levels(level):
 for _level in (1, 2, 3):
     _levels(_level)
 
-_RATE_COLS = "adm3_id, n_buildings_damaged, n_buildings, round(perc_destroyed, 6) + 0.0 AS perc_destroyed"
+_RATE_COLS = "adm3_id, n_buildings_damaged, n_buildings, round(perc_destroyed + 1e-9, 6) + 0.0 AS perc_destroyed"
 
 
 @query("total_damaged", sql(f"SELECT CAST(sum(n_buildings_damaged) AS BIGINT) AS n_buildings_damaged FROM ({_rates_sql(3)})", "wide", "buildings"))
@@ -133,7 +133,7 @@ def _metrics_sql(counts, extra=""):
         "roc_auc": f"({share('tp', 'tp + fn')} + {share('tn', 'tn + fp')}) / 2",
         "accuracy": share("tp + tn", "tp + fp + tn + fn"),
     }
-    return f"SELECT {extra}tp, fp, tn, fn, " + ", ".join(f"round({e}, 6) + 0.0 AS {n}" for n, e in m.items()) + f" FROM ({counts})"
+    return f"SELECT {extra}tp, fp, tn, fn, " + ", ".join(f"round({e} + 1e-9, 6) + 0.0 AS {n}" for n, e in m.items()) + f" FROM ({counts})"
 
 
 def _method_rows(agg):
@@ -175,7 +175,7 @@ def _class_rows():
     names = ("precision", "recall", "f1")
     macro = "SELECT 'macro avg', " + ", ".join(f"avg({n})" for n in names) + ", sum(support) FROM s"
     weighted = "SELECT 'weighted avg', " + ", ".join(f"sum({n} * support) / sum(support)" for n in names) + ", sum(support) FROM s"
-    cols = ", ".join(f"round({n}, 6) + 0.0 AS {n}" for n in names)
+    cols = ", ".join(f"round({n} + 1e-9, 6) + 0.0 AS {n}" for n in names)
     return f"SELECT class, {cols}, CAST(support AS BIGINT) AS support FROM (WITH s AS MATERIALIZED ({scores}) SELECT * FROM s UNION ALL {macro} UNION ALL {weighted})"
 
 
@@ -190,7 +190,7 @@ _SWEEP_COUNTS = f"""SELECT threshold, count(*) FILTER (y_true = 1 AND coalesce(p
   count(*) FILTER (y_true = 0 AND NOT coalesce(pred >= threshold * 255, false)) AS tn,
   count(*) FILTER (y_true = 1 AND NOT coalesce(pred >= threshold * 255, false)) AS fn
   FROM ({_GRID}) CROSS JOIN ({_SIDES}) GROUP BY 1"""
-_SWEEP = _metrics_sql(_SWEEP_COUNTS, "round(threshold, 6) + 0.0 AS threshold, ")
+_SWEEP = _metrics_sql(_SWEEP_COUNTS, "round(threshold + 1e-9, 6) + 0.0 AS threshold, ")
 
 
 @query("threshold_sweep", sql(_SWEEP, "preds_labelled", "point_preds"))

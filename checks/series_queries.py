@@ -28,7 +28,7 @@ DEDUPED = f"SELECT {LABEL_COLS} FROM (SELECT *, row_number() OVER (PARTITION BY
 
 
 def r6s(cols):
-    return ", ".join(f"round({c}, 6) + 0.0 AS {c}" for c in cols)
+    return ", ".join(f"round({c} + 1e-9, 6) + 0.0 AS {c}" for c in cols)
 
 
 # ---- reducers
@@ -170,7 +170,7 @@ def pixel_features(spark, sf):
     return rounded(T.period_features(pixels, _PIXEL_KEYS, ["B2"], SCENE_PERIODS[:1], _SCENE_POST, ["mean", "median", "max"]))
 
 
-@query("rename_features", sql("SELECT unosat_id, round(avg(VV), 6) + 0.0 AS VV_pre_1x1_mean FROM obs GROUP BY 1", "obs"))
+@query("rename_features", sql("SELECT unosat_id, round(avg(VV) + 1e-9, 6) + 0.0 AS VV_pre_1x1_mean FROM obs GROUP BY 1", "obs"))
 def rename_features(spark, sf):
     names = {f"VV_{r}": f"VV_pre_1x1_{r}" for r in ["mean"]}
     return rounded(T.reduce_groups(D.obs(spark, sf), ["unosat_id"], ["VV"], ["mean"]).withColumnsRenamed(names))
@@ -184,7 +184,7 @@ def series_of_point(spark, sf):
 
 @query(
     "fill_gaps",
-    sql("SELECT unosat_id, orbit, ts, round(coalesce(VV, avg(VV) OVER (PARTITION BY unosat_id, orbit)), 6) + 0.0 AS VV, VH FROM obs", "obs"),
+    sql("SELECT unosat_id, orbit, ts, round(coalesce(VV, avg(VV) OVER (PARTITION BY unosat_id, orbit)) + 1e-9, 6) + 0.0 AS VV, VH FROM obs", "obs"),
 )
 def fill_gaps(spark, sf):
     return rounded(T.fill_gaps(D.obs(spark, sf), ["unosat_id", "orbit"], ["VV"]).drop("aoi"), "VV")
@@ -359,7 +359,7 @@ def mask_clouds(spark, sf):
 
 @query(
     "select_s2",
-    sql(f"SELECT scene_id, cx, cy, ts, CASE WHEN cs >= 0.6 THEN B2 END AS B2, CASE WHEN cs >= 0.6 THEN round(B8, 6) + 0.0 END AS B8, cs FROM ({_LINKED}) WHERE ts >= DATE '1996-01-01' AND ts < DATE '1999-06-01'", "scene_pixels", "scores"),
+    sql(f"SELECT scene_id, cx, cy, ts, CASE WHEN cs >= 0.6 THEN B2 END AS B2, CASE WHEN cs >= 0.6 THEN round(B8 + 1e-9, 6) + 0.0 END AS B8, cs FROM ({_LINKED}) WHERE ts >= DATE '1996-01-01' AND ts < DATE '1999-06-01'", "scene_pixels", "scores"),
 )
 def select_s2(spark, sf):
     out = S.select_s2(D.scene_pixels(spark, sf), D.scores(spark, sf), ["scene_id"], _RANGE, bands=["cx", "cy", "B2", "B8"], masked_bands=["B1", "B2", "B8"])
@@ -420,13 +420,13 @@ def extract_points(spark, sf):
 
 @query(
     "extract_points_3x3",
-    sql(f"SELECT unosat_id, scene_id, round(avg(B1), 6) + 0.0 AS B1, round(avg(B2), 6) + 0.0 AS B2 FROM ({_POINTS}) p JOIN scene_pixels s ON s.cx BETWEEN p.cx - 1 AND p.cx + 1 AND s.cy BETWEEN p.cy - 1 AND p.cy + 1 GROUP BY 1, 2", "scene_pixels"),
+    sql(f"SELECT unosat_id, scene_id, round(avg(B1) + 1e-9, 6) + 0.0 AS B1, round(avg(B2) + 1e-9, 6) + 0.0 AS B2 FROM ({_POINTS}) p JOIN scene_pixels s ON s.cx BETWEEN p.cx - 1 AND p.cx + 1 AND s.cy BETWEEN p.cy - 1 AND p.cy + 1 GROUP BY 1, 2", "scene_pixels"),
 )
 def extract_points_3x3(spark, sf):
     return rounded(S.extract_points(D.scene_pixels(spark, sf), _points(spark, sf), ["unosat_id"], ["scene_id"], ["B1", "B2"], 3))
 
 
-@query("points_centre", sql("SELECT round(avg(lon), 6) + 0.0 AS lon, round(avg(lat), 6) + 0.0 AS lat FROM (SELECT DISTINCT floor(lon) AS lon, floor(lat) AS lat FROM buildings)", "buildings"))
+@query("points_centre", sql("SELECT round(avg(lon) + 1e-9, 6) + 0.0 AS lon, round(avg(lat) + 1e-9, 6) + 0.0 AS lat FROM (SELECT DISTINCT floor(lon) AS lon, floor(lat) AS lat FROM buildings)", "buildings"))
 def points_centre(spark, sf):
     b = D.buildings(spark, sf).select(F.floor("lon").cast("double").alias("lon"), F.floor("lat").cast("double").alias("lat"))
     return rounded(S.points_centre(b))
@@ -436,7 +436,7 @@ def points_centre(spark, sf):
 
 
 def _combine(how, expr):
-    @query(f"combine_orbits_{how}", sql(f"SELECT unosat_id, start_post, round({expr}, 6) + 0.0 AS value FROM scored GROUP BY 1, 2", "scored"))
+    @query(f"combine_orbits_{how}", sql(f"SELECT unosat_id, start_post, round({expr} + 1e-9, 6) + 0.0 AS value FROM scored GROUP BY 1, 2", "scored"))
     def run(spark, sf):
         preds = D.scored(spark, sf).withColumnRenamed("classification", "value")
         return rounded(R.combine_orbits(preds, ["unosat_id", "start_post"], how))

@@ -83,7 +83,7 @@ def quadkey(spark, sf):
     return _tiles(spark, sf).select("building_id", T.quadkey(F.col("tile_x"), F.col("tile_y"), ZOOM).alias("qk"))
 
 
-@query("position_of_pixel", f"SELECT o_orderkey, round({lon_sql('o_orderkey * 7.0::DOUBLE')}, 6) + 0.0 AS lon, round({lat_sql('o_custkey * 64.0::DOUBLE')}, 6) + 0.0 AS lat FROM orders")
+@query("position_of_pixel", f"SELECT o_orderkey, round({lon_sql('o_orderkey * 7.0::DOUBLE')} + 1e-9, 6) + 0.0 AS lon, round({lat_sql('o_custkey * 64.0::DOUBLE')} + 1e-9, 6) + 0.0 AS lat FROM orders")
 def position_of_pixel(spark, sf):
     lon, lat = T.position_of_pixel(F.col("o_orderkey") * 7.0, F.col("o_custkey") * 64.0, ZOOM)
     return rounded(read(spark, sf, "orders").select("o_orderkey", lon.alias("lon"), lat.alias("lat")))
@@ -96,7 +96,7 @@ def _box_sql(x="tile_x", y="tile_y"):
     )
 
 
-_BOX4 = ", ".join(f"round({c}, 6) + 0.0 AS {c}" for c in ("minx", "miny", "maxx", "maxy"))
+_BOX4 = ", ".join(f"round({c} + 1e-9, 6) + 0.0 AS {c}" for c in ("minx", "miny", "maxx", "maxy"))
 
 
 @query("tile_box", sql(f"SELECT building_id, {_BOX4} FROM (SELECT building_id, {_box_sql()} FROM ({_TILES}))", "buildings"))
@@ -125,12 +125,12 @@ _PENTAGON_AREA = 3.6 * 1.6 * 0.875
 _CX = (0.5 - 0.125 * 5 / 6) / 0.875
 
 
-@query("polygon_area", sql("SELECT building_id, round((maxx - minx) * (maxy - miny), 6) + 0.0 AS area FROM shapes", "shapes"))
+@query("polygon_area", sql("SELECT building_id, round((maxx - minx) * (maxy - miny) + 1e-9, 6) + 0.0 AS area FROM shapes", "shapes"))
 def polygon_area(spark, sf):
     return rounded(D.shapes(spark, sf).select("building_id", G.area(F.col("edges")).alias("area")))
 
 
-@query("polygon_centroid", sql("SELECT building_id, round((minx + maxx) / 2, 6) + 0.0 AS x, round((miny + maxy) / 2, 6) + 0.0 AS y FROM shapes", "shapes"))
+@query("polygon_centroid", sql("SELECT building_id, round((minx + maxx) / 2 + 1e-9, 6) + 0.0 AS x, round((miny + maxy) / 2 + 1e-9, 6) + 0.0 AS y FROM shapes", "shapes"))
 def polygon_centroid(spark, sf):
     c = G.centroid(F.col("edges"))
     return rounded(D.shapes(spark, sf).select("building_id", c["x"].alias("x"), c["y"].alias("y")))
@@ -138,7 +138,7 @@ def polygon_centroid(spark, sf):
 
 @query(
     "region_area_and_centroid",
-    sql(f"SELECT adm3_id, round({_PENTAGON_AREA}::DOUBLE, 6) + 0.0 AS area, round(x + 3.6 * {_CX}::DOUBLE, 6) + 0.0 AS cx, round(y + 1.6 * {_CX}::DOUBLE, 6) + 0.0 AS cy FROM admin", "admin"),
+    sql(f"SELECT adm3_id, round({_PENTAGON_AREA}::DOUBLE + 1e-9, 6) + 0.0 AS area, round(x + 3.6 * {_CX}::DOUBLE + 1e-9, 6) + 0.0 AS cx, round(y + 1.6 * {_CX}::DOUBLE + 1e-9, 6) + 0.0 AS cy FROM admin", "admin"),
 )
 def region_area_and_centroid(spark, sf):
     c = G.centroid(F.col("edges"))
@@ -162,7 +162,7 @@ def area_spheroid(spark, sf):
 
 @query(
     "project_buildings",
-    sql(f"SELECT CAST(building_id AS VARCHAR) AS building_id, 'source ' || (building_id % 3) AS dataset, 'house' AS osm_class, round({_SPHEROID}, 1) + 0.0 AS area, round(lon, 6) + 0.0 AS lon, round(lat, 6) + 0.0 AS lat FROM shapes", "shapes"),
+    sql(f"SELECT CAST(building_id AS VARCHAR) AS building_id, 'source ' || (building_id % 3) AS dataset, 'house' AS osm_class, round({_SPHEROID}, 1) + 0.0 AS area, round(lon + 1e-9, 6) + 0.0 AS lon, round(lat + 1e-9, 6) + 0.0 AS lat FROM shapes", "shapes"),
 )
 def project_buildings(spark, sf):
     """WKB decoded, then id, source, area and centroid."""
@@ -173,13 +173,13 @@ def project_buildings(spark, sf):
     return rounded(out.withColumn("area", F.round("area", 1)), "lon", "lat").withColumn("area", F.col("area") + 0.0)
 
 
-@query("normalise_geometry", sql("SELECT building_id, round(minx, 6) + 0.0 AS minx, round(maxy, 6) + 0.0 AS maxy, round((maxx - minx) * (maxy - miny), 6) + 0.0 AS area, 5 AS n FROM shapes", "shapes"))
+@query("normalise_geometry", sql("SELECT building_id, round(minx + 1e-9, 6) + 0.0 AS minx, round(maxy + 1e-9, 6) + 0.0 AS maxy, round((maxx - minx) * (maxy - miny) + 1e-9, 6) + 0.0 AS area, 5 AS n FROM shapes", "shapes"))
 def normalise_geometry(spark, sf):
     out = readers.normalise_geometry(D.box_wkb(D.shapes(spark, sf), ["building_id"]))
     return rounded(out.select("building_id", "bbox.minx", "bbox.maxy", G.area(F.col("edges")).alias("area"), F.size(F.col("rings")[0]).alias("n")))
 
 
-@query("polygons_from_geojson", sql("SELECT building_id, round((maxx - minx) * (maxy - miny), 6) + 0.0 AS area, 'A' || (building_id % 5) AS aoi FROM shapes", "shapes"))
+@query("polygons_from_geojson", sql("SELECT building_id, round((maxx - minx) * (maxy - miny) + 1e-9, 6) + 0.0 AS area, 'A' || (building_id % 5) AS aoi FROM shapes", "shapes"))
 def polygons_from_geojson(spark, sf):
     rows = D.shapes(spark, sf).withColumn("aoi", F.concat(F.lit("A"), F.col("building_id") % 5))
     lines = writers.geojson_lines(rows, writers.polygon_geometry(), ["building_id", "aoi"])
@@ -187,7 +187,7 @@ def polygons_from_geojson(spark, sf):
     return rounded(back.select("building_id", "aoi", G.area(F.col("edges")).alias("area")))
 
 
-@query("aoi_geometry", sql("SELECT adm3_id, 1 AS n_rings, round(x, 6) + 0.0 AS minx FROM admin WHERE adm3_id = '3_7'", "admin"))
+@query("aoi_geometry", sql("SELECT adm3_id, 1 AS n_rings, round(x + 1e-9, 6) + 0.0 AS minx FROM admin WHERE adm3_id = '3_7'", "admin"))
 def aoi_geometry(spark, sf):
     one = readers.aoi_geometry(D.admin(spark, sf).withColumnRenamed("adm3_id", "aoi"), "3_7")
     return rounded(one.select(F.col("aoi").alias("adm3_id"), F.size("rings").alias("n_rings"), "bbox.minx"))
@@ -287,14 +287,14 @@ def tiles_intersecting(spark, sf):
 _SHARE = "(greatest(least(maxx, bx1) - greatest(minx, bx0), 0) * greatest(least(maxy, by1) - greatest(miny, by0), 0))"
 
 
-@query("tile_area_share", sql(f"SELECT building_id, {qk_sql('tile_x', 'tile_y')} AS qk, round({_SHARE} / ((maxx - minx) * (maxy - miny)), 6) + 0.0 AS area_in_country FROM ({_TILED})", "shapes"))
+@query("tile_area_share", sql(f"SELECT building_id, {qk_sql('tile_x', 'tile_y')} AS qk, round({_SHARE} / ((maxx - minx) * (maxy - miny)) + 1e-9, 6) + 0.0 AS area_in_country FROM ({_TILED})", "shapes"))
 def tile_area_share(spark, sf):
     shapes = D.shapes(spark, sf)
     tiles = Q.tiles_intersecting(shapes, ["building_id"], ZOOM)
     return rounded(Q.tile_area_share(tiles, shapes, ["building_id"]).select("building_id", "qk", "area_in_country"))
 
 
-@query("build_tile_grid", sql(f"SELECT building_id, {qk_sql('tile_x', 'tile_y')} AS qk, round({_SHARE}, 6) + 0.0 AS area FROM ({_TILED}) WHERE {_SHARE} > 0", "shapes"))
+@query("build_tile_grid", sql(f"SELECT building_id, {qk_sql('tile_x', 'tile_y')} AS qk, round({_SHARE} + 1e-9, 6) + 0.0 AS area FROM ({_TILED}) WHERE {_SHARE} > 0", "shapes"))
 def build_tile_grid(spark, sf):
     """Tiles, share and geometry cut to the border; the area is that of the cut geometry."""
     grid = PG.build_tile_grid(D.shapes(spark, sf), ["building_id"], ZOOM)
@@ -343,7 +343,7 @@ def pixel_square(spark, sf):
 _HOLES = "SELECT cx, cy, CASE WHEN (cx * 7 + cy * 3) % 11 <> 0 THEN value END AS value FROM raster WHERE (cx + cy * 5) % 13 <> 0"
 
 
-@query("focal_mean", sql(f"SELECT p.cx, p.cy, round(avg(q.value), 6) + 0.0 AS value FROM ({_HOLES}) p JOIN ({_HOLES}) q ON abs(p.cx - q.cx) <= 1 AND abs(p.cy - q.cy) <= 1 GROUP BY 1, 2", "raster"))
+@query("focal_mean", sql(f"SELECT p.cx, p.cy, round(avg(q.value) + 1e-9, 6) + 0.0 AS value FROM ({_HOLES}) p JOIN (SELECT cx + i AS cx, cy + j AS cy, value FROM ({_HOLES}) CROSS JOIN range(-1, 2) a(i) CROSS JOIN range(-1, 2) b(j)) q USING (cx, cy) GROUP BY 1, 2", "raster"))
 def focal_mean(spark, sf):
     """Raster with missing cells and missing values."""
     cells = D.raster(spark, sf).where("(cx + cy * 5) % 13 <> 0").withColumn("value", F.when((F.col("cx") * 7 + F.col("cy") * 3) % 11 != 0, F.col("value")))
@@ -375,7 +375,7 @@ def _nearest(spark, sf, size, how):
 def _nearest_sql(size, agg):
     cell = f"SELECT unosat_id, least(greatest(floor(lon + 0.5), 0), 63) AS px, least(greatest(floor(lat + 0.5), 0), {_MAXY}) AS py FROM ({_NEAR_AT})"
     h = size // 2
-    return sql(f"SELECT unosat_id, round({agg}(value), 6) + 0.0 AS value FROM ({cell}) p JOIN raster r ON abs(r.cx - px) <= {h} AND abs(r.cy - py) <= {h} GROUP BY 1", "raster")
+    return sql(f"SELECT unosat_id, round({agg}(value) + 1e-9, 6) + 0.0 AS value FROM ({cell}) p JOIN raster r ON abs(r.cx - px) <= {h} AND abs(r.cy - py) <= {h} GROUP BY 1", "raster")
 
 
 @query("nearest_pixel", _nearest_sql(1, "max"))
@@ -438,7 +438,7 @@ def predictions_to_buildings(spark, sf):
 _OZ = _ZONAL.format("SELECT * FROM overlap")
 
 
-@query("zonal_weighted_mean", sql(f"SELECT building_id, post_date, round(weighted_mean, 6) + 0.0 AS weighted_mean FROM ({_OZ})", "overlap"))
+@query("zonal_weighted_mean", sql(f"SELECT building_id, post_date, round(weighted_mean + 1e-9, 6) + 0.0 AS weighted_mean FROM ({_OZ})", "overlap"))
 def zonal_weighted_mean(spark, sf):
     return rounded(Z.zonal_measures(D.overlap(spark, sf)).drop("max"))
 
@@ -448,7 +448,7 @@ def zonal_max(spark, sf):
     return Z.zonal_measures(D.overlap(spark, sf)).drop("weighted_mean")
 
 
-@query("attach_zonal", sql(f"SELECT p_partkey AS building_id, p_name, post_date, round(weighted_mean, 6) + 0.0 AS weighted_mean, max FROM part LEFT JOIN ({_OZ}) ON building_id = p_partkey", "overlap"))
+@query("attach_zonal", sql(f"SELECT p_partkey AS building_id, p_name, post_date, round(weighted_mean + 1e-9, 6) + 0.0 AS weighted_mean, max FROM part LEFT JOIN ({_OZ}) ON building_id = p_partkey", "overlap"))
 def attach_zonal(spark, sf):
     b = read(spark, sf, "part").select(F.col("p_partkey").alias("building_id"), "p_name")
     return rounded(Z.attach_zonal(b, Z.zonal_measures(D.overlap(spark, sf))), "weighted_mean")
@@ -460,7 +460,7 @@ _OWIDE = ", ".join(f"max(CASE WHEN post_date = {y} THEN weighted_mean END) AS pr
 
 @query(
     "collect_preds",
-    sql("SELECT p_partkey AS building_id, p_name, " + ", ".join(f"round(pred_{y}, 6) + 0.0 AS pred_{y}" for y in _OYEARS)
+    sql("SELECT p_partkey AS building_id, p_name, " + ", ".join(f"round(pred_{y} + 1e-9, 6) + 0.0 AS pred_{y}" for y in _OYEARS)
         + f" FROM part LEFT JOIN (SELECT building_id, {_OWIDE} FROM ({_OZ}) GROUP BY 1) ON building_id = p_partkey", "overlap"),
 )
 def collect_preds(spark, sf):
@@ -479,7 +479,7 @@ def unpivot_dates(spark, sf):
     return R.gather_dates(wide, ["building_id"], YEARS)
 
 
-@query("sorted_measures", sql(f"SELECT building_id, post_date, round(weighted_mean, 6) + 0.0 AS weighted_mean, max FROM ({_OZ}) ORDER BY 1, 2", "overlap"))
+@query("sorted_measures", sql(f"SELECT building_id, post_date, round(weighted_mean + 1e-9, 6) + 0.0 AS weighted_mean, max FROM ({_OZ}) ORDER BY 1, 2", "overlap"))
 def sorted_measures(spark, sf):
     return rounded(Z.zonal_measures(D.overlap(spark, sf)), "weighted_mean").orderBy("building_id", "post_date")
 

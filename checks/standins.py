@@ -42,8 +42,9 @@ def read(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def r6(c: Column | str) -> Column:
+    """To 6 places. Means of decimals often end in exactly half a unit; the shift decides those alike."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.round(c, 6) + F.lit(0.0)
+    return F.round(c + F.lit(1e-9), 6) + F.lit(0.0)
 
 
 def rounded(df: DataFrame, *columns: str) -> DataFrame:

@@ -16,7 +16,7 @@ PARTS = {
 
 
 def r6(expr: str) -> str:
-    return f"round({expr}, 6) + 0.0"
+    return f"round({expr} + 1e-9, 6) + 0.0"
 
 
 def statistics(table: str, keys: list[str], values: list[str], names: list[str], where: str = "true") -> str:
@@ -27,7 +27,7 @@ def statistics(table: str, keys: list[str], values: list[str], names: list[str],
     return f"SELECT {by}, count(*) AS n, {stats} FROM (SELECT *, {means} FROM {table} WHERE {where}) GROUP BY {by}"
 
 
-def features(table: str, keys: list[str], values: list[str], names: list[str], window="1x1", pre=PRE, post=POST, count_as=None, digits=6) -> str:
+def features(table: str, keys: list[str], values: list[str], names: list[str], window="1x1", pre=PRE, post=POST, count_as=None) -> str:
     """SELECT keys, bounds, {value}_{pre|post}_{window}_{name} for every pair of periods."""
     periods = list(dict.fromkeys([*pre, *post]))
     vals = ", ".join(f"({i}, DATE '{p.start}', DATE '{p.end}')" for i, p in enumerate(periods))
@@ -36,7 +36,7 @@ def features(table: str, keys: list[str], values: list[str], names: list[str], w
     stats = statistics(tagged, [*keys, "period"], values, names)
     on = " AND ".join(f"x.{k} = b.{k}" for k in keys)
     cols = ", ".join(
-        f"round(x{p}.{v}_{n}, {digits}) + 0.0 AS {v}_{p}_{window}_{n}" for v in values for p in ("pre", "post") for n in names
+        f"round(x{p}.{v}_{n} + 1e-9, 6) + 0.0 AS {v}_{p}_{window}_{n}" for v in values for p in ("pre", "post") for n in names
     )
     counts = "" if not count_as else "".join(f", coalesce(x{p}.n, 0) AS {count_as}_{p}" for p in ("pre", "post"))
     base = ", ".join(f"b.{k}" for k in keys)

@@ -69,9 +69,11 @@ def spread(df: DataFrame, *by: str) -> DataFrame:
     return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, 2), *by)
 
 
-def same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    """Null-safe equality of all keys (an equi-join for Spark)."""
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
+def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` in which null meets null; the keys appear once."""
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys])
+    return left.join(renamed, on, how).drop(*[f"_right_{k}" for k in keys])
 
 
 def hot_keys(df: DataFrame, keys: list[str], limit: int = HOT_GROUP_ROWS) -> DataFrame | None:
@@ -94,5 +96,4 @@ def split_hot(df: DataFrame, keys: list[str], limit: int = HOT_GROUP_ROWS):
     hot = hot_keys(df, keys, limit)
     if hot is None:
         return df, None
-    on = same(df, hot, keys)
-    return df.join(hot, on, "left_anti"), df.join(hot, on, "left_semi")
+    return join_null_safe(df, hot, keys, "left_anti"), join_null_safe(df, hot, keys, "left_semi")

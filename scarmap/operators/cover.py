@@ -24,6 +24,9 @@ COVER_BLOCK = 32
 # Pieces per cell that are kept as an array in a lookup row.
 MAX_PIECES = 1_000
 
+# Columns of a cover beside the polygon keys.
+PIECE = ("cx", "cy", "full", "edges", "flips")
+
 _EDGE = pa.struct([(n, pa.float64()) for n in ("x1", "y1", "x2", "y2")])
 
 
@@ -122,12 +125,10 @@ def points_in_polygons(points: DataFrame, cover: DataFrame, grid: Grid, x: str =
     """One row per (point, polygon that holds it); point columns and the key columns of the cover."""
     cx, cy = grid.at(F.col(x), F.col(y))
     located = points.withColumns({"cx": cx, "cy": cy})
+    keys = [c for c in cover.columns if c not in PIECE]
     pieces = checked_broadcast(settle(cover), _weight())
-    piece = {n: pieces[n] for n in ("full", "edges", "flips")}
-    on = (located["cx"] == pieces["cx"]) & (located["cy"] == pieces["cy"])
-    keys = [c for c in cover.columns if c not in ("cx", "cy", "full", "edges", "flips")]
-    hit = holds(piece, located[x], located[y])
-    return located.join(pieces, on).where(hit).select(*[located[c] for c in points.columns], *[pieces[k] for k in keys])
+    piece = {n: F.col(n) for n in ("full", "edges", "flips")}
+    return located.join(pieces, ["cx", "cy"]).where(holds(piece, F.col(x), F.col(y))).select(*points.columns, *keys)
 
 
 def locate(
@@ -141,7 +142,7 @@ def locate(
     cell, matches are joined one by one and reduced per point (``point_keys``) instead.
     """
     cover = settle(cover)
-    keys = [c for c in cover.columns if c not in ("cx", "cy", "full", "edges", "flips", order)]
+    keys = [c for c in cover.columns if c not in (*PIECE, order)]
     size = cover.groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("n"), F.sum(_weight() + 1).alias("w"))
     widest, weight = size.agg(F.max("n"), F.sum("w")).first()
     if (widest or 0) > max_pieces:
@@ -178,7 +179,7 @@ def polygons_meeting(left: DataFrame, left_keys: list[str], cover: DataFrame, gr
     cells = left.select(*left_keys, F.col(edges).alias("_edges"), F.explode(xs).alias("cx"), F.col(box).alias("_box"))
     _, ys = box_cells("_box", grid)
     cells = cells.withColumn("cy", F.explode(ys)).drop("_box")
-    keys = [c for c in cover.columns if c not in ("cx", "cy", "full", "edges", "flips")]
+    keys = [c for c in cover.columns if c not in PIECE]
     joined = cells.join(checked_broadcast(settle(cover), _weight()), ["cx", "cy"])
     piece = {n: F.col(n) for n in ("full", "edges", "flips")}
 

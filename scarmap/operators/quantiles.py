@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from scarmap.cluster import HOT_GROUP_ROWS, MAX_HOT_KEYS, checked_broadcast, same, settle
+from scarmap.cluster import HOT_GROUP_ROWS, MAX_HOT_KEYS, checked_broadcast, join_null_safe, settle
 
 # The sketch may miss a rank by 1/ACCURACY of the rows; the bracket is wider on both sides.
 ACCURACY = 10_000
@@ -57,8 +57,7 @@ def large_medians(df: DataFrame, keys: list[str], values: list[str], limit: int
     state = settle(state)
     while True:
         small = checked_broadcast(state, limit=MAX_HOT_KEYS * len(values))
-        inside = rows.join(small, same(rows, small, by)).select(*[rows[c] for c in [*by, "_v"]], *[small[c] for c in state.columns if c not in by])
-        inside = inside.where((F.col("_from").isNull()) | F.col("_v").between(F.col("_from"), F.col("_to")))
+        inside = join_null_safe(rows, small, by).where((F.col("_from").isNull()) | F.col("_v").between(F.col("_from"), F.col("_to")))
         runs = inside.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c"), *[F.first(c).alias(c) for c in ("_below", "_lo", "_hi")])
         widest = runs.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
         if widest <= limit:
@@ -67,9 +66,8 @@ def large_medians(df: DataFrame, keys: list[str], values: list[str], limit: int
             inside, by, (F.col("_lo") - F.col("_below")) / F.col("_left"), (F.col("_hi") - F.col("_below") + 1) / F.col("_left")
         )
         ahead = checked_broadcast(ahead, limit=MAX_HOT_KEYS * len(values))
-        old = inside.join(ahead.withColumnsRenamed({"_from": "_f", "_to": "_t"} | {c: f"_k_{c}" for c in by}), _renamed_same(inside, by))
         state = settle(
-            old.groupBy(*by).agg(
+            join_null_safe(inside, ahead.withColumnsRenamed({"_from": "_f", "_to": "_t"}), by).groupBy(*by).agg(
                 F.first("_n").alias("_n"),
                 (F.first("_below") + F.count_if(F.col("_v") < F.col("_f"))).alias("_below"),
                 F.first("_lo").alias("_lo"),
@@ -88,10 +86,3 @@ def large_medians(df: DataFrame, keys: list[str], values: list[str], limit: int
         ((F.max(F.when(holds("_lo"), F.col("_v"))) + F.max(F.when(holds("_hi"), F.col("_v")))) / 2).alias("_median")
     )
     return middle.groupBy(*keys).pivot("_band", values).agg(F.first("_median")).withColumnsRenamed({v: f"{v}_median" for v in values})
-
-
-def _renamed_same(left: DataFrame, by: list[str]) -> Column:
-    on = F.lit(True)
-    for c in by:
-        on = on & F.col(c).eqNullSafe(F.col(f"_k_{c}"))
-    return on

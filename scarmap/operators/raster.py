@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scarmap.cluster import checked_broadcast
@@ -50,27 +50,27 @@ def pixels_in(pixels: DataFrame, minx: float, miny: float, maxx: float, maxy: fl
 def focal_mean(pixels: DataFrame, scene_keys: list[str], bands: list[str], radius: int = 1) -> DataFrame:
     """Mean of the present values in the square neighbourhood of each cell, per scene.
 
-    Cells are shuffled once, by square block with a halo copied from the neighbours. Sums along x
-    and then along y use frames inside one block, so no group outgrows a block row.
+    Cells are shuffled once, by square block with a halo copied from the neighbours; both sums, along
+    x and along y, are hash aggregates inside a block. Cells may be missing.
     """
     halo = pixels.select(*scene_keys, "cx", "cy", *bands)
     for axis, block in (("cx", "_bx"), ("cy", "_by")):
-        own = F.floor(F.col(axis) / BLOCK)
-        touched = [F.floor((F.col(axis) + s) / BLOCK) for s in (-radius, radius)]
-        halo = halo.withColumn(block, F.explode(F.array_distinct(F.array(own, *touched))))
-    blocks = halo.repartition(*scene_keys, "_bx", "_by")
-
-    def summed(df: DataFrame, along: str, across: str) -> DataFrame:
-        w = Window.partitionBy(*scene_keys, "_bx", "_by", across).orderBy(along).rangeBetween(-radius, radius)
-        return df.withColumns({c: F.sum(c).over(w) for b in bands for c in (f"_s_{b}", f"_n_{b}")})
-
-    parts = {f"_s_{b}": F.col(b) for b in bands} | {f"_n_{b}": F.when(F.col(b).isNotNull(), 1).otherwise(0) for b in bands}
-    sums = summed(blocks.withColumns(parts), "cx", "cy")
-    # NULL sums of empty rows must not hide the other rows of the square
-    sums = summed(sums, "cy", "cx")
+        touched = [F.floor((F.col(axis) + s) / BLOCK) for s in (-radius, 0, radius)]
+        halo = halo.withColumn(block, F.explode(F.array_distinct(F.array(*touched))))
+    keys = [*scene_keys, "_bx", "_by", "cx", "cy"]
+    sums = halo.repartition(*scene_keys, "_bx", "_by").select(
+        *keys,
+        F.lit(True).alias("_own"),
+        *[F.col(b).alias(f"_s_{b}") for b in bands],
+        *[F.when(F.col(b).isNotNull(), 1).otherwise(0).alias(f"_n_{b}") for b in bands],
+    )
+    steps = F.explode(F.array(*[F.lit(i) for i in range(-radius, radius + 1)]))
+    for axis in ("cx", "cy"):
+        spread = sums.withColumn("_d", steps).withColumns({axis: F.col(axis) + F.col("_d"), "_own": F.col("_own") & (F.col("_d") == 0)})
+        sums = spread.groupBy(*keys).agg(F.max("_own").alias("_own"), *[F.sum(c).alias(c) for b in bands for c in (f"_s_{b}", f"_n_{b}")])
     inner = (F.floor(F.col("cx") / BLOCK) == F.col("_bx")) & (F.floor(F.col("cy") / BLOCK) == F.col("_by"))
     means = [F.try_divide(F.col(f"_s_{b}"), F.col(f"_n_{b}")).alias(b) for b in bands]
-    return sums.where(inner).select(*scene_keys, "cx", "cy", *means)
+    return sums.where(F.col("_own") & inner).select(*scene_keys, "cx", "cy", *means)
 
 
 def mosaic(tiles: DataFrame, keys: list[str], order: str, value: str = "value") -> DataFrame:

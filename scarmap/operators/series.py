@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scarmap.cluster import HOT_GROUP_ROWS, hot_keys, same
+from scarmap.cluster import HOT_GROUP_ROWS, join_null_safe, split_hot
 from scarmap.config import Period
 from scarmap.functions.values import in_period
 from scarmap.operators.quantiles import large_medians
@@ -59,17 +59,13 @@ def reduce_groups(
     def gathered(rows):
         return rows.repartition(*cluster_by).groupBy(*keys).agg(*aggregates(names))
 
-    hot = hot_keys(df, cluster_by, hot_rows)
+    usual, hot = split_hot(df, cluster_by, hot_rows)
+    usual = gathered(usual)
     if hot is None:
-        return gathered(df)
-    on = same(df, hot, cluster_by)
-    usual = gathered(df.join(hot, on, "left_anti"))
-    rows = df.join(hot, on, "left_semi")
-    moments = rows.groupBy(*keys).agg(*aggregates([n for n in names if n != "median"]), F.lit(1).alias("_one"))
-    medians = large_medians(rows, keys, values, hot_rows)
-    joined = moments.join(medians, same(moments, medians, keys), "left")
-    picked = [moments[c] if c in moments.columns else medians[c] for c in usual.columns]
-    return usual.unionByName(joined.select(*picked))
+        return usual
+    moments = hot.groupBy(*keys).agg(*aggregates([n for n in names if n != "median"]))
+    medians = large_medians(hot, keys, values, hot_rows)
+    return usual.unionByName(join_null_safe(moments, medians, keys, "left").select(*usual.columns))
 
 
 def tag_periods(df: DataFrame, periods: list[Period], ts: str = "ts", out: str = "period") -> DataFrame:
@@ -144,9 +140,8 @@ def fill_gaps(df: DataFrame, keys: list[str], bands: list[str]) -> DataFrame:
     Means are partial aggregates joined back, so a long series is never held by one task.
     """
     means = df.groupBy(*keys).agg(*[F.avg(b).alias(f"_{b}") for b in bands])
-    joined = df.join(means, same(df, means, keys), "left")
-    filled = [F.coalesce(df[c], means[f"_{c}"]).alias(c) if c in bands else df[c] for c in df.columns]
-    return joined.select(*filled)
+    filled = [F.coalesce(F.col(c), F.col(f"_{c}")).alias(c) if c in bands else F.col(c) for c in df.columns]
+    return join_null_safe(df, means, keys, "left").select(*filled)
 
 
 def join_features(left: DataFrame, right: DataFrame, columns_left=None, columns_right=None) -> DataFrame:
