@@ -449,7 +449,7 @@ for _how, _expr in {"mean": "avg", "max": "max", "min": "min", "median": "median
 # ---- values
 
 
-@query("quantise", sql("SELECT unosat_id, orbit, start_post, least(255, CAST(trunc(classification * 255) AS INT)) AS value FROM scored", "scored"))
+@query("quantise", sql("SELECT unosat_id, orbit, start_post, CAST(least(255, trunc(classification * 255)) AS SMALLINT) AS value FROM scored", "scored"))
 def quantise(spark, sf):
     return D.scored(spark, sf).select("unosat_id", "orbit", "start_post", V.quantised(F.col("classification")).alias("value"))
 

@@ -155,14 +155,14 @@ def _zone_sql(lat):
 _SPHEROID = f"{G.SEMI_MAJOR}::DOUBLE ** 2 / 2 * (maxx - minx) * pi() / 180 * ({_zone_sql('maxy')} - {_zone_sql('miny')})"
 
 
-@query("area_spheroid", sql(f"SELECT building_id, round({_SPHEROID}, 1) + 0.0 AS area FROM shapes", "shapes"))
+@query("area_spheroid", sql(f"SELECT building_id, round({_SPHEROID}) + 0.0 AS area FROM shapes", "shapes"))
 def area_spheroid(spark, sf):
-    return D.shapes(spark, sf).select("building_id", (F.round(G.area_spheroid(F.col("edges")), 1) + 0.0).alias("area"))
+    return D.shapes(spark, sf).select("building_id", (F.round(G.area_spheroid(F.col("edges")), 0) + 0.0).alias("area"))
 
 
 @query(
     "project_buildings",
-    sql(f"SELECT CAST(building_id AS VARCHAR) AS building_id, 'source ' || (building_id % 3) AS dataset, 'house' AS osm_class, round({_SPHEROID}, 1) + 0.0 AS area, round(lon + 1e-9, 6) + 0.0 AS lon, round(lat + 1e-9, 6) + 0.0 AS lat FROM shapes", "shapes"),
+    sql(f"SELECT CAST(building_id AS VARCHAR) AS building_id, 'source ' || (building_id % 3) AS dataset, 'house' AS osm_class, round({_SPHEROID}) + 0.0 AS area, round(lon + 1e-9, 6) + 0.0 AS lon, round(lat + 1e-9, 6) + 0.0 AS lat FROM shapes", "shapes"),
 )
 def project_buildings(spark, sf):
     """WKB decoded, then id, source, area and centroid."""
@@ -170,7 +170,7 @@ def project_buildings(spark, sf):
     source = F.to_json(F.array(F.struct(F.concat(F.lit("source "), F.col("building_id") % 3).alias("dataset"))))
     raw = wkb.select(F.col("building_id").cast("string").alias("id"), source.alias("sources"), F.lit("house").alias("class"), "geometry")
     out = readers.project_buildings(readers.normalise_geometry(raw)).drop("rings", "edges", "bbox")
-    return rounded(out.withColumn("area", F.round("area", 1)), "lon", "lat").withColumn("area", F.col("area") + 0.0)
+    return rounded(out.withColumn("area", F.round("area", 0)), "lon", "lat").withColumn("area", F.col("area") + 0.0)
 
 
 @query("normalise_geometry", sql("SELECT building_id, round(minx + 1e-9, 6) + 0.0 AS minx, round(maxy + 1e-9, 6) + 0.0 AS maxy, round((maxx - minx) * (maxy - miny) + 1e-9, 6) + 0.0 AS area, 5 AS n FROM shapes", "shapes"))
@@ -335,7 +335,7 @@ def pixels_in_bounds(spark, sf):
     return R.pixels_in(D.raster(spark, sf), 10, 5, 20, 300, "cx", "cy")
 
 
-@query("pixel_square", sql("SELECT cx, cy, cx - 0.5 AS minx, cy - 0.5 AS miny, cx + 0.5 AS maxx, cy + 0.5 AS maxy FROM raster", "raster"))
+@query("pixel_square", sql("SELECT cx, cy, cx - 0.5::DOUBLE AS minx, cy - 0.5::DOUBLE AS miny, cx + 0.5::DOUBLE AS maxx, cy + 0.5::DOUBLE AS maxy FROM raster", "raster"))
 def pixel_square(spark, sf):
     return D.raster(spark, sf).select("cx", "cy", D.RASTER_GRID.box(F.col("cx"), F.col("cy")).alias("b")).select("cx", "cy", "b.*")
 
@@ -343,7 +343,7 @@ def pixel_square(spark, sf):
 _HOLES = "SELECT cx, cy, CASE WHEN (cx * 7 + cy * 3) % 11 <> 0 THEN value END AS value FROM raster WHERE (cx + cy * 5) % 13 <> 0"
 
 
-@query("focal_mean", sql(f"SELECT p.cx, p.cy, round(avg(q.value) + 1e-9, 6) + 0.0 AS value FROM ({_HOLES}) p JOIN (SELECT cx + i AS cx, cy + j AS cy, value FROM ({_HOLES}) CROSS JOIN range(-1, 2) a(i) CROSS JOIN range(-1, 2) b(j)) q USING (cx, cy) GROUP BY 1, 2", "raster"))
+@query("focal_mean", sql(f"SELECT p.cx, p.cy, round(avg(q.value) + 1e-9, 6) + 0.0 AS value FROM ({_HOLES}) p JOIN (SELECT CAST(cx + i AS INT) AS cx, CAST(cy + j AS INT) AS cy, value FROM ({_HOLES}) CROSS JOIN range(-1, 2) a(i) CROSS JOIN range(-1, 2) b(j)) q USING (cx, cy) GROUP BY 1, 2", "raster"))
 def focal_mean(spark, sf):
     """Raster with missing cells and missing values."""
     cells = D.raster(spark, sf).where("(cx + cy * 5) % 13 <> 0").withColumn("value", F.when((F.col("cx") * 7 + F.col("cy") * 3) % 11 != 0, F.col("value")))
@@ -398,7 +398,7 @@ def nearest_window_mean(spark, sf):
 _P = "22 + cx * 0.01::DOUBLE"
 _Q = "44.4 + cy * 0.01::DOUBLE"
 _PIECE = f"greatest(least({_P} + 0.01, maxx) - greatest({_P}, minx), 0) * greatest(least({_Q} + 0.01, maxy) - greatest({_Q}, miny), 0)"
-_PIECES = f"""SELECT building_id, cx, cy, post_date, value, {_PIECE} AS overlap_area FROM (
+_PIECES = f"""SELECT building_id, CAST(cx AS INT) AS cx, cy, post_date, value, {_PIECE} AS overlap_area FROM (
   SELECT *, unnest(range(CAST(floor((minx - 22) / 0.01) AS INT), CAST(floor((maxx - 22) / 0.01) AS INT) + 1)) AS cx,
     CAST(floor((miny - 44.4) / 0.01) AS INT) AS cy0, CAST(floor((maxy - 44.4) / 0.01) AS INT) AS cy1 FROM shapes) s
   JOIN pred_pixels p USING (cx) WHERE p.cy BETWEEN s.cy0 AND s.cy1 AND {_PIECE} > 1e-12"""

@@ -215,7 +215,7 @@ def admin(spark, sf):
 
 IN_ADMIN_SQL = "lon > x AND lat > y AND lon < x + 3.6 AND lat < y + 1.6 AND (lon - x) / 3.6 + (lat - y) / 1.6 < 1.5"
 
-CTE["raster"] = """SELECT vec_id AS cy, k - 1 AS cx, CAST(embedding[k] AS DOUBLE) AS value
+CTE["raster"] = """SELECT CAST(vec_id AS INT) AS cy, CAST(k - 1 AS INT) AS cx, CAST(embedding[k] AS DOUBLE) AS value
   FROM (SELECT vec_id, embedding, unnest(range(1, len(embedding) + 1)) AS k FROM embeddings)"""
 
 

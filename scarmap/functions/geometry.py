@@ -21,6 +21,11 @@ RINGS_DDL = "array<array<struct<x:double,y:double>>>"
 EDGES_DDL = "array<struct<x1:double,y1:double,x2:double,y2:double>>"
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once, however often ``body`` names it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def _edge(x1, y1, x2, y2) -> Column:
     return F.struct(x1.alias("x1"), y1.alias("y1"), x2.alias("x2"), y2.alias("y2"))
 
@@ -70,11 +75,15 @@ def _cross(e: Column) -> Column:
 
 def area(edges: Column) -> Column:
     """Planar area in the squared unit of the coordinates."""
-    return F.abs(_total(_from_first(edges), _cross)) / 2
+    return let(edges, lambda e: F.abs(_total(_from_first(e), _cross)) / 2)
 
 
 def centroid(edges: Column) -> Column:
     """struct(x, y): centre of gravity."""
+    return let(edges, _centroid)
+
+
+def _centroid(edges: Column) -> Column:
     rel = _from_first(edges)
     zero = F.lit(0.0)
     sums = F.aggregate(
@@ -236,11 +245,6 @@ def intersects(a: Column, b: Column) -> Column:
     return meet | inside
 
 
-def let(value: Column, body) -> Column:
-    """``body(value)`` with ``value`` computed once, however often ``body`` names it."""
-    return F.transform(F.array(value), body)[0]
-
-
 def signed_area(ring: Column) -> Column:
     """Positive for counter-clockwise rings."""
     return let(edges_of(F.array(ring)), lambda e: _total(_from_first(e), _cross) / 2)
