@@ -148,7 +148,7 @@ _METHODS = {"date-wise": _SIDES, "date-wise-mean": _method_rows("avg"), "date-wi
 
 
 def _judged(spark, sf, method="date-wise"):
-    return E.judged(D.preds_labelled(spark, sf), method, EVENT, None, all_starts=STARTS)
+    return E.judged(D.preds_labelled(spark, sf), STARTS, method, EVENT, None)
 
 
 def _methods(method):

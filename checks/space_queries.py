@@ -11,6 +11,7 @@ from checks.registry import query
 from checks.standins import IN_ADMIN_SQL, PIXEL_GRID, REGION_GRID, YEARS, read, rounded, sql
 from scarmap.functions import geometry as G
 from scarmap.functions import tiles as T
+from scarmap.functions import values as V
 from scarmap.operators import cover as C
 from scarmap.operators import raster as R
 from scarmap.operators import regions as A
@@ -106,7 +107,7 @@ def tile_box(spark, sf):
 
 @query("clamp", "SELECT c_custkey, least(greatest(c_acctbal, 0), 5000) AS v FROM customer")
 def clamp(spark, sf):
-    return read(spark, sf, "customer").select("c_custkey", T.clamp(F.col("c_acctbal"), 0.0, 5000.0).alias("v"))
+    return read(spark, sf, "customer").select("c_custkey", V.clamp(F.col("c_acctbal"), 0.0, 5000.0).alias("v"))
 
 
 @query(

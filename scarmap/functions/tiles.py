@@ -7,18 +7,14 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from scarmap.functions.values import clamp
+
 # Fixed values of the tile scheme.
 TILE_SIZE = 256
 LAT_LIMIT = 85.05112878
 LON_LIMIT = 180.0
 
 
-def clamp(value: Column, low, high) -> Column:
-    low = low if isinstance(low, Column) else F.lit(low)
-    high = high if isinstance(high, Column) else F.lit(high)
-    return F.least(F.greatest(value, low), high)
-
-
 def _map_size(zoom: int) -> float:
     return float(TILE_SIZE << zoom)
 

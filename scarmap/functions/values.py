@@ -10,6 +10,12 @@ from pyspark.sql import functions as F
 from scarmap.config import LEVELS, Period
 
 
+def clamp(value: Column, low, high) -> Column:
+    """``value`` limited to [low, high]; null stays null (least and greatest alone would skip it)."""
+    low, high = (b if isinstance(b, Column) else F.lit(b) for b in (low, high))
+    return F.when(value.isNotNull(), F.least(F.greatest(value, low), high))
+
+
 def in_period(ts: Column, period: Period) -> Column:
     return (ts >= F.lit(period.start)) & (ts < F.lit(period.end))
 
@@ -25,7 +31,7 @@ def masked(value: Column, keep: Column) -> Column:
 
 def quantised(probability: Column) -> Column:
     """Probability to 0..255, fraction cut off."""
-    return F.least(F.greatest((probability * LEVELS).cast("int"), F.lit(0)), F.lit(LEVELS)).cast("short")
+    return clamp((probability * LEVELS).cast("int"), 0, LEVELS).cast("short")
 
 
 def int_list(packed: Column) -> Column:

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from scarmap.config import EVENT_DATE, LEVELS, THRESHOLDS
 from scarmap.operators.raster import spread_dates
-from scarmap.operators.series import reduce_groups
 from scarmap.functions.values import quantised
 
 METHODS = ("date-wise", "date-wise-mean", "date-wise-median")
@@ -27,47 +26,43 @@ def wide_predictions(preds: DataFrame, starts: list[date]) -> DataFrame:
     return spread_dates(preds, ["unosat_id", "aoi"], starts, "start_post", "pred", agg=F.max).orderBy("aoi", "unosat_id")
 
 
-def truth(event: date = EVENT_DATE, positive_year: int | None = None) -> Column:
-    """1 for windows that start on or after the label date, 0 for windows before the event.
-
-    Other windows are unknown (null). A window can be both, if a label is dated before the event.
-    """
-    after = (F.col("start_post") >= F.col("date")) & F.col("date").isNotNull()
-    if positive_year is not None:
-        after = after & (F.year("start_post") == positive_year)
-    before = (F.col("start_post") < F.lit(event)) & F.col("date").isNotNull()
-    sides = F.array(F.when(after, F.lit(1)), F.when(before, F.lit(0)))
-    return F.explode(F.array_compact(sides))
-
-
 def judged(
-    preds: DataFrame, method: str = "date-wise", event: date = EVENT_DATE, positive_year: int | None = 2022,
-    keys=("aoi", "unosat_id"), all_starts: list[date] | None = None,
+    preds: DataFrame, starts: list[date], method: str = "date-wise", event: date = EVENT_DATE,
+    positive_year: int | None = 2022, keys=("aoi", "unosat_id"),
 ) -> DataFrame:
-    """(y_true, pred) rows: one per point and known window, or one per point and side for mean/median.
+    """(y_true, pred) rows of long predictions (keys, date, start_post, pred) over the window ``starts``.
 
-    ``preds`` is long: keys, date, start_post, pred. With mean or median each point gives one
-    positive and one negative row, and a side without values is a null, which counts as not damaged;
-    ``all_starts`` lists the window starts, so that a date-wise window without a value counts too.
+    Windows that start on or after the label date are positive (of one year only, if given), windows
+    before the event negative, others unknown; points without a label date are left out. With mean or
+    median each point gives one row per side. A window or side without a value gives a null, which
+    counts as not damaged. One shuffle: every point becomes one row with a value per window.
     """
     if method not in METHODS:
         raise ValueError(f"unknown method {method}")
-    if method == "date-wise":
-        if all_starts is not None:
-            preds = _with_every_window(preds, list(keys), all_starts)
-        return preds.withColumn("y_true", truth(event, positive_year)).select("y_true", "pred")
-    known = preds.withColumn("y_true", truth(event, positive_year))
-    reducer = method.rsplit("-", 1)[1]
-    values = reduce_groups(known, [*keys, "y_true"], ["pred"], [reducer], list(keys))
-    points = preds.where(F.col("date").isNotNull()).select(*keys).distinct()
-    sides = points.withColumn("y_true", F.explode(F.array(F.lit(0), F.lit(1))))
-    return sides.join(values, [*keys, "y_true"], "left").select("y_true", F.col(f"pred_{reducer}").alias("pred"))
+    values = [F.max(F.when(F.col("start_post") == F.lit(s), F.col("pred"))).alias(f"_{i}") for i, s in enumerate(starts)]
+    points = preds.where(F.col("date").isNotNull()).groupBy(*keys).agg(F.max("date").alias("date"), *values)
+    windows = F.array(*[F.struct(F.lit(s).alias("start"), F.col(f"_{i}").cast("double").alias("pred")) for i, s in enumerate(starts)])
 
+    def after(w: Column) -> Column:
+        late = w["start"] >= F.col("date")
+        return late if positive_year is None else late & (F.year(w["start"]) == positive_year)
 
-def _with_every_window(preds: DataFrame, keys: list[str], starts: list[date]) -> DataFrame:
-    points = preds.groupBy(*keys).agg(F.first("date").alias("date"))
-    every = points.withColumn("start_post", F.explode(F.array(*[F.lit(s) for s in starts])))
-    return every.join(preds.select(*keys, "start_post", "pred"), [*keys, "start_post"], "left")
+    def before(w: Column) -> Column:
+        return w["start"] < F.lit(event)
+
+    def side(y: int, belongs) -> Column:
+        return F.struct(F.lit(y).alias("y_true"), F.transform(F.filter("_w", belongs), lambda w: w["pred"]).alias("preds"))
+
+    sides = points.withColumn("_w", windows).select(F.explode(F.array(side(1, after), side(0, before))).alias("s")).select("s.*")
+    if method == "date-wise":
+        return sides.select("y_true", F.explode("preds").alias("pred"))
+    present = sides.select("y_true", F.array_sort(F.array_compact("preds")).alias("p"))
+    n = F.size("p")
+    if method == "date-wise-mean":
+        pred = F.try_divide(F.aggregate("p", F.lit(0.0), lambda s, v: s + v), n)
+    else:
+        pred = (F.get("p", F.floor((n - 1) / 2).cast("int")) + F.get("p", F.floor(n / 2).cast("int"))) / 2
+    return present.select("y_true", pred.alias("pred"))
 
 
 def confusion(rows: DataFrame, threshold: float = 0.5) -> DataFrame:
@@ -146,14 +141,18 @@ def threshold_sweep(rows: DataFrame, thresholds: list[float] = THRESHOLDS) -> Da
     bins = rows.withColumn("_bin", F.coalesce(reached, F.lit(0))).groupBy("_bin").agg(
         F.count_if(F.col("y_true") == 1).alias("_p"), F.count_if(F.col("y_true") == 0).alias("_q")
     )
-    # one row per threshold, at most as many rows as thresholds
-    grid = F.explode(F.sequence(F.lit(1), F.col("_bin")))
-    reach = bins.where("_bin > 0").select(grid.alias("_i"), "_p", "_q").groupBy("_i").agg(F.sum("_p").alias("tp"), F.sum("_q").alias("fp"))
-    totals = bins.agg(F.coalesce(F.sum("_p"), F.lit(0)).alias("_pos"), F.coalesce(F.sum("_q"), F.lit(0)).alias("_neg"))
-    every = totals.select("_pos", "_neg", F.posexplode(F.array(*[F.lit(t) for t in thresholds])).alias("_k", "threshold"))
-    joined = every.join(reach, every["_k"] + 1 == reach["_i"], "left")
-    tp, fp = (F.coalesce(F.col(c), F.lit(0)) for c in ("tp", "fp"))
-    counts = joined.select("threshold", tp.alias("tp"), fp.alias("fp"), (F.col("_neg") - fp).alias("tn"), (F.col("_pos") - tp).alias("fn"))
+    # at most one bin more than there are thresholds, so one row holds them all
+    whole = bins.agg(F.collect_list(F.struct("_bin", "_p", "_q")).alias("_b"))
+    every = whole.select("_b", F.posexplode(F.array(*[F.lit(t) for t in thresholds])).alias("_k", "threshold"))
+
+    def total(name: str, reached: bool) -> Column:
+        counted = lambda b: (b["_bin"] > F.col("_k")) if reached else (b["_bin"] <= F.col("_k"))
+        return F.aggregate(F.filter("_b", counted), F.lit(0).cast("long"), lambda s, b: s + b[name])
+
+    counts = every.select(
+        "threshold", total("_p", True).alias("tp"), total("_q", True).alias("fp"),
+        total("_q", False).alias("tn"), total("_p", False).alias("fn"),
+    )
     return with_metrics(counts)
 
 

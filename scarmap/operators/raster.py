@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scarmap.cluster import checked_broadcast
-from scarmap.functions.values import cell
+from scarmap.functions.values import cell, clamp
 from scarmap.operators.series import reduce_groups
 
 # Cells per side of the square blocks that are processed together.
@@ -101,8 +101,8 @@ def nearest_values(
     cx0, cx1, cy0, cy1 = extent
     cx, cy = grid.at(F.col(x), F.col(y))
     located = points.withColumns({
-        "_cx": F.least(F.greatest(cx, F.lit(cx0)), F.lit(cx1)),
-        "_cy": F.least(F.greatest(cy, F.lit(cy0)), F.lit(cy1)),
+        "_cx": clamp(cx, cx0, cx1),
+        "_cy": clamp(cy, cy0, cy1),
     })
     half = size // 2
     offsets = F.sequence(F.lit(-half), F.lit(half))

@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from scarmap.cluster import spread
-from scarmap.functions import geometry as G
 from scarmap.operators.cover import box_cells
 from scarmap.operators.raster import Grid, spread_dates
 
 # Cells per side of the block that is one unit of work for a large polygon.
 OVERLAP_BLOCK = 64
+# (cell, edge) pairs that are held in arrays at a time.
+MAX_PAIRS = 500_000
+# A cell counts as overlapped from this share of its area on; less is rounding.
+TOUCHED = 1e-9
 
 
 def _block_grid(grid: Grid) -> Grid:
@@ -37,39 +43,90 @@ def pixel_overlaps(buildings: DataFrame, keys: list[str], grid: Grid, edges: str
     large = flagged.where(is_large).select(*keys, "_edges", "_box", F.explode("_bx").alias("_bx"), "_by")
     large = large.select(*keys, "_edges", "_box", "_bx", F.explode("_by").alias("_by"))
     b = blocks.box(F.col("_bx"), F.col("_by"))
-    # shrunk to the inside of the block, so no cell is met twice
+    # an edge beside the block has no part in it
+    beside = F.filter("_edges", lambda e: (F.greatest(e["x1"], e["x2"]) > b["minx"]) & (F.least(e["x1"], e["x2"]) < b["maxx"]))
+    # cut to the inside of the block, so no cell is met twice
+    low = [F.greatest(F.col(f"_box.min{a}"), b[f"min{a}"] + d / 2) for a, d in (("x", grid.dx), ("y", grid.dy))]
+    high = [F.least(F.col(f"_box.max{a}"), b[f"max{a}"] - d / 2) for a, d in (("x", grid.dx), ("y", grid.dy))]
     cut = F.struct(
-        F.greatest(F.col("_box.minx"), b["minx"] + grid.dx / 2).alias("minx"),
-        F.greatest(F.col("_box.miny"), b["miny"] + grid.dy / 2).alias("miny"),
-        F.least(F.col("_box.maxx"), b["maxx"] - grid.dx / 2).alias("maxx"),
-        F.least(F.col("_box.maxy"), b["maxy"] - grid.dy / 2).alias("maxy"),
+        F.least(low[0], high[0]).alias("minx"), F.least(low[1], high[1]).alias("miny"),
+        F.greatest(low[0], high[0]).alias("maxx"), F.greatest(low[1], high[1]).alias("maxy"),
     )
-    widened = F.struct(
-        F.least(cut["minx"], cut["maxx"]).alias("minx"), F.least(cut["miny"], cut["maxy"]).alias("miny"),
-        F.greatest(cut["minx"], cut["maxx"]).alias("maxx"), F.greatest(cut["miny"], cut["maxy"]).alias("maxy"),
-    )
-    pieces = spread(large, *keys, "_bx", "_by").select(*keys, "_edges", widened.alias("_box"))
-    return _overlaps(small, keys, grid).unionByName(_overlaps(pieces, keys, grid))
+    pieces = spread(large, *keys, "_bx", "_by").select(*keys, beside.alias("_edges"), cut.alias("_box"))
+    return _overlaps(small, keys, grid).unionByName(_overlaps(pieces.where(F.size("_edges") > 0), keys, grid))
 
 
 def _overlaps(rows: DataFrame, keys: list[str], grid: Grid) -> DataFrame:
-    """Column of cells by column: the edges beside a column are dropped before its cells are made."""
-    xs, _ = box_cells("_box", grid)
-    columns = rows.select(*keys, "_edges", "_box", F.explode(xs).alias("cx"))
-    b = grid.box(F.col("cx"), F.lit(0))
-    beside = F.filter(
-        "_edges",
-        lambda e: (F.greatest(e["x1"], e["x2"]) > b["minx"]) & (F.least(e["x1"], e["x2"]) < b["maxx"]) & (e["x1"] != e["x2"]),
-    )
-    columns = columns.select(*keys, beside.alias("_edges"), "_box", "cx").where(F.size("_edges") > 0)
-    heights = F.flatten(F.transform("_edges", lambda e: F.array(e["y1"], e["y2"])))
-    low = F.greatest(F.array_min(heights), F.col("_box.miny"))
-    high = F.least(F.array_max(heights), F.col("_box.maxy"))
-    first, last = grid.at(F.lit(0.0), low)[1], grid.at(F.lit(0.0), high)[1]
-    cells = columns.select(*keys, "_edges", "cx", F.explode(F.when(last >= first, F.sequence(first, last))).alias("cy"))
-    b = grid.box(F.col("cx"), F.col("cy"))
-    part = G.clip_area(F.col("_edges"), b["minx"], b["miny"], b["maxx"], b["maxy"])
-    return cells.select(*keys, "cx", "cy", part.alias("overlap_area")).where("overlap_area > 0")
+    """Areas of all (polygon, cell) pairs of a batch at once, in arrays; no shuffle."""
+    c = lambda n: F.col(f"_box.{n}")
+    first, last = grid.at(c("minx"), c("miny")), grid.at(c("maxx"), c("maxy"))
+    ranged = rows.select(*keys, "_edges", first[0].alias("_x0"), last[0].alias("_x1"), first[1].alias("_y0"), last[1].alias("_y1"))
+    schema = StructType([
+        *[rows.schema[k] for k in keys],
+        StructField("cx", IntegerType()), StructField("cy", IntegerType()), StructField("overlap_area", DoubleType()),
+    ])
+    least = TOUCHED * grid.dx * grid.dy
+
+    def areas(batches):
+        for batch in batches:
+            column = lambda n: batch.column(batch.schema.get_field_index(n))  # noqa: E731, B023
+            edges = column("_edges")
+            flat = np.column_stack([f.to_numpy(zero_copy_only=False) for f in edges.values.flatten()])
+            starts = edges.offsets.to_numpy().astype("i8")
+            x0, x1, y0, y1 = (column(n).to_numpy().astype("i8") for n in ("_x0", "_x1", "_y0", "_y1"))
+            high = y1 - y0 + 1
+            # one entry per cell: its polygon, and its place in the polygon's range
+            ends = np.cumsum((x1 - x0 + 1) * high)
+            for lo, hi in _slices(ends, np.diff(starts)):
+                cell = np.arange(lo, hi)
+                row = np.searchsorted(ends, cell, side="right")
+                place = cell - np.where(row > 0, ends[row - 1], 0)
+                cx, cy = x0[row] + place // high[row], y0[row] + place % high[row]
+                area = _cell_areas(flat, starts, row, grid, cx, cy)
+                kept = np.flatnonzero(area > least)
+                taken = [column(k).take(pa.array(row[kept])) for k in keys]
+                out = [pa.array(cx[kept], pa.int32()), pa.array(cy[kept], pa.int32()), pa.array(area[kept])]
+                yield pa.RecordBatch.from_arrays([*taken, *out], names=[*keys, "cx", "cy", "overlap_area"])
+
+    return ranged.mapInArrow(areas, schema)
+
+
+def _slices(ends: np.ndarray, edges: np.ndarray):
+    """Ranges of cells with a bounded number of (cell, edge) pairs, over all polygons of a batch."""
+    total = int(ends[-1]) if len(ends) else 0
+    lo = 0
+    while lo < total:
+        row = int(np.searchsorted(ends, lo, side="right"))
+        hi, pairs = lo, 0
+        while row < len(ends):
+            room = max((MAX_PAIRS - pairs) // max(int(edges[row]), 1), 0)
+            take = min(int(ends[row]) - hi, room)
+            hi, pairs = hi + take, pairs + take * int(edges[row])
+            if hi < ends[row]:
+                break
+            row += 1
+        hi = max(hi, lo + 1)
+        yield lo, hi
+        lo = hi
+
+
+def _cell_areas(flat, starts, row, grid: Grid, cx, cy) -> np.ndarray:
+    """Area of polygon ``row[i]`` in cell ``(cx[i], cy[i])``: the sum of ``functions.geometry.clip_area`` in arrays."""
+    count = starts[row + 1] - starts[row]
+    pair_cell = np.repeat(np.arange(len(row)), count)
+    before = np.cumsum(count) - count
+    ax, ay, bx, by = flat[starts[row][pair_cell] + np.arange(len(pair_cell)) - before[pair_cell]].T
+    x0, y0 = (grid.x0 + cx * grid.dx)[pair_cell], (grid.y0 + cy * grid.dy)[pair_cell]
+    x1, y1 = (grid.x0 + (cx + 1) * grid.dx)[pair_cell], (grid.y0 + (cy + 1) * grid.dy)[pair_cell]
+    lo, hi = np.clip(np.minimum(ax, bx), x0, x1), np.clip(np.maximum(ax, bx), x0, x1)
+    run = bx - ax
+    slope = np.divide(by - ay, run, out=np.zeros_like(run), where=run != 0)
+    h, d = ay + slope * (lo - ax), slope * (hi - lo)
+    kinks = [np.clip(np.divide(y - h, d, out=np.zeros_like(d), where=d != 0), 0, 1) for y in (y0, y1)]
+    s, t = np.minimum(*kinks), np.maximum(*kinks)
+    h0, h1, h2, h3 = (np.clip(v, y0, y1) - y0 for v in (h, h + s * d, h + t * d, h + d))
+    part = np.sign(-run) * (hi - lo) * (s * (h0 + h1) + (t - s) * (h1 + h2) + (1 - t) * (h2 + h3)) / 2
+    return np.bincount(pair_cell, part, minlength=len(row))
 
 
 def pixels_x_buildings(

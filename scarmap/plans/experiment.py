@@ -89,7 +89,7 @@ def run_experiment(spark: SparkSession, store: Store, labels: DataFrame, cfg: Ru
     preds = L.attach_labels(preds, labels, ["date", "damage"])
     preds.write.mode("overwrite").parquet(store.predictions(cfg))
     stored = spark.read.parquet(store.predictions(cfg))
-    rows = E.judged(stored, event=cfg.event_date, all_starts=[p.start for p in cfg.post])
+    rows = E.judged(stored, [p.start for p in cfg.post], event=cfg.event_date, positive_year=cfg.event_date.year)
     return E.with_metrics(E.confusion(rows, threshold))
 
 
