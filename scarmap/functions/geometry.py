@@ -238,6 +238,24 @@ def segments_meet(a: Column, b: Column) -> Column:
     return boxes & (F.signum(a_first) * F.signum(a_second) <= 0) & (F.signum(b_first) * F.signum(b_second) <= 0)
 
 
+def meets_box(edges: Column, minx: Column, miny: Column, maxx: Column, maxy: Column) -> Column:
+    """Polygon and axis-parallel rectangle share a point.
+
+    An edge meets the rectangle if the boxes overlap and the corners are not all on one side of it;
+    if no edge does, the polygon holds the whole rectangle or nothing of it.
+    """
+
+    def edge_meets(e: Column) -> Column:
+        boxes = (
+            (F.greatest(e["x1"], e["x2"]) >= minx) & (F.least(e["x1"], e["x2"]) <= maxx)
+            & (F.greatest(e["y1"], e["y2"]) >= miny) & (F.least(e["y1"], e["y2"]) <= maxy)
+        )
+        sides = [_side(e, x, y) for x in (minx, maxx) for y in (miny, maxy)]
+        return boxes & (F.least(*sides) <= 0) & (F.greatest(*sides) >= 0)
+
+    return F.exists(edges, edge_meets) | contains(edges, minx, miny)
+
+
 def intersects(a: Column, b: Column) -> Column:
     """Two polygons share a point: edges meet, or one holds a vertex of the other."""
     meet = F.exists(a, lambda e: F.exists(b, lambda f: segments_meet(e, f)))

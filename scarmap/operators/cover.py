@@ -162,11 +162,10 @@ def locate(
     return joined.withColumn("_best", found).select(*points.columns, *[F.col(f"_best._keys.{k}").alias(k) for k in keys])
 
 
-def box_cells(box: str, grid: Grid, margin_x: Column | float = 0.0, margin_y: Column | float = 0.0) -> tuple[Column, Column]:
+def box_cells(box: str, grid: Grid) -> tuple[Column, Column]:
     """Cell ranges (arrays in x and in y) covered by a bounding box."""
     c = lambda n: F.col(f"{box}.{n}")
-    a = grid.at(c("minx") - margin_x, c("miny") - margin_y)
-    b = grid.at(c("maxx") + margin_x, c("maxy") + margin_y)
+    a, b = grid.at(c("minx"), c("miny")), grid.at(c("maxx"), c("maxy"))
     return F.sequence(a[0], b[0]), F.sequence(a[1], b[1])
 
 
@@ -206,9 +205,14 @@ def points_near_polygons(
     located = checked_broadcast(points.withColumns({"cx": cx, "cy": cy}))
     up = metres / G.METRES_PER_DEGREE * 1.01
     side = F.lit(up) / F.cos(F.radians(F.greatest(F.abs(F.col(f"{box}.miny")), F.abs(F.col(f"{box}.maxy")))))
-    xs, ys = box_cells(box, grid, side, F.lit(up))
-    grown = polygons.select(*polygon_keys, F.col(edges).alias("_edges"), xs.alias("_xs"), ys.alias("_ys"))
-    grown = grown.select(*polygon_keys, "_edges", F.explode("_xs").alias("cx"), "_ys")
-    grown = grown.select(*polygon_keys, "_edges", "cx", F.explode("_ys").alias("cy"))
-    hits = grown.join(located, ["cx", "cy"]).where(G.within_metres(F.col("_edges"), F.col(x), F.col(y), metres))
+    grown = F.struct(
+        (F.col(f"{box}.minx") - side).alias("minx"), (F.col(f"{box}.miny") - up).alias("miny"),
+        (F.col(f"{box}.maxx") + side).alias("maxx"), (F.col(f"{box}.maxy") + up).alias("maxy"),
+    )
+    rows = polygons.select(*polygon_keys, F.col(edges).alias("_edges"), grown.alias("_box"))
+    xs, ys = box_cells("_box", grid)
+    cells = rows.select(*polygon_keys, "_edges", "_box", F.explode(xs).alias("cx"), ys.alias("_ys"))
+    cells = cells.select(*polygon_keys, "_edges", "_box", "cx", F.explode("_ys").alias("cy"))
+    inside = F.col(x).between(F.col("_box.minx"), F.col("_box.maxx")) & F.col(y).between(F.col("_box.miny"), F.col("_box.maxy"))
+    hits = cells.join(located, ["cx", "cy"]).where(inside).where(G.within_metres(F.col("_edges"), F.col(x), F.col(y), metres))
     return hits.select(*points.columns, *[k for k in polygon_keys if k not in points.columns])

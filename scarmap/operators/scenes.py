@@ -96,19 +96,28 @@ def extract_points(pixels: DataFrame, points: DataFrame, point_keys: list[str],
 
     Points carry their cell ``cx, cy``. Their side is broadcast only after its size was measured.
     """
-    half = size // 2
-    near = points
-    if half:
-        offsets = F.sequence(F.lit(-half), F.lit(half))
-        near = near.withColumn("_dx", F.explode(offsets)).withColumn("_dy", F.explode(offsets))
-        near = near.withColumns({"cx": F.col("cx") + F.col("_dx"), "cy": F.col("cy") + F.col("_dy")}).drop("_dx", "_dy")
-    near = near.select(*point_keys, "cx", "cy")
+    near = window_cells(points, size).select(*point_keys, "cx", "cy")
     hits = pixels.select(*scene_keys, "cx", "cy", *bands).join(checked_broadcast(near), ["cx", "cy"])
-    if not half:
+    if size == 1:
         return hits.select(*point_keys, *scene_keys, *bands)
     return hits.groupBy(*point_keys, *scene_keys).agg(*[F.avg(b).alias(b) for b in bands])
 
 
+def window_cells(points: DataFrame, size: int) -> DataFrame:
+    """Every point once per cell of the ``size`` x ``size`` window around its cell."""
+    if size == 1:
+        return points
+    offsets = F.sequence(F.lit(-(size // 2)), F.lit(size // 2))
+    moved = points.withColumn("_dx", F.explode(offsets)).withColumn("_dy", F.explode(offsets))
+    return moved.withColumns({"cx": F.col("cx") + F.col("_dx"), "cy": F.col("cy") + F.col("_dy")}).drop("_dx", "_dy")
+
+
+def pixels_around(pixels: DataFrame, points: DataFrame, size: int = 1) -> DataFrame:
+    """Pixels in the window of some point: what a point series reads of a raster."""
+    cells = window_cells(points.select("cx", "cy"), size).distinct()
+    return pixels.join(checked_broadcast(cells), ["cx", "cy"], "left_semi")
+
+
 def points_centre(points: DataFrame, lon: str = "lon", lat: str = "lat") -> DataFrame:
     """Centre of the distinct places."""
     return points.select(lon, lat).distinct().agg(F.avg(lon).alias(lon), F.avg(lat).alias(lat))

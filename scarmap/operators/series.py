@@ -101,16 +101,18 @@ def period_features(
     count_as: str | None = None,
     ts: str = "ts",
     hot_rows: int = HOT_GROUP_ROWS,
+    cluster_by: list[str] | None = None,
 ) -> DataFrame:
     """One row per key and (pre, post) pair; columns ``{band}_{pre|post}_{window}_{reducer}``.
 
     Each observation is reduced once per period that holds it, whatever the number of pairs. A
     period without observations gives nulls; ``count_as`` adds ``{count_as}_pre`` and ``_post``.
-    Key columns must not be null.
+    Rows are shuffled on ``cluster_by``, a subset of the keys, so that a later grouping on it needs
+    no shuffle. Key columns must not be null.
     """
     periods = list(dict.fromkeys([*pre, *post]))
     tagged = tag_periods(obs, periods, ts)
-    stats = reduce_groups(tagged, [*keys, "period"], bands, names, keys, "_rows", hot_rows)
+    stats = reduce_groups(tagged, [*keys, "period"], bands, names, cluster_by or keys, "_rows", hot_rows)
     fields = [f"{b}_{n}" for b in bands for n in names]
     per_period = [
         F.first(F.when(F.col("period") == i, F.struct("_rows", *fields)), ignorenulls=True).alias(f"_p{i}")

@@ -19,7 +19,7 @@ def tiles_intersecting(polygons: DataFrame, keys: list[str], zoom: int, edges: s
     cells = cells.select(*keys, "_edges", "tile_x", F.explode("_ys").alias("tile_y"))
     cells = cells.withColumn("tile", T.tile_box(F.col("tile_x"), F.col("tile_y"), zoom))
     t = [F.col(f"tile.{n}") for n in ("minx", "miny", "maxx", "maxy")]
-    meets = G.let(G.edges_of(G.box_rings(*t)), lambda b: G.intersects(b, F.col("_edges")))
+    meets = G.meets_box(F.col("_edges"), *t)
     qk = T.quadkey(F.col("tile_x"), F.col("tile_y"), zoom)
     return cells.where(meets).select(*keys, qk.alias("qk"), "tile_x", "tile_y", "tile")
 

@@ -157,6 +157,16 @@ def zonal_stats(buildings: DataFrame, pixels: DataFrame, grid: Grid, keys=("buil
     return attach_zonal(buildings, measures, keys)
 
 
+def wide_means(overlap: DataFrame, dates: list, keys=("building_id",), date: str = "post_date", value: str = "value", prefix: str = "pred_") -> DataFrame:
+    """Weighted mean per building, one column per date: one shuffle of partial sums, already in the wide form."""
+    w = F.col("overlap_area")
+    columns = []
+    for d in dates:
+        on = F.col(date) == F.lit(d)
+        columns.append(F.try_divide(F.sum(F.when(on, F.col(value) * w)), F.sum(F.when(on, w))).alias(f"{prefix}{d}"))
+    return overlap.groupBy(*keys).agg(*columns)
+
+
 def collect_preds(buildings: DataFrame, measures: DataFrame, dates: list, prefix: str = "pred_") -> DataFrame:
     """Weighted means, one column per window start, left-joined to all buildings."""
     wide = spread_dates(measures, ["building_id"], dates, "post_date", "weighted_mean", prefix)

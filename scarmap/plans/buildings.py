@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from scarmap.cluster import settle
 from scarmap.config import NEAR_METRES
 from scarmap.operators import cover as C
 from scarmap.operators import labels as L
@@ -14,9 +15,11 @@ from scarmap.operators import zonal as Z
 from scarmap.operators.raster import Grid
 from scarmap.sources.readers import project_buildings
 
-# Degrees. Cells of some kilometres for regions, of some hundred metres for points near buildings.
+# Degrees. Cells of some kilometres for regions, of a kilometre for areas of interest, and of some
+# ten metres for points near buildings, so that few points and buildings meet in one cell.
 REGION_GRID = Grid(-180.0, -90.0, 0.05, 0.05)
-NEAR_GRID = Grid(-180.0, -90.0, 0.002, 0.002)
+AOI_GRID = Grid(-180.0, -90.0, 0.01, 0.01)
+NEAR_GRID = Grid(-180.0, -90.0, 0.0005, 0.0005)
 
 
 def within_country(buildings: DataFrame, country: DataFrame, grid: Grid = REGION_GRID) -> DataFrame:
@@ -26,7 +29,7 @@ def within_country(buildings: DataFrame, country: DataFrame, grid: Grid = REGION
     return C.locate(buildings, cover, grid, ["building_id"], "_order").where("_in = 1").drop("_in")
 
 
-def buildings_in_aoi(buildings: DataFrame, aois: DataFrame, grid: Grid = NEAR_GRID) -> DataFrame:
+def buildings_in_aoi(buildings: DataFrame, aois: DataFrame, grid: Grid = AOI_GRID) -> DataFrame:
     """(building_id, aoi) pairs whose polygons share a point."""
     return C.polygons_meeting(buildings, ["building_id"], C.cell_cover(aois, ["aoi"], grid), grid)
 
@@ -37,9 +40,16 @@ def labels_near_buildings(points, buildings, metres: float = NEAR_METRES, grid:
 
 
 def add_damage_labels(buildings: DataFrame, labels: DataFrame, aois: DataFrame) -> DataFrame:
-    """Worst label within reach, of an area the building meets; buildings without one keep nulls."""
-    near = labels_near_buildings(labels, buildings)
-    hits = near.join(buildings_in_aoi(buildings, aois), ["building_id", "aoi"], "left_semi")
+    """Worst label within reach, of an area the building meets; buildings without one keep nulls.
+
+    Labels at one place are reduced to the worst before the spatial join, and only buildings with a
+    label in reach are tested against the areas.
+    """
+    row = F.struct("damage", "unosat_id", "date")
+    places = labels.groupBy("aoi", "lon", "lat").agg(F.min_by(row, F.struct("damage", "unosat_id")).alias("_l"))
+    near = settle(labels_near_buildings(places.select("aoi", "lon", "lat", "_l.*"), buildings))
+    found = buildings.join(near.select("building_id").distinct(), "building_id", "left_semi")
+    hits = near.join(buildings_in_aoi(found, aois), ["building_id", "aoi"], "left_semi")
     return L.add_label_info(buildings, L.worst_label_per_building(hits))
 
 
@@ -62,5 +72,5 @@ def enrich_buildings(raw, country, labels, aois, adm1, adm2, adm3, order: str =
 def predictions_to_buildings(buildings: DataFrame, tiles: DataFrame, grid: Grid, dates: list) -> DataFrame:
     """Tiles to one raster, raster onto buildings, one prediction column per window start."""
     raster = R.mosaic(tiles, ["cx", "cy", "post_date"], "qk")
-    measures = Z.zonal_measures(Z.pixels_x_buildings(buildings, raster, grid))
-    return Z.collect_preds(buildings, measures, dates)
+    means = Z.wide_means(Z.pixels_x_buildings(buildings, raster, grid), dates)
+    return buildings.join(means, "building_id", "left")

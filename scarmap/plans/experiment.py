@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scarmap.cluster import checked_broadcast
 from scarmap.config import CLOUD_BAND, OBSERVED, RunConfig
 from scarmap.operators import evaluate as E
 from scarmap.operators import labels as L
@@ -37,13 +38,14 @@ class Store:
 def build_series_s1(scenes, pixels, points, bands, size=1, period=OBSERVED) -> DataFrame:
     """Series of every labelled point and qualifying scene; gaps take the mean of their cell."""
     chosen = S.select_s1(scenes, period).select("scene_id", "ts", "orbit")
-    seen = pixels.join(chosen, "scene_id")
+    seen = S.pixels_around(pixels, points, size).join(checked_broadcast(chosen), "scene_id")
     filled = T.fill_gaps(seen, ["cx", "cy", "orbit"], bands)
     return S.extract_points(filled, points, ["aoi", "unosat_id", "damage", "date"], ["scene_id", "orbit", "ts"], bands, size)
 
 
 def build_series_s2(pixels, scores, points, bands, size=1, period=OBSERVED) -> DataFrame:
     """Cloud-masked series; dates without the three marker bands are dropped."""
+    pixels, scores = (S.pixels_around(df, points, size) for df in (pixels, scores))
     clear = S.select_s2(pixels, scores, ["scene_id", "cx", "cy"], period, bands=bands, masked_bands=bands)
     series = S.extract_points(clear, points, ["aoi", "unosat_id", "damage", "date"], ["scene_id", "ts"], [*bands, CLOUD_BAND], size)
     return S.drop_missing(series)

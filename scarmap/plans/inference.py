@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scarmap.cluster import settle
+from scarmap.cluster import checked_broadcast, settle
 from scarmap.config import Period, RunConfig
 from scarmap.functions.values import quantised
 from scarmap.operators import model as M
@@ -19,17 +19,19 @@ from scarmap.sources import writers as W
 def predict_area(pixels: DataFrame, scenes: DataFrame, model, cfg: RunConfig, post: list[Period], by=("qk",)) -> DataFrame:
     """``by, cx, cy, start_post, end_post, value`` for all tiles and windows in one plan.
 
-    An orbit takes part in a tile and window if it has enough images before and after.
+    An orbit takes part in a tile and window if it has enough images before and after; pixels of
+    other orbits are dropped before anything is shuffled. Rows are then shuffled once, by cell: the
+    statistics, the scores and the mean over orbits follow in that stage.
     """
-    keys = [*by, "cx", "cy", "orbit"]
+    place = [*by, "cx", "cy"]
+    usable = qualifying_orbits(scenes, cfg.pre, post, by)
+    pixels = pixels.join(checked_broadcast(usable.select(*by, "orbit").distinct()), [*by, "orbit"], "left_semi")
     window = cfg.window[0]
     if int(window[0]) > 1:
         pixels = R.focal_mean(pixels, [*by, "scene_id", "orbit", "ts"], cfg.bands, int(window[0]) // 2)
-    feats = T.period_features(pixels, keys, cfg.bands, cfg.pre, post, cfg.reducers, window)
-    usable = qualifying_orbits(scenes, cfg.pre, post, by)
-    on = [*by, "orbit", "start_pre", "start_post"]
-    scored = M.classify(feats.join(usable, on, "left_semi"), model, "value")
-    return R.combine_orbits(scored, [*by, "cx", "cy", "start_post", "end_post"], cfg.aggregation)
+    feats = T.period_features(pixels, [*place, "orbit"], cfg.bands, cfg.pre, post, cfg.reducers, window, cluster_by=place)
+    feats = feats.join(checked_broadcast(usable), [*by, "orbit", "start_pre", "start_post"], "left_semi")
+    return R.combine_orbits(M.classify(feats, model, "value"), [*place, "start_post", "end_post"], cfg.aggregation)
 
 
 def qualifying_orbits(scenes: DataFrame, pre: list[Period], post: list[Period], by=("qk",)) -> DataFrame:

@@ -278,3 +278,32 @@ def test_no_cross_or_nested_loop_join(spark, name):
 
     plan = entry.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_inference_shuffles_pixels_once(spark):
+    scenes, pixels, _ = world(spark, 1)
+    pixels = pixels.join(scenes.select("scene_id", "orbit", "ts"), "scene_id").withColumn("qk", F.lit("0"))
+    cfg = RunConfig(post=POST_QUARTERS[:2], reducers=["mean", "median"])
+    from scarmap.operators.series import period_features
+
+    feats = period_features(pixels, ["qk", "cx", "cy", "orbit"], cfg.bands, PRE, cfg.post, cfg.reducers)
+    train = feats.withColumn("label", (F.col("cx") % 2).cast("int"))
+    model = M.fit(train, cfg.features, M.make_classifier("random_forest", 0, trees=3))
+    seen = pixels.select("qk", "scene_id", "orbit", "ts").distinct()
+    plan = I.predict_area(pixels, seen, model, cfg, cfg.post)._jdf.queryExecution().executedPlan().toString()
+    # besides the joins that make the test's own table and the scene counts, pixels move once
+    assert plan.count("REPARTITION_BY_COL") == 1
+    top = plan.split("REPARTITION_BY_COL")[0]
+    assert top.count("Exchange hashpartitioning(") == 1
+
+
+def test_box_test_agrees_with_polygon_test(spark):
+    rng = random.Random(8)
+    tri = [[(x := rng.uniform(0, 9), y := rng.uniform(0, 9)), (x + rng.uniform(-3, 3), y + rng.uniform(-3, 3)), (x + rng.uniform(-3, 3), y + 3), (x, y)] for _ in range(60)]
+    a = polygons(spark, [(i, [t]) for i, t in enumerate(tri)] + [(99, [box(0, 0, 12, 12)])], "id int")
+    boxes = spark.createDataFrame([(i, rng.uniform(0, 9), rng.uniform(0, 9)) for i in range(40)], "b int, x double, y double")
+    b = boxes.select("b", *[c.alias(n) for c, n in ((F.col("x"), "x0"), (F.col("y"), "y0"), (F.col("x") + 1.5, "x1"), (F.col("y") + 0.7, "y1"))])
+    c = [F.col(n) for n in ("x0", "y0", "x1", "y1")]
+    pairs = a.crossJoin(b).select(G.meets_box(F.col("edges"), *c).alias("m"), G.intersects(F.col("edges"), G.edges_of(G.box_rings(*c))).alias("i"))
+    counts = {(r.m, r.i): r["count"] for r in pairs.groupBy("m", "i").count().collect()}
+    assert counts.keys() == {(True, True), (False, False)}
