@@ -37,7 +37,7 @@ def reduce_groups(
     names: list[str],
     cluster_by: list[str] | None = None,
     count_as: str | None = None,
-    hot_rows: int = HOT_GROUP_ROWS,
+    hot_rows: int | None = HOT_GROUP_ROWS,
 ) -> DataFrame:
     """All reducers of all value columns per group.
 
@@ -45,6 +45,7 @@ def reduce_groups(
     rows are shuffled once on ``cluster_by`` (a subset of ``keys``) and every aggregate is finished
     in that stage; later groupings on ``cluster_by`` need no shuffle. Groups of ``cluster_by`` above
     ``hot_rows`` rows take another way: partial aggregates for the moments, bracketing for the median.
+    Finding them costs one scan of the key columns; None leaves it out, for groups known to be small.
     """
     cluster_by = cluster_by or keys
     count = [F.count(F.lit(1)).alias(count_as)] if count_as else []
@@ -59,7 +60,7 @@ def reduce_groups(
     def gathered(rows):
         return rows.repartition(*cluster_by).groupBy(*keys).agg(*aggregates(names))
 
-    usual, hot = split_hot(df, cluster_by, hot_rows)
+    usual, hot = (df, None) if hot_rows is None else split_hot(df, cluster_by, hot_rows)
     usual = gathered(usual)
     if hot is None:
         return usual
@@ -100,7 +101,7 @@ def period_features(
     window: str = "1x1",
     count_as: str | None = None,
     ts: str = "ts",
-    hot_rows: int = HOT_GROUP_ROWS,
+    hot_rows: int | None = HOT_GROUP_ROWS,
     cluster_by: list[str] | None = None,
 ) -> DataFrame:
     """One row per key and (pre, post) pair; columns ``{band}_{pre|post}_{window}_{reducer}``.

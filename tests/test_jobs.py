@@ -282,7 +282,7 @@ def test_no_cross_or_nested_loop_join(spark, name):
 
 def test_inference_shuffles_pixels_once(spark):
     scenes, pixels, _ = world(spark, 1)
-    pixels = pixels.join(scenes.select("scene_id", "orbit", "ts"), "scene_id").withColumn("qk", F.lit("0"))
+    pixels = pixels.join(scenes.select("scene_id", "orbit", "ts"), "scene_id").withColumn("qk", (F.col("cy") % 2).cast("string"))
     cfg = RunConfig(post=POST_QUARTERS[:2], reducers=["mean", "median"])
     from scarmap.operators.series import period_features
 
