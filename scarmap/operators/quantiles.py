@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from scarmap.cluster import HOT_GROUP_ROWS, MAX_HOT_KEYS, checked_broadcast, join_null_safe, settle
@@ -10,79 +10,79 @@ from scarmap.cluster import HOT_GROUP_ROWS, MAX_HOT_KEYS, checked_broadcast, joi
 # The sketch may miss a rank by 1/ACCURACY of the rows; the bracket is wider on both sides.
 ACCURACY = 10_000
 MARGIN = 10 / ACCURACY
+# Ranges per group when a bracket is narrowed.
+RANGES = 32
 
 
-def _bracket(rows: DataFrame, by: list[str], low: Column, high: Column) -> DataFrame:
-    """Per group, values certainly below and above the wanted ranks (fractions of its rows)."""
+def large_medians(df: DataFrame, keys: list[str], values: list[str], limit: int = HOT_GROUP_ROWS) -> DataFrame:
+    """Exact median (mean of the two middle values) of every value column per group.
+
+    Groups are never gathered. One pass gives a mergeable sketch and so a bracket around the middle
+    ranks; a second pass merges equal values inside the bracket and counts the rows below it. What
+    is left, some thousandths of the rows, is narrowed range by range until it fits ``limit``.
+    """
+    bands = F.array(*[F.struct(F.lit(v).alias("_band"), F.col(v).cast("double").alias("_v")) for v in values])
+    rows = df.select(*keys, F.explode(bands).alias("_b")).select(*keys, "_b.*").where("_v is not null")
+    by = [*keys, "_band"]
+    size = MAX_HOT_KEYS * len(values)
+
+    bracket = checked_broadcast(settle(_bracket(rows, by)), limit=size)
+    near = join_null_safe(rows, bracket, by).where(F.col("_v") <= F.col("_to"))
+    # one row per distinct value; the rows below the bracket are one row whose value is null
+    runs = settle(_merged(near, by, F.col("_v") >= F.col("_from"), F.count(F.lit(1))))
+    while (runs.groupBy(*by).count().agg(F.max("count")).first()[0] or 0) > limit:
+        runs = settle(_narrowed(runs, by, size))
+
+    ends = _cumulated(runs, by, "_v")
+    middle = ends.groupBy(*by).agg(
+        ((F.max(F.when(_holds("_lo"), F.col("_v"))) + F.max(F.when(_holds("_hi"), F.col("_v")))) / 2).alias("_median")
+    )
+    medians = middle.groupBy(*keys).pivot("_band", values).agg(F.first("_median"))
+    return medians.withColumnsRenamed({v: f"{v}_median" for v in values})
+
+
+def _bracket(rows: DataFrame, by: list[str]) -> DataFrame:
+    """Per group: the two middle ranks, counted from 0, and values certainly below and above them."""
     parts = rows.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("_n"),
         F.percentile_approx("_v", [i / 1000 for i in range(1001)], ACCURACY).alias("_q"),
         F.min("_v").alias("_min"),
         F.max("_v").alias("_max"),
-        F.first(low).alias("_low"),
-        F.first(high).alias("_high"),
     )
-    first = F.floor((F.col("_low") - MARGIN) * 1000).cast("int")
-    last = F.ceil((F.col("_high") + MARGIN) * 1000).cast("int")
+    lo, hi = F.floor((F.col("_n") - 1) / 2), F.floor(F.col("_n") / 2)
+    first = F.floor((lo / F.col("_n") - MARGIN) * 1000).cast("int")
+    last = F.ceil(((hi + 1) / F.col("_n") + MARGIN) * 1000).cast("int")
     return parts.select(
         *by,
+        lo.alias("_lo"),
+        hi.alias("_hi"),
         F.when(first <= 0, F.col("_min")).otherwise(F.get("_q", first)).alias("_from"),
         F.when(last >= 1000, F.col("_max")).otherwise(F.get("_q", last)).alias("_to"),
     )
 
 
-def large_medians(df: DataFrame, keys: list[str], values: list[str], limit: int = HOT_GROUP_ROWS) -> DataFrame:
-    """Exact median (mean of the two middle values) of every value column per group.
+def _merged(rows: DataFrame, by: list[str], inside, count) -> DataFrame:
+    value = F.when(inside, F.col("_v")).alias("_v")
+    return rows.groupBy(*by, value).agg(count.alias("_c"), F.first("_lo").alias("_lo"), F.first("_hi").alias("_hi"))
 
-    Groups are never gathered. A mergeable sketch gives a bracket around the middle ranks, the rows
-    below it are counted, equal values inside it are merged, and the bracket is narrowed until what
-    is left fits ``limit``. Each round keeps some thousandths of the rows.
-    """
-    long = df.select(
-        *keys, F.explode(F.array(*[F.struct(F.lit(v).alias("_band"), F.col(v).cast("double").alias("_v")) for v in values]))
-    ).select(*keys, "col.*")
-    rows = long.where(F.col("_v").isNotNull())
-    by = [*keys, "_band"]
 
-    # ranks are counted from 0; _lo/_hi are the two middle ones, equal for an odd count
-    state = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).select(
-        *by,
-        "_n",
-        F.lit(0).cast("long").alias("_below"),
-        F.floor((F.col("_n") - 1) / 2).alias("_lo"),
-        F.floor(F.col("_n") / 2).alias("_hi"),
-        F.col("_n").alias("_left"),
-        F.lit(None).cast("double").alias("_from"),
-        F.lit(None).cast("double").alias("_to"),
-    )
-    state = settle(state)
-    while True:
-        small = checked_broadcast(state, limit=MAX_HOT_KEYS * len(values))
-        inside = join_null_safe(rows, small, by).where((F.col("_from").isNull()) | F.col("_v").between(F.col("_from"), F.col("_to")))
-        runs = inside.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c"), *[F.first(c).alias(c) for c in ("_below", "_lo", "_hi")])
-        widest = runs.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
-        if widest <= limit:
-            break
-        ahead = _bracket(
-            inside, by, (F.col("_lo") - F.col("_below")) / F.col("_left"), (F.col("_hi") - F.col("_below") + 1) / F.col("_left")
-        )
-        ahead = checked_broadcast(ahead, limit=MAX_HOT_KEYS * len(values))
-        state = settle(
-            join_null_safe(inside, ahead.withColumnsRenamed({"_from": "_f", "_to": "_t"}), by).groupBy(*by).agg(
-                F.first("_n").alias("_n"),
-                (F.first("_below") + F.count_if(F.col("_v") < F.col("_f"))).alias("_below"),
-                F.first("_lo").alias("_lo"),
-                F.first("_hi").alias("_hi"),
-                F.count_if(F.col("_v").between(F.col("_f"), F.col("_t"))).alias("_left"),
-                F.first("_f").alias("_from"),
-                F.first("_t").alias("_to"),
-            )
-        )
-
-    order = Window.partitionBy(*by).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = runs.withColumn("_end", F.sum("_c").over(order) + F.col("_below"))
-    start = F.col("_end") - F.col("_c")
-    holds = lambda r: (start <= F.col(r)) & (F.col(r) < F.col("_end"))
-    middle = ranked.groupBy(*by).agg(
-        ((F.max(F.when(holds("_lo"), F.col("_v"))) + F.max(F.when(holds("_hi"), F.col("_v")))) / 2).alias("_median")
-    )
-    return middle.groupBy(*keys).pivot("_band", values).agg(F.first("_median")).withColumnsRenamed({v: f"{v}_median" for v in values})
+def _cumulated(rows: DataFrame, by: list[str], order: str) -> DataFrame:
+    w = Window.partitionBy(*by).orderBy(F.col(order).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return rows.withColumn("_end", F.sum("_c").over(w))
+
+
+def _holds(rank: str):
+    return (F.col("_end") - F.col("_c") <= F.col(rank)) & (F.col(rank) < F.col("_end"))
+
+
+def _narrowed(runs: DataFrame, by: list[str], size: int) -> DataFrame:
+    """Runs of the ranges that hold the middle ranks; ranges split the distinct values evenly."""
+    cuts = runs.groupBy(*by).agg(F.percentile_approx("_v", [i / RANGES for i in range(1, RANGES)], ACCURACY).alias("_cuts"))
+    placed = join_null_safe(runs, checked_broadcast(cuts, F.lit(RANGES), size * RANGES), by)
+    index = F.when(F.col("_v").isNull(), -1).otherwise(F.size(F.filter("_cuts", lambda c: c < F.col("_v"))))
+    placed = placed.withColumn("_r", index).drop("_cuts")
+    ranges = placed.groupBy(*by, "_r").agg(F.sum("_c").alias("_c"), F.first("_lo").alias("_lo"), F.first("_hi").alias("_hi"))
+    kept = _cumulated(ranges, by, "_r").where(_holds("_lo") | _holds("_hi"))
+    kept = kept.groupBy(*by).agg(F.min("_r").alias("_first"), F.max("_r").alias("_last"))
+    both = join_null_safe(placed, checked_broadcast(kept, limit=size), by).where(F.col("_r") <= F.col("_last"))
+    return _merged(both, by, F.col("_r") >= F.col("_first"), F.sum("_c"))

@@ -75,9 +75,14 @@ def tag_periods(df: DataFrame, periods: list[Period], ts: str = "ts", out: str =
     The outer bounds go to the scan as a plain range filter.
     """
     t = F.col(ts)
-    hits = F.array_compact(F.array(*[F.when(in_period(t, p), F.lit(i)) for i, p in enumerate(periods)]))
     first, last = min(p.start for p in periods), max(p.end for p in periods)
-    return df.where(in_period(t, Period(first, last))).withColumn(out, F.explode(hits))
+    rows = df.where(in_period(t, Period(first, last)))
+    inside = [F.when(in_period(t, p), F.lit(i)) for i, p in enumerate(periods)]
+    in_order = sorted(periods, key=lambda p: p.start)
+    if all(a.end <= b.start for a, b in zip(in_order, in_order[1:])):
+        # no day in two periods: a plain expression is enough
+        return rows.withColumn(out, F.coalesce(*inside)).where(F.col(out).isNotNull())
+    return rows.withColumn(out, F.explode(F.array_compact(F.array(*inside))))
 
 
 def period_pairs(df: DataFrame, pre: list[Period], post: list[Period]) -> DataFrame:
