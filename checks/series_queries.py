@@ -202,14 +202,14 @@ def join_features(spark, sf):
 
 
 _S1 = "SELECT aoi, unosat_id, orbit, start_post, VH_post_1x1_mean FROM (" + features("obs", POINT, BANDS, ["mean"]) + ")"
-_S2 = "SELECT aoi, unosat_id, start_post, VV_post_1x1_max FROM (" + features("obs", ["aoi", "unosat_id"], ["VV"], ["max"]) + ") WHERE unosat_id % 3 <> 0"
+_S2 = "SELECT aoi, unosat_id, start_post, VV_post_1x1_max FROM (" + features("obs", ["aoi", "unosat_id"], ["VV"], ["max"]) + ") WHERE VV_post_1x1_max > 100"
 
 
 @query("join_sensors", sql(f"SELECT * FROM ({_S1}) LEFT JOIN ({_S2}) USING (aoi, unosat_id, start_post)", "obs"))
 def join_sensors(spark, sf):
     o = D.obs(spark, sf)
     one = T.period_features(o, POINT, BANDS, PRE, POST, ["mean"]).select(*POINT, "start_post", "VH_post_1x1_mean")
-    two = T.period_features(o, ["aoi", "unosat_id"], ["VV"], PRE, POST, ["max"]).where("unosat_id % 3 <> 0")
+    two = T.period_features(o, ["aoi", "unosat_id"], ["VV"], PRE, POST, ["max"]).where("VV_post_1x1_max > 100")
     return rounded(T.join_sensors(one, two.select("aoi", "unosat_id", "start_post", "VV_post_1x1_max")))
 
 
@@ -301,11 +301,11 @@ def select_observations(spark, sf):
 
 # ---- orbits and scenes
 
-_PACKED = "SELECT 'A' || (o_orderkey % 18) AS aoi, string_agg(DISTINCT CAST(o_custkey % 7 AS VARCHAR), ',' ORDER BY CAST(o_custkey % 7 AS VARCHAR)) AS p FROM orders WHERE o_orderkey % 7 <> o_custkey % 7 GROUP BY 1"
+_PACKED = "SELECT 'A' || (o_orderkey % 18) AS aoi, string_agg(DISTINCT CAST(o_custkey % 7 AS VARCHAR), ',' ORDER BY CAST(o_custkey % 7 AS VARCHAR)) AS p FROM orders GROUP BY 1"
 
 
 def _packed(spark, sf):
-    o = read(spark, sf, "orders").where("o_orderkey % 7 <> o_custkey % 7")
+    o = read(spark, sf, "orders")
     listed = F.array_join(F.sort_array(F.collect_set((F.col("o_custkey") % 7).cast("string"))), ",")
     return o.groupBy(F.concat(F.lit("A"), F.col("o_orderkey") % 18).alias("aoi")).agg(listed.alias("valid_orbits"))
 
@@ -502,7 +502,7 @@ _model("boosted_trees", trees=5)
 @query("train_on_both_splits")
 def train_on_both_splits(spark, sf):
     df, names = _vectors(spark, sf)
-    model = M.fit(df.where("vec_id % 4 <> 0"), names, M.make_classifier("random_forest", 0, trees=10), df.where("vec_id % 4 = 0"))
+    model = M.fit(df.where("f0 <= 0.1"), names, M.make_classifier("random_forest", 0, trees=10), df.where("f0 > 0.1"))
     return M.classify(df, model).select("vec_id", r6("classification").alias("classification"))
 
 

@@ -304,10 +304,10 @@ def build_tile_grid(spark, sf):
 
 def _tiles_with_key(spark, sf):
     x, y = T.tile_of(F.col("lon"), F.col("lat"), 8)
-    return D.buildings(spark, sf).select(x.alias("x"), y.alias("y"), T.quadkey(x, y, 8).alias("qk"))
+    return D.buildings(spark, sf).select(T.quadkey(x, y, 8).alias("qk"), "adm1_id")
 
 
-_TILE8 = f"SELECT {qk_sql('x', 'y', 8)} AS qk, x, y FROM (SELECT {tile_sql(px_sql('lon', 8))} AS x, {tile_sql(py_sql('lat', 8))} AS y FROM buildings)"
+_TILE8 = f"SELECT {qk_sql('x', 'y', 8)} AS qk, adm1_id FROM (SELECT {tile_sql(px_sql('lon', 8))} AS x, {tile_sql(py_sql('lat', 8))} AS y, adm1_id FROM buildings)"
 
 
 @query("list_tiles", sql(f"SELECT DISTINCT qk FROM ({_TILE8})", "buildings"))
@@ -320,10 +320,11 @@ def list_tiles_limit(spark, sf):
     return Q.list_tiles(_tiles_with_key(spark, sf), limit=7)
 
 
-@query("pending_tiles", sql(f"SELECT DISTINCT qk FROM ({_TILE8}) WHERE (x + y) % 3 <> 0", "buildings"))
+@query("pending_tiles", sql(f"SELECT DISTINCT qk FROM ({_TILE8}) EXCEPT SELECT qk FROM ({_TILE8}) WHERE adm1_id = '2'", "buildings"))
 def pending_tiles(spark, sf):
+    """Tiles in which a building of region 2 lies are done."""
     tiles = _tiles_with_key(spark, sf)
-    return Q.pending(Q.list_tiles(tiles), tiles.where("(x + y) % 3 = 0").select("qk").distinct())
+    return Q.pending(Q.list_tiles(tiles), tiles.where("adm1_id = '2'").select("qk").distinct())
 
 
 # ---- rasters
@@ -341,13 +342,13 @@ def pixel_square(spark, sf):
     return D.raster(spark, sf).select("cx", "cy", D.RASTER_GRID.box(F.col("cx"), F.col("cy")).alias("b")).select("cx", "cy", "b.*")
 
 
-_HOLES = "SELECT cx, cy, CASE WHEN (cx * 7 + cy * 3) % 11 <> 0 THEN value END AS value FROM raster WHERE (cx + cy * 5) % 13 <> 0"
+_HOLES = "SELECT cx, cy, CASE WHEN value < 0.2 THEN value END AS value FROM raster WHERE abs(value) > 0.01"
 
 
 @query("focal_mean", sql(f"SELECT p.cx, p.cy, round(avg(q.value) + 1e-9, 6) + 0.0 AS value FROM ({_HOLES}) p JOIN (SELECT CAST(cx + i AS INT) AS cx, CAST(cy + j AS INT) AS cy, value FROM ({_HOLES}) CROSS JOIN range(-1, 2) a(i) CROSS JOIN range(-1, 2) b(j)) q USING (cx, cy) GROUP BY 1, 2", "raster"))
 def focal_mean(spark, sf):
-    """Raster with missing cells and missing values."""
-    cells = D.raster(spark, sf).where("(cx + cy * 5) % 13 <> 0").withColumn("value", F.when((F.col("cx") * 7 + F.col("cy") * 3) % 11 != 0, F.col("value")))
+    """Raster with missing cells (values near 0) and missing values (high ones)."""
+    cells = D.raster(spark, sf).where("abs(value) > 0.01").withColumn("value", F.when(F.col("value") < 0.2, F.col("value")))
     return rounded(R.focal_mean(cells.withColumn("scene_id", F.lit(1)), ["scene_id"], ["value"]).drop("scene_id"))
 
 

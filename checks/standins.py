@@ -271,12 +271,12 @@ def scene_pixels(spark, sf):
     )
 
 
-CTE["scores"] = "SELECT o_orderkey AS scene_id, o_orderkey % 10 / 10.0::DOUBLE AS cs FROM orders WHERE o_orderkey % 5 <> 0"
+CTE["scores"] = "SELECT o_orderkey AS scene_id, o_orderkey % 10 / 10.0::DOUBLE AS cs FROM orders WHERE o_orderstatus <> 'P'"
 
 
 def scores(spark, sf):
     key = F.col("o_orderkey")
-    return read(spark, sf, "orders").where(key % 5 != 0).select(key.alias("scene_id"), (key % 10 / 10.0).alias("cs"))
+    return read(spark, sf, "orders").where("o_orderstatus <> 'P'").select(key.alias("scene_id"), (key % 10 / 10.0).alias("cs"))
 
 
 # Predictions on the pixel grid over the buildings.
