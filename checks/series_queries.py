@@ -520,3 +520,13 @@ def predict_area(spark, sf):
     model = M.fit(train, cfg.features, M.make_classifier("random_forest", 0, trees=10))
     seen = pixels.select("qk", "scene_id", "orbit", "ts").distinct()
     return rounded(inference.predict_area(pixels, seen, model, cfg, cfg.post))
+
+
+@query("experiment_metrics")
+def experiment_metrics(spark, sf):
+    """Series to features, forest on the train areas, predictions and metrics on the test areas."""
+    names = [f"{b}_{p}_1x1_{r}" for b in BANDS for p in ("pre", "post") for r in ("mean", "stdDev")]
+    model = M.fit(_split(spark, sf, _TRAIN), names, M.make_classifier("random_forest", 0, trees=20))
+    preds = E.point_predictions(M.classify(_split(spark, sf, _TEST), model))
+    judged = E.judged(L.attach_labels(preds, D.point_labels(spark, sf), ["date"]), D.STARTS, event=EVENT, positive_year=EVENT.year)
+    return rounded(E.with_metrics(E.confusion(judged, 0.5)))

@@ -264,14 +264,52 @@ _DY = f"greatest(miny - p.lat, 0, p.lat - maxy) * {_M}"
 )
 def labels_near_buildings(spark, sf):
     """Points around the corners of buildings, some within 5 m, some not."""
+    points, shapes = _near_points(spark, sf), D.shapes(spark, sf).drop("lon", "lat")
+    return B.labels_near_buildings(points, shapes, 5.0, PIXEL_GRID).select("unosat_id", "building_id")
+
+
+def _near_points(spark, sf):
     b = D.buildings(spark, sf)
     key, order = F.col("building_id"), F.col("o_orderkey")
-    points = read(spark, sf, "orders").join(b, F.col("o_custkey") == key).select(
+    return read(spark, sf, "orders").join(b, F.col("o_custkey") == key).select(
         order.alias("unosat_id"),
         (F.col("lon") + (order % 41 - 20) * 0.000013 + (F.lit(0.011) + key % 13 * 0.002)).alias("lon"),
         (F.col("lat") + (order % 37 - 18) * 0.000011 + (F.lit(0.008) + key % 7 * 0.003)).alias("lat"),
     )
-    return B.labels_near_buildings(points, D.shapes(spark, sf).drop("lon", "lat"), 5.0, PIXEL_GRID).select("unosat_id", "building_id")
+
+
+# Label points of the kind above, their area named after a region.
+_LABELS = f"SELECT p.*, 'region ' || (unosat_id % 5) AS aoi, CAST(left(o_orderpriority, 1) AS INT) AS damage, CAST(o_orderdate AS DATE) AS date FROM ({_NEAR_POINTS}) p JOIN orders ON o_orderkey = unosat_id"
+_MEETS = "s.minx <= a.x + 3.6 AND s.maxx >= a.x AND s.miny <= a.y + 1.6 AND s.maxy >= a.y AND (greatest(s.minx, a.x) - a.x) / 3.6 + (greatest(s.miny, a.y) - a.y) / 1.6 <= 1.5"
+_ENRICHED = f"""SELECT CAST(h.building_id AS VARCHAR) AS building_id, w.damage AS unosat_damage, w.unosat_id, w.aoi AS unosat_aoi, w.date AS unosat_date,
+  h.ADM1_EN, h.ADM3_EN, h.adm3_id, '1_' || right(h.ADM1_EN, 1) AS adm1_id, '2_' || right(h.ADM1_EN, 1) AS adm2_id
+FROM ({_HIT}) h LEFT JOIN (
+  SELECT *, row_number() OVER (PARTITION BY building_id ORDER BY damage, unosat_id) AS k FROM (
+    SELECT DISTINCT s.building_id, p.unosat_id, p.damage, p.aoi, p.date FROM shapes s
+    JOIN ({_LABELS}) p ON minx < p.lon + 0.001 AND maxx > p.lon - 0.001 AND miny < p.lat + 0.001 AND maxy > p.lat - 0.001
+    JOIN admin a ON a.ADM1_EN = p.aoi AND {_MEETS}
+    WHERE ({_DX}) ** 2 + ({_DY}) ** 2 <= 25)) w ON w.building_id = h.building_id AND w.k = 1"""
+
+
+@query("enrich_buildings", sql(_ENRICHED, "shapes", "buildings", "admin"))
+def enrich_buildings(spark, sf):
+    """Raw WKB buildings: country filter, worst label in reach, region of the centroid."""
+    shapes, regions = D.shapes(spark, sf), D.admin(spark, sf)
+    wkb = D.box_wkb(shapes, ["building_id"])
+    source = F.lit('[{"dataset": "source"}]')
+    raw = readers.normalise_geometry(wkb.select(F.col("building_id").cast("string").alias("id"), source.alias("sources"), F.lit("house").alias("class"), "geometry"))
+    points = _near_points(spark, sf)
+    orders = read(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("unosat_id"), F.concat(F.lit("region "), F.col("o_orderkey") % 5).alias("aoi"),
+        F.substring("o_orderpriority", 1, 1).cast("int").alias("damage"), F.to_date("o_orderdate").alias("date"),
+    )
+    aois = regions.select(F.col("ADM1_EN").alias("aoi"), "rings", "edges", "bbox")
+    parent = regions.select("ADM1_EN", F.lit("district").alias("ADM2_EN"), F.substring("ADM1_EN", -1, 1).alias("n")).distinct()
+    adm1 = parent.select("ADM1_EN", readers.admin_id(1, F.col("n")).alias("admin_id"))
+    adm2 = parent.select("ADM1_EN", "ADM2_EN", readers.admin_id(2, F.col("n")).alias("admin_id"))
+    adm3 = regions.select(F.col("adm3_id").alias("admin_id"), "row_id", "ADM1_EN", F.lit("district").alias("ADM2_EN"), "ADM3_EN", "rings", "edges", "bbox")
+    out = B.enrich_buildings(raw, regions, points.join(orders, "unosat_id"), aois, adm1, adm2, adm3, aoi_grid=REGION_GRID)
+    return out.select("building_id", "unosat_damage", "unosat_id", "unosat_aoi", "unosat_date", "ADM1_EN", "ADM3_EN", "adm3_id", "adm1_id", "adm2_id")
 
 
 _TILES_OF = f"""SELECT building_id, s.minx AS bx0, s.miny AS by0, s.maxx AS bx1, s.maxy AS by1, tile_x, tile_y FROM (

@@ -5,6 +5,9 @@ cell is inside) or holds what a point-in-polygon count needs in that cell: the o
 it, and ``flips``. An edge wholly to the right of the cell is crossed by every ray of its height, so
 only its two end heights matter, and heights shared by neighbouring edges cancel. The answer is the
 same as counting all edges of the polygon, with a few edges per cell.
+
+Cell ranges are made with ``explode_outer``: for ``explode`` Spark adds a filter that repeats the whole
+expression behind the range below it. Ranges are never empty, and a null one joins nothing.
 """
 
 from __future__ import annotations
@@ -17,16 +20,20 @@ from pyspark.sql.types import ArrayType, BooleanType, DoubleType, IntegerType, S
 
 from scarmap.cluster import MAX_BROADCAST_UNITS, checked_broadcast, settle, spread
 from scarmap.functions import geometry as G
+from scarmap.functions.values import clamp
 from scarmap.operators.raster import Grid
 
 # Cells per side of the block that is one unit of work when a polygon is cut.
 COVER_BLOCK = 32
+# Cell sizes, each four times the one before, for polygons of any size near points.
+LEVELS = 6
 # Pieces per cell that are kept as an array in a lookup row.
 MAX_PIECES = 1_000
 
 # Columns of a cover beside the polygon keys.
 PIECE = ("cx", "cy", "full", "edges", "flips")
 
+_NO_FLIPS = np.empty(0)
 _EDGE = pa.struct([(n, pa.float64()) for n in ("x1", "y1", "x2", "y2")])
 
 
@@ -40,21 +47,25 @@ def _pieces_of_block(edges: np.ndarray, grid: Grid, bx: int, by: int):
     loy, hiy = np.minimum(edges[:, 1], edges[:, 3]), np.maximum(edges[:, 1], edges[:, 3])
     # a point on a cell border may be put into either cell by rounding
     sx, sy = _slack(grid.x0, grid.dx), _slack(grid.y0, grid.dy)
+    columns = np.arange(bx * COVER_BLOCK, (bx + 1) * COVER_BLOCK)
+    x0, x1 = grid.x0 + columns * grid.dx - sx, grid.x0 + (columns + 1) * grid.dx + sx
     for cy in range(by * COVER_BLOCK, (by + 1) * COVER_BLOCK):
         y0, y1 = grid.y0 + cy * grid.dy - sy, grid.y0 + (cy + 1) * grid.dy + sy
         row = (hiy >= y0) & (loy <= y1)
         if not row.any():
             continue
-        e, left, right = edges[row], lox[row], hix[row]
-        for cx in range(bx * COVER_BLOCK, (bx + 1) * COVER_BLOCK):
-            x0, x1 = grid.x0 + cx * grid.dx - sx, grid.x0 + (cx + 1) * grid.dx + sx
-            near = (right >= x0) & (left <= x1)
-            heights, times = np.unique(e[left > x1][:, [1, 3]], return_counts=True)
-            flips = heights[(times % 2 == 1) & (heights > y0)]
-            if near.any():
-                yield cx, cy, False, e[near], flips
-            elif np.count_nonzero(flips > (y0 + y1) / 2) % 2:
-                yield cx, cy, True, e[:0], flips[:0]
+        e, left, right = edges[row], lox[row, None], hix[row, None]
+        near, beyond = (right >= x0) & (left <= x1), left > x1
+        touched = near.any(axis=0)
+        middle = (y0 + y1) / 2
+        crossed = (e[:, 1] > middle) != (e[:, 3] > middle)
+        full = ~touched & (np.count_nonzero(beyond & crossed[:, None], axis=0) % 2 == 1)
+        for k in np.flatnonzero(touched | full):
+            if full[k]:
+                yield columns[k], cy, True, e[:0], _NO_FLIPS
+                continue
+            heights, times = np.unique(e[beyond[:, k]][:, [1, 3]], return_counts=True)
+            yield columns[k], cy, False, e[near[:, k]], heights[(times % 2 == 1) & (heights > y0)]
 
 
 def cell_cover(polygons: DataFrame, keys: list[str], grid: Grid, edges: str = "edges", box: str = "bbox") -> DataFrame:
@@ -67,7 +78,7 @@ def cell_cover(polygons: DataFrame, keys: list[str], grid: Grid, edges: str = "e
     blocks = polygons.select(*keys, F.col(edges).alias("edges"), box)
     for name, a, b in (("_bx", ax, bx), ("_by", ay, by)):
         span = F.sequence(F.floor(a / COVER_BLOCK).cast("int"), F.floor(b / COVER_BLOCK).cast("int"))
-        blocks = blocks.withColumn(name, F.explode(span))
+        blocks = blocks.withColumn(name, F.explode_outer(span))
     low = F.col("_by") * (COVER_BLOCK * grid.dy) + grid.y0
     west = F.col("_bx") * (COVER_BLOCK * grid.dx) + grid.x0
     slack = 2 * max(_slack(grid.x0, grid.dx), _slack(grid.y0, grid.dy))
@@ -175,9 +186,9 @@ def polygons_meeting(left: DataFrame, left_keys: list[str], cover: DataFrame, gr
     Tested cell by cell: edges that meet, or a vertex of one inside the other.
     """
     xs, ys = box_cells(box, grid)
-    cells = left.select(*left_keys, F.col(edges).alias("_edges"), F.explode(xs).alias("cx"), F.col(box).alias("_box"))
+    cells = left.select(*left_keys, F.col(edges).alias("_edges"), F.explode_outer(xs).alias("cx"), F.col(box).alias("_box"))
     _, ys = box_cells("_box", grid)
-    cells = cells.withColumn("cy", F.explode(ys)).drop("_box")
+    cells = cells.withColumn("cy", F.explode_outer(ys)).drop("_box")
     keys = [c for c in cover.columns if c not in PIECE]
     joined = cells.join(checked_broadcast(settle(cover), _weight()), ["cx", "cy"])
     piece = {n: F.col(n) for n in ("full", "edges", "flips")}
@@ -198,11 +209,13 @@ def points_near_polygons(
 ) -> DataFrame:
     """(point columns, polygon keys) of points in a polygon or at most ``metres`` from it.
 
-    A point lies in one cell; a polygon covers the cells of its box grown by the distance. So each
-    pair is met once, and no buffer polygon is built.
+    A polygon is filed under a few cells of the level that suits the size of its box grown by the
+    distance; cells of one level are 4 x 4 of the level below. A point lies in one cell per level. So
+    each pair is met once, no polygon has many cells, and no buffer polygon is built.
     """
     cx, cy = grid.at(F.col(x), F.col(y))
-    located = checked_broadcast(points.withColumns({"cx": cx, "cy": cy}))
+    located = points.withColumns({"cx": cx, "cy": cy, "_level": F.explode_outer(F.sequence(F.lit(0), F.lit(LEVELS - 1)))})
+    located = checked_broadcast(located.withColumns({c: _coarser(F.col(c)) for c in ("cx", "cy")}))
     up = metres / G.METRES_PER_DEGREE * 1.01
     side = F.lit(up) / F.cos(F.radians(F.greatest(F.abs(F.col(f"{box}.miny")), F.abs(F.col(f"{box}.maxy")))))
     grown = F.struct(
@@ -210,9 +223,20 @@ def points_near_polygons(
         (F.col(f"{box}.maxx") + side).alias("maxx"), (F.col(f"{box}.maxy") + up).alias("maxy"),
     )
     rows = polygons.select(*polygon_keys, F.col(edges).alias("_edges"), grown.alias("_box"))
-    xs, ys = box_cells("_box", grid)
-    cells = rows.select(*polygon_keys, "_edges", "_box", F.explode(xs).alias("cx"), ys.alias("_ys"))
-    cells = cells.select(*polygon_keys, "_edges", "_box", "cx", F.explode("_ys").alias("cy"))
-    inside = F.col(x).between(F.col("_box.minx"), F.col("_box.maxx")) & F.col(y).between(F.col("_box.miny"), F.col("_box.maxy"))
-    hits = cells.join(located, ["cx", "cy"]).where(inside).where(G.within_metres(F.col("_edges"), F.col(x), F.col(y), metres))
+    c = lambda n: F.col(f"_box.{n}")
+    span = F.greatest((c("maxx") - c("minx")) / grid.dx, (c("maxy") - c("miny")) / grid.dy)
+    level = clamp(F.ceil(F.log(4.0, F.greatest(span / 2, F.lit(1.0)))).cast("int"), 0, LEVELS - 1)
+    low, high = grid.at(c("minx"), c("miny")), grid.at(c("maxx"), c("maxy"))
+    rows = rows.withColumn("_level", level).withColumns({
+        f"_{n}": F.sequence(_coarser(a), _coarser(b)) for n, a, b in (("xs", low[0], high[0]), ("ys", low[1], high[1]))
+    })
+    cells = rows.select(*polygon_keys, "_edges", "_box", "_level", F.explode_outer("_xs").alias("cx"), "_ys")
+    cells = cells.select(*polygon_keys, "_edges", "_box", "_level", "cx", F.explode_outer("_ys").alias("cy"))
+    inside = F.col(x).between(c("minx"), c("maxx")) & F.col(y).between(c("miny"), c("maxy"))
+    hits = cells.join(located, ["_level", "cx", "cy"]).where(inside).where(G.within_metres(F.col("_edges"), F.col(x), F.col(y), metres))
     return hits.select(*points.columns, *[k for k in polygon_keys if k not in points.columns])
+
+
+def _coarser(index: Column) -> Column:
+    """Cell index at the row's level."""
+    return F.floor(index / F.pow(F.lit(4.0), F.col("_level"))).cast("int")

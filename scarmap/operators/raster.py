@@ -56,7 +56,7 @@ def focal_mean(pixels: DataFrame, scene_keys: list[str], bands: list[str], radiu
     halo = pixels.select(*scene_keys, "cx", "cy", *bands)
     for axis, block in (("cx", "_bx"), ("cy", "_by")):
         touched = [F.floor((F.col(axis) + s) / BLOCK) for s in (-radius, 0, radius)]
-        halo = halo.withColumn(block, F.explode(F.array_distinct(F.array(*touched))))
+        halo = halo.withColumn(block, F.explode_outer(F.array_distinct(F.array(*touched))))
     keys = [*scene_keys, "_bx", "_by", "cx", "cy"]
     sums = halo.repartition(*scene_keys, "_bx", "_by").select(
         *keys,

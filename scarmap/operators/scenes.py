@@ -108,7 +108,7 @@ def window_cells(points: DataFrame, size: int) -> DataFrame:
     if size == 1:
         return points
     offsets = F.sequence(F.lit(-(size // 2)), F.lit(size // 2))
-    moved = points.withColumn("_dx", F.explode(offsets)).withColumn("_dy", F.explode(offsets))
+    moved = points.withColumn("_dx", F.explode_outer(offsets)).withColumn("_dy", F.explode_outer(offsets))
     return moved.withColumns({"cx": F.col("cx") + F.col("_dx"), "cy": F.col("cy") + F.col("_dy")}).drop("_dx", "_dy")
 
 

@@ -15,8 +15,8 @@ def tiles_intersecting(polygons: DataFrame, keys: list[str], zoom: int, edges: s
     x0, y0 = T.tile_of(c("minx"), c("maxy"), zoom)
     x1, y1 = T.tile_of(c("maxx"), c("miny"), zoom)
     ranges = polygons.select(*keys, F.col(edges).alias("_edges"), F.sequence(x0, x1).alias("_xs"), F.sequence(y0, y1).alias("_ys"))
-    cells = ranges.select(*keys, "_edges", F.explode("_xs").alias("tile_x"), "_ys")
-    cells = cells.select(*keys, "_edges", "tile_x", F.explode("_ys").alias("tile_y"))
+    cells = ranges.select(*keys, "_edges", F.explode_outer("_xs").alias("tile_x"), "_ys")
+    cells = cells.select(*keys, "_edges", "tile_x", F.explode_outer("_ys").alias("tile_y"))
     cells = cells.withColumn("tile", T.tile_box(F.col("tile_x"), F.col("tile_y"), zoom))
     t = [F.col(f"tile.{n}") for n in ("minx", "miny", "maxx", "maxy")]
     meets = G.meets_box(F.col("_edges"), *t)

@@ -40,8 +40,8 @@ def pixel_overlaps(buildings: DataFrame, keys: list[str], grid: Grid, edges: str
     flagged = buildings.select(*keys, F.col(edges).alias("_edges"), F.col(box).alias("_box"), bxs.alias("_bx"), bys.alias("_by"))
     is_large = F.size("_bx") * F.size("_by") > 4
     small = flagged.where(~is_large).select(*keys, "_edges", "_box")
-    large = flagged.where(is_large).select(*keys, "_edges", "_box", F.explode("_bx").alias("_bx"), "_by")
-    large = large.select(*keys, "_edges", "_box", "_bx", F.explode("_by").alias("_by"))
+    large = flagged.where(is_large).select(*keys, "_edges", "_box", F.explode_outer("_bx").alias("_bx"), "_by")
+    large = large.select(*keys, "_edges", "_box", "_bx", F.explode_outer("_by").alias("_by"))
     b = blocks.box(F.col("_bx"), F.col("_by"))
     # an edge beside the block has no part in it
     beside = F.filter("_edges", lambda e: (F.greatest(e["x1"], e["x2"]) > b["minx"]) & (F.least(e["x1"], e["x2"]) < b["maxx"]))

@@ -39,7 +39,7 @@ def labels_near_buildings(points, buildings, metres: float = NEAR_METRES, grid:
     return C.points_near_polygons(points, buildings, ["building_id"], grid, metres)
 
 
-def add_damage_labels(buildings: DataFrame, labels: DataFrame, aois: DataFrame) -> DataFrame:
+def add_damage_labels(buildings: DataFrame, labels: DataFrame, aois: DataFrame, aoi_grid: Grid = AOI_GRID) -> DataFrame:
     """Worst label within reach, of an area the building meets; buildings without one keep nulls.
 
     Labels at one place are reduced to the worst before the spatial join, and only buildings with a
@@ -49,7 +49,7 @@ def add_damage_labels(buildings: DataFrame, labels: DataFrame, aois: DataFrame)
     places = labels.groupBy("aoi", "lon", "lat").agg(F.min_by(row, F.struct("damage", "unosat_id")).alias("_l"))
     near = settle(labels_near_buildings(places.select("aoi", "lon", "lat", "_l.*"), buildings))
     found = buildings.join(near.select("building_id").distinct(), "building_id", "left_semi")
-    hits = near.join(buildings_in_aoi(found, aois), ["building_id", "aoi"], "left_semi")
+    hits = near.join(buildings_in_aoi(found, aois, aoi_grid), ["building_id", "aoi"], "left_semi")
     return L.add_label_info(buildings, L.worst_label_per_building(hits))
 
 
@@ -62,10 +62,10 @@ def assign_admin(buildings: DataFrame, admin: DataFrame, grid: Grid = REGION_GRI
     return C.locate(buildings, cover, grid, ["building_id"], order)
 
 
-def enrich_buildings(raw, country, labels, aois, adm1, adm2, adm3, order: str = "row_id") -> DataFrame:
+def enrich_buildings(raw, country, labels, aois, adm1, adm2, adm3, order: str = "row_id", aoi_grid: Grid = AOI_GRID) -> DataFrame:
     """Normalised raw buildings to the table the statistics use."""
     inside = within_country(project_buildings(raw), country)
-    labelled = add_damage_labels(inside, labels, aois)
+    labelled = add_damage_labels(inside, labels, aois, aoi_grid)
     return assign_admin(labelled, A.admin_hierarchy(adm1, adm2, adm3), order=order)
 
 
