@@ -26,7 +26,7 @@ from scarmap.operators.raster import Grid
 # Cells per side of the block that is one unit of work when a polygon is cut.
 COVER_BLOCK = 32
 # Cell sizes, each four times the one before, for polygons of any size near points.
-LEVELS = 6
+LEVELS = 4
 # Pieces per cell that are kept as an array in a lookup row.
 MAX_PIECES = 1_000
 
