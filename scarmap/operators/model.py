@@ -49,7 +49,8 @@ def classify(df: DataFrame, model: PipelineModel, out: str = "classification") -
     """Adds the probability of class 1; a margin-only model is mapped by the logistic curve."""
     scored = model.transform(df)
     if "probability" in scored.columns:
-        p = vector_to_array("probability")[1]
+        # a model trained on class 0 alone has no entry for class 1
+        p = F.coalesce(F.get(vector_to_array("probability"), 1), F.lit(0.0))
     else:
         p = 1 / (1 + F.exp(-vector_to_array("rawPrediction")[1]))
     return scored.select(*df.columns, p.alias(out))

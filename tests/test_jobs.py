@@ -269,6 +269,12 @@ def test_models_separate_a_simple_set(spark, tmp_path):
         M.make_classifier("nearest_neighbour")
 
 
+def test_model_that_saw_one_class_only(spark):
+    df = spark.createDataFrame([(0, float(i)) for i in range(20)], "label int, a double")
+    model = M.fit(df, ["a"], M.make_classifier("random_forest", 0, trees=2))
+    assert {r.classification for r in M.classify(df, model).collect()} == {0.0}
+
+
 # ---- plans
 
 
