@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import warnings
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +11,8 @@ from pyspark.sql import functions as F
 HOT_GROUP_ROWS = 100_000
 # At most so many hot groups are sent to every executor; beyond it they are joined by shuffle.
 MAX_HOT_KEYS = 10_000
+# Where a local session without spark.checkpoint.dir keeps its checkpoints, if it asks for that.
+OWN_CHECKPOINTS = "/tmp/scarmap-checkpoints"
 # Upper bound of a broadcast table, in units of `weight` (rows, or array elements).
 MAX_BROADCAST_UNITS = 2_000_000
 
@@ -33,22 +33,28 @@ def session(name: str = "scarmap", **conf) -> SparkSession:
     return b.getOrCreate()
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Cut the lineage by a checkpoint in the folder the session names.
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The folder for tables that cut lineage, which driver and executors share."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder is None:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return folder
 
-    A local session without such a folder gets one of its own. A cluster session without one
-    keeps the lineage: a folder on one machine would not survive the loss of that machine.
-    """
-    spark = df.sparkSession
+
+def own_checkpoint_folder(spark: SparkSession, folder: str = OWN_CHECKPOINTS) -> None:
+    """For tests and trials on one machine: a checkpoint folder where the session names none."""
     sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None and sc.master.startswith("local"):
-            folder = tempfile.mkdtemp(prefix="scarmap-checkpoint-")
-        if folder is None:
-            warnings.warn("spark.checkpoint.dir is not set: lineage is kept")
-            return df
+    if sc.getCheckpointDir() is None and spark.conf.get("spark.checkpoint.dir", None) is None:
+        if not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         sc.setCheckpointDir(folder)
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Cut the lineage by a checkpoint in the folder the session names; without one, raise."""
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(checkpoint_folder(spark))
     return df.checkpoint(eager=True)
 
 

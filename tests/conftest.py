@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, str(pathlib.Path(__file__).resolve().parents[1]))
 
-from scarmap.cluster import session  # noqa: E402
+from scarmap.cluster import own_checkpoint_folder, session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -15,5 +15,6 @@ def spark():
         spark__ui__showConsoleProgress="false",
     )
     s.sparkContext.setLogLevel("ERROR")
+    own_checkpoint_folder(s)
     yield s
     s.stop()
