@@ -6,7 +6,7 @@ import importlib
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
-MODULES = ["minhash"]
+MODULES = ["minhash", "decontaminate", "urlrules"]
 
 
 def query(name: str, oracle: str | None = None):

@@ -119,3 +119,11 @@ def per_batch(fn: Callable[[pa.RecordBatch], pa.RecordBatch]):
                 yield fn(batch)
 
     return run
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have, whatever the case of its letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
