@@ -6,7 +6,7 @@ import importlib
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
-MODULES = ["quality", "warc", "minhash", "packing", "urlrules", "decontaminate"]
+MODULES = ["knn", "quality", "warc", "minhash", "packing", "urlrules", "decontaminate"]
 
 
 def query(name: str, oracle: str | None = None):
