@@ -6,7 +6,7 @@ import importlib
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
-MODULES = ["knn", "quality", "warc", "minhash", "packing", "secrets", "urlrules", "decontaminate"]
+MODULES = ["knn", "quality", "warc", "minhash", "packing", "lines", "secrets", "urlrules", "decontaminate"]
 
 
 def query(name: str, oracle: str | None = None):
