@@ -26,6 +26,8 @@ BITS = 18
 GRADES = 3
 #: rated documents used for fitting, at most about so many
 SAMPLE = 20_000
+#: tasks that sum gradients over the sample; each returns one gradient to the driver
+FIT_TASKS = 8
 STEPS, RIDGE = 40, 1e-4
 #: documents whose probability of the highest grade is at least this are selected
 SELECT = 0.3
@@ -115,7 +117,7 @@ def _thresholds(free: np.ndarray) -> np.ndarray:
     return np.cumsum(np.concatenate([free[:1], np.exp(free[1:])]))
 
 
-def _gradient(rated: DataFrame, n: int, x: np.ndarray, bits: int, cuts: int) -> tuple[float, np.ndarray]:
+def _gradient(rated: DataFrame, n: int, x: np.ndarray, bits: int) -> tuple[float, np.ndarray]:
     """Mean loss and gradient in ``x`` (weights, free threshold numbers); each task returns one sum."""
     sent = rated.sparkSession.sparkContext.broadcast((x[: 1 << bits], _thresholds(x[1 << bits :])))
 
@@ -207,9 +209,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, bits: int = BI
     n = table.count()
     start = np.concatenate([np.zeros(1 << bits), [-2.0], np.zeros(GRADES - 2)])
     if n:
-        parts = table.repartition(max(1, min(table.sparkSession.sparkContext.defaultParallelism, n // 500)), "doc_id")
-        spread = stored(parts)
-        start = _descend(lambda x: _gradient(spread, n, x, bits, GRADES - 1), start, steps)
+        few = table.coalesce(FIT_TASKS)
+        start = _descend(lambda x: _gradient(few, n, x, bits), start, steps)
     return Model(start[: 1 << bits], _thresholds(start[1 << bits :]) if n else np.array([-2.0, -1.0][: GRADES - 1]))
 
 
