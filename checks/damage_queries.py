@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from checks import standins as D
@@ -10,6 +12,7 @@ from checks.standins import DAMAGED_SQL, EVENT, NEGATIVE, POSITIVE, STARTS, roun
 from scarmap.config import THRESHOLDS
 from scarmap.operators import evaluate as E
 from scarmap.operators import regions as A
+from scarmap.plans import evaluation as V
 from scarmap.plans import country
 from scarmap.sources import readers
 
@@ -198,6 +201,29 @@ def threshold_sweep(spark, sf):
     return rounded(E.threshold_sweep(_judged(spark, sf)))
 
 
+# A raster under the buildings' positions: 3 x 3 windows, windows start with the years.
+_YEAR_STARTS = [date(y, 1, 1) for y in D.YEARS]
+_YEAR_EVENT = date(D.POSITIVE[0], 1, 1)
+_SITES = "SELECT building_id AS unosat_id, adm1_id AS aoi, DATE '1995-01-01' + CAST(building_id * 37 % 2500 AS INT) AS date, lon, lat FROM buildings"
+_SITE_VALUES = f"""SELECT unosat_id, date, y AS start_post, coalesce(max(value), 0) AS pred FROM ({_SITES}) s
+  CROSS JOIN (VALUES {", ".join(f"(DATE '{d}')" for d in _YEAR_STARTS)}) w(y)
+  LEFT JOIN pred_pixels p ON p.post_date = year(y) AND abs(p.cx - floor((lon - 22) / 0.01::DOUBLE)) <= 1 AND abs(p.cy - floor((lat - 44.4::DOUBLE) / 0.01::DOUBLE)) <= 1
+  GROUP BY ALL"""
+_SITE_SIDES = f"""SELECT 1 AS y_true, pred FROM ({_SITE_VALUES}) WHERE start_post >= date
+  UNION ALL SELECT 0, pred FROM ({_SITE_VALUES}) WHERE start_post < DATE '{_YEAR_EVENT}'"""
+
+
+@query("evaluate_raster", sql(_metrics_sql(_SWEEP_COUNTS.replace(_SIDES, _SITE_SIDES), "round(threshold + 1e-9, 6) + 0.0 AS threshold, "), "buildings", "pred_pixels"))
+def evaluate_raster(spark, sf):
+    """Raster and labels to the sweep: all points and windows, missing pixels as 0."""
+    b = D.buildings(spark, sf)
+    when = F.date_add(F.lit(date(1995, 1, 1)), (F.col("building_id") * 37 % 2500).cast("int"))
+    labels = b.select(F.col("building_id").alias("unosat_id"), F.col("adm1_id").alias("aoi"), F.lit(1).alias("damage"), when.alias("date"), "lon", "lat")
+    pixels = D.pred_pixels(spark, sf).withColumn("post_date", F.make_date("post_date", F.lit(1), F.lit(1)))
+    values = V.point_values(pixels, labels, D.PIXEL_GRID, (0, 1799, 0, 799), _YEAR_STARTS, aois=None)
+    return rounded(V.sweep_raster(values, _YEAR_STARTS, _YEAR_EVENT))
+
+
 @query(
     "best_threshold",
     sql(

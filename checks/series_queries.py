@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from datetime import date
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from checks import standins as D
 from checks.registry import query
 from checks.standins import BANDS, EVENT, POST, PRE, SCENE_PERIODS, r6, read, rounded, sql
-from checks.statistics_sql import LABEL_SQL, features, statistics
-from scarmap.config import REDUCERS, Period
+from checks.statistics_sql import LABEL_SQL, experiment_sql, features, statistics
+from scarmap.config import REDUCERS, Period, RunConfig
 from scarmap.functions import values as V
 from scarmap.operators import evaluate as E
 from scarmap.operators import labels as L
@@ -178,8 +179,8 @@ def rename_features(spark, sf):
 
 @query("series_of_point", sql("SELECT o.unosat_id, o.orbit, o.VH, o.ts, l.damage FROM obs o JOIN point_labels l USING (aoi, unosat_id) WHERE damage = 1", "obs", "point_labels"))
 def series_of_point(spark, sf):
-    points = L.keep_damage(D.point_labels(spark, sf), [1]).select("aoi", "unosat_id", "damage")
-    return D.obs(spark, sf).join(points, ["aoi", "unosat_id"]).select("unosat_id", "orbit", "VH", "ts", "damage")
+    points = L.keep_damage(D.point_labels(spark, sf), [1])
+    return T.series_of_points(D.obs(spark, sf), points, ["damage"]).select("unosat_id", "orbit", "VH", "ts", "damage")
 
 
 @query(
@@ -190,27 +191,32 @@ def fill_gaps(spark, sf):
     return rounded(T.fill_gaps(D.obs(spark, sf), ["unosat_id", "orbit"], ["VV"]).drop("aoi"), "VV")
 
 
-_F1 = "SELECT aoi, unosat_id, orbit, start_post, VH_post_1x1_mean, VV_pre_1x1_mean FROM (" + features("obs", POINT, BANDS, ["mean"]) + ")"
-_F2 = "SELECT aoi, unosat_id, orbit, start_post, VH_post_3x3_max, end_post FROM (" + features("obs", POINT, ["VH"], ["max"], "3x3") + ")"
+_F1 = "SELECT aoi, unosat_id, orbit, start_pre, start_post, VH_post_1x1_mean, VV_pre_1x1_mean FROM (" + features("obs", POINT, BANDS, ["mean"]) + ")"
+_F2 = "SELECT aoi, unosat_id, orbit, start_pre, start_post, VH_post_3x3_max, end_post FROM (" + features("obs", POINT, ["VH"], ["max"], "3x3") + ")"
 
 
-@query("join_features", sql(f"SELECT * FROM ({_F1}) JOIN ({_F2}) USING (aoi, unosat_id, orbit, start_post)", "obs"))
+@query("join_features", sql(f"SELECT * FROM ({_F1}) JOIN ({_F2}) USING (aoi, unosat_id, orbit, start_pre, start_post)", "obs"))
 def join_features(spark, sf):
     one = T.period_features(D.obs(spark, sf), POINT, BANDS, PRE, POST, ["mean"])
     two = T.period_features(D.obs(spark, sf), POINT, ["VH"], PRE, POST, ["max"], "3x3")
     return rounded(T.join_features(one, two, ["VH_post_1x1_mean", "VV_pre_1x1_mean"], ["VH_post_3x3_max", "end_post"]))
 
 
-_S1 = "SELECT aoi, unosat_id, orbit, start_post, VH_post_1x1_mean FROM (" + features("obs", POINT, BANDS, ["mean"]) + ")"
-_S2 = "SELECT aoi, unosat_id, start_post, VV_post_1x1_max FROM (" + features("obs", ["aoi", "unosat_id"], ["VV"], ["max"]) + ") WHERE VV_post_1x1_max > 100"
+_TWO_PRE = [*PRE, Period.of("2024-01-02", "2024-01-06")]
+_N1 = "SELECT aoi, unosat_id, start_pre, start_post, VH_post_1x1_mean FROM (" + features("obs", ["aoi", "unosat_id"], BANDS, ["mean"]) + ")"
+_N2 = "SELECT aoi, unosat_id, start_pre, start_post, VH_post_3x3_max FROM (" + features("obs", ["aoi", "unosat_id"], ["VH"], ["max"], "3x3") + ")"
+_P1 = "SELECT aoi, unosat_id, orbit, start_pre, start_post, VV_pre_1x1_mean FROM (" + features("obs", POINT, BANDS, ["mean"], pre=_TWO_PRE) + ")"
+_P2 = "SELECT aoi, unosat_id, orbit, start_pre, start_post, VH_post_3x3_max FROM (" + features("obs", POINT, ["VH"], ["max"], "3x3", pre=_TWO_PRE) + ")"
+_S1 = "SELECT aoi, unosat_id, orbit, start_pre, start_post, VH_post_1x1_mean FROM (" + features("obs", POINT, BANDS, ["mean"]) + ")"
+_S2 = "SELECT aoi, unosat_id, start_pre, start_post, VV_post_1x1_max FROM (" + features("obs", ["aoi", "unosat_id"], ["VV"], ["max"]) + ") WHERE VV_post_1x1_max > 100"
 
 
-@query("join_sensors", sql(f"SELECT * FROM ({_S1}) LEFT JOIN ({_S2}) USING (aoi, unosat_id, start_post)", "obs"))
+@query("join_sensors", sql(f"SELECT * FROM ({_S1}) LEFT JOIN ({_S2}) USING (aoi, unosat_id, start_pre, start_post)", "obs"))
 def join_sensors(spark, sf):
     o = D.obs(spark, sf)
-    one = T.period_features(o, POINT, BANDS, PRE, POST, ["mean"]).select(*POINT, "start_post", "VH_post_1x1_mean")
+    one = T.period_features(o, POINT, BANDS, PRE, POST, ["mean"]).select(*POINT, "start_pre", "start_post", "VH_post_1x1_mean")
     two = T.period_features(o, ["aoi", "unosat_id"], ["VV"], PRE, POST, ["max"]).where("VV_post_1x1_max > 100")
-    return rounded(T.join_sensors(one, two.select("aoi", "unosat_id", "start_post", "VV_post_1x1_max")))
+    return rounded(T.join_sensors(one, two.select("aoi", "unosat_id", "start_pre", "start_post", "VV_post_1x1_max")))
 
 
 # ---- labels
@@ -385,12 +391,10 @@ def orbit_counts(spark, sf):
     return S.orbit_counts(D.scenes(spark, sf), SCENE_PERIODS)
 
 
-@query("on_common_orbits", sql(f"SELECT scene_id, orbit FROM scenes WHERE orbit IN (SELECT orbit FROM ({_ORBITS}) WHERE n_0 >= 60 AND n_1 >= 55)", "scenes"))
+@query("on_common_orbits", sql(f"SELECT scene_id, orbit FROM scenes WHERE orbit IN (SELECT orbit FROM ({_ORBITS}) WHERE n_0 >= 57 AND n_1 >= 57)", "scenes"))
 def on_common_orbits(spark, sf):
     s = D.scenes(spark, sf)
-    keys = ("orbit",)
-    counts = S.orbit_counts(s, SCENE_PERIODS, keys, 55).where("n_0 >= 60").select(*keys)
-    return s.select("scene_id", "orbit").join(counts, list(keys), "left_semi")
+    return S.on_common_orbits(s.select("scene_id", "orbit"), s, SCENE_PERIODS, minimum=57)
 
 
 _QUALIFY = f"""SELECT qk, orbit, DATE '{SCENE_PERIODS[0].start}' AS start_pre, DATE '{SCENE_PERIODS[1].start}' AS start_post FROM (
@@ -476,57 +480,123 @@ def nan_to_null(spark, sf):
     return readers.clean(read(spark, sf, "orders").select("o_orderkey", v.alias("v")))
 
 
-# ---- models: rows only
+# ---- models: a rule separates the rows, so every classifier has to find it
 
 
-def _vectors(spark, sf):
-    e = read(spark, sf, "embeddings")
-    names = [f"f{i}" for i in range(64)]
-    cols = [F.col("embedding")[i].cast("double").alias(n) for i, n in enumerate(names)]
-    return e.select("vec_id", F.when(F.col("label") >= 5, 1).otherwise(0).alias("label"), *cols), names
+def _graded(spark, sf):
+    """Orders by the digit of their priority, which a rule labels."""
+    digit = F.substring("o_orderpriority", 1, 1).cast("double")
+    return read(spark, sf, "orders").select("o_orderkey", digit.alias("a"), (digit * digit).alias("b")).withColumn("label", (F.col("a") <= 2).cast("int"))
+
+
+_RULE = "SELECT o_orderkey, o_orderpriority < '3' AS damaged FROM orders"
+
+
+def _decided(df):
+    return df.select("o_orderkey", (F.col("classification") >= 0.5).alias("damaged"))
 
 
 def _model(name, **kwargs):
-    @query(f"classify_{name}")
+    @query(f"classify_{name}", _RULE)
     def run(spark, sf):
-        df, names = _vectors(spark, sf)
-        model = M.fit(df, names, M.make_classifier(name, 0, **kwargs))
-        return M.classify(df, model).select("vec_id", "label", r6("classification").alias("classification"))
+        df = _graded(spark, sf)
+        return _decided(M.classify(df, M.fit(df, ["a", "b"], M.make_classifier(name, 0, **kwargs))))
 
 
 _model("random_forest", trees=50, min_leaf=3)
-_model("svm", maxIter=20)
+_model("svm", maxIter=100)
 _model("boosted_trees", trees=5)
 
 
-@query("train_on_both_splits")
+@query("train_on_both_splits", _RULE)
 def train_on_both_splits(spark, sf):
-    df, names = _vectors(spark, sf)
-    model = M.fit(df.where("f0 <= 0.1"), names, M.make_classifier("random_forest", 0, trees=10), df.where("f0 > 0.1"))
-    return M.classify(df, model).select("vec_id", r6("classification").alias("classification"))
+    """Either split has one class only: the rule can be learnt from both."""
+    df = _graded(spark, sf)
+    model = M.fit(df.where("a <= 2"), ["a", "b"], M.make_classifier("random_forest", 0, trees=10), df.where("a > 2"))
+    return _decided(M.classify(df, model))
 
 
-@query("predict_area")
-def predict_area(spark, sf):
-    """Features per cell and orbit, a forest trained on them, scores averaged over orbits."""
-    from scarmap.config import RunConfig
+class Step:
+    """A fixed model: 0.75 where a feature reaches a value, else 0.25; null features give no score."""
 
-    cfg = RunConfig(s1_bands=["B2"], pre=SCENE_PERIODS[:1], post=_SCENE_POST, reducers=["mean", "max", "min"])
-    pixels = D.scene_pixels(spark, sf).join(D.scenes(spark, sf).select("scene_id", "orbit"), "scene_id")
-    pixels = pixels.withColumns({"cx": (F.col("cx") % 10).cast("int"), "cy": (F.col("cy") % 10).cast("int"), "qk": F.concat(F.col("cx") % 2, F.col("cy") % 2)})
-    pixels = pixels.withColumn("orbit", F.col("orbit") % 2)
-    feats = T.period_features(pixels, ["qk", "cx", "cy", "orbit"], cfg.bands, cfg.pre, cfg.post, cfg.reducers)
-    train = feats.withColumn("label", F.when(F.col("start_post") >= date(1998, 1, 1), 1).otherwise(0))
-    model = M.fit(train, cfg.features, M.make_classifier("random_forest", 0, trees=10))
-    seen = pixels.select("qk", "scene_id", "orbit", "ts").distinct()
-    return rounded(inference.predict_area(pixels, seen, model, cfg, cfg.post))
+    def __init__(self, feature, at):
+        self.feature, self.at = feature, at
+
+    def transform(self, df):
+        p = F.when(F.col(self.feature) >= self.at, 0.75).otherwise(0.25)
+        return df.withColumn("probability", array_to_vector(F.array(1 - p, p)))
+
+
+def _area_pixels(spark, sf):
+    pixels = D.scene_pixels(spark, sf).join(D.scenes(spark, sf).select("scene_id", F.pmod("orbit", F.lit(2)).alias("orbit")), "scene_id")
+    cx, cy = ((F.col(c) % 10).cast("int") for c in ("cx", "cy"))
+    tile = F.concat(F.floor(cx / 5), F.floor(cy / 5))
+    return pixels.select("scene_id", "orbit", "ts", "B2", tile.alias("qk"), cx.alias("cx"), cy.alias("cy"))
+
+
+_AREA = """SELECT p.scene_id, s.orbit % 2 AS orbit, p.ts, B2, (cx % 10) // 5 || '' || (cy % 10) // 5 AS qk, cx % 10 AS cx, cy % 10 AS cy
+  FROM scene_pixels p JOIN scenes s USING (scene_id)"""
+_AT = 40_000
+
+
+def _area_sql(size):
+    """Scores of all tiles by the fixed model: smoothed per scene across tiles, then per orbit, then the mean of orbits."""
+    h = size // 2
+    periods = [*SCENE_PERIODS[:1], *_SCENE_POST]
+    within = lambda p: f"ts >= DATE '{p.start}' AND ts < DATE '{p.end}'"
+    counts = ", ".join(f"count(*) FILTER ({within(p)}) AS n_{i}" for i, p in enumerate(periods))
+    seen = f"SELECT qk, orbit, {counts} FROM (SELECT DISTINCT qk, scene_id, orbit, ts FROM a) GROUP BY ALL"
+    means = ", ".join(f"avg(B2) FILTER ({within(p)}) AS m_{i}" for i, p in enumerate(periods))
+    any_period = " OR ".join(f"({within(p)})" for p in periods)
+    rows = " UNION ALL ".join(
+        f"SELECT qk, cx, cy, DATE '{p.start}' AS start_post, DATE '{p.end}' AS end_post, avg(CASE WHEN m_{i} >= {_AT} THEN 0.75::DOUBLE ELSE 0.25::DOUBLE END) AS value"
+        f" FROM f JOIN seen USING (qk, orbit) WHERE n_0 >= 5 AND n_{i} >= 5 GROUP BY ALL"
+        for i, p in enumerate(periods) if i
+    )
+    smooth = (
+        "SELECT p.qk, p.cx, p.cy, p.scene_id, p.orbit, p.ts, avg(q.B2) AS B2 FROM (SELECT DISTINCT qk, cx, cy, scene_id, orbit, ts FROM a) p"
+        f" JOIN a q ON q.scene_id = p.scene_id AND q.orbit = p.orbit AND q.ts = p.ts AND abs(q.cx - p.cx) <= {h} AND abs(q.cy - p.cy) <= {h} GROUP BY ALL"
+    )
+    return f"WITH a AS MATERIALIZED ({_AREA}), seen AS ({seen}), g AS ({smooth if h else 'SELECT * FROM a'}), f AS (SELECT qk, orbit, cx, cy, {means} FROM g WHERE {any_period} GROUP BY ALL) SELECT qk, CAST(cx AS INT) AS cx, CAST(cy AS INT) AS cy, start_post, end_post, value FROM ({rows})"
+
+
+def _area(size):
+    @query("predict_area" if size == 1 else f"predict_area_{size}x{size}", sql(f"SELECT * FROM ({_area_sql(size)})", "scene_pixels", "scenes"))
+    def run(spark, sf):
+        """Features per cell and orbit, a fixed model, scores averaged over orbits."""
+        cfg = RunConfig(s1_bands=["B2"], pre=SCENE_PERIODS[:1], post=_SCENE_POST, reducers=["mean"], window=[f"{size}x{size}"])
+        pixels = _area_pixels(spark, sf)
+        scenes = pixels.select("qk", "scene_id", "orbit", "ts").distinct()
+        return inference.predict_area(pixels, scenes, Step(f"B2_post_{size}x{size}_mean", _AT), cfg, cfg.post)
+
+
+_area(1)
+_area(3)
+
+_SCORED_RULE = f"""SELECT aoi, unosat_id, start_post, CAST(trunc(avg(CASE WHEN VH_post_1x1_mean >= 100 THEN 0.75::DOUBLE ELSE 0.25::DOUBLE END) * 255) AS INT) AS pred
+  FROM ({features("obs", POINT, BANDS, ["mean"])}) GROUP BY ALL"""
 
 
-@query("experiment_metrics")
+@query("experiment_metrics", sql(f"SELECT * FROM ({experiment_sql(_SCORED_RULE)})", "obs", "point_labels"))
 def experiment_metrics(spark, sf):
-    """Series to features, forest on the train areas, predictions and metrics on the test areas."""
-    names = [f"{b}_{p}_1x1_{r}" for b in BANDS for p in ("pre", "post") for r in ("mean", "stdDev")]
-    model = M.fit(_split(spark, sf, _TRAIN), names, M.make_classifier("random_forest", 0, trees=20))
-    preds = E.point_predictions(M.classify(_split(spark, sf, _TEST), model))
-    judged = E.judged(L.attach_labels(preds, D.point_labels(spark, sf), ["date"]), D.STARTS, event=EVENT, positive_year=EVENT.year)
-    return rounded(E.with_metrics(E.confusion(judged, 0.5)))
+    """The steps of an experiment after training: scores of stored features, mean over orbits, labels, metrics."""
+    cfg = RunConfig(post=POST, event_date=EVENT)
+    preds = experiment.predict_points(T.period_features(D.obs(spark, sf), POINT, BANDS, PRE, POST, ["mean"]), Step("VH_post_1x1_mean", 100.0), D.point_labels(spark, sf))
+    return rounded(experiment.evaluate_points(preds, cfg, 0.5))
+
+
+@query("join_features_s2", sql(f"SELECT * FROM ({_N1}) JOIN ({_N2}) USING (aoi, unosat_id, start_pre, start_post)", "obs"))
+def join_features_s2(spark, sf):
+    """Two windows of a sensor without orbits."""
+    keys = ["aoi", "unosat_id"]
+    one = T.period_features(D.obs(spark, sf), keys, BANDS, PRE, POST, ["mean"])
+    two = T.period_features(D.obs(spark, sf), keys, ["VH"], PRE, POST, ["max"], "3x3")
+    return rounded(T.join_features(one, two, ["VH_post_1x1_mean"], ["VH_post_3x3_max"]))
+
+
+@query("join_features_two_pre", sql(f"SELECT * FROM ({_P1}) JOIN ({_P2}) USING (aoi, unosat_id, orbit, start_pre, start_post)", "obs"))
+def join_features_two_pre(spark, sf):
+    """Two windows before the event: pairs do not mix."""
+    one = T.period_features(D.obs(spark, sf), POINT, BANDS, _TWO_PRE, POST, ["mean"])
+    two = T.period_features(D.obs(spark, sf), POINT, ["VH"], _TWO_PRE, POST, ["max"], "3x3")
+    return rounded(T.join_features(one, two, ["VV_pre_1x1_mean"], ["VH_post_3x3_max"]))

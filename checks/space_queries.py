@@ -330,7 +330,7 @@ _SHARE = "(greatest(least(maxx, bx1) - greatest(minx, bx0), 0) * greatest(least(
 def tile_area_share(spark, sf):
     shapes = D.shapes(spark, sf)
     tiles = Q.tiles_intersecting(shapes, ["building_id"], ZOOM)
-    return rounded(Q.tile_area_share(tiles, shapes, ["building_id"]).select("building_id", "qk", "area_in_country"))
+    return rounded(Q.tile_area_share(tiles, shapes, ["building_id"], ZOOM).select("building_id", "qk", "area_in_country"))
 
 
 @query("build_tile_grid", sql(f"SELECT building_id, {qk_sql('tile_x', 'tile_y')} AS qk, round({_SHARE} + 1e-9, 6) + 0.0 AS area FROM ({_TILED}) WHERE {_SHARE} > 0", "shapes"))
@@ -441,13 +441,13 @@ _PIECE = f"greatest(least({_P} + 0.01, maxx) - greatest({_P}, minx), 0) * greate
 _PIECES = f"""SELECT building_id, CAST(cx AS INT) AS cx, cy, post_date, value, {_PIECE} AS overlap_area FROM (
   SELECT *, unnest(range(CAST(floor((minx - 22) / 0.01) AS INT), CAST(floor((maxx - 22) / 0.01) AS INT) + 1)) AS cx,
     CAST(floor((miny - 44.4) / 0.01) AS INT) AS cy0, CAST(floor((maxy - 44.4) / 0.01) AS INT) AS cy1 FROM shapes) s
-  JOIN pred_pixels p USING (cx) WHERE p.cy BETWEEN s.cy0 AND s.cy1 AND {_PIECE} > 1e-12"""
+  JOIN pred_pixels p USING (cx) WHERE p.cy BETWEEN s.cy0 AND s.cy1 AND {_PIECE} > 1e-13"""
 _ZONAL = "SELECT building_id, post_date, sum(value * overlap_area) / sum(overlap_area) AS weighted_mean, max(value) AS max FROM ({}) GROUP BY 1, 2"
 
 
 @query("pixels_x_buildings", sql(f"SELECT building_id, cx, cy, post_date, value, round(overlap_area, 9) + 0.0 AS overlap_area FROM ({_PIECES})", "shapes", "pred_pixels"))
 def pixels_x_buildings(spark, sf):
-    out = Z.pixels_x_buildings(D.shapes(spark, sf), D.pred_pixels(spark, sf), PIXEL_GRID).where("overlap_area > 1e-12")
+    out = Z.pixels_x_buildings(D.shapes(spark, sf), D.pred_pixels(spark, sf), PIXEL_GRID)
     return out.withColumn("overlap_area", F.round("overlap_area", 9) + 0.0)
 
 
@@ -456,10 +456,8 @@ def pixels_x_buildings(spark, sf):
     sql(f"SELECT b.building_id, z.post_date, round(weighted_mean, 4) + 0.0 AS weighted_mean, max FROM shapes b LEFT JOIN ({_ZONAL.format(_PIECES)}) z USING (building_id)", "shapes", "pred_pixels"),
 )
 def zonal_stats(spark, sf):
-    shapes = D.shapes(spark, sf).select("building_id", "edges", "bbox")
-    overlap = Z.pixels_x_buildings(shapes, D.pred_pixels(spark, sf), PIXEL_GRID).where("overlap_area > 1e-12")
-    out = Z.attach_zonal(shapes.select("building_id"), Z.zonal_measures(overlap))
-    return out.withColumn("weighted_mean", F.round("weighted_mean", 4) + 0.0)
+    out = Z.zonal_stats(D.shapes(spark, sf).select("building_id", "edges", "bbox"), D.pred_pixels(spark, sf), PIXEL_GRID)
+    return out.drop("edges", "bbox").withColumn("weighted_mean", F.round("weighted_mean", 4) + 0.0)
 
 
 @query(

@@ -28,7 +28,7 @@ POST = [
 ]
 STARTS = [p.start for p in POST]
 BANDS = ["VV", "VH"]
-NEGATIVE, POSITIVE = [1995, 1996], [1997, 1998, 1999, 2000]
+NEGATIVE, POSITIVE = [1995, 1996], [1997, 1998, 1999, 2000, 2001]
 YEARS = NEGATIVE + POSITIVE
 RASTER_GRID = Grid(-0.5, -0.5, 1.0, 1.0)
 PIXEL_GRID = Grid(22.0, 44.4, 0.01, 0.01)
@@ -148,11 +148,11 @@ def shapes(spark, sf):
 
 
 CTE["building_preds"] = """SELECT o_custkey AS building_id, CAST(year(o_orderdate) AS INT) AS post_date,
-  CAST(max(floor(o_totalprice) % 256) AS DOUBLE) AS value FROM orders WHERE year(o_orderdate) <= 2000 GROUP BY 1, 2"""
+  CAST(max(floor(o_totalprice) % 256) AS DOUBLE) AS value FROM orders GROUP BY 1, 2"""
 
 
 def building_preds(spark, sf):
-    o = read(spark, sf, "orders").where(F.year("o_orderdate") <= 2000)
+    o = read(spark, sf, "orders")
     value = (F.floor("o_totalprice") % 256).cast("double")
     return o.groupBy(F.col("o_custkey").alias("building_id"), F.year("o_orderdate").alias("post_date")).agg(F.max(value).alias("value"))
 
@@ -282,11 +282,11 @@ def scores(spark, sf):
 # Predictions on the pixel grid over the buildings.
 CTE["pred_pixels"] = """SELECT CAST(l_orderkey * 7919 % 1800 AS INT) AS cx, CAST((l_partkey * 13 + l_orderkey) % 800 AS INT) AS cy,
   CAST(year(l_shipdate) AS INT) AS post_date, max(CAST(floor(l_extendedprice) % 256 AS DOUBLE)) AS value
-  FROM lineitem WHERE year(l_shipdate) <= 2000 GROUP BY 1, 2, 3"""
+  FROM lineitem GROUP BY 1, 2, 3"""
 
 
 def pred_pixels(spark, sf):
-    l = read(spark, sf, "lineitem").where(F.year("l_shipdate") <= 2000)
+    l = read(spark, sf, "lineitem")
     cx = (F.col("l_orderkey") * 7919 % 1800).cast("int").alias("cx")
     cy = ((F.col("l_partkey") * 13 + F.col("l_orderkey")) % 800).cast("int").alias("cy")
     value = (F.floor("l_extendedprice") % 256).cast("double")

@@ -49,3 +49,20 @@ LEFT JOIN ({stats}) xpost ON {on.replace("x.", "xpost.")} AND xpost.period = pai
 
 
 LABEL_SQL = f"CASE WHEN end_post <= DATE '{EVENT}' THEN 0 ELSE 1 END"
+
+
+def experiment_sql(preds: str, threshold: float = 0.5) -> str:
+    """Counts and metrics of point predictions (aoi, unosat_id, start_post, pred) against ``point_labels``."""
+    starts = ", ".join(f"(DATE '{p.start}')" for p in POST)
+    every = f"""SELECT l.date, w.start_post, p.pred FROM (SELECT DISTINCT aoi, unosat_id FROM p) k JOIN point_labels l USING (aoi, unosat_id)
+      CROSS JOIN (VALUES {starts}) w(start_post) LEFT JOIN p ON p.aoi = k.aoi AND p.unosat_id = k.unosat_id AND p.start_post = w.start_post WHERE l.date IS NOT NULL"""
+    sides = f"""SELECT 1 AS y, pred FROM e WHERE start_post >= date AND year(start_post) = {EVENT.year}
+      UNION ALL SELECT 0, pred FROM e WHERE start_post < DATE '{EVENT}'"""
+    hit = f"coalesce(pred >= {threshold}::DOUBLE * 255, false)"
+    counts = f"SELECT count(*) FILTER (y = 1 AND {hit}) AS tp, count(*) FILTER (y = 0 AND {hit}) AS fp, count(*) FILTER (y = 0 AND NOT {hit}) AS tn, count(*) FILTER (y = 1 AND NOT {hit}) AS fn FROM ({sides})"
+    share = lambda a, b: f"coalesce(({a})::DOUBLE / nullif({b}, 0), 0)"
+    metrics = {
+        "precision": share("tp", "tp + fp"), "recall": share("tp", "tp + fn"), "f1": share("2 * tp", "2 * tp + fp + fn"),
+        "roc_auc": f"({share('tp', 'tp + fn')} + {share('tn', 'tn + fp')}) / 2", "accuracy": share("tp + tn", "tp + fp + tn + fn"),
+    }
+    return f"WITH p AS ({preds}), e AS ({every}) SELECT tp, fp, tn, fn, " + ", ".join(f"{r6(v)} AS {k}" for k, v in metrics.items()) + f" FROM ({counts})"

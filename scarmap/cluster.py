@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, DataType, MapType, StringType, StructType
 
 # A group with more rows than this is never held whole by one task.
 HOT_GROUP_ROWS = 100_000
@@ -13,8 +14,8 @@ HOT_GROUP_ROWS = 100_000
 MAX_HOT_KEYS = 10_000
 # Where a local session without spark.checkpoint.dir keeps its checkpoints, if it asks for that.
 OWN_CHECKPOINTS = "/tmp/scarmap-checkpoints"
-# Upper bound of a broadcast table, in units of `weight` (rows, or array elements).
-MAX_BROADCAST_UNITS = 2_000_000
+# Upper bound of a broadcast table, in bytes of its encoded rows.
+MAX_BROADCAST_BYTES = 64 << 20
 
 
 def session(name: str = "scarmap", **conf) -> SparkSession:
@@ -58,15 +59,39 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def checked_broadcast(df: DataFrame, weight: Column | None = None, limit: int = MAX_BROADCAST_UNITS) -> DataFrame:
-    """Mark ``df`` for broadcast if its measured size is within ``limit``; else leave the join to Spark.
+def row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row as Spark encodes it: eight per field, more for what has no fixed width."""
 
-    ``weight`` is the size of one row in array elements; without it rows are counted.
+    def of(value: Column, kind: DataType) -> Column:
+        if isinstance(kind, (StringType, BinaryType)):
+            return F.coalesce(F.octet_length(value), F.lit(0)) + 8
+        if isinstance(kind, StructType):
+            return reduce(lambda a, b: a + b, [of(value[f.name], f.dataType) for f in kind], F.lit(16))
+        if isinstance(kind, ArrayType):
+            if not _varies(kind.elementType):
+                return F.greatest(F.coalesce(F.size(value), F.lit(0)), F.lit(0)) * of(F.lit(None), kind.elementType) + 16
+            sizes = F.aggregate(value, F.lit(0), lambda s, x: s + of(x, kind.elementType).cast("int"))
+            return F.coalesce(sizes, F.lit(0)) + 16
+        if isinstance(kind, MapType):
+            return of(F.map_keys(value), ArrayType(kind.keyType)) + of(F.map_values(value), ArrayType(kind.valueType))
+        return F.lit(8)
+
+    return reduce(lambda a, b: a + b, [of(F.col(f"`{f.name}`"), f.dataType) for f in df.schema], F.lit(8)).cast("long")
+
+
+def _varies(kind: DataType) -> bool:
+    if isinstance(kind, StructType):
+        return True
+    return isinstance(kind, (StringType, BinaryType, ArrayType, MapType))
+
+
+def checked_broadcast(df: DataFrame, limit: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """``df``, marked for broadcast if its measured bytes are within ``limit``; else the join is left to Spark.
+
+    The rows are settled first, so what they come from is evaluated once, not for the measure and again for the join.
     """
-    if weight is None:
-        size = df.limit(limit + 1).count()
-    else:
-        size = df.agg(F.sum(weight + 1)).first()[0] or 0
+    df = settle(df)
+    size = df.agg(F.sum(row_bytes(df))).first()[0] or 0
     return F.broadcast(df) if size <= limit else df
 
 

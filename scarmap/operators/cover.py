@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType, IntegerType, StructField, StructType
 
-from scarmap.cluster import MAX_BROADCAST_UNITS, checked_broadcast, settle, spread
+from scarmap.cluster import MAX_BROADCAST_BYTES, checked_broadcast, row_bytes, settle, spread
 from scarmap.functions import geometry as G
 from scarmap.functions.values import clamp
 from scarmap.operators.raster import Grid
@@ -128,16 +128,12 @@ def holds(piece, x: Column, y: Column) -> Column:
     return piece["full"] | G.contains(piece["edges"], x, y, piece["flips"])
 
 
-def _weight() -> Column:
-    return 4 * F.size("edges") + F.size("flips")
-
-
 def points_in_polygons(points: DataFrame, cover: DataFrame, grid: Grid, x: str = "lon", y: str = "lat") -> DataFrame:
     """One row per (point, polygon that holds it); point columns and the key columns of the cover."""
     cx, cy = grid.at(F.col(x), F.col(y))
     located = points.withColumns({"cx": cx, "cy": cy})
     keys = [c for c in cover.columns if c not in PIECE]
-    pieces = checked_broadcast(settle(cover), _weight())
+    pieces = checked_broadcast(cover)
     piece = {n: F.col(n) for n in ("full", "edges", "flips")}
     return located.join(pieces, ["cx", "cy"]).where(holds(piece, F.col(x), F.col(y))).select(*points.columns, *keys)
 
@@ -148,22 +144,22 @@ def locate(
 ) -> DataFrame:
     """Every point once, with the key columns of the polygon that holds it, or nulls.
 
-    If several hold it, the one with the greatest ``order`` is taken. Points are not shuffled while
+    If several hold it, the one with the greatest ``order``, then the greatest key columns, is taken. Points are not shuffled while
     the pieces are small enough to broadcast. Where more than ``max_pieces`` pieces meet in a
     cell, matches are joined one by one and reduced per point (``point_keys``) instead.
     """
     cover = settle(cover)
     keys = [c for c in cover.columns if c not in (*PIECE, order)]
-    size = cover.groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("n"), F.sum(_weight() + 1).alias("w"))
+    size = cover.groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes(cover)).alias("w"))
     widest, weight = size.agg(F.max("n"), F.sum("w")).first()
     if (widest or 0) > max_pieces:
         best = points_in_polygons(points.select(*point_keys, x, y), cover, grid, x, y)
-        best = best.groupBy(*point_keys).agg(F.max_by(F.struct(*keys), order).alias("_best"))
+        best = best.groupBy(*point_keys).agg(F.max_by(F.struct(*keys), F.struct(order, *keys)).alias("_best"))
         return points.join(best, point_keys, "left").select(*points.columns, *[F.col(f"_best.{k}").alias(k) for k in keys])
 
     piece = F.struct(F.col(order).alias("_order"), F.struct(*keys).alias("_keys"), "full", "edges", "flips")
     cells = cover.groupBy("cx", "cy").agg(F.collect_list(piece).alias("_pieces"))
-    if (weight or 0) <= MAX_BROADCAST_UNITS:
+    if (weight or 0) <= MAX_BROADCAST_BYTES:
         cells = F.broadcast(cells)
     cx, cy = grid.at(F.col(x), F.col(y))
     joined = points.withColumns({"cx": cx, "cy": cy}).join(cells, ["cx", "cy"], "left")
@@ -190,7 +186,7 @@ def polygons_meeting(left: DataFrame, left_keys: list[str], cover: DataFrame, gr
     _, ys = box_cells("_box", grid)
     cells = cells.withColumn("cy", F.explode_outer(ys)).drop("_box")
     keys = [c for c in cover.columns if c not in PIECE]
-    joined = cells.join(checked_broadcast(settle(cover), _weight()), ["cx", "cy"])
+    joined = cells.join(checked_broadcast(cover), ["cx", "cy"])
     piece = {n: F.col(n) for n in ("full", "edges", "flips")}
 
     def vertex_inside(e):
@@ -210,12 +206,10 @@ def points_near_polygons(
     """(point columns, polygon keys) of points in a polygon or at most ``metres`` from it.
 
     A polygon is filed under a few cells of the level that suits the size of its box grown by the
-    distance; cells of one level are 4 x 4 of the level below. A point lies in one cell per level. So
+    distance; cells of one level are 4 x 4 of the level below. A point lies in one cell of each level that occurs. So
     each pair is met once, no polygon has many cells, and no buffer polygon is built.
     """
     cx, cy = grid.at(F.col(x), F.col(y))
-    located = points.withColumns({"cx": cx, "cy": cy, "_level": F.explode_outer(F.sequence(F.lit(0), F.lit(LEVELS - 1)))})
-    located = checked_broadcast(located.withColumns({c: _coarser(F.col(c)) for c in ("cx", "cy")}))
     up = metres / G.METRES_PER_DEGREE * 1.01
     side = F.lit(up) / F.cos(F.radians(F.greatest(F.abs(F.col(f"{box}.miny")), F.abs(F.col(f"{box}.maxy")))))
     grown = F.struct(
@@ -232,6 +226,9 @@ def points_near_polygons(
     })
     cells = rows.select(*polygon_keys, "_edges", "_box", "_level", F.explode_outer("_xs").alias("cx"), "_ys")
     cells = cells.select(*polygon_keys, "_edges", "_box", "_level", "cx", F.explode_outer("_ys").alias("cy"))
+    levels = [r[0] for r in rows.select("_level").distinct().collect()]  # at most LEVELS
+    located = points.withColumns({"cx": cx, "cy": cy, "_level": F.explode(F.array(*[F.lit(n) for n in levels]).cast("array<int>"))})
+    located = checked_broadcast(located.withColumns({c: _coarser(F.col(c)) for c in ("cx", "cy")}))
     inside = F.col(x).between(c("minx"), c("maxx")) & F.col(y).between(c("miny"), c("maxy"))
     hits = cells.join(located, ["_level", "cx", "cy"]).where(inside).where(G.within_metres(F.col("_edges"), F.col(x), F.col(y), metres))
     return hits.select(*points.columns, *[k for k in polygon_keys if k not in points.columns])

@@ -125,22 +125,17 @@ def class_report(counts: DataFrame) -> DataFrame:
 
 
 def threshold_sweep(rows: DataFrame, thresholds: list[float] = THRESHOLDS) -> DataFrame:
-    """Metrics at every threshold, in one pass: rows are counted per highest threshold they reach.
+    """Metrics at every threshold, in one pass: rows are counted per number of thresholds they reach.
 
-    ``thresholds`` ascend in equal steps. The bin is guessed by arithmetic and corrected by
-    comparing with the neighbouring limits, so it agrees with a direct comparison.
+    ``thresholds`` ascend, in any steps. Equal predictions are merged before they are compared with the limits.
     """
-    limits = [t * LEVELS for t in thresholds]
-    n = len(limits)
-    step = (limits[-1] - limits[0]) / (n - 1)
-    table = F.array(*[F.lit(v) for v in limits])
+    if not thresholds or any(a >= b for a, b in zip(thresholds, thresholds[1:])):
+        raise ValueError("thresholds must ascend")
+    limits = F.array(*[F.lit(float(t * LEVELS)) for t in thresholds])
     pred = F.col("pred").cast("double")
-    guess = F.least(F.greatest(F.floor((pred - limits[0]) / step), F.lit(0)), F.lit(n - 1)).cast("int")
-    above, here = F.get(table, guess + 1), F.get(table, guess)
-    reached = F.when(pred >= above, guess + 2).when(pred >= here, guess + 1).otherwise(guess)
-    bins = rows.withColumn("_bin", F.coalesce(reached, F.lit(0))).groupBy("_bin").agg(
-        F.count_if(F.col("y_true") == 1).alias("_p"), F.count_if(F.col("y_true") == 0).alias("_q")
-    )
+    merged = rows.groupBy(pred.alias("_v")).agg(F.count_if(F.col("y_true") == 1).alias("_p"), F.count_if(F.col("y_true") == 0).alias("_q"))
+    reached = F.size(F.filter(limits, lambda t: F.coalesce(t <= F.col("_v"), F.lit(False))))
+    bins = merged.groupBy(reached.alias("_bin")).agg(F.sum("_p").alias("_p"), F.sum("_q").alias("_q"))
     # at most one bin more than there are thresholds, so one row holds them all
     whole = bins.agg(F.collect_list(F.struct("_bin", "_p", "_q")).alias("_b"))
     every = whole.select("_b", F.posexplode(F.array(*[F.lit(t) for t in thresholds])).alias("_k", "threshold"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LinearSVC, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -46,14 +48,29 @@ def fit(features: DataFrame, names: list[str], classifier, extra: DataFrame | No
 
 
 def classify(df: DataFrame, model: PipelineModel, out: str = "classification") -> DataFrame:
-    """Adds the probability of class 1; a margin-only model is mapped by the logistic curve."""
-    scored = model.transform(df)
+    """Adds the probability of class 1; a margin-only model is mapped by the logistic curve.
+
+    Every row is returned; the score is null where a feature of the model is missing (``unscored`` counts those).
+    """
+    keeping = model.copy() if hasattr(model, "stages") else model
+    needed = []
+    for stage in getattr(keeping, "stages", []):
+        if isinstance(stage, VectorAssembler):
+            stage.setHandleInvalid("keep")
+            needed += stage.getInputCols()
+    scored = keeping.transform(df)
     if "probability" in scored.columns:
         # a model trained on class 0 alone has no entry for class 1
         p = F.coalesce(F.get(vector_to_array("probability"), 1), F.lit(0.0))
     else:
         p = 1 / (1 + F.exp(-vector_to_array("rawPrediction")[1]))
-    return scored.select(*df.columns, p.alias(out))
+    missing = reduce(lambda a, b: a | b, [F.col(c).isNull() | F.isnan(F.col(c).cast("double")) for c in needed], F.lit(False))
+    return scored.select(*df.columns, F.when(~missing, p).alias(out))
+
+
+def unscored(scored: DataFrame, out: str = "classification") -> int:
+    """How many rows have no score."""
+    return scored.where(F.col(out).isNull()).count()
 
 
 def save_model(model: PipelineModel, path: str) -> None:

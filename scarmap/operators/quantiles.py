@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from scarmap.cluster import HOT_GROUP_ROWS, MAX_HOT_KEYS, checked_broadcast, join_null_safe, settle
+from scarmap.cluster import HOT_GROUP_ROWS, checked_broadcast, join_null_safe, settle
 
 # The sketch may miss a rank by 1/ACCURACY of the rows; the bracket is wider on both sides.
 ACCURACY = 10_000
@@ -24,14 +24,13 @@ def large_medians(df: DataFrame, keys: list[str], values: list[str], limit: int
     bands = F.array(*[F.struct(F.lit(v).alias("_band"), F.col(v).cast("double").alias("_v")) for v in values])
     rows = df.select(*keys, F.explode(bands).alias("_b")).select(*keys, "_b.*").where("_v is not null")
     by = [*keys, "_band"]
-    size = MAX_HOT_KEYS * len(values)
 
-    bracket = checked_broadcast(settle(_bracket(rows, by)), limit=size)
+    bracket = checked_broadcast(_bracket(rows, by))
     near = join_null_safe(rows, bracket, by).where(F.col("_v") <= F.col("_to"))
     # one row per distinct value; the rows below the bracket are one row whose value is null
     runs = settle(_merged(near, by, F.col("_v") >= F.col("_from"), F.count(F.lit(1))))
     while (runs.groupBy(*by).count().agg(F.max("count")).first()[0] or 0) > limit:
-        runs = settle(_narrowed(runs, by, size))
+        runs = settle(_narrowed(runs, by))
 
     ends = _cumulated(runs, by, "_v")
     middle = ends.groupBy(*by).agg(
@@ -75,14 +74,14 @@ def _holds(rank: str):
     return (F.col("_end") - F.col("_c") <= F.col(rank)) & (F.col(rank) < F.col("_end"))
 
 
-def _narrowed(runs: DataFrame, by: list[str], size: int) -> DataFrame:
+def _narrowed(runs: DataFrame, by: list[str]) -> DataFrame:
     """Runs of the ranges that hold the middle ranks; ranges split the distinct values evenly."""
     cuts = runs.groupBy(*by).agg(F.percentile_approx("_v", [i / RANGES for i in range(1, RANGES)], ACCURACY).alias("_cuts"))
-    placed = join_null_safe(runs, checked_broadcast(cuts, F.lit(RANGES), size * RANGES), by)
+    placed = join_null_safe(runs, checked_broadcast(cuts), by)
     index = F.when(F.col("_v").isNull(), -1).otherwise(F.size(F.filter("_cuts", lambda c: c < F.col("_v"))))
     placed = placed.withColumn("_r", index).drop("_cuts")
     ranges = placed.groupBy(*by, "_r").agg(F.sum("_c").alias("_c"), F.first("_lo").alias("_lo"), F.first("_hi").alias("_hi"))
     kept = _cumulated(ranges, by, "_r").where(_holds("_lo") | _holds("_hi"))
     kept = kept.groupBy(*by).agg(F.min("_r").alias("_first"), F.max("_r").alias("_last"))
-    both = join_null_safe(placed, checked_broadcast(kept, limit=size), by).where(F.col("_r") <= F.col("_last"))
+    both = join_null_safe(placed, checked_broadcast(kept), by).where(F.col("_r") <= F.col("_last"))
     return _merged(both, by, F.col("_r") >= F.col("_first"), F.sum("_c"))

@@ -47,13 +47,15 @@ def pixels_in(pixels: DataFrame, minx: float, miny: float, maxx: float, maxy: fl
     return pixels.where(F.col(x).between(minx, maxx) & F.col(y).between(miny, maxy))
 
 
-def focal_mean(pixels: DataFrame, scene_keys: list[str], bands: list[str], radius: int = 1) -> DataFrame:
+def focal_mean(pixels: DataFrame, scene_keys: list[str], bands: list[str], radius: int = 1, payload: list[str] = []) -> DataFrame:
     """Mean of the present values in the square neighbourhood of each cell, per scene.
 
+    ``payload`` columns belong to a cell, not to its scene: neighbours may differ in them, and each cell keeps its own.
+
     Cells are shuffled once, by square block with a halo copied from the neighbours; both sums, along
     x and along y, are hash aggregates inside a block. Cells may be missing.
     """
-    halo = pixels.select(*scene_keys, "cx", "cy", *bands)
+    halo = pixels.select(*scene_keys, "cx", "cy", *bands, *payload)
     for axis, block in (("cx", "_bx"), ("cy", "_by")):
         touched = [F.floor((F.col(axis) + s) / BLOCK) for s in (-radius, 0, radius)]
         halo = halo.withColumn(block, F.explode_outer(F.array_distinct(F.array(*touched))))
@@ -63,38 +65,48 @@ def focal_mean(pixels: DataFrame, scene_keys: list[str], bands: list[str], radiu
         F.lit(True).alias("_own"),
         *[F.col(b).alias(f"_s_{b}") for b in bands],
         *[F.when(F.col(b).isNotNull(), 1).otherwise(0).alias(f"_n_{b}") for b in bands],
+        *[F.col(c).alias(f"_p_{c}") for c in payload],
     )
     steps = F.explode(F.array(*[F.lit(i) for i in range(-radius, radius + 1)]))
     for axis in ("cx", "cy"):
-        spread = sums.withColumn("_d", steps).withColumns({axis: F.col(axis) + F.col("_d"), "_own": F.col("_own") & (F.col("_d") == 0)})
-        sums = spread.groupBy(*keys).agg(F.max("_own").alias("_own"), *[F.sum(c).alias(c) for b in bands for c in (f"_s_{b}", f"_n_{b}")])
+        own = {f"_p_{c}": F.when(F.col("_d") == 0, F.col(f"_p_{c}")) for c in payload}
+        spread = sums.withColumn("_d", steps).withColumns({axis: F.col(axis) + F.col("_d"), "_own": F.col("_own") & (F.col("_d") == 0), **own})
+        sums = spread.groupBy(*keys).agg(
+            F.max("_own").alias("_own"), *[F.sum(c).alias(c) for b in bands for c in (f"_s_{b}", f"_n_{b}")], *[F.max(c).alias(c) for c in own]
+        )
     inner = (F.floor(F.col("cx") / BLOCK) == F.col("_bx")) & (F.floor(F.col("cy") / BLOCK) == F.col("_by"))
     means = [F.try_divide(F.col(f"_s_{b}"), F.col(f"_n_{b}")).alias(b) for b in bands]
-    return sums.where(F.col("_own") & inner).select(*scene_keys, "cx", "cy", *means)
+    kept = [F.col(f"_p_{c}").alias(c) for c in payload]
+    return sums.where(F.col("_own") & inner).select(*scene_keys, "cx", "cy", *means, *kept)
 
 
 def mosaic(tiles: DataFrame, keys: list[str], order: str, value: str = "value") -> DataFrame:
-    """One value per cell where tiles overlap: the tile that comes last in ``order`` wins."""
-    return tiles.groupBy(*keys).agg(F.max_by(value, order).alias(value))
+    """One value per cell where tiles overlap: the tile that comes last in ``order`` and has a value wins."""
+    last = F.max_by(value, F.when(F.col(value).isNotNull(), F.col(order)))
+    return tiles.groupBy(*keys).agg(last.alias(value))
 
 
 def combine_orbits(preds: DataFrame, keys: list[str], how: str = "mean", value: str = "value") -> DataFrame:
     """Predictions of all orbits of a cell to one."""
     if how not in ("mean", "max", "min", "median"):
         raise ValueError(f"unknown aggregation {how}")
-    return reduce_groups(preds, keys, [value], [how]).withColumnRenamed(f"{value}_{how}", value)
+    # a cell has a handful of orbits: no group is hot
+    return reduce_groups(preds, keys, [value], [how], hot_rows=None).withColumnRenamed(f"{value}_{how}", value)
 
 
 def nearest_values(
     points: DataFrame, pixels: DataFrame, grid: Grid, extent: tuple[int, int, int, int], keys: list[str],
     x: str = "lon", y: str = "lat", size: int = 1, how: str = "mean", date: str = "post_date", value: str = "value",
+    dates: list | None = None, fill=None,
 ) -> DataFrame:
     """Per point and date: value of the nearest pixel, or mean/max of the ``size`` x ``size`` cells around it.
 
+    Every point is returned. With ``dates`` each point has a row for each of them, with ``fill`` where there is no
+    pixel; without, a point that no pixel is near to has one row without date, and ``fill``.
+
     On a regular grid the nearest pixel is the cell that holds the point, moved to the edge of the
     raster (``extent`` = first and last cell in x, then in y) for points outside. The window is cut at the
     edge. Windows are read once per distinct cell, so many points in one cell cost one window.
-    Pixels that are missing give no row.
     """
     if how not in ("mean", "max"):
         raise ValueError(f"unknown aggregation {how}")
@@ -112,7 +124,14 @@ def nearest_values(
     hits = pixels.select("cx", "cy", date, value).join(checked_broadcast(wanted), ["cx", "cy"])
     agg = {"mean": F.avg, "max": F.max}[how]
     window = hits.groupBy("_cx", "_cy", date).agg(agg(value).alias(value))
-    return located.select(*keys, "_cx", "_cy").join(window, ["_cx", "_cy"]).select(*keys, date, value)
+    places = located.select(*keys, "_cx", "_cy")
+    on = ["_cx", "_cy"]
+    if dates is not None:
+        kind = pixels.schema[date].dataType
+        places = places.withColumn(date, F.explode(F.array(*[F.lit(d).cast(kind) for d in dates])))
+        on.append(date)
+    filled = F.coalesce(F.col(value), F.lit(fill)) if fill is not None else F.col(value)
+    return places.join(window, on, "left").select(*keys, date, filled.alias(value))
 
 
 def spread_dates(df: DataFrame, keys: list[str], dates: list, date: str, value: str, prefix: str = "pred_", fill=None, agg=F.avg) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scarmap.cluster import HOT_GROUP_ROWS, join_null_safe, split_hot
+from scarmap.cluster import HOT_GROUP_ROWS, checked_broadcast, join_null_safe, split_hot
 from scarmap.config import Period
 from scarmap.functions.values import in_period
 from scarmap.operators.quantiles import large_medians
@@ -142,6 +142,12 @@ def period_features(
     return rows.select(*keys, *BOUNDS, *(counts if count_as else []), *stats_columns)
 
 
+def series_of_points(obs: DataFrame, points: DataFrame, columns: list[str]) -> DataFrame:
+    """Stored observations of the given points, with ``columns`` of the points; a point without observations has no row."""
+    keys = ["aoi", "unosat_id"]
+    return obs.join(checked_broadcast(points.select(*keys, *columns)), keys)
+
+
 def fill_gaps(df: DataFrame, keys: list[str], bands: list[str]) -> DataFrame:
     """Missing values become the mean over time of the same key and band.
 
@@ -153,8 +159,11 @@ def fill_gaps(df: DataFrame, keys: list[str], bands: list[str]) -> DataFrame:
 
 
 def join_features(left: DataFrame, right: DataFrame, columns_left=None, columns_right=None) -> DataFrame:
-    """Inner join of two feature tables of the same points, windows and orbits; the right one wins on a name clash."""
-    keys = ["aoi", "unosat_id", "start_post", "orbit"]
+    """Inner join of two feature tables of the same points, pairs of windows and, where both have them, orbits.
+
+    The right one wins on a name clash.
+    """
+    keys = ["aoi", "unosat_id", "start_pre", "start_post", *(["orbit"] if "orbit" in left.columns and "orbit" in right.columns else [])]
     keep_right = [c for c in (columns_right or right.columns) if c not in keys]
     keep_left = [c for c in (columns_left or left.columns) if c not in keys and c not in keep_right]
     return left.select(*keys, *keep_left).join(right.select(*keys, *keep_right), keys)
@@ -162,6 +171,6 @@ def join_features(left: DataFrame, right: DataFrame, columns_left=None, columns_
 
 def join_sensors(s1: DataFrame, s2: DataFrame) -> DataFrame:
     """Adds the orbit-free features of the second sensor to each row of the first."""
-    keys = ["aoi", "unosat_id", "start_post"]
+    keys = ["aoi", "unosat_id", "start_pre", "start_post"]
     extra = [c for c in s2.columns if c not in s1.columns]
     return s1.join(s2.select(*keys, *extra), keys, "left")

@@ -2,41 +2,90 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from scarmap.cluster import spread
 from scarmap.functions import geometry as G
 from scarmap.functions import tiles as T
 
 
-def tiles_intersecting(polygons: DataFrame, keys: list[str], zoom: int, edges: str = "edges", box: str = "bbox") -> DataFrame:
-    """(keys, qk, tile_x, tile_y, tile) for every tile that shares a point with the polygon."""
+# Tiles per side of the block that is one unit of work.
+TILE_BLOCK = 16
+
+
+def _block(index: Column) -> Column:
+    return F.floor(index / TILE_BLOCK).cast("int")
+
+
+def block_pieces(polygons: DataFrame, keys: list[str], zoom: int, rings: str = "rings", box: str = "bbox") -> DataFrame:
+    """(keys, _bx, _by, _rings, _range): the part of every polygon in each block of tiles, spread over tasks.
+
+    The part is cut one tile beyond the block, so that its border is not met by any tile of the block.
+    """
     c = lambda n: F.col(f"{box}.{n}")
     x0, y0 = T.tile_of(c("minx"), c("maxy"), zoom)
     x1, y1 = T.tile_of(c("maxx"), c("miny"), zoom)
-    ranges = polygons.select(*keys, F.col(edges).alias("_edges"), F.sequence(x0, x1).alias("_xs"), F.sequence(y0, y1).alias("_ys"))
-    cells = ranges.select(*keys, "_edges", F.explode_outer("_xs").alias("tile_x"), "_ys")
-    cells = cells.select(*keys, "_edges", "tile_x", F.explode_outer("_ys").alias("tile_y"))
-    cells = cells.withColumn("tile", T.tile_box(F.col("tile_x"), F.col("tile_y"), zoom))
-    t = [F.col(f"tile.{n}") for n in ("minx", "miny", "maxx", "maxy")]
-    meets = G.meets_box(F.col("_edges"), *t)
+    tiles = F.struct(x0.alias("x0"), y0.alias("y0"), x1.alias("x1"), y1.alias("y1"))
+    blocks = polygons.select(*keys, F.col(rings).alias("_rings"), tiles.alias("_range"))
+    for name, a, b in (("_bx", "x0", "x1"), ("_by", "y0", "y1")):
+        blocks = blocks.withColumn(name, F.explode_outer(F.sequence(_block(F.col(f"_range.{a}")), _block(F.col(f"_range.{b}")))))
+    first, last = (T.tile_box(F.col("_bx") * TILE_BLOCK + d, F.col("_by") * TILE_BLOCK + d, zoom) for d in (-1, TILE_BLOCK))
+    cut = G.clip_rings(F.col("_rings"), first["minx"], last["miny"], last["maxx"], first["maxy"])
+    return spread(blocks, *keys, "_bx", "_by").withColumn("_rings", cut).where(F.size("_rings") > 0)
+
+
+def _candidates(polygons: DataFrame, keys: list[str], zoom: int, rings: str, box: str) -> DataFrame:
+    """Every tile of the polygon's range, with the edges and rings of its block."""
+    cells = block_pieces(polygons, keys, zoom, rings, box).withColumn("_edges", G.edges_of(F.col("_rings")))
+    for name, block, a, b in (("tile_x", "_bx", "x0", "x1"), ("tile_y", "_by", "y0", "y1")):
+        low = F.greatest(F.col(block) * TILE_BLOCK, F.col(f"_range.{a}"))
+        high = F.least(F.col(block) * TILE_BLOCK + TILE_BLOCK - 1, F.col(f"_range.{b}"))
+        cells = cells.withColumn(name, F.explode_outer(F.sequence(low, high)))
+    return cells.withColumn("tile", T.tile_box(F.col("tile_x"), F.col("tile_y"), zoom))
+
+
+_TILE = [f"tile.{n}" for n in ("minx", "miny", "maxx", "maxy")]
+
+
+def _tile_sides() -> list[Column]:
+    return [F.col(n) for n in _TILE]
+
+
+def _share(edges: str) -> Column:
+    t = _tile_sides()
+    return G.clip_area(F.col(edges), *t) / ((t[2] - t[0]) * (t[3] - t[1]))
+
+
+def tile_grid(polygons: DataFrame, keys: list[str], zoom: int, clip: bool = True, out: str = "area_in_country", rings: str = "rings", box: str = "bbox") -> DataFrame:
+    """(keys, qk, tile_x, tile_y, tile, share of area, cut rings) of every tile that shares a point with its polygon, in one pass."""
+    met = _candidates(polygons, keys, zoom, rings, box).where(G.meets_box(F.col("_edges"), *_tile_sides()))
     qk = T.quadkey(F.col("tile_x"), F.col("tile_y"), zoom)
-    return cells.where(meets).select(*keys, qk.alias("qk"), "tile_x", "tile_y", "tile")
+    cut = [G.clip_rings(F.col("_rings"), *_tile_sides()).alias("rings")] if clip else []
+    return met.select(*keys, qk.alias("qk"), "tile_x", "tile_y", "tile", _share("_edges").alias(out), *cut)
+
 
+def tiles_intersecting(polygons: DataFrame, keys: list[str], zoom: int, rings: str = "rings", box: str = "bbox") -> DataFrame:
+    """(keys, qk, tile_x, tile_y, tile) for every tile that shares a point with the polygon."""
+    return tile_grid(polygons, keys, zoom, clip=False, rings=rings, box=box).drop("area_in_country")
 
-def tile_area_share(tiles: DataFrame, polygons: DataFrame, keys: list[str], edges: str = "edges", out: str = "area_in_country") -> DataFrame:
+
+def _with_pieces(tiles: DataFrame, polygons: DataFrame, keys: list[str], zoom: int, rings: str, box: str) -> DataFrame:
+    """Tiles with the part of their polygon in their block: joined on key and block, so one polygon is many keys."""
+    pieces = block_pieces(polygons, keys, zoom, rings, box).select(*keys, "_bx", "_by", "_rings")
+    return tiles.withColumns({"_bx": _block(F.col("tile_x")), "_by": _block(F.col("tile_y"))}).join(pieces, [*keys, "_bx", "_by"], "left")
+
+
+def tile_area_share(tiles: DataFrame, polygons: DataFrame, keys: list[str], zoom: int, out: str = "area_in_country", rings: str = "rings", box: str = "bbox") -> DataFrame:
     """Share of each tile's planar area that lies in its polygon."""
-    t = [F.col(f"tile.{n}") for n in ("minx", "miny", "maxx", "maxy")]
-    size = (t[2] - t[0]) * (t[3] - t[1])
-    joined = tiles.join(polygons.select(*keys, F.col(edges).alias("_edges")), keys)
-    return joined.withColumn(out, G.clip_area(F.col("_edges"), *t) / size).drop("_edges")
+    joined = _with_pieces(tiles, polygons, keys, zoom, rings, box).withColumn("_edges", G.edges_of(F.col("_rings")))
+    return joined.select(*tiles.columns, F.coalesce(_share("_edges"), F.lit(0.0)).alias(out))
 
 
-def clip_grid(tiles: DataFrame, polygons: DataFrame, keys: list[str], rings: str = "rings") -> DataFrame:
-    """Tile geometry cut to the border of its polygon, as rings."""
-    t = [F.col(f"tile.{n}") for n in ("minx", "miny", "maxx", "maxy")]
-    joined = tiles.join(polygons.select(*keys, F.col(rings).alias("_rings")), keys)
-    return joined.withColumn("rings", G.clip_rings(F.col("_rings"), *t)).drop("_rings")
+def clip_grid(tiles: DataFrame, polygons: DataFrame, keys: list[str], zoom: int, rings: str = "rings", box: str = "bbox") -> DataFrame:
+    """Tile geometry cut to the border of its polygon, as rings; areas are right, see ``geometry.clip_rings`` for concave parts."""
+    joined = _with_pieces(tiles, polygons, keys, zoom, rings, box)
+    return joined.select(*tiles.columns, G.clip_rings(F.col("_rings"), *_tile_sides()).alias("rings"))
 
 
 def list_tiles(tiles: DataFrame, targets: list[str] | None = None, limit: int | None = None) -> DataFrame:
@@ -47,6 +96,18 @@ def list_tiles(tiles: DataFrame, targets: list[str] | None = None, limit: int |
     return ids if limit is None else ids.orderBy("qk").limit(limit)
 
 
+def with_neighbours(tiles: list[str]) -> list[str]:
+    """Tile ids and those of the up to eight tiles around each."""
+    found = set()
+    for qk in tiles:
+        x, y = (int("".join(str(int(d) >> bit & 1) for d in qk), 2) for bit in (0, 1))
+        for i in (x - 1, x, x + 1):
+            for j in (y - 1, y, y + 1):
+                if 0 <= min(i, j) and max(i, j) < 1 << len(qk):
+                    found.add("".join(str((i >> b & 1) + 2 * (j >> b & 1)) for b in reversed(range(len(qk)))))
+    return sorted(found)
+
+
 def pending(ids: DataFrame, done: DataFrame, keys=("qk",)) -> DataFrame:
     """Units not yet written."""
     return ids.join(done.select(*keys), list(keys), "left_anti")

@@ -83,17 +83,25 @@ def load_or_train(spark: SparkSession, store: Store, cfg: RunConfig):
     return M.load_or_fit(store.model(cfg), lambda: train(spark, store, cfg), spark)
 
 
-def run_experiment(spark: SparkSession, store: Store, labels: DataFrame, cfg: RunConfig, threshold: float = 0.5) -> DataFrame:
-    """One row of counts and metrics on the test areas; predictions are stored on the way."""
-    model = load_or_train(spark, store, cfg)
-    scored = M.classify(load_split(spark, store, cfg, "test"), model)
-    preds = E.point_predictions(scored)
-    preds = L.attach_labels(preds, labels, ["date", "damage"])
-    preds.write.mode("overwrite").parquet(store.predictions(cfg))
-    stored = spark.read.parquet(store.predictions(cfg))
-    rows = E.judged(stored, [p.start for p in cfg.post], event=cfg.event_date, positive_year=cfg.event_date.year)
+def predict_points(features: DataFrame, model, labels: DataFrame) -> DataFrame:
+    """Predictions per point and window, the mean over orbits, with the date and class of the label."""
+    return L.attach_labels(E.point_predictions(M.classify(features, model)), labels, ["date", "damage"])
+
+
+def evaluate_points(preds: DataFrame, cfg: RunConfig, threshold: float = 0.5) -> DataFrame:
+    """One row of counts and metrics of stored predictions."""
+    rows = E.judged(preds, [p.start for p in cfg.post], event=cfg.event_date, positive_year=cfg.event_date.year)
     return E.with_metrics(E.confusion(rows, threshold))
 
 
+def run_experiment(spark: SparkSession, store: Store, labels: DataFrame, cfg: RunConfig, threshold: float = 0.5, again: bool = False) -> DataFrame:
+    """One row of counts and metrics on the test areas. Stored models and predictions of the run are used again, unless ``again``."""
+    path = store.predictions(cfg)
+    if again or not R.exists(spark, f"{path}/_SUCCESS"):
+        model = load_or_train(spark, store, cfg)
+        predict_points(load_split(spark, store, cfg, "test"), model, labels).write.mode("overwrite").parquet(path)
+    return evaluate_points(spark.read.parquet(path), cfg, threshold)
+
+
 def dataset_size(features: DataFrame) -> DataFrame:
     return features.agg(F.count(F.lit(1)).alias("n"))

@@ -9,5 +9,4 @@ from scarmap.operators import tiles as T
 
 def build_tile_grid(country: DataFrame, keys: list[str], zoom: int, clip: bool = True) -> DataFrame:
     """Tiles that meet the country, their share of area in it and, with ``clip``, their cut geometry."""
-    tiles = T.tile_area_share(T.tiles_intersecting(country, keys, zoom), country, keys)
-    return T.clip_grid(tiles, country, keys) if clip else tiles
+    return T.tile_grid(country, keys, zoom, clip)

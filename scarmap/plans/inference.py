@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,25 +14,47 @@ from scarmap.operators import model as M
 from scarmap.operators import raster as R
 from scarmap.operators import scenes as S
 from scarmap.operators import series as T
-from scarmap.operators.tiles import pending
+from scarmap.operators.tiles import pending, with_neighbours
+from scarmap.sources.readers import partition_values
 from scarmap.sources import writers as W
 
 
-def predict_area(pixels: DataFrame, scenes: DataFrame, model, cfg: RunConfig, post: list[Period], by=("qk",)) -> DataFrame:
+def window_size(window: str | list[str]) -> int:
+    """Cells per side of the one window that inference uses; features of several windows are refused."""
+    names = [window] if isinstance(window, str) else list(window)
+    sizes = {int(m[1]) for n in names if (m := re.fullmatch(r"(\d+)x\1", n))}
+    if len(names) != 1 or len(sizes) != 1 or not (size := sizes.pop()) % 2:
+        raise ValueError(f"inference takes one window of an odd size, such as 3x3, not {window}")
+    return size
+
+
+def predict_area(
+    pixels: DataFrame, scenes: DataFrame, model, cfg: RunConfig, post: list[Period], by=("qk",), orbits: list[int] | None = None
+) -> DataFrame:
     """``by, cx, cy, start_post, end_post, value`` for all tiles and windows in one plan.
 
-    An orbit takes part in a tile and window if it has enough images before and after; pixels of
-    other orbits are dropped before anything is shuffled. Rows are then shuffled once, by cell: the
-    statistics, the scores and the mean over orbits follow in that stage.
+    An orbit takes part in a tile and window if it has enough images before and after; ``orbits`` names the
+    orbits instead. Means over a window cross the borders of tiles: images are smoothed whole, and a cell keeps its
+    tile. Rows are shuffled by cell once (and once before by block, if smoothed): statistics, scores and the mean over
+    orbits follow in that stage. Only ``scenes`` is evaluated while the plan is built.
     """
+    size = window_size(cfg.window)
     place = [*by, "cx", "cy"]
-    usable = qualifying_orbits(scenes, cfg.pre, post, by)
-    pixels = pixels.join(checked_broadcast(usable.select(*by, "orbit").distinct()), [*by, "orbit"], "left_semi")
-    window = cfg.window[0]
-    if int(window[0]) > 1:
-        pixels = R.focal_mean(pixels, [*by, "scene_id", "orbit", "ts"], cfg.bands, int(window[0]) // 2)
-    feats = T.period_features(pixels, [*place, "orbit"], cfg.bands, cfg.pre, post, cfg.reducers, window, cluster_by=place)
-    feats = feats.join(checked_broadcast(usable), [*by, "orbit", "start_pre", "start_post"], "left_semi")
+    usable = None
+    if orbits is not None:
+        pixels = pixels.where(F.col("orbit").isin(list(orbits)))
+    else:
+        usable = settle(qualifying_orbits(scenes, cfg.pre, post, by))
+        # a neighbour tile may lack images of an orbit, but its cells belong to windows at the border
+        early = ["orbit"] if size > 1 else [*by, "orbit"]
+        pixels = pixels.join(checked_broadcast(usable.select(*early).distinct()), early, "left_semi")
+    if size > 1:
+        pixels = R.focal_mean(pixels, ["scene_id", "orbit", "ts"], cfg.bands, size // 2, payload=list(by))
+    window = f"{size}x{size}"
+    # the images of a period bound the rows of a cell: no group is hot
+    feats = T.period_features(pixels, [*place, "orbit"], cfg.bands, cfg.pre, post, cfg.reducers, window, hot_rows=None, cluster_by=place)
+    if usable is not None:
+        feats = feats.join(checked_broadcast(usable), [*by, "orbit", "start_pre", "start_post"], "left_semi")
     return R.combine_orbits(M.classify(feats, model, "value"), [*place, "start_post", "end_post"], cfg.aggregation)
 
 
@@ -57,24 +81,45 @@ def quantise(preds: DataFrame) -> DataFrame:
     return preds.select("qk", "cx", "cy", period.alias("period"), F.col("start_post").alias("post_date"), quantised(F.col("value")).alias("value"))
 
 
+#: tiles that one job predicts
+TILES_TOGETHER = 500
+UNITS = "qk string, period string"
+
+
+def finished(path: str) -> str:
+    """Where a country run notes its finished (qk, period), with or without pixels. Spark reads pass it over."""
+    return f"{path}/_finished"
+
+
 def written_units(spark: SparkSession, path: str) -> DataFrame:
-    """(qk, period) already stored; nothing if the folder does not exist yet."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
-        return spark.createDataFrame([], "qk string, period string")
-    return spark.read.parquet(path).select(F.col("qk").cast("string").alias("qk"), "period").distinct()
+    """(qk, period) already stored or noted as finished; nothing if the folder does not exist yet. No prediction is read."""
+    stored = [tuple(part.split("=", 1)[1] for part in name.split("/")) for name in partition_values(spark, path, 2)]
+    units = spark.createDataFrame([(qk, period) for period, qk in stored], UNITS)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(finished(path))
+    if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        units = units.unionByName(spark.read.schema(UNITS).parquet(finished(path)))
+    return units.distinct()
+
 
+def of_tiles(table: DataFrame, tiles: list[str]) -> DataFrame:
+    """Rows of the given tiles, as literals: on a table partitioned by tile no other folder is read."""
+    return table.where(F.col("qk").isin(tiles))
 
-def predict_country(spark: SparkSession, pixels, scenes, tiles, model, cfg: RunConfig, path: str) -> None:
-    """Predicts the tiles not yet stored, all windows that some tile still lacks, and stores them."""
+
+def predict_country(spark: SparkSession, pixels, scenes, tiles, model, cfg: RunConfig, path: str, orbits: list[int] | None = None) -> None:
+    """Predicts and stores what is not finished yet: tiles that lack the same windows together, some at a time."""
     windows = F.explode(F.array(*[F.lit(str(p)) for p in cfg.post]))
-    todo = tiles.select("qk").distinct().withColumn("period", windows)
-    todo = settle(pending(todo, written_units(spark, path), ["qk", "period"]))
-    names = {r.period for r in todo.select("period").distinct().collect()}
-    post = [p for p in cfg.post if str(p) in names]
-    if post:
-        wanted = todo.select("qk").distinct()
-        preds = predict_area(
-            pixels.join(wanted, "qk", "left_semi"), scenes.join(wanted, "qk", "left_semi"), model, cfg, post
-        )
-        W.write_pred_tiles(quantise(preds).join(todo, ["qk", "period"], "left_semi"), path)
+    todo = pending(tiles.select("qk").distinct().withColumn("period", windows), written_units(spark, path), ["qk", "period"])
+    lacking = todo.groupBy("qk").agg(F.sort_array(F.collect_set("period")).alias("periods"))
+    groups: dict[tuple, list[str]] = {}
+    for r in lacking.collect():  # one short row per tile
+        groups.setdefault(tuple(r.periods), []).append(r.qk)
+    for names, members in sorted(groups.items()):
+        post = [p for p in cfg.post if str(p) in names]
+        for i in range(0, len(members), TILES_TOGETHER):
+            own = sorted(members)[i : i + TILES_TOGETHER]
+            seen = own if window_size(cfg.window) == 1 else with_neighbours(own)
+            preds = predict_area(of_tiles(pixels, seen), of_tiles(scenes, seen), model, cfg, post, orbits=orbits)
+            W.write_pred_tiles(quantise(of_tiles(preds, own)), path)
+            done = spark.createDataFrame([(qk, period) for qk in own for period in names], UNITS)
+            done.coalesce(1).write.mode("append").parquet(finished(path))

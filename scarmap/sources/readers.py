@@ -20,10 +20,25 @@ from scarmap.sources import schemas as S
 
 
 def features_of(lines: DataFrame) -> DataFrame:
-    """GeoJSON features, one per line: a line file or the usual one-feature-per-line collection."""
-    line = F.regexp_replace(F.trim(F.col("value")), r",$", "")
-    rows = lines.where(F.col("value").rlike(r'^\s*\{\s*"type"\s*:\s*"Feature"\s*,'))
-    return rows.select(F.from_json(line, S.FEATURE).alias("f")).select("f.*")
+    """GeoJSON features: one per line (alone or inside a collection), or whole collections on a line.
+
+    Keys may come in any order. Lines that only frame a collection are passed over; any other line that is
+    not a feature is an error, as a feature spread over several lines would be lost.
+    """
+    line = F.regexp_replace(F.col("value"), r"^\s+|\s*,?\s*$", "")
+    parsed = F.from_json(line, f"{S.FEATURE}, features {S.FEATURES}")
+    frame = line.rlike(r"^[\s\[\]{},]*$") | (
+        line.rlike(r'^\{?\s*"(type|name|crs|bbox|features)"\s*:') & ~line.rlike(r'"geometry"|"type"\s*:\s*"Feature"')
+    )
+    one = F.struct(*[F.col(f"_f.{c}").alias(c) for c in ("type", "properties", "geometry")])
+    wrong = F.raise_error(F.concat(F.lit("not a GeoJSON feature: "), F.substring("value", 1, 200)))
+    found = (
+        F.when((F.col("_f.type") == "Feature") & F.col("_f.geometry").isNotNull(), F.array(one))
+        .when(F.col("_f.features").isNotNull(), F.col("_f.features"))
+        .when(frame, F.slice(F.array(one), 1, 0))
+        .otherwise(wrong.cast(S.FEATURES))
+    )
+    return lines.withColumn("_f", parsed).select(F.explode(found).alias("f")).select("f.*")
 
 
 def geojson_rings(geometry: Column) -> Column:
@@ -85,14 +100,16 @@ def country_boundary(spark: SparkSession, path: str, name: str) -> DataFrame:
 
 
 def scan_admin(spark: SparkSession, path: str, level: int) -> DataFrame:
-    """Admin polygons with the names of all parent levels; the id comes from the stored row number."""
+    """Admin polygons with the names of all parent levels; the id comes from the stored row number, which is kept."""
     names = ", ".join(f"ADM{i}_EN string" for i in range(1, level + 1))
     rows = scan_polygons(spark, path, f"row_id int, {names}")
-    return rows.withColumn("admin_id", admin_id(level, F.col("row_id"))).drop("row_id")
+    return rows.withColumn("admin_id", admin_id(level, F.col("row_id")))
 
 
 def admin_id(level: int, row: Column) -> Column:
-    return F.concat_ws("_", F.lit(level), row)
+    """Level and row number; without a number regions would share an id, so that is an error."""
+    missing = F.raise_error(F.lit(f"an admin polygon of level {level} has no row_id")).cast("string")
+    return F.when(row.isNull(), missing).otherwise(F.concat_ws("_", F.lit(level), row))
 
 
 def scan_orbits(spark: SparkSession, path: str, bad=BAD_ORBITS) -> DataFrame:
@@ -145,10 +162,30 @@ def feature_folder(sat: str, window: str, period: str, split: str) -> str:
 
 def discover_periods(spark: SparkSession, path: str) -> list[Period]:
     """Periods named in the paths of stored predictions, in order."""
-    files = spark.read.parquet(path).select(F.col("_metadata.file_path").alias("f")).distinct()
+    names = [n for n in partition_values(spark, path) if n]
     start, end = period_text(F.col("f"))
-    found = files.select(start.alias("s"), end.alias("e")).where("s is not null").distinct().orderBy("s", "e")
-    return [Period(r.s, r.e) for r in found.collect()]
+    found = spark.createDataFrame([(n,) for n in names], "f string").select(start.alias("s"), end.alias("e"))
+    return [Period(r.s, r.e) for r in found.where("s is not null").distinct().orderBy("s", "e").collect()]
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
+def partition_values(spark: SparkSession, path: str, depth: int = 1) -> list[str]:
+    """Names of the folders ``depth`` levels below ``path``, relative to it; no file is opened. None if it does not exist."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(root):
+        return []
+    level = [("", root)]
+    for _ in range(depth):
+        level = [
+            (f"{name}/{s.getPath().getName()}".lstrip("/"), s.getPath())
+            for name, folder in level for s in system.listStatus(folder) if s.isDirectory() and s.getPath().getName()[:1] not in "._"
+        ]
+    return sorted(name for name, _ in level)
 
 
 def scan_buildings_of_admin(buildings: DataFrame, admin: str) -> DataFrame:

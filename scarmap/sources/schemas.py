@@ -8,3 +8,4 @@ BUILDINGS_RAW = (
     " bbox struct<minX:double,minY:double,maxX:double,maxY:double>"
 )
 FEATURE = "type string, properties string, geometry string"
+FEATURES = "array<struct<type:string,properties:string,geometry:string>>"

@@ -96,6 +96,17 @@ def test_best_threshold(spark, precisions, want):
     assert E.best_threshold(sweep).first().threshold == pytest.approx(want)
 
 
+@pytest.mark.parametrize("thresholds", [[0.1, 0.11, 0.12, 0.13, 0.9], [0.5]])
+def test_sweep_of_uneven_and_single_thresholds(spark, thresholds):
+    rows = spark.createDataFrame([(1, v) for v in (20, 28, 30, 31, 128, 230, None)] + [(0, 29), (0, 127)], "y_true int, pred int")
+    got = {round(r.threshold, 2): (r.tp, r.fp, r.tn, r.fn) for r in E.threshold_sweep(rows, thresholds).collect()}
+    for t in thresholds:
+        c = E.confusion(rows, t).first()
+        assert got[round(t, 2)] == (c.tp, c.fp, c.tn, c.fn)
+    with pytest.raises(ValueError):
+        E.threshold_sweep(rows, [0.5, 0.5])
+
+
 def test_class_report(spark):
     got = {r["class"]: r for r in E.class_report(spark.createDataFrame([(3, 1, 4, 2)], "tp long, fp long, tn long, fn long")).collect()}
     assert got["damaged"].precision == pytest.approx(3 / 4) and got["damaged"].recall == pytest.approx(3 / 5) and got["damaged"].support == 5

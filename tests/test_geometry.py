@@ -206,3 +206,58 @@ def test_utm(spark):
     at = spark.createDataFrame([(30.5, 50.4), (-177.0, 10.0), (151.0, -33.0), (179.99, 1.0)], "lon double, lat double")
     got = [r[0] for r in at.select(T.utm_code(F.col("lon"), F.col("lat"))).collect()]
     assert got == ["EPSG:32636", "EPSG:32601", "EPSG:32756", "EPSG:32660"]
+
+
+def test_equal_orders_give_one_answer_on_either_way(spark):
+    from scarmap.operators import cover as C
+
+    shapes = [(k, 1, [[(0.0, 0.0), (3.0, 0.0), (3.0, 3.0), (0.0, 3.0), (0.0, 0.0)]]) for k in ("b", "a")]
+    rows = with_geometry(spark.createDataFrame(shapes, f"k string, o int, rings {G.RINGS_DDL}"))
+    grid = Grid(0.0, 0.0, 1.0, 1.0)
+    points = spark.createDataFrame([(1, 1.5, 1.5), (2, 9.0, 9.0)], "id int, lon double, lat double")
+    for limit in (0, 1000):
+        got = {r.id: r.k for r in C.locate(points, C.cell_cover(rows, ["k", "o"], grid), grid, ["id"], "o", max_pieces=limit).collect()}
+        assert got == {1: "b", 2: None}
+
+
+def test_a_country_is_spread_over_tasks_and_tiles_carry_little(spark):
+    from scarmap.operators import tiles as Q
+
+    n = 400
+    ring = [(30 + 4 * math.cos(2 * math.pi * i / n) * (1 + 0.3 * (i % 2)), 48 + 2 * math.sin(2 * math.pi * i / n) * (1 + 0.3 * (i % 2))) for i in range(n)]
+    country = with_geometry(spark.createDataFrame([("c", [[*ring, ring[0]]])], f"k string, rings {G.RINGS_DDL}"))
+    grid = Q.tile_grid(country, ["k"], 9)
+    rows = grid.withColumn("p", F.spark_partition_id()).withColumn("size", (F.col("tile.maxx") - F.col("tile.minx")) * (F.col("tile.maxy") - F.col("tile.miny")))
+    got = rows.agg(F.count_distinct("p").alias("p"), F.sum(F.col("area_in_country") * F.col("size")).alias("a"), F.sum(G.area(G.edges_of(F.col("rings")))).alias("b")).first()
+    area = country.select(G.area(F.col("edges")).alias("a")).first().a
+    assert got.p > 1 and got.a == pytest.approx(area) and got.b == pytest.approx(area)
+    whole = country.select(F.explode(F.lit(None).cast("array<int>")))  # no rows; the grid has no column with the country's edges
+    assert whole.count() == 0 and "edges" not in grid.columns
+    t = [F.col(f"tile.{x}") for x in ("minx", "miny", "maxx", "maxy")]
+    every = Q.tiles_intersecting(country, ["k"], 9).crossJoin(country.select("edges"))
+    assert every.where(~G.meets_box(F.col("edges"), *t)).count() == 0
+    shares = Q.tile_area_share(Q.tiles_intersecting(country, ["k"], 9), country, ["k"], 9)
+    assert shares.join(grid.select("qk", F.col("area_in_country").alias("b")), "qk").where("abs(area_in_country - b) > 1e-9").count() == 0
+    cut = Q.clip_grid(Q.tiles_intersecting(country, ["k"], 9), country, ["k"], 9)
+    assert cut.agg(F.sum(G.area(G.edges_of(F.col("rings"))))).first()[0] == pytest.approx(area)
+
+
+def test_a_concave_polygon_is_tiled_by_area(spark):
+    from scarmap.operators import tiles as Q
+
+    u_shape = [(10.0, 10.0), (16.0, 10.0), (16.0, 15.0), (14.0, 15.0), (14.0, 11.5), (12.0, 11.5), (12.0, 15.0), (10.0, 15.0), (10.0, 10.0)]
+    rows = with_geometry(spark.createDataFrame([(1, [u_shape])], f"k int, rings {G.RINGS_DDL}"))
+    for zoom in (6, 8):
+        grid = Q.tile_grid(rows, ["k"], zoom)
+        a = F.col("area_in_country") * (F.col("tile.maxx") - F.col("tile.minx")) * (F.col("tile.maxy") - F.col("tile.miny"))
+        assert grid.agg(F.sum(a)).first()[0] == pytest.approx(23.0)
+        gap = grid.where("tile.minx > 12 and tile.maxx < 14 and tile.miny > 11.6 and tile.maxy < 14.9")
+        assert gap.count() == 0
+
+
+def test_row_bytes_follow_the_values(spark):
+    from scarmap.cluster import row_bytes
+
+    df = spark.createDataFrame([("x" * 100, [1, 2, 3], [(1.0, "ab")]), ("", None, [])], "a string, b array<long>, c array<struct<x:double,y:string>>")
+    got = [r.n for r in df.select(row_bytes(df).alias("n")).collect()]
+    assert got[0] > 100 + 3 * 8 + 16 > 60 > got[1]

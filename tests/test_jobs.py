@@ -143,17 +143,21 @@ def test_experiment_from_pixels_to_metrics(spark, tmp_path):
 
 
 def test_two_sensors_and_two_windows(spark, tmp_path):
-    keys = [("A", "u", 7, date(2022, 2, 24)), ("A", "u", 8, date(2022, 2, 24))]
-    one = spark.createDataFrame([(*k, 1.0, 1) for k in keys], "aoi string, unosat_id string, orbit int, start_post date, VV_pre_1x1_mean double, label int")
-    two = spark.createDataFrame([(*k, 2.0, 1) for k in keys], "aoi string, unosat_id string, orbit int, start_post date, VV_pre_3x3_mean double, label int")
-    s2 = spark.createDataFrame([("A", "u", date(2022, 2, 24), 3.0, 1)], "aoi string, unosat_id string, start_post date, B1_pre_1x1_mean double, label int")
+    keys = [("A", "u", o, pre, date(2022, 2, 24)) for o in (7, 8) for pre in (date(2020, 2, 24), date(2021, 2, 24))]
+    columns = "aoi string, unosat_id string, orbit int, start_pre date, start_post date"
+    one = spark.createDataFrame([(*k, 1.0, 1) for k in keys], f"{columns}, VV_pre_1x1_mean double, label int")
+    two = spark.createDataFrame([(*k, 2.0, 1) for k in keys], f"{columns}, VV_pre_3x3_mean double, label int")
+    plain = [(*k[:2], *k[3:]) for k in keys[:2]]
+    s2 = spark.createDataFrame([(*k, 3.0, 1) for k in plain], "aoi string, unosat_id string, start_pre date, start_post date, B1_pre_1x1_mean double, label int")
+    wide = s2.withColumnRenamed("B1_pre_1x1_mean", "B1_pre_3x3_mean")
     root = str(tmp_path)
-    for df, sat, w in ((one, "s1", "1x1"), (two, "s1", "3x3"), (s2, "s2", "1x1")):
+    for df, sat, w in ((one, "s1", "1x1"), (two, "s1", "3x3"), (s2, "s2", "1x1"), (wide, "s2", "3x3")):
         W.write_features(df, root, sat, w, POST_QUARTERS, "test")
     both = R.scan_features(spark, root, "s1", "test", "3months", ["1x1", "3x3"])
-    assert both.count() == 2 and {"VV_pre_1x1_mean", "VV_pre_3x3_mean"} < set(both.columns)
+    assert both.count() == 4 and {"VV_pre_1x1_mean", "VV_pre_3x3_mean"} < set(both.columns)
+    assert R.scan_features(spark, root, "s2", "test", "3months", ["1x1", "3x3"]).count() == 2
     joined = X.load_split(spark, X.Store(root), RunConfig(s2_bands=[]), "test")
-    assert joined.count() == 2 and joined.where("B1_pre_1x1_mean = 3").count() == 2
+    assert joined.count() == 4 and joined.where("B1_pre_1x1_mean = 3").count() == 4
 
 
 def test_s2_series(spark):
@@ -257,12 +261,13 @@ def test_models_separate_a_simple_set(spark, tmp_path):
     for name, kwargs in (("random_forest", {"trees": 10}), ("svm", {}), ("boosted_trees", {"trees": 5})):
         model = M.fit(df, ["a", "b"], M.make_classifier(name, 0, **kwargs))
         out = M.classify(df, model)
-        assert out.columns == ["id", "label", "a", "b", "classification"] and out.count() == 200
+        assert out.columns == ["id", "label", "a", "b", "classification"] and out.count() == 201
+        assert M.unscored(out) == 1 and out.where("a is null and classification is null").count() == 1
         assert out.where("(classification >= 0.5) = (label = 1)").count() >= 190, name
         assert out.where("classification < 0 or classification > 1").count() == 0
     M.save_model(model, str(tmp_path / "m"))
     loaded = M.classify(df, M.load_or_fit(str(tmp_path / "m"), None, spark))
-    assert sorted(r.classification for r in loaded.collect()) == sorted(r.classification for r in out.collect())
+    assert sorted(r.classification for r in loaded.dropna().collect()) == sorted(r.classification for r in out.dropna().collect())
     a, b = (M.fit(df, ["a", "b"], M.make_classifier("random_forest", 3, trees=5)) for _ in range(2))
     assert M.classify(df, a).collect() == M.classify(df, b).collect()
     with pytest.raises(ValueError):
@@ -313,3 +318,138 @@ def test_box_test_agrees_with_polygon_test(spark):
     pairs = a.crossJoin(b).select(G.meets_box(F.col("edges"), *c).alias("m"), G.intersects(F.col("edges"), G.edges_of(G.box_rings(*c))).alias("i"))
     counts = {(r.m, r.i): r["count"] for r in pairs.groupBy("m", "i").count().collect()}
     assert counts.keys() == {(True, True), (False, False)}
+
+
+# ---- readers: nothing is lost without a word
+
+
+def test_geojson_in_any_form(spark, tmp_path):
+    one = feature({"unosat_id": "u1", "aoi": "A", "damage": 1, "date": "2022-03-14", "ep": 2}, "Point", [30.5, 50.25])
+    two = json.loads(feature({"unosat_id": "u2", "aoi": "A", "damage": 3, "date": None, "ep": 1}, "Point", [31, 49]))
+    turned = json.dumps({"id": 7, "geometry": two["geometry"], "properties": two["properties"], "type": "Feature"})
+    whole = json.dumps({"type": "FeatureCollection", "crs": {"type": "name", "properties": {"name": "x"}}, "features": [json.loads(one), two]})
+    lines = ['{', '"type": "FeatureCollection",', '"crs": { "type": "name", "properties": { "name": "urn" } },', '"features": [', one + ",", "  " + turned, "]", "}"]
+    for text in (whole, "\n".join(lines), one + "\n" + turned):
+        (tmp_path / "x.geojson").write_text(text)
+        assert sorted(r.unosat_id for r in R.scan_labels(spark, str(tmp_path / "x.geojson")).collect()) == ["u1", "u2"]
+    for broken in (one[:-3], json.dumps(two, indent=1), '{"type": "Feature", "properties": {}}', "no json"):
+        (tmp_path / "x.geojson").write_text(one + "\n" + broken)
+        with pytest.raises(Exception, match="not a GeoJSON feature"):
+            R.scan_labels(spark, str(tmp_path / "x.geojson")).collect()
+
+
+def test_admin_files_to_buildings(spark, tmp_path):
+    d = 0.0002
+    shapes = {1: [({"row_id": 0, "ADM1_EN": "N"}, box(30, 50, 2, 1))], 2: [({"row_id": i, "ADM1_EN": "N", "ADM2_EN": f"D{i}"}, box(30 + i, 50, 1, 1)) for i in range(2)]}
+    shapes[3] = [({"row_id": i, "ADM1_EN": "N", "ADM2_EN": f"D{i // 2}", "ADM3_EN": f"P{i}"}, box(30 + i / 2, 50, 0.5, 1)) for i in range(4)]
+    admin = []
+    for level, rows in shapes.items():
+        (tmp_path / f"adm{level}.geojson").write_text("\n".join(feature(p, "Polygon", [ring]) for p, ring in rows))
+        admin.append(R.scan_admin(spark, str(tmp_path / f"adm{level}.geojson"), level))
+    raw = polygons(spark, [(f"b{i}", '[{"dataset": "s"}]', None, [box(30.25 + i / 2, 50.5, d, d)]) for i in range(4)], "id string, sources string, class string")
+    country = polygons(spark, [(1, [box(29, 49, 5, 5)])], "part int")
+    aois = polygons(spark, [("A", [box(29, 49, 5, 5)])], "aoi string")
+    labels = spark.createDataFrame([("l", "A", 1, date(2022, 3, 1), 30.25, 50.5)], "unosat_id string, aoi string, damage int, date date, lon double, lat double")
+    got = {r.building_id: (r.adm1_id, r.adm2_id, r.adm3_id, r.unosat_id) for r in B.enrich_buildings(raw, country, labels, aois, *admin).collect()}
+    assert got == {f"b{i}": ("1_0", f"2_{i // 2}", f"3_{i}", "l" if i == 0 else None) for i in range(4)}
+    (tmp_path / "none.geojson").write_text(feature({"ADM1_EN": "N"}, "Polygon", [box(0, 0, 1, 1)]))
+    with pytest.raises(Exception, match="no row_id"):
+        R.scan_admin(spark, str(tmp_path / "none.geojson"), 1).collect()
+
+
+# ---- country inference
+
+
+class Post:
+    """A fixed model: the post mean itself, so that scores show what the features were."""
+
+    def __init__(self, column):
+        self.column = column
+
+    def transform(self, df):
+        from pyspark.ml.functions import array_to_vector
+
+        return df.withColumn("probability", array_to_vector(F.array(1 - F.col(self.column), F.col(self.column))))
+
+
+def line_of_cells(spark):
+    """Cells 0..3 over two tiles with values 0..3 in every image."""
+    days = [datetime(2020, 3, d) for d in range(1, 7)] + [datetime(2022, 3, d) for d in range(1, 7)]
+    scenes = [(q, k, 7, t) for k, t in enumerate(days) for q in ("0", "1")]
+    cells = [("0" if x < 2 else "1", k, 7, t, x, 0, float(x), 1.0) for k, t in enumerate(days) for x in range(4)]
+    s = spark.createDataFrame(scenes, "qk string, scene_id int, orbit int, ts timestamp_ntz")
+    return s, spark.createDataFrame(cells, "qk string, scene_id int, orbit int, ts timestamp_ntz, cx int, cy int, VV double, VH double")
+
+
+def test_windows_cross_tile_borders_and_nothing_runs_on_pixels_before(spark, tmp_path):
+    scenes, pixels = line_of_cells(spark)
+    post = [Period.of("2022-02-24", "2022-08-23")]
+    cfg = RunConfig(post=post, reducers=["mean"], window=["3x3"])
+    seen = []
+    watched = pixels.mapInArrow(lambda batches: batches, pixels.schema)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plan", "plan")
+    out = I.predict_area(watched, scenes, Post("VV_post_3x3_mean"), cfg, post)
+    stages = [s for j in tracker.getJobIdsForGroup("plan") for s in tracker.getJobInfo(j).stageIds]
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert stages and seen == [] and "MapInArrow" in out._jdf.queryExecution().executedPlan().toString()
+    got = {r.cx: (r.qk, r.value) for r in out.collect()}
+    assert got == {0: ("0", 0.5), 1: ("0", 1.0), 2: ("1", 2.0), 3: ("1", 2.5)}
+    # named orbits are used whatever their images; others are not
+    assert I.predict_area(pixels, scenes.limit(0), Post("VV_post_3x3_mean"), cfg, post, orbits=[7]).count() == 4
+    assert I.predict_area(pixels, scenes, Post("VV_post_3x3_mean"), cfg, post, orbits=[8]).count() == 0
+    # a run that lacks one tile sees its neighbour's cells
+    path = str(tmp_path / "out")
+    tiles = spark.createDataFrame([("0",), ("1",)], "qk string")
+    scaled = pixels.withColumn("VV", F.col("VV") / 4)
+    I.predict_country(spark, scaled, scenes, tiles.where("qk = '1'"), Post("VV_post_3x3_mean"), cfg, path)
+    I.predict_country(spark, scaled, scenes, tiles, Post("VV_post_3x3_mean"), cfg, path)
+    assert {r.cx: r.value for r in spark.read.parquet(path).collect()} == {x: int(v / 4 * 255) for x, (_, v) in got.items()}
+
+
+def test_one_odd_window_only():
+    assert I.window_size(["3x3"]) == 3 and I.window_size("11x11") == 11
+    for bad in (["1x1", "3x3"], "2x2", "3x5", "three", []):
+        with pytest.raises(ValueError):
+            I.window_size(bad)
+
+
+def test_resume_reads_only_folders_of_missing_tiles_and_notes_empty_ones(spark, tmp_path):
+    scenes, pixels = line_of_cells(spark)
+    pixels.write.partitionBy("qk").parquet(str(tmp_path / "px"))
+    stored = spark.read.schema(pixels.schema).parquet(str(tmp_path / "px"))
+    plan = I.of_tiles(stored, ["1"])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [(qk" in plan.replace("isnotnull(qk#", "isnotnull(q") or "(qk" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
+    cfg = RunConfig(post=[Period.of("2022-02-24", "2022-08-23")], reducers=["mean"])
+    tiles = spark.createDataFrame([("1",), ("3",)], "qk string")
+    path = str(tmp_path / "out")
+    I.predict_country(spark, stored, scenes, tiles, Post("VH_post_1x1_mean"), cfg, path)
+    assert {r.qk for r in I.written_units(spark, path).collect()} == {"1", "3"} and spark.read.parquet(path).count() == 2
+
+
+def test_neighbours_of_tiles():
+    from scarmap.operators.tiles import with_neighbours
+
+    assert with_neighbours(["0"]) == ["0", "1", "2", "3"]
+    assert with_neighbours(["00"]) == ["00", "01", "02", "03"]
+    assert set(with_neighbours(["03"])) == {"00", "01", "02", "03", "10", "12", "20", "21", "30"}
+
+
+def test_cluster_without_a_checkpoint_folder_is_an_error():
+    from types import SimpleNamespace
+
+    from scarmap import cluster
+
+    context = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://somewhere:7077")
+    bare = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: d), sparkContext=context)
+    for call in (cluster.checkpoint_folder, cluster.own_checkpoint_folder):
+        with pytest.raises(RuntimeError):
+            call(bare)
+
+
+def test_stored_predictions_are_used_again(spark, tmp_path):
+    store, cfg = X.Store(str(tmp_path)), RunConfig(run_id="old")
+    rows = [("UKR5", "u", p.start, 200, date(2022, 3, 1), 1) for p in cfg.post]
+    spark.createDataFrame(rows, "aoi string, unosat_id string, start_post date, pred int, date date, damage int").write.parquet(store.predictions(cfg))
+    got = X.run_experiment(spark, store, None, cfg).first()
+    assert got.tp > 0 and got.fn == 0

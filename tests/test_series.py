@@ -178,6 +178,20 @@ def test_mosaic_and_orbits(spark):
         R.combine_orbits(df, ["cx"], "mode")
 
 
+def test_a_missing_value_never_wins_a_mosaic(spark):
+    rows = spark.createDataFrame([(0, 0, 1, 5.0), (0, 0, 2, None), (1, 0, 1, None)], "cx int, cy int, tile int, value double")
+    assert {r.cx: r.value for r in R.mosaic(rows, ["cx", "cy"], "tile").collect()} == {0: 5.0, 1: None}
+
+
+def test_points_without_a_pixel_are_kept(spark):
+    grid = R.Grid(0.0, 0.0, 1.0, 1.0)
+    points = spark.createDataFrame([("a", 0.5, 0.5), ("b", 5.5, 5.5)], "id string, lon double, lat double")
+    pixels = spark.createDataFrame([(0, 0, 1, 7.0)], "cx int, cy int, post_date int, value double")
+    got = {(r.id, r.post_date): r.value for r in R.nearest_values(points, pixels, grid, (0, 9, 0, 9), ["id"], dates=[1, 2], fill=0.0).collect()}
+    assert got == {("a", 1): 7.0, ("a", 2): 0.0, ("b", 1): 0.0, ("b", 2): 0.0}
+    assert {(r.id, r.value) for r in R.nearest_values(points, pixels, grid, (0, 9, 0, 9), ["id"]).collect()} == {("a", 7.0), ("b", None)}
+
+
 def test_quantise_cuts_the_fraction(spark):
     df = spark.createDataFrame([(0.0,), (0.5,), (0.9999,), (1.0,), (None,)], "p double")
     assert [r[0] for r in df.select(V.quantised(F.col("p"))).collect()] == [0, 127, 254, 255, None]
