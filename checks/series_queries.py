@@ -173,8 +173,8 @@ def pixel_features(spark, sf):
 
 @query("rename_features", sql("SELECT unosat_id, round(avg(VV) + 1e-9, 6) + 0.0 AS VV_pre_1x1_mean FROM obs GROUP BY 1", "obs"))
 def rename_features(spark, sf):
-    names = {f"VV_{r}": f"VV_pre_1x1_{r}" for r in ["mean"]}
-    return rounded(T.reduce_groups(D.obs(spark, sf), ["unosat_id"], ["VV"], ["mean"]).withColumnsRenamed(names))
+    stats = T.reduce_groups(D.obs(spark, sf), ["unosat_id"], ["VV"], ["mean"])
+    return rounded(T.rename_features(stats, ["VV"], ["mean"], "pre", "1x1"))
 
 
 @query("series_of_point", sql("SELECT o.unosat_id, o.orbit, o.VH, o.ts, l.damage FROM obs o JOIN point_labels l USING (aoi, unosat_id) WHERE damage = 1", "obs", "point_labels"))
@@ -460,7 +460,7 @@ def quantise(spark, sf):
 
 @query("json_path", "SELECT event_id, json_extract_string(props, '$.k') AS k FROM events")
 def json_path(spark, sf):
-    return read(spark, sf, "events").select("event_id", F.get_json_object("props", "$.k").alias("k"))
+    return read(spark, sf, "events").select("event_id", V.json_value(F.col("props"), "$.k").alias("k"))
 
 
 @query(

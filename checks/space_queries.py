@@ -519,7 +519,7 @@ def unpivot_dates(spark, sf):
 
 @query("sorted_measures", sql(f"SELECT building_id, post_date, round(weighted_mean + 1e-9, 6) + 0.0 AS weighted_mean, max FROM ({_OZ}) ORDER BY 1, 2", "overlap"))
 def sorted_measures(spark, sf):
-    return rounded(Z.zonal_measures(D.overlap(spark, sf)), "weighted_mean").orderBy("building_id", "post_date")
+    return Z.sorted_measures(rounded(Z.zonal_measures(D.overlap(spark, sf)), "weighted_mean"))
 
 
 @query("admin_hierarchy", """SELECT c_custkey AS row_id, '3_' || c_custkey AS adm3_id, 'region ' || n_regionkey AS ADM1_EN, c_mktsegment AS ADM2_EN, c_name AS ADM3_EN,

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+import io
+import pathlib
+import tempfile
+import zipfile
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,7 +36,22 @@ def session(name: str = "scarmap", **conf) -> SparkSession:
     )
     for k, v in conf.items():
         b = b.config(k.replace("__", "."), v)
-    return b.getOrCreate()
+    spark = b.getOrCreate()
+    ship_package(spark)
+    return spark
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the executors, whose functions name its modules; for sessions of clusters without it."""
+    package = pathlib.Path(__file__).resolve().parent
+    held = io.BytesIO()
+    with zipfile.ZipFile(held, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.writestr(zipfile.ZipInfo(str(f.relative_to(package.parent))), f.read_bytes())
+    path = pathlib.Path(tempfile.gettempdir()) / f"scarmap-{hashlib.sha256(held.getvalue()).hexdigest()[:16]}.zip"
+    if not path.exists():
+        path.write_bytes(held.getvalue())
+    spark.sparkContext.addPyFile(str(path))
 
 
 def checkpoint_folder(spark: SparkSession) -> str:

@@ -34,6 +34,11 @@ def quantised(probability: Column) -> Column:
     return clamp((probability * LEVELS).cast("int"), 0, LEVELS).cast("short")
 
 
+def json_value(text: Column, path: str) -> Column:
+    """Text of the value at a path; null where there is none or the text is not JSON."""
+    return F.get_json_object(text, path)
+
+
 def int_list(packed: Column) -> Column:
     """``"43,94"`` to an array of integers."""
     return F.transform(F.split(packed, ","), lambda s: F.trim(s).cast("int"))

@@ -80,10 +80,14 @@ def focal_mean(pixels: DataFrame, scene_keys: list[str], bands: list[str], radiu
     return sums.where(F.col("_own") & inner).select(*scene_keys, "cx", "cy", *means, *kept)
 
 
-def mosaic(tiles: DataFrame, keys: list[str], order: str, value: str = "value") -> DataFrame:
-    """One value per cell where tiles overlap: the tile that comes last in ``order`` and has a value wins."""
+def mosaic(tiles: DataFrame, keys: list[str], order: str, value: str = "value", cluster_by: list[str] | None = None) -> DataFrame:
+    """One value per cell where tiles overlap: the tile that comes last in ``order`` and has a value wins.
+
+    With ``cluster_by``, a subset of the keys, rows are shuffled on it, and a later join on it does not move them again.
+    """
     last = F.max_by(value, F.when(F.col(value).isNotNull(), F.col(order)))
-    return tiles.groupBy(*keys).agg(last.alias(value))
+    rows = tiles if cluster_by is None else tiles.select(*keys, order, value).repartition(*cluster_by)
+    return rows.groupBy(*keys).agg(last.alias(value))
 
 
 def combine_orbits(preds: DataFrame, keys: list[str], how: str = "mean", value: str = "value") -> DataFrame:

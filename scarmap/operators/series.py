@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scarmap.cluster import HOT_GROUP_ROWS, checked_broadcast, join_null_safe, split_hot
-from scarmap.config import Period
+from scarmap.config import Period, feature_names
 from scarmap.functions.values import in_period
 from scarmap.operators.quantiles import large_medians
 
@@ -142,6 +142,12 @@ def period_features(
     return rows.select(*keys, *BOUNDS, *(counts if count_as else []), *stats_columns)
 
 
+def rename_features(stats: DataFrame, bands: list[str], names: list[str], period: str, window: str) -> DataFrame:
+    """Statistics of one period named as model inputs: ``{band}_{period}_{window}_{reducer}``."""
+    plain = [f"{b}_{n}" for b in bands for n in names]
+    return stats.withColumnsRenamed(dict(zip(plain, feature_names(bands, window, names, (period,)), strict=True)))
+
+
 def series_of_points(obs: DataFrame, points: DataFrame, columns: list[str]) -> DataFrame:
     """Stored observations of the given points, with ``columns`` of the points; a point without observations has no row."""
     keys = ["aoi", "unosat_id"]

@@ -146,6 +146,11 @@ def zonal_measures(overlap: DataFrame, keys=("building_id",), date: str = "post_
     )
 
 
+def sorted_measures(measures: DataFrame, keys=("building_id",), date: str = "post_date") -> DataFrame:
+    """Measures by building and date, as a report lists them."""
+    return measures.orderBy(*keys, date)
+
+
 def attach_zonal(buildings: DataFrame, measures: DataFrame, keys=("building_id",)) -> DataFrame:
     """Measures of every date onto buildings; buildings without pixels keep nulls."""
     return buildings.join(measures, list(keys), "left")

@@ -70,7 +70,7 @@ def enrich_buildings(raw, country, labels, aois, adm1, adm2, adm3, order: str =
 
 
 def predictions_to_buildings(buildings: DataFrame, tiles: DataFrame, grid: Grid, dates: list) -> DataFrame:
-    """Tiles to one raster, raster onto buildings, one prediction column per window start."""
-    raster = R.mosaic(tiles, ["cx", "cy", "post_date"], "qk")
+    """Tiles to one raster, raster onto buildings, one prediction column per window start. Pixels are shuffled once, by cell."""
+    raster = R.mosaic(tiles, ["cx", "cy", "post_date"], "qk", cluster_by=["cx", "cy"])
     means = Z.wide_means(Z.pixels_x_buildings(buildings, raster, grid), dates)
     return buildings.join(means, "building_id", "left")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import struct
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,7 +10,7 @@ from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from scarmap.config import BAD_ORBITS, Period
 from scarmap.functions import geometry as G
-from scarmap.functions.values import nan_to_null, period_text
+from scarmap.functions.values import json_value, nan_to_null, period_text
 from scarmap.operators import labels as L
 from scarmap.operators.scenes import valid_orbits
 from scarmap.operators.series import join_features
@@ -199,42 +197,68 @@ def scan_building_preds(spark: SparkSession, path: str) -> DataFrame:
 _RINGS = ArrayType(ArrayType(StructType([StructField("x", DoubleType()), StructField("y", DoubleType())])))
 
 
-def _wkb_rings(data: bytes, at: int = 0):
-    """(arrays of vertices, one per ring; offset after the geometry)."""
-    order = "<" if data[at] == 1 else ">"
-    kind = struct.unpack_from(order + "I", data, at + 1)[0]
-    dims = 2 + (kind // 1000 in (1, 2)) + 2 * (kind // 1000 == 3)
-    kind, at = kind % 1000, at + 5
-
-    def vertices(n):
-        nonlocal at
-        xy = np.frombuffer(data, order + "f8", n * dims, at).reshape(n, dims)[:, :2]
-        at += n * dims * 8
-        return xy.astype("f8")
-
-    def count():
-        nonlocal at
-        at += 4
-        return struct.unpack_from(order + "I", data, at - 4)[0]
-
-    if kind == 1:
-        return [vertices(1)], at
-    if kind == 3:
-        rings = [vertices(count()) for _ in range(count())]
-        return [_turned(r, i == 0) for i, r in enumerate(rings)], at
-    if kind in (4, 6):
-        rings = []
-        for _ in range(count()):
-            part, at = _wkb_rings(data, at)
-            rings += part
-        return rings, at
-    raise ValueError(f"geometry type {kind} is not supported")
-
-
-def _turned(ring: np.ndarray, outer: bool) -> np.ndarray:
-    x, y = (ring - ring[0]).T
-    counter_clockwise = np.dot(x[:-1], y[1:]) - np.dot(x[1:], y[:-1]) >= 0
-    return ring if counter_clockwise == outer else ring[::-1]
+def _read(data: np.ndarray, at: np.ndarray, big: np.ndarray, kind: str) -> np.ndarray:
+    """Numbers of the given kind at byte positions, big-endian where ``big``."""
+    raw = data[at[:, None] + np.arange(np.dtype(kind).itemsize)]
+    return np.where(big, raw.view(f">{kind}")[:, 0], raw.view(f"<{kind}")[:, 0])
+
+
+def _wkb_layout(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(row, first byte, vertices, numbers per vertex, big-endian, outer) of every ring, in order per row.
+
+    All geometries of a batch are read side by side, one header or ring of each at a time.
+    """
+    n = len(starts)
+    at, parts, rings = starts.astype("i8"), np.ones(n, "i8"), np.zeros(n, "i8")
+    dims, big, outer = np.full(n, 2), np.zeros(n, bool), np.zeros(n, bool)
+    found = []
+    while len(head := np.flatnonzero((rings == 0) & (parts > 0))) or rings.any():
+        if len(head):
+            big[head] = data[at[head]] == 0
+            kind = _read(data, at[head] + 1, big[head], "u4").astype("i8")
+            dims[head] = 2 + np.isin(kind // 1000, (1, 2)) + 2 * (kind // 1000 == 3)
+            kind %= 1000
+            if not np.isin(kind, (1, 3, 4, 6)).all():
+                raise ValueError(f"geometry type {kind[~np.isin(kind, (1, 3, 4, 6))][0]} is not supported")
+            at[head] += 5
+            point, counted = head[kind == 1], head[kind != 1]
+            many = kind[kind != 1] != 3
+            count = _read(data, at[counted], big[counted], "u4").astype("i8")
+            at[counted] += 4
+            parts[counted[many]] += count[many] - 1
+            rings[counted[~many]] = count[~many]
+            parts[counted[~many][count[~many] == 0]] -= 1
+            outer[counted] = True
+            found.append((point, at[point], np.ones(len(point), "i8"), dims[point], big[point], np.ones(len(point), bool)))
+            at[point] += 8 * dims[point]
+            parts[point] -= 1
+        ring = np.flatnonzero(rings > 0)
+        size = _read(data, at[ring], big[ring], "u4").astype("i8")
+        found.append((ring, at[ring] + 4, size, dims[ring], big[ring], outer[ring]))
+        at[ring] += 4 + 8 * size * dims[ring]
+        rings[ring] -= 1
+        outer[ring] = False
+        parts[ring[rings[ring] == 0]] -= 1
+    columns = [np.concatenate(c) for c in zip(*found, strict=True)] if found else [np.zeros(0, "i8")] * 6
+    order = np.argsort(columns[0], kind="stable")
+    return tuple(c[order] for c in columns)
+
+
+def _wkb_vertices(data: np.ndarray, at: np.ndarray, size: np.ndarray, dims: np.ndarray, big: np.ndarray, outer: np.ndarray) -> np.ndarray:
+    """Vertices (x, y) of all rings, outer rings counter-clockwise, holes clockwise."""
+    ring = np.repeat(np.arange(len(size)), size)
+    place = np.arange(len(ring)) - np.repeat(np.cumsum(size) - size, size)
+    first = at[ring] + 8 * place * dims[ring]
+    xy = np.stack([_read(data, first + 8 * k, big[ring], "f8") for k in (0, 1)], 1) if len(ring) else np.zeros((0, 2))
+    begin = np.cumsum(size) - size
+    x, y = (xy - xy[begin[ring]]).T if len(ring) else xy.T
+    last = place == size[ring] - 1
+    cross = np.zeros(len(ring))
+    cross[:-1] = x[:-1] * y[1:] - x[1:] * y[:-1]
+    cross[last] = 0
+    turned = (np.bincount(ring, cross, len(size)) >= 0) != outer
+    source = np.where(turned[ring], begin[ring] + size[ring] - 1 - place, np.arange(len(ring)))
+    return xy[source]
 
 
 def normalise_geometry(df: DataFrame, wkb: str = "geometry") -> DataFrame:
@@ -244,15 +268,18 @@ def normalise_geometry(df: DataFrame, wkb: str = "geometry") -> DataFrame:
 
     def decode(batches):
         for batch in batches:
-            shapes = [None if b is None else _wkb_rings(b)[0] for b in batch.column(batch.schema.get_field_index(wkb)).to_pylist()]
-            rings = [r for s in shapes for r in s or []]
-            flat = np.concatenate(rings) if rings else np.empty((0, 2))
+            column = batch.column(batch.schema.get_field_index(wkb)).cast(pa.large_binary())
+            offsets = np.frombuffer(column.buffers()[1], "i8")[column.offset : column.offset + len(column) + 1]
+            data = np.frombuffer(column.buffers()[2] or b"", "u1")
+            missing = column.is_null().to_numpy(zero_copy_only=False)
+            there = np.flatnonzero(~missing)
+            row, *rings = _wkb_layout(data, offsets[there])
+            flat = _wkb_vertices(data, *rings)
             xy = pa.StructArray.from_arrays([pa.array(flat[:, 0]), pa.array(flat[:, 1])], names=["x", "y"])
-            ends = np.cumsum([0, *map(len, rings)]).astype("int32")
+            ends = np.concatenate([[0], np.cumsum(rings[1])]).astype("int32")
             per_ring = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), xy)
-            upto = np.cumsum([0, *[len(s or []) for s in shapes]]).astype("int32")
-            missing = [s is None for s in shapes] + [False]
-            per_row = pa.ListArray.from_arrays(pa.array(upto, pa.int32(), mask=np.array(missing)), per_ring)
+            upto = np.concatenate([[0], np.cumsum(np.bincount(there[row], minlength=len(column)))]).astype("int32")
+            per_row = pa.ListArray.from_arrays(pa.array(upto, pa.int32(), mask=np.append(missing, False)), per_ring)
             yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index(n)) for n in names] + [per_row], names=[*names, "rings"])
 
     decoded = df.select(*names, wkb).mapInArrow(decode, StructType([*kept, StructField("rings", _RINGS)]))
@@ -263,7 +290,7 @@ def project_buildings(raw: DataFrame) -> DataFrame:
     """Source, id, class, area in square metres and centroid of normalised buildings."""
     centre = G.centroid(F.col("edges"))
     return raw.select(
-        F.get_json_object("sources", "$[0].dataset").alias("dataset"),
+        json_value(F.col("sources"), "$[0].dataset").alias("dataset"),
         F.col("id").alias("building_id"),
         F.col("class").alias("osm_class"),
         "rings",

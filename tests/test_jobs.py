@@ -1,6 +1,8 @@
 """Sources, sinks and whole jobs on small made-up worlds."""
 
 import json
+import os
+import pathlib
 import random
 from datetime import date, datetime, timedelta
 
@@ -249,6 +251,34 @@ def test_predictions_to_buildings(spark):
     )
     got = {r.building_id: (r[f"pred_{d1}"], r[f"pred_{d2}"]) for r in B.predictions_to_buildings(b, tiles, grid, [d1, d2]).collect()}
     assert got == {1: (pytest.approx(20.0), 200.0), 2: (None, None)}
+    plan = B.predictions_to_buildings(b, tiles, grid, [d1, d2])._jdf.queryExecution().executedPlan().toString()
+    raster = [line for line in plan.split("\n") if "Exchange hashpartitioning(cx" in line]
+    assert len(raster) == 2  # the raster by cell, and the overlaps to meet it
+
+
+def test_a_spatial_join_from_another_folder(tmp_path):
+    import subprocess
+    import sys
+
+    code = f"""
+import sys
+sys.path.insert(0, {str(pathlib.Path(R.__file__).resolve().parents[2])!r})
+from scarmap.cluster import own_checkpoint_folder, session
+from scarmap.functions import geometry as G
+from scarmap.operators import cover as C
+from scarmap.operators.raster import Grid
+from scarmap.sources.readers import with_geometry
+spark = session("elsewhere", spark__master="local[2]", spark__sql__shuffle__partitions="2", spark__ui__showConsoleProgress="false")
+own_checkpoint_folder(spark)
+box = [(0.0, 0.0), (2.0, 0.0), (2.0, 2.0), (0.0, 2.0), (0.0, 0.0)]
+shape = with_geometry(spark.createDataFrame([(1, [box])], "k int, rings " + G.RINGS_DDL))
+points = spark.createDataFrame([(1, 1.0, 1.5), (2, 5.0, 5.0)], "id int, lon double, lat double")
+grid = Grid(0.0, 0.0, 1.0, 1.0)
+print("found", C.points_in_polygons(points, C.cell_cover(shape, ["k"], grid), grid).count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "found 1" in done.stdout, done.stderr[-2000:]
 
 
 # ---- models
