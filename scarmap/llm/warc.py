@@ -179,7 +179,7 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, shard_byte
         keyed.select("key", "digest", F.lit(1).alias("kind"), "url", "payload", F.lit(None).cast("long").alias("first"))
         .unionByName(flags.select("key", "digest", F.lit(0).alias("kind"), F.lit(None).cast("string").alias("url"), F.lit(None).cast("binary").alias("payload"), "first"))
         .withColumn("shard", shard("key"))
-        .repartition(max(len(first), 1), "shard").sortWithinPartitions("shard", "key", "digest", "kind", "url")
+        .repartitionById(max(len(first), 1), F.col("shard").cast("int")).sortWithinPartitions("shard", "key", "digest", "kind", "url")
         .select("shard", "key", "digest", "kind", "first", "url", "payload")
     )
 
@@ -201,7 +201,7 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, shard_byte
         yield pa.record_batch([pa.array(list(c), k) for c, k in zip(list(zip(*files.done, strict=True)) or [()] * 6, [pa.string(), pa.string(), *[pa.int64()] * 3, pa.string()], strict=True)], ["file", "part", "shard", "n_records", "n_bytes", "sha1"])
 
     parts = stored(rows.mapInArrow(write, MANIFEST))
-    parts.repartition("file").mapInArrow(_mover(folder), "file string").count()
+    spread(parts.select("file", "part")).mapInArrow(_mover(folder), "file string").count()
     parts.drop("part").coalesce(1).write.parquet(posixpath.join(folder, "manifest"))
     where, path = file_system(folder)
     where.delete_dir(posixpath.join(path, "_parts"))  # what is left there belongs to attempts that did not count
@@ -256,7 +256,7 @@ RECORDS = "file string, offset_no long, record_id string, record_type string, pa
 def read_archives(manifest: DataFrame, folder: str, payloads: bool = True) -> DataFrame:
     """One row per page record of the files in ``manifest``, verified; payload is null for revisits (or if not asked for).
 
-    Files are read one record at a time by as many tasks as there are files.
+    Files are read one record at a time, each by a task of its own.
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -283,7 +283,7 @@ def read_archives(manifest: DataFrame, folder: str, payloads: bool = True) -> Da
                             rows, held = [], 0
                 yield _batch(rows)
 
-    return manifest.select("file").repartition("file").mapInArrow(read, RECORDS)
+    return spread(manifest.select("file")).mapInArrow(read, RECORDS)
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -306,6 +306,11 @@ FROM n
 """
 
 
+def spread(files: DataFrame) -> DataFrame:
+    """Rows that name files, dealt one by one to as many partitions as there are files."""
+    return files.repartition(max(files.count(), 1))
+
+
 def folder_for(spark: SparkSession) -> str:
     return f"{checkpoint_folder(spark)}/warc-{uuid.uuid4().hex}"
 
