@@ -22,7 +22,7 @@ def dedupe_labels(labels: DataFrame, place: list[str], how: str = "last") -> Dat
     elif how == "min":
         rank = F.col("damage")
     else:
-        raise ValueError("how must be 'last' or 'min'")
+        raise ValueError(f"labels are reduced by latest epoch (last) or strongest damage (min), not by {how!r}")
     best = F.min_by(F.struct(*labels.columns), F.struct(rank.isNull(), rank, F.col("unosat_id")))
     return labels.groupBy(*[F.col(c).alias(f"_{c}") for c in place]).agg(best.alias("_row")).select("_row.*")
 

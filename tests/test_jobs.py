@@ -411,19 +411,42 @@ def line_of_cells(spark):
     return s, spark.createDataFrame(cells, "qk string, scene_id int, orbit int, ts timestamp_ntz, cx int, cy int, VV double, VH double")
 
 
+def counted(df):
+    """``df``, and an accumulator of how many of its rows have been evaluated."""
+    rows = df.sparkSession.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            rows.add(batch.num_rows)
+            yield batch
+
+    return df.mapInArrow(count, df.schema), rows
+
+
+def test_orbits_and_broadcast_sides_are_evaluated_once(spark):
+    from scarmap.cluster import checked_broadcast
+    from scarmap.operators.raster import combine_orbits
+
+    preds = spark.createDataFrame([(i % 50, i % 4, float(i)) for i in range(200)], "cx int, orbit int, value double")
+    watched, rows = counted(preds)
+    assert combine_orbits(watched, ["cx"], "median").count() == 50 and rows.value == 200
+    watched, rows = counted(preds)
+    for limit in (0, 1 << 20):
+        watched, rows = counted(preds)
+        joined = preds.join(checked_broadcast(watched, limit), ["cx", "orbit"])
+        assert joined.count() == 400 and rows.value == 200
+        assert ("BroadcastExchange" in joined._jdf.queryExecution().executedPlan().toString()) == (limit > 0) or limit == 0
+
+
 def test_windows_cross_tile_borders_and_nothing_runs_on_pixels_before(spark, tmp_path):
     scenes, pixels = line_of_cells(spark)
     post = [Period.of("2022-02-24", "2022-08-23")]
     cfg = RunConfig(post=post, reducers=["mean"], window=["3x3"])
-    seen = []
-    watched = pixels.mapInArrow(lambda batches: batches, pixels.schema)
-    tracker = spark.sparkContext.statusTracker()
-    spark.sparkContext.setJobGroup("plan", "plan")
+    watched, rows = counted(pixels)
     out = I.predict_area(watched, scenes, Post("VV_post_3x3_mean"), cfg, post)
-    stages = [s for j in tracker.getJobIdsForGroup("plan") for s in tracker.getJobInfo(j).stageIds]
-    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
-    assert stages and seen == [] and "MapInArrow" in out._jdf.queryExecution().executedPlan().toString()
+    assert rows.value == 0
     got = {r.cx: (r.qk, r.value) for r in out.collect()}
+    assert rows.value == pixels.count()
     assert got == {0: ("0", 0.5), 1: ("0", 1.0), 2: ("1", 2.0), 3: ("1", 2.5)}
     # named orbits are used whatever their images; others are not
     assert I.predict_area(pixels, scenes.limit(0), Post("VV_post_3x3_mean"), cfg, post, orbits=[7]).count() == 4
