@@ -48,39 +48,47 @@ def star_units(pairs: DataFrame, carry: list[str] = [], members: int = MEMBERS_P
     return heads.unionByName(dealt.select("center", "part", F.lit(1).alias("role"), F.col("member").alias("doc_id"), *carry))
 
 
-def components(edges: DataFrame) -> DataFrame:
+#: edges that one partition holds between turns
+EDGES_TOGETHER = 250_000
+
+
+def components(edges: DataFrame, turns: int | None = None) -> DataFrame:
     """(node, component) of the connected components of ``edges`` (a, b): component is the smallest node.
 
     Every partition first reduces its edges to a spanning forest by union-find. Then neighbours are
-    re-hung onto the smallest one, by turns those above a node and those below it, until nothing changes;
-    the number of turns grows with the logarithm of the longest chain. Only pairs of numbers move.
+    re-hung onto the smallest one, by turns those above a node and those below it, until every node hangs on one
+    root; the number of turns grows with the logarithm of the longest chain. Only pairs of numbers move.
+
+    With ``turns`` it ends after so many: then nodes of one component are connected, but not all connected
+    nodes need be in one.
     """
-    stars = settle(edges.select("a", "b").mapInArrow(_forest, "a long, b long"))
-    while True:
+    stars = _kept(edges.select("a", "b").mapInArrow(_forest, "a long, b long"))
+    done = 0
+    while (turns is None or done < turns) and not _stars_only(stars):
         both = stars.unionByName(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), "a").alias("m"))
-        above = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        down = above.where("a > b").distinct()
-        least = down.groupBy("a").agg(F.min("b").alias("m"))
-        below = down.join(least, "a")
-        turned = settle(
-            below.select("a", F.col("m").alias("b"))
-            .unionByName(below.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")))
-            .distinct()
-        )
-        if _same(stars, turned):
-            break
-        stars = turned
-    return (
-        turned.select(F.col("a").alias("node"), F.col("b").alias("component"))
-        .unionByName(turned.select(F.col("b").alias("node"), F.col("b").alias("component")))
-        .distinct()
-    )
-
-
-def _same(x: DataFrame, y: DataFrame) -> bool:
-    of = [F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))]
-    return x.distinct().agg(*of).first() == y.agg(*of).first()
+        above = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a > b")
+        lowest = above.groupBy("a").agg(F.min("b").alias("m"))
+        below = above.join(lowest, "a")
+        roots = below.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        stars = _kept(below.select("a", F.col("m").alias("b")).unionByName(roots).distinct())
+        done += 1
+    ends = stars.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(stars.select(F.col("b").alias("node"), F.col("b").alias("component")))
+    return ends.groupBy("node").agg(F.min("component").alias("component"))
+
+
+def _kept(edges: DataFrame) -> DataFrame:
+    """Edges settled in as many partitions as their number asks for."""
+    held = settle(edges)
+    parts = -(-held.count() // EDGES_TOGETHER)
+    return held.coalesce(max(parts, 1))
+
+
+def _stars_only(edges: DataFrame) -> bool:
+    """Every node hangs on one other, and none that others hang on hangs itself."""
+    ends = edges.distinct().select("a", F.lit(1).alias("hangs"), F.lit(0).alias("holds")).unionByName(edges.select(F.col("b").alias("a"), F.lit(0).alias("hangs"), F.lit(1).alias("holds")))
+    wrong = ends.groupBy("a").agg(F.sum("hangs").alias("hangs"), F.max("holds").alias("holds")).where("hangs > 1 or hangs + holds > 1")
+    return wrong.limit(1).count() == 0
 
 
 def find(root: dict[int, int], x: int) -> int:
