@@ -117,6 +117,13 @@ def _thresholds(free: np.ndarray) -> np.ndarray:
     return np.cumsum(np.concatenate([free[:1], np.exp(free[1:])]))
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """Batches cut small, as one number per feature and row is held beside them."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, rows):
+            yield batch.slice(i, rows)
+
+
 def _scales(rated: DataFrame, n: int, bits: int) -> np.ndarray:
     """Fourth root of every feature's root mean square, with a floor for the ridge.
 
@@ -125,7 +132,7 @@ def _scales(rated: DataFrame, n: int, bits: int) -> np.ndarray:
 
     def squares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << bits, dtype=np.float32)
-        for batch in batches:
+        for batch in _slices(batches):
             lists = batch.column(2)
             row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
             times = np.unique(row.astype(np.int64) << bits | lists.flatten().to_numpy(), return_counts=True)
@@ -143,7 +150,7 @@ def _gradient(rated: DataFrame, n: int, x: np.ndarray, bits: int) -> tuple[float
     def slopes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, thresholds = sent.value
         loss, by_weight, by_cut, first = 0.0, np.zeros(len(weights)), np.zeros(len(thresholds)), None
-        for batch in batches:
+        for batch in _slices(batches):
             ids, grades = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             lists = batch.column(2)
             cut, flat = lists.offsets.to_numpy() - lists.offsets[0].as_py(), lists.flatten().to_numpy()
