@@ -26,6 +26,8 @@ from scarmap.llm.shared import stored, table
 
 CAPACITY = 1024
 END = 2
+#: what the vocabulary has beside the rank file, by the contract's file: found in a text, it is one id
+SPECIAL = {"<|endoftext|>": 50256}
 #: pieces of one length that one task numbers
 RANKED_TOGETHER = 100_000
 #: fillings that the search may try in all, and at one place
@@ -34,12 +36,11 @@ MAX_NODES, MAX_FILLINGS = 20_000, 64
 
 @cache
 def _encoder(path: str):
-    """Function from a text to its ids, by the kind of vocabulary file. Special tokens are ordinary text."""
+    """Function from a text to its ids, by the kind of vocabulary file. Both kinds give the same ids, also of SPECIAL."""
     if path.endswith(".json"):
         from tokenizers import Tokenizer
 
         t = Tokenizer.from_file(path)
-        t.encode_special_tokens = True
         return lambda text: t.encode(text, add_special_tokens=False).ids
     import base64
 
@@ -48,7 +49,8 @@ def _encoder(path: str):
 
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    e = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=SPECIAL)
+    return lambda text: e.encode(text, allowed_special="all")
 
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"

@@ -106,3 +106,13 @@ def test_exactly_full_pieces(spark):
     texts = [(i, " a" * n) for i, n in enumerate((1022, 1023, 1024, 2047, 2048))]
     assert [len(t.encode(x, add_special_tokens=False).ids) for _, x in texts] == [1022, 1023, 1024, 2047, 2048]
     whole(P.pack(spark.createDataFrame(texts, "doc_id long, text string"), RANKS).collect(), texts)
+
+
+def test_special_tokens_in_texts_are_one_id(spark):
+    mark = "<|endoftext|>"
+    texts = [(1, f"a{mark}b"), (2, mark), (3, f"{mark}{mark} {mark}\n{mark}"), (4, f"some words {mark} " * 700), (5, f"<|endoftext{mark}|>"), (6, f" {mark}  x  {mark} ")]
+    t = Tokenizer.from_file(JSON)
+    assert t.encode(texts[0][1], add_special_tokens=False).ids == [64, 50256, 65]
+    for path in (RANKS, JSON):
+        assert [P._encoder(path)(x) for _, x in texts] == [t.encode(x, add_special_tokens=False).ids for _, x in texts]
+        whole(P.pack(spark.createDataFrame(texts, "doc_id long, text string"), path).collect(), texts)
