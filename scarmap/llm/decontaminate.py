@@ -208,8 +208,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, keep: list[str], n
     """
     cut = stored(windows(benchmark, window))
     slices = -(-cut.count() // slice_rows)
-    for i in range(max(slices, 1)):
-        rows = cut.where(F.pmod(F.xxhash64("words"), F.lit(max(slices, 1))) == i).collect()
+    for i in range(max(slices, 1)):  # a window of many items is dealt to several slices; what they find is united
+        rows = cut.where(F.pmod(F.xxhash64("words", "item_id"), F.lit(max(slices, 1))) == i).collect()
         last = i + 1 >= slices
         docs = _probe(docs, _probes(rows, docs), keep if last else [*docs.columns[: len(docs.columns) - (i > 0)]], name)
         if not last:

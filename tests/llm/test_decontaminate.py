@@ -69,3 +69,15 @@ def test_clean_documents_keep_their_columns(spark):
     kept = D.clean_documents(docs, spark.createDataFrame([(1, "solo")], "item_id long, text string"))
     assert kept.columns == docs.columns
     assert sorted(map(repr, kept.collect())) == sorted(repr(r) for r in docs.collect() if "solo" not in (r.text or ""))
+
+
+def test_slices_stay_bounded_under_a_shared_phrase(spark, monkeypatch):
+    phrase = " ".join(f"shared{i}" for i in range(12))
+    items = [(i, f"{phrase} own{i}") for i in range(300)]
+    docs = [(1, f"before {phrase} after"), (2, "nothing of it"), (3, f"{phrase} own7")]
+    sizes, made = [], D._probes
+    monkeypatch.setattr(D, "_probes", lambda rows, texts: sizes.append(len(rows)) or made(rows, texts))
+    got = run(spark, docs, items, slice_rows=200)
+    assert len(sizes) == 6 and sum(sizes) == 1200 and max(sizes) < 300
+    monkeypatch.undo()
+    assert got == run(spark, docs, items) == brute(docs, items)
