@@ -6,8 +6,9 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from scarmap.cluster import checkpoint_folder, settle
 
@@ -25,6 +26,26 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def ranked(rows: DataFrame, group: str, order: list[Column | str], place: str = "place", size: str = "size") -> DataFrame:
+    """``rows`` with each one's number (from 0) inside its ``group`` by ``order``, and the size of the group.
+
+    Rows are sorted by ranges, so a group may fill many tasks: a row's number is its number inside its task and group plus
+    the group's rows in the tasks before, and only counts per task and group are added up. ``group`` must not be null. Rows
+    that are equal in ``order`` are told apart by a number that is written with them, so a task that is run again gives
+    the same answer and equal rows are split over tasks too.
+    """
+    tie, at, task, first, before = (fresh(rows, c) for c in ("_tie", "_at", "_task", "_first", "_before"))
+    tied = stored(rows.withColumn(tie, F.monotonically_increasing_id()))
+    keys = [F.col(group), *order, F.col(tie)]
+    # in a sorted task the id is the task's number above 33 bits for the row's number inside the task
+    laid = tied.repartitionByRange(*keys).sortWithinPartitions(*keys).drop(tie).withColumn(at, F.monotonically_increasing_id())
+    laid = stored(laid).withColumn(task, F.shiftright(at, 33))
+    parts = laid.groupBy(group, task).agg(F.min(at).alias(first), F.count("*").alias(size))
+    earlier = Window.partitionBy(group).orderBy(task).rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select(group, task, first, F.coalesce(F.sum(size).over(earlier), F.lit(0)).alias(before), F.sum(size).over(Window.partitionBy(group)).alias(size))
+    return laid.join(parts, [group, task]).withColumn(place, F.col(at) - F.col(first) + F.col(before)).drop(at, task, first, before)
+
+
 def with_texts(units: DataFrame, docs: DataFrame, by: list[str]) -> DataFrame:
     """``units`` (by..., role, doc_id, ...) with the text of each document, grouped by ``by`` and sorted by it
     and role, so that a task can stream one unit after the other: first the rows of role 0, which it holds,
