@@ -6,7 +6,7 @@ import importlib
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
-MODULES = ["knn", "quality", "warc", "passages", "minhash", "packing", "lines", "secrets", "urlrules", "decontaminate", "merkle", "resample"]
+MODULES = ["knn", "quality", "warc", "passages", "minhash", "packing", "lines", "secrets", "urlrules", "decontaminate", "merkle", "resample", "sentencepieces"]
 
 
 def query(name: str, oracle: str | None = None):
