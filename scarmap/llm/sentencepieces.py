@@ -6,17 +6,21 @@ when they stand alone, a prefix of an encoding is the encoding of its own text,
 
 An automaton of all pieces gives the pieces that end at each place. The one that is compatible with the last piece of the
 prefix before it is the last piece of this prefix and goes into a table; the ids are read from the table backwards. This
-takes time in proportion to the text, however long its words are. Compatibility is found by merging the pair alone, once.
+takes time in proportion to the text, however long its words are. Compatibility of a pair is found once, from the merges
+that make either piece.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from functools import cache
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +35,8 @@ from scarmap.llm.shared import fresh, table
 BLANK = "▁"
 #: encodings and pair tests that a task remembers, and the longest remembered part of a text
 REMEMBERED, PART = 1 << 18, 48
+#: letters behind which a text may be cut
+LATIN = "A-Za-zÀ-ɏ"
 #: what stands before the first piece, and for a character that is no piece: nothing merges with either
 OUTSIDE = -1
 
@@ -49,6 +55,7 @@ class Pieces:
         if any(p.type in (kind.USER_DEFINED, kind.UNUSED) for p in model.pieces):
             raise ValueError("pieces that are user-defined or unused are not supported")
         self.text = [p.piece for p in model.pieces]
+        self.length = [len(p.piece) for p in model.pieces]
         self.score = [p.score for p in model.pieces]
         self.number = {p.piece: i for i, p in enumerate(model.pieces) if p.type == kind.NORMAL}
         self.byte = [0] * 256
@@ -62,67 +69,103 @@ class Pieces:
         for piece, i in self.number.items():
             self.found.add_word(piece, (i, len(piece)))
         self.found.make_automaton()
-        # no piece has a blank after another character, or any character that is no piece: texts fall into parts there
-        ends = any(BLANK in p.lstrip(BLANK) for p in self.number)
-        line = "" if "\n" in letters else "\n"
-        self.parts = None if ends else re.compile(f"[ {BLANK}]+[^ {BLANK}{line}]*|[^ {BLANK}{line}]+" + (f"|{line}" if line else ""))
+        self.parts = self._cuts(letters)
+        self.made: dict[int, list | None] = {}
         self.pairs: dict[int, bool] = {}
         self.known: dict[str, list[int]] = {}
+        self.older: dict[str, list[int]] = {}
+
+    def _cuts(self, letters: set[str]) -> re.Pattern:
+        """Cuts a text where no piece lies across: in front of blanks, behind letters, beside line feeds, as far as that is so."""
+        crossed = lambda a, b: any(re.search(f"{a}{b}", p) for p in self.number)
+        blank, latin, line = f" {BLANK}", LATIN, "\n"
+        if crossed(f"[^{BLANK}]", BLANK):
+            return re.compile(r"[\s\S]+")
+        if line in letters:
+            line = ""
+        if crossed(f"[{latin}]", f"[^{latin}]"):
+            latin = ""
+        word = f"[ {BLANK}]*+[^{blank}{latin}{line}]*+" + (f"[{latin}]*+" if latin else "")
+        return re.compile(r"(?!\Z)" + word if not line else rf"{line}|(?!{line}|\Z){word}")
+
+    def history(self, i: int) -> list[tuple[float, str, str]] | None:
+        """How merging the best pair, leftmost among equals, makes piece ``i``: per merge its score, then the first and the
+        last symbol; before any merge, those of its characters. None if its text is not encoded as this piece."""
+        if i not in self.made:
+            symbols = list(self.text[i])
+            made = [(math.inf, symbols[0], symbols[-1])]
+            while len(symbols) > 1:
+                pairs = [(self.score[n], -at) for at, (a, b) in enumerate(zip(symbols, symbols[1:], strict=False)) if (n := self.number.get(a + b)) is not None]
+                if not pairs:
+                    break
+                best, at = max(pairs)
+                symbols[-at : -at + 2] = [symbols[-at] + symbols[-at + 1]]
+                made.append((best, symbols[0], symbols[-1]))
+            self.made[i] = made if len(symbols) == 1 else None
+        return self.made[i]
+
+    def _test(self, a: int, b: int) -> bool:
+        """Whether ``b`` follows ``a``, which encodes to itself: replays the merges of both and looks for one across."""
+        found = self.history(b) is not None and (a == OUTSIDE or not self._merge_across(self.history(a), self.history(b)))
+        if len(self.pairs) >= REMEMBERED:
+            self.pairs.clear()
+        self.pairs[a * len(self.text) + b] = found
+        return found
 
-    def merge(self, text: str) -> list[str]:
-        """The encoding of a short text by its definition: the best pair is merged until none is a piece."""
-        symbols = list(text)
+    def _merge_across(self, left: list, right: list) -> bool:
+        x = y = 0
         while True:
-            pairs = [(self.score[i], -at) for at, (a, b) in enumerate(zip(symbols, symbols[1:], strict=False)) if (i := self.number.get(a + b)) is not None]
-            if not pairs:
-                return symbols
-            at = -max(pairs)[1]
-            symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
-
-    def _compatible(self, a: int, b: int) -> bool:
-        key = (a + 1) * len(self.text) + b
-        found = self.pairs.get(key)
-        if found is None:
-            whole = [self.text[i] for i in (a, b) if i != OUTSIDE]
-            found = self.merge("".join(whole)) == whole
-            if len(self.pairs) >= REMEMBERED:
-                self.pairs.clear()
-            self.pairs[key] = found
-        return found
+            next_left = left[x + 1][0] if x + 1 < len(left) else -math.inf
+            next_right = right[y + 1][0] if y + 1 < len(right) else -math.inf
+            across = self.number.get(left[x][2] + right[y][1])
+            if across is not None and next_left < self.score[across] >= next_right:
+                return True
+            if x + 1 == len(left) and y + 1 == len(right):
+                return False
+            if next_left >= next_right:
+                x += 1
+            else:
+                y += 1
 
     def encode_part(self, text: str) -> list[int]:
         """Ids of ``text``, in which blanks are written as the library does, by the table of last pieces."""
-        last: list = [None] * (len(text) + 1)  # (piece, length) at the end of every prefix; None for a character that is no piece
-        for end, match in self.found.iter(text):
-            if last[end + 1] is None:
-                before = last[end + 1 - match[1]]
-                if self._compatible(OUTSIDE if before is None else before[0], match[0]):
-                    last[end + 1] = match
-        ids, at = [], len(text)
+        last = [OUTSIDE] * (len(text) + 1)  # by prefix; a character that is no piece leaves it as it is
+        pairs, pieces = self.pairs, len(self.text)
+        for end, (piece, length) in self.found.iter(text):
+            end += 1
+            if last[end] == OUTSIDE:
+                before = last[end - length]
+                fits = pairs.get(before * pieces + piece)
+                if self._test(before, piece) if fits is None else fits:
+                    last[end] = piece
+        ids, at, lengths = [], len(text), self.length
         while at:
-            if last[at] is None:
+            piece = last[at]
+            if piece == OUTSIDE:
                 ids += [self.byte[b] for b in reversed(text[at - 1].encode())]
                 at -= 1
             else:
-                ids.append(last[at][0])
-                at -= last[at][1]
-        return ids[::-1]
+                ids.append(piece)
+                at -= lengths[piece]
+        ids.reverse()
+        return ids
 
     def encode(self, text: str) -> list[int]:
         """Ids of a whole text, without any special ids."""
         if not text:
             return []
         ids: list[int] = []
-        known = self.known
-        for part in self.parts.findall(" " + text) if self.parts else [" " + text]:
-            found = known.get(part)
-            if found is None:
-                found = self.encode_part(part.replace(" ", BLANK))
-                if len(part) <= PART:
-                    if len(known) >= REMEMBERED:
-                        known.clear()
-                    known[part] = found
-            ids += found
+        for part in self.parts.findall(" " + text):
+            ids += self.known.get(part) or self._part(part)
+        return ids
+
+    def _part(self, part: str) -> list[int]:
+        """Ids of a part that is not among the latest. What has been asked for since the memory was full last is kept."""
+        ids = self.older.get(part) or self.encode_part(part.replace(" ", BLANK))
+        if len(part) <= PART:
+            if len(self.known) >= REMEMBERED // 2:
+                self.older, self.known = self.known, {}
+            self.known[part] = ids
         return ids
 
 
@@ -167,7 +210,7 @@ def encode(docs: DataFrame, model: str, ids: str = "ids", end: bool = True, text
 
 
 def decode(rows: DataFrame, model: str, ids: str = "ids", name: str = "decoded") -> DataFrame:
-    """``rows`` with a column ``name``: the text that the library gives for each row's ids; null for null."""
+    """``rows`` with a column ``name``: the text that the library gives for each row's ids (none of them null); null for a null row."""
     if fresh(rows, name) != name:
         raise ValueError(f"there is a column {name} already")
     schema = T.StructType([*rows.schema.fields, T.StructField(name, T.StringType())])
@@ -176,7 +219,9 @@ def decode(rows: DataFrame, model: str, ids: str = "ids", name: str = "decoded")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = _processor(model)
         for batch in _blocks(batches, 256):
-            found = [None if x is None else decoder.decode(x) for x in batch.column(at).to_pylist()]
+            lists = batch.column(at)
+            flat, cuts = lists.flatten().to_numpy(zero_copy_only=False).tolist(), np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(lists), 0))]).tolist()
+            found = [decoder.decode(flat[a:b]) if there else None for a, b, there in zip(cuts, cuts[1:], lists.is_valid().to_pylist(), strict=False)]
             yield pa.record_batch([*batch.columns, pa.array(found, pa.string())], schema.names)
 
     return rows.mapInArrow(run, schema)

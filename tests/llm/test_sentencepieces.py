@@ -56,7 +56,7 @@ def test_the_memory_of_a_task_is_bounded(monkeypatch):
     for _ in range(300):
         text = " ".join("".join(rng.choices("etaoinshr", k=rng.randrange(1, 9))) for _ in range(5))
         assert own.encode(text) == LIBRARY.encode(text)
-    assert len(own.known) <= 50 and len(own.pairs) <= 50
+    assert len(own.known) + len(own.older) <= 50 and len(own.pairs) <= 50
 
 
 def sha(text):
