@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from scarmap.llm import textkit as K
 from scarmap.llm.registry import query
-from scarmap.llm.shared import ranked, table
+from scarmap.llm.shared import ranked, stored, table
 
 RUN = 2
 BUCKETS = 10_000
@@ -147,7 +147,7 @@ def runs(automaton: Automaton, data: bytes, offsets: np.ndarray, longest: int) -
 
 
 def frequent_words(texts: DataFrame, most: int = DICTIONARY) -> list[bytes]:
-    """The words of all texts that occur at least 2**k times, for the least k for which they are at most ``most``."""
+    """The words of all texts that occur at least 2**k times, for the least k > 0 for which they are at most ``most``."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: Counter = Counter()
@@ -167,7 +167,7 @@ def frequent_words(texts: DataFrame, most: int = DICTIONARY) -> list[bytes]:
         yield out()
 
     counts = texts.select("text").mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    counts = counts.withColumn("k", F.floor(F.log2("n")).cast("int"))
+    counts = stored(counts.where("n > 1").select("word", F.floor(F.log2("n")).cast("int").alias("k")))
     words, least = 0, None
     sizes = sorted(((r.k, r.n) for r in counts.groupBy("k").agg(F.count("*").alias("n")).collect()), reverse=True)
     for k, n in sizes:  # at most 64 rows
