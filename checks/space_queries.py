@@ -340,6 +340,30 @@ def build_tile_grid(spark, sf):
     return rounded(grid.where("area_in_country > 0").select("building_id", "qk", G.area(G.edges_of(F.col("rings"))).alias("area")))
 
 
+# a U whose arms are a quarter of the box wide: tiles above its bottom hold one arm or two
+_U = {
+    "bottom": ("bx0", "by0", "bx1", "by0 + (by1 - by0) / 4"),
+    "left_arm": ("bx0", "by0", "bx0 + (bx1 - bx0) / 4", "by1"),
+    "right_arm": ("bx1 - (bx1 - bx0) / 4", "by0", "bx1", "by1"),
+    "notch": ("bx0 + (bx1 - bx0) / 4", "by0 + (by1 - by0) / 4", "bx1 - (bx1 - bx0) / 4", "by1"),
+}
+_U_SQL = f"SELECT *, {_SHARE} AS box, " + ", ".join(f"(greatest(least(maxx, {c}) - greatest(minx, {a}), 0) * greatest(least(maxy, {d}) - greatest(miny, {b}), 0)) AS {n}" for n, (a, b, c, d) in _U.items()) + f" FROM ({_TILED})"
+
+
+@query("clip_grid", sql(f"""SELECT building_id, {qk_sql('tile_x', 'tile_y')} AS qk, round(box - notch + 1e-9, 6) + 0.0 AS area,
+  CASE WHEN bottom > 0 THEN 1 ELSE (left_arm > 0)::INT + (right_arm > 0)::INT END AS n_rings
+  FROM ({_U_SQL}) WHERE bottom > 0 OR left_arm > 0 OR right_arm > 0""", "shapes"))
+def clip_grid(spark, sf):
+    """Concave polygons cut to their tiles: area and number of the rings they fall into."""
+    b, p = (lambda n: F.col(f"bbox.{n}")), (lambda x, y: F.struct(x.alias("x"), y.alias("y")))
+    x0, y0, x1, y1 = (b(n) for n in ("minx", "miny", "maxx", "maxy"))
+    a, c, h = x0 + (x1 - x0) / 4, x1 - (x1 - x0) / 4, y0 + (y1 - y0) / 4
+    ring = F.array(*[p(x, y) for x, y in ((x0, y0), (x1, y0), (x1, y1), (c, y1), (c, h), (a, h), (a, y1), (x0, y1), (x0, y0))])
+    shapes = D.shapes(spark, sf).select("building_id", "bbox", F.array(ring).alias("rings"))
+    cut = Q.clip_grid(Q.tiles_intersecting(shapes, ["building_id"], ZOOM), shapes, ["building_id"], ZOOM).where(F.size("rings") > 0)
+    return rounded(cut.select("building_id", "qk", G.area(G.edges_of(F.col("rings"))).alias("area"), F.size("rings").alias("n_rings")))
+
+
 def _tiles_with_key(spark, sf):
     x, y = T.tile_of(F.col("lon"), F.col("lat"), 8)
     return D.buildings(spark, sf).select(T.quadkey(x, y, 8).alias("qk"), "adm1_id")

@@ -275,42 +275,3 @@ def oriented(part: Column) -> Column:
         return F.when((signed_area(ring) < 0) == (i == 0), F.reverse(ring)).otherwise(ring)
 
     return F.transform(part, turn)
-
-
-def clip_rings(rings: Column, minx: Column, miny: Column, maxx: Column, maxy: Column) -> Column:
-    """Rings cut to an axis-parallel rectangle, side by side.
-
-    A concave ring that falls apart stays one ring whose parts are linked along the rectangle.
-    """
-
-    def side(axis: str, limit: Column, keep_above: bool):
-        other = "y" if axis == "x" else "x"
-
-        def inside(p: Column) -> Column:
-            return p[axis] >= limit if keep_above else p[axis] <= limit
-
-        def meet(a: Column, b: Column) -> Column:
-            share = F.try_divide(limit - a[axis], b[axis] - a[axis])
-            at = {axis: limit, other: a[other] + share * (b[other] - a[other])}
-            return F.struct(at["x"].alias("x"), at["y"].alias("y"))
-
-        def step(a: Column, b: Column) -> Column:
-            none = F.filter(F.array(a), lambda p: F.lit(False))
-            return (
-                F.when(inside(a) & inside(b), F.array(b))
-                .when(inside(a), F.array(meet(a, b)))
-                .when(inside(b), F.array(meet(a, b), b))
-                .otherwise(none)
-            )
-
-        def cut(ring: Column) -> Column:
-            n = F.greatest(F.size(ring) - 1, F.lit(0))
-            points = F.flatten(F.zip_with(F.slice(ring, F.lit(1), n), F.slice(ring, F.lit(2), n), step))
-            return let(points, lambda p: F.when(F.size(p) > 0, F.concat(p, F.slice(p, F.lit(1), F.lit(1)))).otherwise(p))
-
-        return lambda all_rings: F.transform(all_rings, cut)
-
-    out = rings
-    for axis, limit, above in (("x", minx, True), ("x", maxx, False), ("y", miny, True), ("y", maxy, False)):
-        out = let(out, side(axis, limit, above))
-    return F.filter(out, lambda r: F.size(r) > 3)

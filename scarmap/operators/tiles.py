@@ -5,64 +5,35 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scarmap.cluster import spread
 from scarmap.functions import geometry as G
 from scarmap.functions import tiles as T
+from scarmap.operators.quadtree import each_tile, polygon_tiles
 
 
-# Tiles per side of the block that is one unit of work.
-TILE_BLOCK = 16
-
-
-def _block(index: Column) -> Column:
-    return F.floor(index / TILE_BLOCK).cast("int")
-
-
-def block_pieces(polygons: DataFrame, keys: list[str], zoom: int, rings: str = "rings", box: str = "bbox") -> DataFrame:
-    """(keys, _bx, _by, _rings, _range): the part of every polygon in each block of tiles, spread over tasks.
+def tile_grid(polygons: DataFrame, keys: list[str], zoom: int, clip: bool = True, out: str = "area_in_country", rings: str = "rings", box: str = "bbox") -> DataFrame:
+    """(keys, qk, tile_x, tile_y, tile, share of area, cut rings) of every tile that shares a point with its polygon, in one pass.
 
-    The part is cut one tile beyond the block, so that its border is not met by any tile of the block.
+    Tiles beside the polygon's range of pixels are left out, also if they touch it.
     """
     c = lambda n: F.col(f"{box}.{n}")
     x0, y0 = T.tile_of(c("minx"), c("maxy"), zoom)
     x1, y1 = T.tile_of(c("maxx"), c("miny"), zoom)
-    tiles = F.struct(x0.alias("x0"), y0.alias("y0"), x1.alias("x1"), y1.alias("y1"))
-    blocks = polygons.select(*keys, F.col(rings).alias("_rings"), tiles.alias("_range"))
-    for name, a, b in (("_bx", "x0", "x1"), ("_by", "y0", "y1")):
-        blocks = blocks.withColumn(name, F.explode_outer(F.sequence(_block(F.col(f"_range.{a}")), _block(F.col(f"_range.{b}")))))
-    first, last = (T.tile_box(F.col("_bx") * TILE_BLOCK + d, F.col("_by") * TILE_BLOCK + d, zoom) for d in (-1, TILE_BLOCK))
-    cut = G.clip_rings(F.col("_rings"), first["minx"], last["miny"], last["maxx"], first["maxy"])
-    return spread(blocks, *keys, "_bx", "_by").withColumn("_rings", cut).where(F.size("_rings") > 0)
-
-
-def _candidates(polygons: DataFrame, keys: list[str], zoom: int, rings: str, box: str) -> DataFrame:
-    """Every tile of the polygon's range, with the edges and rings of its block."""
-    cells = block_pieces(polygons, keys, zoom, rings, box).withColumn("_edges", G.edges_of(F.col("_rings")))
-    for name, block, a, b in (("tile_x", "_bx", "x0", "x1"), ("tile_y", "_by", "y0", "y1")):
-        low = F.greatest(F.col(block) * TILE_BLOCK, F.col(f"_range.{a}"))
-        high = F.least(F.col(block) * TILE_BLOCK + TILE_BLOCK - 1, F.col(f"_range.{b}"))
-        cells = cells.withColumn(name, F.explode_outer(F.sequence(low, high)))
-    return cells.withColumn("tile", T.tile_box(F.col("tile_x"), F.col("tile_y"), zoom))
-
-
-_TILE = [f"tile.{n}" for n in ("minx", "miny", "maxx", "maxy")]
+    held = polygons.withColumn("_range", F.struct(x0.alias("x0"), y0.alias("y0"), x1.alias("x1"), y1.alias("y1")))
+    rows, inside = each_tile(polygon_tiles(held, [*keys, "_range"], zoom, clip, rings))
+    met = rows.where(F.col("tile_x").between(F.col("_range.x0"), F.col("_range.x1")) & F.col("tile_y").between(F.col("_range.y0"), F.col("_range.y1")))
+    met = met.withColumn("tile", T.tile_box(F.col("tile_x"), F.col("tile_y"), zoom))
+    share = F.when(inside, 1.0).otherwise(F.col("area") / _tile_area()).alias(out)
+    cut = [F.when(inside, G.box_rings(*_tile_sides())).otherwise(F.col("rings")).alias("rings")] if clip else []
+    return met.select(*keys, T.quadkey(F.col("tile_x"), F.col("tile_y"), zoom).alias("qk"), "tile_x", "tile_y", "tile", share, *cut)
 
 
 def _tile_sides() -> list[Column]:
-    return [F.col(n) for n in _TILE]
-
+    return [F.col(f"tile.{n}") for n in ("minx", "miny", "maxx", "maxy")]
 
-def _share(edges: str) -> Column:
-    t = _tile_sides()
-    return G.clip_area(F.col(edges), *t) / ((t[2] - t[0]) * (t[3] - t[1]))
 
-
-def tile_grid(polygons: DataFrame, keys: list[str], zoom: int, clip: bool = True, out: str = "area_in_country", rings: str = "rings", box: str = "bbox") -> DataFrame:
-    """(keys, qk, tile_x, tile_y, tile, share of area, cut rings) of every tile that shares a point with its polygon, in one pass."""
-    met = _candidates(polygons, keys, zoom, rings, box).where(G.meets_box(F.col("_edges"), *_tile_sides()))
-    qk = T.quadkey(F.col("tile_x"), F.col("tile_y"), zoom)
-    cut = [G.clip_rings(F.col("_rings"), *_tile_sides()).alias("rings")] if clip else []
-    return met.select(*keys, qk.alias("qk"), "tile_x", "tile_y", "tile", _share("_edges").alias(out), *cut)
+def _tile_area() -> Column:
+    minx, miny, maxx, maxy = _tile_sides()
+    return (maxx - minx) * (maxy - miny)
 
 
 def tiles_intersecting(polygons: DataFrame, keys: list[str], zoom: int, rings: str = "rings", box: str = "bbox") -> DataFrame:
@@ -70,22 +41,20 @@ def tiles_intersecting(polygons: DataFrame, keys: list[str], zoom: int, rings: s
     return tile_grid(polygons, keys, zoom, clip=False, rings=rings, box=box).drop("area_in_country")
 
 
-def _with_pieces(tiles: DataFrame, polygons: DataFrame, keys: list[str], zoom: int, rings: str, box: str) -> DataFrame:
-    """Tiles with the part of their polygon in their block: joined on key and block, so one polygon is many keys."""
-    pieces = block_pieces(polygons, keys, zoom, rings, box).select(*keys, "_bx", "_by", "_rings")
-    return tiles.withColumns({"_bx": _block(F.col("tile_x")), "_by": _block(F.col("tile_y"))}).join(pieces, [*keys, "_bx", "_by"], "left")
-
-
 def tile_area_share(tiles: DataFrame, polygons: DataFrame, keys: list[str], zoom: int, out: str = "area_in_country", rings: str = "rings", box: str = "bbox") -> DataFrame:
     """Share of each tile's planar area that lies in its polygon."""
-    joined = _with_pieces(tiles, polygons, keys, zoom, rings, box).withColumn("_edges", G.edges_of(F.col("_rings")))
-    return joined.select(*tiles.columns, F.coalesce(_share("_edges"), F.lit(0.0)).alias(out))
+    shares = tile_grid(polygons, keys, zoom, False, out, rings, box).select(*keys, "tile_x", "tile_y", out)
+    return tiles.join(shares, [*keys, "tile_x", "tile_y"], "left").select(*tiles.columns, F.coalesce(out, F.lit(0.0)).alias(out))
 
 
 def clip_grid(tiles: DataFrame, polygons: DataFrame, keys: list[str], zoom: int, rings: str = "rings", box: str = "bbox") -> DataFrame:
-    """Tile geometry cut to the border of its polygon, as rings; areas are right, see ``geometry.clip_rings`` for concave parts."""
-    joined = _with_pieces(tiles, polygons, keys, zoom, rings, box)
-    return joined.select(*tiles.columns, G.clip_rings(F.col("_rings"), *_tile_sides()).alias("rings"))
+    """Tile geometry cut to the border of its polygon: outer rings, one for each part that it falls into, then holes.
+
+    A tile that its polygon does not touch, or touches in points and lines only, has no rings.
+    """
+    cut = tile_grid(polygons, keys, zoom, True, "_share", rings, box).select(*keys, "tile_x", "tile_y", "rings")
+    none = F.array().cast(G.RINGS_DDL)
+    return tiles.join(cut, [*keys, "tile_x", "tile_y"], "left").select(*tiles.columns, F.coalesce("rings", none).alias("rings"))
 
 
 def list_tiles(tiles: DataFrame, targets: list[str] | None = None, limit: int | None = None) -> DataFrame:
