@@ -490,10 +490,16 @@ def zonal_stats(spark, sf):
         + ", ".join(f"max(CASE WHEN post_date = {y} THEN weighted_mean END) AS pred_{y}" for y in YEARS) + f" FROM ({_ZONAL.format(_PIECES)}) GROUP BY 1) p USING (building_id)", "shapes", "pred_pixels"),
 )
 def predictions_to_buildings(spark, sf):
-    """Tiles to raster, raster to buildings, one column per window."""
-    tiles = D.pred_pixels(spark, sf).withColumn("qk", F.concat(F.col("cx") % 4, F.col("cy") % 4))
+    """Overlapping tiles to raster, raster to buildings, one column per window. A cell on the border of tiles is in each
+    of them; the value of the last one is right."""
+    p = D.pred_pixels(spark, sf)
+    b = PIXEL_GRID.box(F.col("cx"), F.col("cy"))
+    (x0, y0), (x1, y1) = T.tile_holding(b["minx"], b["maxy"], 8), T.tile_holding(b["maxx"], b["miny"], 8)
+    met = p.withColumns({"x1": x1, "y1": y1}).withColumn("x", F.explode_outer(F.sequence(x0, x1))).withColumn("y", F.explode_outer(F.sequence(y0, "y1")))
+    last = (F.col("x") == F.col("x1")) & (F.col("y") == F.col("y1"))  # ids grow with both numbers of a tile
+    tiles = met.withColumn("qk", T.quadkey(F.col("x"), F.col("y"), 8)).withColumn("value", F.when(last, F.col("value")).otherwise(-1.0))
     shapes = D.shapes(spark, sf).select("building_id", "edges", "bbox")
-    out = B.predictions_to_buildings(shapes, tiles, PIXEL_GRID, YEARS).drop("edges", "bbox")
+    out = B.predictions_to_buildings(shapes, tiles, PIXEL_GRID, YEARS, zoom=8).drop("edges", "bbox")
     return out.withColumns({f"pred_{y}": F.round(f"pred_{y}", 4) + 0.0 for y in YEARS})
 
 

@@ -36,6 +36,15 @@ def tile_of(lon: Column, lat: Column, zoom: int) -> tuple[Column, Column]:
     return tile_of_pixel(*pixel_of(lon, lat, zoom))
 
 
+def tile_holding(lon: Column, lat: Column, zoom: int) -> tuple[Column, Column]:
+    """The tile whose box holds a position, without the half pixel of ``tile_of``."""
+    n = float(1 << zoom)
+    sin_lat = F.sin(clamp(lat, -LAT_LIMIT, LAT_LIMIT) * F.lit(math.pi / 180))
+    u = (clamp(lon, -LON_LIMIT, LON_LIMIT) + 180.0) / 360.0
+    v = F.lit(0.5) - F.ln((1 + sin_lat) / (1 - sin_lat)) / F.lit(4 * math.pi)
+    return tuple(clamp(F.floor(t * n), 0, (1 << zoom) - 1).cast("int") for t in (u, v))
+
+
 def quadkey(tile_x: Column, tile_y: Column, zoom: int) -> Column:
     """One base-4 digit per level, the most significant first."""
 

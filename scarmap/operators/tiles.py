@@ -57,6 +57,16 @@ def clip_grid(tiles: DataFrame, polygons: DataFrame, keys: list[str], zoom: int,
     return tiles.join(cut, [*keys, "tile_x", "tile_y"], "left").select(*tiles.columns, F.coalesce("rings", none).alias("rings"))
 
 
+def tiles_of_boxes(shapes: DataFrame, zoom: int, around: float = 0.0, box: str = "bbox") -> list[str]:
+    """Ids of the tiles that some box, grown by ``around`` degrees, may touch: at most 4 ** zoom short texts."""
+    side = {n: F.col(f"{box}.{n}") + (around if n.startswith("max") else -around) for n in ("minx", "miny", "maxx", "maxy")}
+    x0, y0 = T.tile_holding(side["minx"], side["maxy"], zoom)
+    x1, y1 = T.tile_holding(side["maxx"], side["miny"], zoom)
+    met = shapes.select(F.explode_outer(F.sequence(x0, x1)).alias("x"), F.sequence(y0, y1).alias("ys")).distinct()
+    met = met.select("x", F.explode_outer("ys").alias("y")).where("x is not null and y is not null").distinct()
+    return sorted(r.qk for r in met.select(T.quadkey(F.col("x"), F.col("y"), zoom).alias("qk")).collect())
+
+
 def list_tiles(tiles: DataFrame, targets: list[str] | None = None, limit: int | None = None) -> DataFrame:
     """Tile ids to process: given ones, or all, or the first ``limit`` by id."""
     ids = tiles.select("qk").distinct()

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
-from scarmap.cluster import spread
+from scarmap.cluster import checked_broadcast, spread
 from scarmap.operators.cover import box_cells
 from scarmap.operators.raster import Grid, spread_dates
 
@@ -129,6 +129,24 @@ def _cell_areas(flat, starts, row, grid: Grid, cx, cy) -> np.ndarray:
     return np.bincount(pair_cell, part, minlength=len(row))
 
 
+def pixels_near(pixels: DataFrame, buildings: DataFrame, grid: Grid, box: str = "bbox") -> DataFrame:
+    """Pixels in the blocks of cells that some building's box touches.
+
+    The blocks are a short list of pairs of numbers beside the raster; measured to be small, they are sent to the scan of the
+    pixels, so that what lies far from buildings is not shuffled.
+    """
+    xs, ys = box_cells(box, grid)
+    ends = lambda cells: F.sequence(_block(cells[0]), _block(F.element_at(cells, -1)))
+    met = buildings.select(F.explode_outer(ends(xs)).alias("_bx"), ends(ys).alias("_ys"))
+    met = met.select("_bx", F.explode_outer("_ys").alias("_by")).distinct()
+    blocked = pixels.withColumns({"_bx": _block(F.col("cx")), "_by": _block(F.col("cy"))})
+    return blocked.join(checked_broadcast(met), ["_bx", "_by"], "left_semi").select(*pixels.columns)
+
+
+def _block(cell: Column) -> Column:
+    return F.floor(cell / OVERLAP_BLOCK).cast("int")
+
+
 def pixels_x_buildings(
     buildings: DataFrame, pixels: DataFrame, grid: Grid, keys=("building_id",), date: str = "post_date", value: str = "value",
     edges: str = "edges", box: str = "bbox",

@@ -13,6 +13,7 @@ from scarmap.operators import raster as R
 from scarmap.operators import regions as A
 from scarmap.operators import zonal as Z
 from scarmap.operators.raster import Grid
+from scarmap.operators.tiles import tiles_of_boxes
 from scarmap.sources.readers import project_buildings
 
 # Degrees. Cells of some kilometres for regions, of a kilometre for areas of interest, and of some
@@ -69,8 +70,21 @@ def enrich_buildings(raw, country, labels, aois, adm1, adm2, adm3, order: str =
     return assign_admin(labelled, A.admin_hierarchy(adm1, adm2, adm3), order=order)
 
 
-def predictions_to_buildings(buildings: DataFrame, tiles: DataFrame, grid: Grid, dates: list) -> DataFrame:
-    """Tiles to one raster, raster onto buildings, one prediction column per window start. Pixels are shuffled once, by cell."""
-    raster = R.mosaic(tiles, ["cx", "cy", "post_date"], "qk", cluster_by=["cx", "cy"])
-    means = Z.wide_means(Z.pixels_x_buildings(buildings, raster, grid), dates)
-    return buildings.join(means, "building_id", "left")
+def predictions_to_buildings(buildings: DataFrame, tiles: DataFrame, grid: Grid, dates: list, zoom: int | None = None, margin: int = 1) -> DataFrame:
+    """Tiles to one raster, raster onto buildings, one prediction column per window start.
+
+    The raster is pruned by the buildings: with ``zoom``, the level of the tiles' ids ``qk``, only tiles that a building, grown by
+    ``margin`` cells, may touch are read (as literals, so other folders of a table partitioned by ``qk`` are not opened); then
+    only cells in blocks with buildings are shuffled, once, by cell. Where tiles overlap, the last one by ``qk`` with a value
+    wins; that is settled after the join, in its partitions, for the cells under buildings alone.
+    """
+    if zoom is not None:
+        around = margin * max(grid.dx, grid.dy)
+        tiles = tiles.where(F.col("qk").isin(tiles_of_boxes(buildings, zoom, around)))
+    # as numbers, ids keep their order and the aggregate needs no sort
+    order = F.conv("qk", 4, 10).cast("long").alias("_order")
+    near = Z.pixels_near(tiles.select("cx", "cy", "post_date", order, "value"), buildings, grid)
+    overlaps = Z.pixel_overlaps(buildings, ["building_id"], grid)
+    met = overlaps.join(near.repartition("cx", "cy"), ["cx", "cy"])
+    once = R.mosaic(met, ["building_id", "cx", "cy", "post_date", "overlap_area"], "_order")
+    return buildings.join(Z.wide_means(once, dates), "building_id", "left")

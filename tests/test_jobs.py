@@ -4,6 +4,7 @@ import json
 import os
 import pathlib
 import random
+import re
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -11,9 +12,12 @@ from pyspark.sql import functions as F
 
 from scarmap.config import OBSERVED, POST_QUARTERS, PRE, Period, RunConfig
 from scarmap.functions import geometry as G
+from scarmap.functions import tiles as T
 from scarmap.operators import model as M
 from scarmap.operators import scenes as S
 from scarmap.operators.raster import Grid
+from scarmap.operators.tiles import tiles_of_boxes
+from scarmap.operators.zonal import pixels_near
 from scarmap.plans import buildings as B
 from scarmap.plans import experiment as X
 from scarmap.plans import inference as I
@@ -256,6 +260,31 @@ def test_predictions_to_buildings(spark):
     assert len(raster) == 2  # the raster by cell, and the overlaps to meet it
 
 
+def test_only_tiles_and_blocks_with_buildings_are_read(spark, tmp_path):
+    grid = Grid(30.0, 50.0, 0.01, 0.01)
+    d1 = date(2022, 2, 24)
+    b = polygons(spark, [(1, [box(31.0, 51.0, 0.02, 0.02)]), (2, [box(31.5, 51.2, 0.005, 0.005)])], "building_id int")
+    x, y = T.tile_holding(F.col("cx") * 0.01 + 30.005, F.col("cy") * 0.01 + 50.005, 8)
+    cells = spark.range(400).select(F.col("id").cast("int").alias("cx")).crossJoin(spark.range(200).select(F.col("id").cast("int").alias("cy")))
+    cells = cells.select("cx", "cy", F.lit(d1).alias("post_date"), T.quadkey(x, y, 8).alias("qk"), (F.col("cx") + F.col("cy")).cast("double").alias("value"))
+    path = str(tmp_path / "tiles")
+    cells.write.partitionBy("qk").parquet(path)
+    want = {r.building_id: r[f"pred_{d1}"] for r in B.predictions_to_buildings(b, spark.read.parquet(path), grid, [d1], zoom=8).collect()}
+    assert want == {1: pytest.approx(201.0), 2: pytest.approx(270.0)}
+    tiles = spark.read.parquet(path)
+    wanted = tiles_of_boxes(b, 8, 0.01)
+    others = [f for f in (tmp_path / "tiles").glob("qk=*/*.parquet") if f.parent.name[3:] not in wanted]
+    assert others and wanted
+    for f in others:  # a scan that opened them would fail
+        f.write_bytes(b"no table")
+    job = B.predictions_to_buildings(b, tiles, grid, [d1], zoom=8)
+    assert {r.building_id: r[f"pred_{d1}"] for r in job.collect()} == want
+    plan = job._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*qk#\d+", plan) and "LeftSemi" in plan and "BroadcastHashJoin [_bx" in plan
+    near = pixels_near(cells, b, grid)
+    assert 0 < near.count() < cells.count() / 4 and near.columns == cells.columns
+
+
 def test_a_spatial_join_from_another_folder(tmp_path):
     import subprocess
     import sys
