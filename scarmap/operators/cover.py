@@ -27,6 +27,8 @@ from scarmap.operators.raster import Grid
 COVER_BLOCK = 32
 # Cell sizes, each four times the one before, for polygons of any size near points.
 LEVELS = 4
+# Points near polygons are sent to the polygons up to this size; beyond it the join is left to Spark.
+FEW_POINTS_BYTES = 8 << 20
 # Pieces per cell that are kept as an array in a lookup row.
 MAX_PIECES = 1_000
 
@@ -205,9 +207,10 @@ def points_near_polygons(
 ) -> DataFrame:
     """(point columns, polygon keys) of points in a polygon or at most ``metres`` from it.
 
-    A polygon is filed under a few cells of the level that suits the size of its box grown by the
-    distance; cells of one level are 4 x 4 of the level below. A point lies in one cell of each level that occurs. So
-    each pair is met once, no polygon has many cells, and no buffer polygon is built.
+    A polygon's box is filed under a few cells of the level that suits its size grown by the distance; cells of one level are
+    4 x 4 of the level below. A point lies in one cell of each level. So each pair is met once, no polygon has many cells,
+    and no buffer polygon is built. Boxes alone are joined with points; edges are fetched for the pairs that are left, which
+    go to the polygons as long as they are measured to be few, so that edges are not shuffled.
     """
     cx, cy = grid.at(F.col(x), F.col(y))
     up = metres / G.METRES_PER_DEGREE * 1.01
@@ -216,22 +219,23 @@ def points_near_polygons(
         (F.col(f"{box}.minx") - side).alias("minx"), (F.col(f"{box}.miny") - up).alias("miny"),
         (F.col(f"{box}.maxx") + side).alias("maxx"), (F.col(f"{box}.maxy") + up).alias("maxy"),
     )
-    rows = polygons.select(*polygon_keys, F.col(edges).alias("_edges"), grown.alias("_box"))
     c = lambda n: F.col(f"_box.{n}")
     span = F.greatest((c("maxx") - c("minx")) / grid.dx, (c("maxy") - c("miny")) / grid.dy)
     level = clamp(F.ceil(F.log(4.0, F.greatest(span / 2, F.lit(1.0)))).cast("int"), 0, LEVELS - 1)
     low, high = grid.at(c("minx"), c("miny")), grid.at(c("maxx"), c("maxy"))
-    rows = rows.withColumn("_level", level).withColumns({
+    rows = polygons.select(*polygon_keys, grown.alias("_box")).withColumn("_level", level).withColumns({
         f"_{n}": F.sequence(_coarser(a), _coarser(b)) for n, a, b in (("xs", low[0], high[0]), ("ys", low[1], high[1]))
     })
-    cells = rows.select(*polygon_keys, "_edges", "_box", "_level", F.explode_outer("_xs").alias("cx"), "_ys")
-    cells = cells.select(*polygon_keys, "_edges", "_box", "_level", "cx", F.explode_outer("_ys").alias("cy"))
-    levels = [r[0] for r in rows.select("_level").distinct().collect()]  # at most LEVELS
-    located = points.withColumns({"cx": cx, "cy": cy, "_level": F.explode(F.array(*[F.lit(n) for n in levels]).cast("array<int>"))})
-    located = checked_broadcast(located.withColumns({c: _coarser(F.col(c)) for c in ("cx", "cy")}))
+    cells = rows.select(*polygon_keys, "_box", "_level", F.explode_outer("_xs").alias("cx"), "_ys")
+    cells = cells.select(*polygon_keys, "_box", "_level", "cx", F.explode_outer("_ys").alias("cy"))
+    located = points.withColumns({"cx": cx, "cy": cy, "_level": F.explode(F.array(*[F.lit(n) for n in range(LEVELS)]))})
+    located = checked_broadcast(located.withColumns({c: _coarser(F.col(c)) for c in ("cx", "cy")}), FEW_POINTS_BYTES)
     inside = F.col(x).between(c("minx"), c("maxx")) & F.col(y).between(c("miny"), c("maxy"))
-    hits = cells.join(located, ["_level", "cx", "cy"]).where(inside).where(G.within_metres(F.col("_edges"), F.col(x), F.col(y), metres))
-    return hits.select(*points.columns, *[k for k in polygon_keys if k not in points.columns])
+    others = [k for k in polygon_keys if k not in points.columns]
+    pairs = checked_broadcast(spread(cells, *polygon_keys).join(located, ["_level", "cx", "cy"]).where(inside).select(*points.columns, *others))
+    shapes = polygons.select(*polygon_keys, F.col(edges).alias("_edges"))
+    near = shapes.join(pairs, polygon_keys).where(G.within_metres(F.col("_edges"), F.col(x), F.col(y), metres))
+    return near.select(*points.columns, *others)
 
 
 def _coarser(index: Column) -> Column:

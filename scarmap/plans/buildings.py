@@ -14,6 +14,7 @@ from scarmap.operators import regions as A
 from scarmap.operators import zonal as Z
 from scarmap.operators.raster import Grid
 from scarmap.operators.tiles import tiles_of_boxes
+from scarmap.plans.stages import Stages
 from scarmap.sources.readers import project_buildings
 
 # Degrees. Cells of some kilometres for regions, of a kilometre for areas of interest, and of some
@@ -40,8 +41,8 @@ def labels_near_buildings(points, buildings, metres: float = NEAR_METRES, grid:
     return C.points_near_polygons(points, buildings, ["building_id"], grid, metres)
 
 
-def add_damage_labels(buildings: DataFrame, labels: DataFrame, aois: DataFrame, aoi_grid: Grid = AOI_GRID) -> DataFrame:
-    """Worst label within reach, of an area the building meets; buildings without one keep nulls.
+def worst_labels(buildings: DataFrame, labels: DataFrame, aois: DataFrame, aoi_grid: Grid = AOI_GRID) -> DataFrame:
+    """Worst label within reach, of an area the building meets, for every building that has one.
 
     Labels at one place are reduced to the worst before the spatial join, and only buildings with a
     label in reach are tested against the areas.
@@ -49,9 +50,14 @@ def add_damage_labels(buildings: DataFrame, labels: DataFrame, aois: DataFrame,
     row = F.struct("damage", "unosat_id", "date")
     places = labels.groupBy("aoi", "lon", "lat").agg(F.min_by(row, F.struct("damage", "unosat_id")).alias("_l"))
     near = settle(labels_near_buildings(places.select("aoi", "lon", "lat", "_l.*"), buildings))
-    found = buildings.join(near.select("building_id").distinct(), "building_id", "left_semi")
+    found = buildings.select("building_id", "edges", "bbox").join(near.select("building_id").distinct(), "building_id", "left_semi")
     hits = near.join(buildings_in_aoi(found, aois, aoi_grid), ["building_id", "aoi"], "left_semi")
-    return L.add_label_info(buildings, L.worst_label_per_building(hits))
+    return L.worst_label_per_building(hits)
+
+
+def add_damage_labels(buildings: DataFrame, labels: DataFrame, aois: DataFrame, aoi_grid: Grid = AOI_GRID) -> DataFrame:
+    """``buildings`` with their worst labels; buildings without one keep nulls."""
+    return L.add_label_info(buildings, worst_labels(buildings, labels, aois, aoi_grid))
 
 
 ADMIN_COLUMNS = ["ADM1_EN", "ADM2_EN", "ADM3_EN", "adm1_id", "adm2_id", "adm3_id"]
@@ -63,11 +69,16 @@ def assign_admin(buildings: DataFrame, admin: DataFrame, grid: Grid = REGION_GRI
     return C.locate(buildings, cover, grid, ["building_id"], order)
 
 
-def enrich_buildings(raw, country, labels, aois, adm1, adm2, adm3, order: str = "row_id", aoi_grid: Grid = AOI_GRID) -> DataFrame:
-    """Normalised raw buildings to the table the statistics use."""
-    inside = within_country(project_buildings(raw), country)
-    labelled = add_damage_labels(inside, labels, aois, aoi_grid)
-    return assign_admin(labelled, A.admin_hierarchy(adm1, adm2, adm3), order=order)
+def enrich_buildings(raw, country, labels, aois, adm1, adm2, adm3, order: str = "row_id", aoi_grid: Grid = AOI_GRID, folder: str | None = None) -> DataFrame:
+    """Normalised raw buildings to the table the statistics use.
+
+    Raw buildings are projected, measured and tested against the country once: the spatial joins behind read the table that
+    this leaves, and of it the columns they need. With ``folder`` a rerun goes on from the stages found there.
+    """
+    stages = Stages(raw.sparkSession, folder)
+    inside = stages.table("inside", lambda: within_country(project_buildings(raw), country))
+    worst = stages.table("worst_labels", lambda: worst_labels(inside, labels, aois, aoi_grid))
+    return assign_admin(L.add_label_info(inside, worst), A.admin_hierarchy(adm1, adm2, adm3), order=order)
 
 
 def predictions_to_buildings(buildings: DataFrame, tiles: DataFrame, grid: Grid, dates: list, zoom: int | None = None, margin: int = 1) -> DataFrame:

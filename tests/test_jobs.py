@@ -5,6 +5,7 @@ import os
 import pathlib
 import random
 import re
+import shutil
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from scarmap.config import OBSERVED, POST_QUARTERS, PRE, Period, RunConfig
 from scarmap.functions import geometry as G
 from scarmap.functions import tiles as T
+from scarmap.operators import cover as C
 from scarmap.operators import model as M
 from scarmap.operators import scenes as S
 from scarmap.operators.raster import Grid
@@ -21,6 +23,7 @@ from scarmap.operators.zonal import pixels_near
 from scarmap.plans import buildings as B
 from scarmap.plans import experiment as X
 from scarmap.plans import inference as I
+from scarmap.plans.stages import Stages
 from scarmap.sources import readers as R
 from scarmap.sources import writers as W
 
@@ -246,6 +249,41 @@ def test_enrich_buildings(spark):
     assert got["in"].area == pytest.approx((d * G.METRES_PER_DEGREE) ** 2 * 0.6415, rel=0.01)
 
 
+def test_buildings_are_evaluated_once_and_a_rerun_goes_on(spark, tmp_path):
+    n, d = 60, 0.0001
+    raw = polygons(spark, [(f"b{i}", "[]", "house", [box(30.0 + i * 0.01, 50.1, d, d)]) for i in range(n)], "id string, sources string, class string")
+    raw, times = counted(raw)
+    country = polygons(spark, [("c", [box(29.0, 49.0, 4, 3)])], "name string")
+    adm1, adm2 = (spark.createDataFrame([(f"{k}_0", "N", "D")], "admin_id string, ADM1_EN string, ADM2_EN string") for k in (1, 2))
+    adm3 = polygons(spark, [("3_0", 0, "N", "D", "all", [box(29, 49, 4, 3)])], "admin_id string, row_id int, ADM1_EN string, ADM2_EN string, ADM3_EN string")
+    aois = polygons(spark, [("A", [box(29, 49, 4, 3)])], "aoi string")
+    labels = spark.createDataFrame([(f"u{i}", "A", 1, date(2022, 3, 1), 30.00005 + i * 0.01, 50.10005) for i in range(0, n, 2)], "unosat_id string, aoi string, damage int, date date, lon double, lat double")
+    run = lambda: B.enrich_buildings(raw, country, labels, aois, adm1.drop("ADM2_EN"), adm2, adm3, folder=str(tmp_path / "run"))
+    out = run()
+    out.write.parquet(str(tmp_path / "out"))
+    assert times.value == n
+    got = spark.read.parquet(str(tmp_path / "out"))
+    assert got.count() == n and got.where("unosat_id is not null").count() == n / 2 and got.where("adm3_id = '3_0'").count() == n
+    assert run().count() == n and times.value == n  # a rerun reads the stages
+    assert Stages(spark, str(tmp_path / "run")).finished("inside")["rows"] == n
+    # a stage that was left without its note is written anew
+    shutil.rmtree(tmp_path / "run/_manifest/inside")
+    assert run().count() == n and times.value == 2 * n
+
+
+def test_points_meet_boxes_before_edges(spark):
+    shapes = polygons(spark, [(k, [box(30 + k * 0.01, 50, 0.001 * 4 ** (k % 6), 0.001)]) for k in range(12)], "building_id int")
+    points = spark.createDataFrame([(i, 30 + i * 0.0007, 50.0005) for i in range(400)], "id int, lon double, lat double")
+    grid = Grid(-180.0, -90.0, 0.0005, 0.0005)
+    near = C.points_near_polygons(points, shapes, ["building_id"], grid, 5.0)
+    pairs = points.crossJoin(shapes).where(G.within_metres(F.col("edges"), F.col("lon"), F.col("lat"), 5.0))
+    got = sorted((r.id, r.building_id) for r in near.collect())
+    assert got == sorted((r.id, r.building_id) for r in pairs.select("id", "building_id").collect()) and got
+    plan = near._jdf.queryExecution().optimizedPlan().toString()
+    first_join = plan[plan.index("Join"):].count("Join")
+    assert first_join == 1  # the join with boxes is settled; only its pairs meet edges
+
+
 def test_predictions_to_buildings(spark):
     grid = Grid(0.0, 0.0, 1.0, 1.0)
     b = polygons(spark, [(1, [box(0.5, 0, 1, 1)]), (2, [box(50, 50, 1, 1)])], "building_id int")
