@@ -6,6 +6,7 @@ import hashlib
 import io
 import pathlib
 import tempfile
+import uuid
 import zipfile
 from functools import reduce
 
@@ -79,6 +80,13 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame, by: list[str] = []) -> DataFrame:
+    """``df`` written as Parquet to the folder for checkpoints, in a subfolder per value of ``by``, and read again."""
+    path = f"{checkpoint_folder(df.sparkSession)}/rows-{uuid.uuid4().hex}"
+    df.write.partitionBy(*by).parquet(path)
+    return df.sparkSession.read.schema(StructType([*[f for f in df.schema if f.name not in by], *[df.schema[c] for c in by]])).parquet(path)
+
+
 def row_bytes(df: DataFrame) -> Column:
     """Bytes of a row as Spark encodes it: eight per field, more for what has no fixed width."""
 
@@ -143,8 +151,13 @@ def hot_keys(df: DataFrame, keys: list[str], limit: int = HOT_GROUP_ROWS) -> Dat
 
 
 def split_hot(df: DataFrame, keys: list[str], limit: int = HOT_GROUP_ROWS):
-    """(rows of ordinary groups, rows of hot groups or None)."""
+    """(rows of ordinary groups, rows of hot groups or None).
+
+    ``df`` is evaluated once for the keys' counts. If there are hot groups, it is evaluated once more and written, hot rows
+    apart; however often the two tables are read then, nothing before them runs again.
+    """
     hot = hot_keys(df, keys, limit)
     if hot is None:
         return df, None
-    return join_null_safe(df, hot, keys, "left_anti"), join_null_safe(df, hot, keys, "left_semi")
+    rows = written(join_null_safe(df, hot.withColumn("_is_hot", F.lit(True)), keys, "left").withColumn("_is_hot", F.coalesce("_is_hot", F.lit(False))), ["_is_hot"])
+    return rows.where("not _is_hot").drop("_is_hot"), rows.where("_is_hot").drop("_is_hot")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scarmap.cluster import HOT_GROUP_ROWS, checked_broadcast, join_null_safe, settle
@@ -14,18 +14,28 @@ MARGIN = 10 / ACCURACY
 RANGES = 32
 
 
-def large_medians(df: DataFrame, keys: list[str], values: list[str], limit: int = HOT_GROUP_ROWS) -> DataFrame:
+def sketches(values: list[str]) -> list[Column]:
+    """Aggregates that bracket the median of every value column, beside others of the same pass."""
+    at = [i / 1000 for i in range(1001)]
+    return [
+        F.struct(F.count(v).alias("n"), F.percentile_approx(F.col(v).cast("double"), at, ACCURACY).alias("q"), F.min(F.col(v).cast("double")).alias("min"), F.max(F.col(v).cast("double")).alias("max")).alias(f"_{v}_sketch")
+        for v in values
+    ]
+
+
+def large_medians(df: DataFrame, sketched: DataFrame, keys: list[str], values: list[str], limit: int = HOT_GROUP_ROWS) -> DataFrame:
     """Exact median (mean of the two middle values) of every value column per group.
 
-    Groups are never gathered. One pass gives a mergeable sketch and so a bracket around the middle
-    ranks; a second pass merges equal values inside the bracket and counts the rows below it. What
-    is left, some thousandths of the rows, is narrowed range by range until it fits ``limit``.
+    Groups are never gathered. ``sketched`` has the ``sketches`` of every group of ``df``, mergeable ones from a pass over its
+    rows, and so a bracket around the middle ranks; a second pass merges equal values inside the bracket and counts the rows
+    below it. What is left, some thousandths of the rows, is narrowed range by range until it fits ``limit``.
     """
-    bands = F.array(*[F.struct(F.lit(v).alias("_band"), F.col(v).cast("double").alias("_v")) for v in values])
-    rows = df.select(*keys, F.explode(bands).alias("_b")).select(*keys, "_b.*").where("_v is not null")
     by = [*keys, "_band"]
+    each = lambda of: F.explode(F.array(*[F.struct(F.lit(v).alias("_band"), of(v)) for v in values])).alias("_b")
+    rows = df.select(*keys, each(lambda v: F.col(v).cast("double").alias("_v"))).select(*keys, "_b.*").where("_v is not null")
+    parts = sketched.select(*keys, each(lambda v: F.col(f"_{v}_sketch").alias("_s"))).select(*keys, "_b._band", "_b._s.*").where("n > 0")
 
-    bracket = checked_broadcast(_bracket(rows, by))
+    bracket = checked_broadcast(_bracket(parts, by))
     near = join_null_safe(rows, bracket, by).where(F.col("_v") <= F.col("_to"))
     # one row per distinct value; the rows below the bracket are one row whose value is null
     runs = settle(_merged(near, by, F.col("_v") >= F.col("_from"), F.count(F.lit(1))))
@@ -40,23 +50,17 @@ def large_medians(df: DataFrame, keys: list[str], values: list[str], limit: int
     return medians.withColumnsRenamed({v: f"{v}_median" for v in values})
 
 
-def _bracket(rows: DataFrame, by: list[str]) -> DataFrame:
+def _bracket(parts: DataFrame, by: list[str]) -> DataFrame:
     """Per group: the two middle ranks, counted from 0, and values certainly below and above them."""
-    parts = rows.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.percentile_approx("_v", [i / 1000 for i in range(1001)], ACCURACY).alias("_q"),
-        F.min("_v").alias("_min"),
-        F.max("_v").alias("_max"),
-    )
-    lo, hi = F.floor((F.col("_n") - 1) / 2), F.floor(F.col("_n") / 2)
-    first = F.floor((lo / F.col("_n") - MARGIN) * 1000).cast("int")
-    last = F.ceil(((hi + 1) / F.col("_n") + MARGIN) * 1000).cast("int")
+    lo, hi = F.floor((F.col("n") - 1) / 2), F.floor(F.col("n") / 2)
+    first = F.floor((lo / F.col("n") - MARGIN) * 1000).cast("int")
+    last = F.ceil(((hi + 1) / F.col("n") + MARGIN) * 1000).cast("int")
     return parts.select(
         *by,
         lo.alias("_lo"),
         hi.alias("_hi"),
-        F.when(first <= 0, F.col("_min")).otherwise(F.get("_q", first)).alias("_from"),
-        F.when(last >= 1000, F.col("_max")).otherwise(F.get("_q", last)).alias("_to"),
+        F.when(first <= 0, F.col("min")).otherwise(F.get("q", first)).alias("_from"),
+        F.when(last >= 1000, F.col("max")).otherwise(F.get("q", last)).alias("_to"),
     )
 
 

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scarmap.cluster import HOT_GROUP_ROWS, checked_broadcast, join_null_safe, split_hot
+from scarmap.cluster import HOT_GROUP_ROWS, checked_broadcast, join_null_safe, settle, split_hot
 from scarmap.config import Period, feature_names
 from scarmap.functions.values import in_period
-from scarmap.operators.quantiles import large_medians
+from scarmap.operators.quantiles import large_medians, sketches
 
 # Population moments; kurtosis is the excess over the normal distribution.
 STATISTICS = {
@@ -44,8 +44,9 @@ def reduce_groups(
     Without a median, map-side partial aggregates are shuffled. A median has to see its values, so
     rows are shuffled once on ``cluster_by`` (a subset of ``keys``) and every aggregate is finished
     in that stage; later groupings on ``cluster_by`` need no shuffle. Groups of ``cluster_by`` above
-    ``hot_rows`` rows take another way: partial aggregates for the moments, bracketing for the median.
-    Finding them costs one scan of the key columns; None leaves it out, for groups known to be small.
+    ``hot_rows`` rows take another way: one pass of partial aggregates for the moments and for sketches that bracket the
+    median, one more over the rows inside the brackets. Finding hot groups costs one scan of the key columns, and one that
+    writes the rows if there are any; None leaves it out, for groups known to be small.
     """
     cluster_by = cluster_by or keys
     count = [F.count(F.lit(1)).alias(count_as)] if count_as else []
@@ -64,8 +65,8 @@ def reduce_groups(
     usual = gathered(usual)
     if hot is None:
         return usual
-    moments = hot.groupBy(*keys).agg(*aggregates([n for n in names if n != "median"]))
-    medians = large_medians(hot, keys, values, hot_rows)
+    moments = settle(hot.groupBy(*keys).agg(*aggregates([n for n in names if n != "median"]), *sketches(values)))
+    medians = large_medians(hot, moments, keys, values, hot_rows)
     return usual.unionByName(join_null_safe(moments, medians, keys, "left").select(*usual.columns))
 
 

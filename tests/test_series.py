@@ -52,7 +52,7 @@ def test_medians_of_large_groups(spark, limit):
     rows = [(k if k else None, rng.choice([rng.gauss(0, 1e6), rng.random(), 3.0, 3.0, None]), rng.gauss(5, 1)) for k in (0, 1, 2) for _ in range(150 + 151 * k)]
     rows += [(9, None, 1.0)] * 100 + [(8, 1.0, 2.0)]
     df = spark.createDataFrame(rows, "k int, v double, w double")
-    got = {r.k: (r.v_median, r.w_median) for r in quantiles.large_medians(df, ["k"], ["v", "w"], limit).collect()}
+    got = {r.k: (r.v_median, r.w_median) for r in quantiles.large_medians(df, df.groupBy("k").agg(*quantiles.sketches(["v", "w"])), ["k"], ["v", "w"], limit).collect()}
     for k in {r[0] for r in rows}:
         for i, m in enumerate(got[k]):
             values = [r[i + 1] for r in rows if r[0] == k and r[i + 1] is not None]
@@ -205,3 +205,23 @@ def test_names_and_config():
     assert period_name(POST_QUARTERS) == "3months" and period_name(POST_YEARS) == "1year"
     with pytest.raises(ValueError):
         RunConfig(s1_bands=None).sensors
+
+
+def test_hot_groups_are_evaluated_twice(spark):
+    names = ["mean", "stdDev", "median", "min", "max", "skew", "kurtosis"]
+    rows = spark.range(6000).select((F.col("id") % 7 % 3).alias("k"), (F.col("id") * 7919 % 1009).cast("double").alias("a"), F.when(F.col("id") % 5 > 0, F.sqrt("id")).alias("b"))
+    times = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            times.add(batch.num_rows)
+            yield batch
+
+    seen = rows.mapInArrow(count, rows.schema)
+    got = T.reduce_groups(seen, ["k"], ["a", "b"], names, hot_rows=2000)
+    got.write.format("noop").mode("overwrite").save()
+    assert times.value == 2 * 6000  # the keys' counts, then the rows that are written
+    columns = [c for c in got.columns if c != "k"]
+    whole = {r.k: r for r in T.reduce_groups(rows, ["k"], ["a", "b"], names, hot_rows=None).collect()}
+    for r in got.collect():
+        assert [r[c] for c in columns] == pytest.approx([whole[r.k][c] for c in columns])
