@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,8 +46,24 @@ class Grid:
         )
 
 
+def morton(cx: Column, cy: Column) -> Column:
+    """Place of a cell on a curve that fills squares before it goes on: the bits of both numbers, in turn.
+
+    Numbers are taken from the lowest cell that 31 bits can hold, so negative ones keep their order.
+    """
+
+    def apart(v: Column) -> Column:
+        v = v.cast("long") + F.lit(1 << 30)
+        for shift, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555)):
+            v = v.bitwiseOR(F.shiftleft(v, shift)).bitwiseAND(F.lit(mask))
+        return v
+
+    return apart(cx).bitwiseOR(F.shiftleft(apart(cy), 1))
+
+
 def pixels_in(pixels: DataFrame, minx: float, miny: float, maxx: float, maxy: float, x: str = "x", y: str = "y") -> DataFrame:
-    """Part of a raster inside a box, as a range filter the scan can use."""
+    """Part of a raster inside a box, as a range filter the scan can use: on tiles stored along the curve of ``morton``, pages of
+    cells are near each other in both directions, and those that the box does not touch are passed over."""
     return pixels.where(F.col(x).between(minx, maxx) & F.col(y).between(miny, maxy))
 
 
@@ -52,32 +72,111 @@ def focal_mean(pixels: DataFrame, scene_keys: list[str], bands: list[str], radiu
 
     ``payload`` columns belong to a cell, not to its scene: neighbours may differ in them, and each cell keeps its own.
 
-    Cells are shuffled once, by square block with a halo copied from the neighbours; both sums, along
-    x and along y, are hash aggregates inside a block. Cells may be missing.
+    Cells are shuffled once, by square block with a halo copied from the neighbours, and sorted in it. Windows of a full block
+    are read from an array of summed areas, four numbers each, so the cost does not grow with the radius; windows of thinly
+    filled blocks, many blocks at a time, from sums along sorted columns. Cells may be missing; cells that occur twice count
+    twice and come out once. Means are doubles.
     """
-    halo = pixels.select(*scene_keys, "cx", "cy", *bands, *payload)
+    kept = pixels.select(*scene_keys, "cx", "cy", *[F.col(b).cast("double").alias(b) for b in bands], *payload)
+    halo, names = kept, kept.columns
     for axis, block in (("cx", "_bx"), ("cy", "_by")):
-        touched = [F.floor((F.col(axis) + s) / BLOCK) for s in (-radius, 0, radius)]
-        halo = halo.withColumn(block, F.explode_outer(F.array_distinct(F.array(*touched))))
-    keys = [*scene_keys, "_bx", "_by", "cx", "cy"]
-    sums = halo.repartition(*scene_keys, "_bx", "_by").select(
-        *keys,
-        F.lit(True).alias("_own"),
-        *[F.col(b).alias(f"_s_{b}") for b in bands],
-        *[F.when(F.col(b).isNotNull(), 1).otherwise(0).alias(f"_n_{b}") for b in bands],
-        *[F.col(c).alias(f"_p_{c}") for c in payload],
-    )
-    steps = F.explode(F.array(*[F.lit(i) for i in range(-radius, radius + 1)]))
-    for axis in ("cx", "cy"):
-        own = {f"_p_{c}": F.when(F.col("_d") == 0, F.col(f"_p_{c}")) for c in payload}
-        spread = sums.withColumn("_d", steps).withColumns({axis: F.col(axis) + F.col("_d"), "_own": F.col("_own") & (F.col("_d") == 0), **own})
-        sums = spread.groupBy(*keys).agg(
-            F.max("_own").alias("_own"), *[F.sum(c).alias(c) for b in bands for c in (f"_s_{b}", f"_n_{b}")], *[F.max(c).alias(c) for c in own]
-        )
-    inner = (F.floor(F.col("cx") / BLOCK) == F.col("_bx")) & (F.floor(F.col("cy") / BLOCK) == F.col("_by"))
-    means = [F.try_divide(F.col(f"_s_{b}"), F.col(f"_n_{b}")).alias(b) for b in bands]
-    kept = [F.col(f"_p_{c}").alias(c) for c in payload]
-    return sums.where(F.col("_own") & inner).select(*scene_keys, "cx", "cy", *means, *kept)
+        first, last = (F.floor((F.col(axis) + s) / BLOCK) for s in (-radius, radius))
+        halo = halo.withColumn(block, F.explode_outer(F.sequence(first, last)))
+    by = [*scene_keys, "_bx", "_by"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for blocks, group in _whole_groups(batches, by):
+            own, means = _focal(blocks, group, bands, radius)
+            out = blocks.take(pa.array(own))
+            yield pa.RecordBatch.from_arrays([means[n] if n in means else out.column(n).combine_chunks() for n in names], names=names)
+
+    return halo.repartition(*by).sortWithinPartitions(*by, "cx", "cy").mapInArrow(run, kept.schema)
+
+
+def _whole_groups(batches: Iterator[pa.RecordBatch], by: list[str], rows: int = 400_000) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """(rows, number of each row's group) of some whole groups at a time; groups come one after the other."""
+    held: list[pa.RecordBatch] = []
+
+    def numbered() -> tuple[pa.Table, np.ndarray]:
+        table = pa.Table.from_batches(held)
+        fresh = np.zeros(table.num_rows, dtype=bool)
+        for n in by:
+            code = pc.fill_null(table.column(n).combine_chunks().dictionary_encode().indices, -1).to_numpy()
+            fresh[1:] |= code[1:] != code[:-1]
+        return table, np.cumsum(fresh)
+
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+        if sum(b.num_rows for b in held) >= rows:
+            table, group = numbered()
+            end = int(np.searchsorted(group, group[-1]))
+            if end:
+                yield table.slice(0, end), group[:end]
+                held = table.slice(end).to_batches()
+    if held:
+        yield numbered()
+
+
+def _focal(blocks: pa.Table, group: np.ndarray, bands: list[str], radius: int) -> tuple[np.ndarray, dict[str, pa.Array]]:
+    """Rows of the cells that lie in their block, each cell once, and the mean of every band there."""
+    cx, cy, bx, by = (blocks.column(n).to_numpy().astype(np.int64) for n in ("cx", "cy", "_bx", "_by"))
+    wide = BLOCK + 2 * radius
+    x, y = cx - bx * BLOCK + radius, cy - by * BLOCK + radius  # 0 .. wide - 1
+    place = (group * wide + x) * wide + y  # ascending; a window of a block's own cell does not leave the block's numbers
+    inner = (x >= radius) & (x < radius + BLOCK) & (y >= radius) & (y < radius + BLOCK)
+    inner[1:] &= place[1:] != place[:-1]
+    own = np.flatnonzero(inner)
+    amounts = {}
+    for b in bands:
+        value, there = blocks.column(b).to_numpy(), ~np.asarray(blocks.column(b).combine_chunks().is_null())
+        finite = there & np.isfinite(value)
+        # differences of sums are taken around the mean, where they are small
+        middle = np.where(finite, value, 0.0).sum() / max(int(finite.sum()), 1)
+        counts = [there, finite, *[there & (np.isnan(value) if np.isnan(odd) else value == odd) for odd in ODD]]
+        amounts[b] = middle, np.where(finite, value - middle, 0.0), [c.astype(np.int64) for c in counts]
+    flat = [a for _, total, counts in amounts.values() for a in (total, *counts)]
+    sums = [np.zeros(len(own), dtype=a.dtype) for a in flat]
+    starts = np.flatnonzero(np.diff(group, prepend=-1))
+    sizes = np.diff(starts, append=len(group))
+    full = sizes * (2 * radius + 1) > wide * wide
+    thin = ~np.repeat(full, sizes)[own]
+    at = place[own[thin]]
+    found = [(np.searchsorted(place, at + d * wide - radius, "left"), np.searchsorted(place, at + d * wide + radius, "right")) for d in range(-radius, radius + 1)] if len(at) else []
+    for a, s in zip(flat, sums, strict=True):
+        if found and a.any():
+            upto = np.concatenate([a[:1] * 0, np.cumsum(a)])
+            s[thin] = sum(upto[last] - upto[first] for first, last in found)
+    for start, size in zip(starts[full].tolist(), sizes[full].tolist(), strict=True):
+        rows = slice(start, start + size)
+        lo, hi = np.searchsorted(own, (start, start + size))
+        cells = own[lo:hi]
+        for a, s in zip(flat, sums, strict=True):
+            if a[rows].any():
+                s[lo:hi] = _summed(a[rows], x[rows], y[rows], wide, x[cells], y[cells], radius)
+    out, i = {}, 0
+    for b, (middle, _, counts) in amounts.items():
+        total, n, n_finite, *odd = sums[i : i + 1 + len(counts)]
+        i += 1 + len(counts)
+        total = total + middle * n_finite
+        for amount, n_odd in zip(ODD, odd, strict=True):
+            with np.errstate(invalid="ignore"):  # infinities of both signs give NaN, as in any sum
+                total = np.where(n_odd > 0, total + amount, total)
+        out[b] = pa.array(total / np.maximum(n, 1), mask=n == 0)
+    return own, out
+
+
+#: values that a sum cannot lose again; they are counted apart
+ODD = (np.nan, np.inf, -np.inf)
+
+
+def _summed(amount: np.ndarray, x: np.ndarray, y: np.ndarray, wide: int, at_x: np.ndarray, at_y: np.ndarray, radius: int) -> np.ndarray:
+    """Sums over the windows around (at_x, at_y), from an array of the sums over all rectangles from the first corner."""
+    total = np.zeros((wide + 1, wide + 1), dtype=amount.dtype)
+    np.add.at(total, (x + 1, y + 1), amount)
+    total = total.cumsum(axis=0).cumsum(axis=1)
+    x0, x1, y0, y1 = at_x - radius, at_x + radius + 1, at_y - radius, at_y + radius + 1
+    return total[x1, y1] - total[x0, y1] - total[x1, y0] + total[x0, y0]
 
 
 def mosaic(tiles: DataFrame, keys: list[str], order: str, value: str = "value", cluster_by: list[str] | None = None) -> DataFrame:

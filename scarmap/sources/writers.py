@@ -7,19 +7,27 @@ from pyspark.sql import functions as F
 
 from scarmap.config import Period, period_name
 from scarmap.functions.geometry import signed_area
+from scarmap.operators.raster import morton
 from scarmap.sources.readers import feature_folder
 
+# Cells of a page of stored predictions: a square of 32 x 32.
+PAGE_CELLS = 1_024
+
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None, mode: str = "errorifexists") -> None:
     df.write.partitionBy(*(partition_by or [])).mode(mode).parquet(path)
 
 
-def replace_partitions(df: DataFrame, path: str, by: list[str], sort: list[str] | None = None) -> None:
-    """Writes partitions in files of even size: rows of one partition may go to many tasks."""
+def replace_partitions(df: DataFrame, path: str, by: list[str], sort: list[str | Column] | None = None, page_rows: int | None = None) -> None:
+    """Writes partitions in files of even size: rows of one partition may go to many tasks. ``page_rows``: rows that a scan with
+    a filter can pass over together."""
     even = df.hint("rebalance", *by)
     if sort:
         even = even.sortWithinPartitions(*by, *sort)
-    even.write.partitionBy(*by).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    out = even.write.partitionBy(*by).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    if page_rows:
+        out = out.option("parquet.page.row.count.limit", page_rows)
+    out.parquet(path)
 
 
 def write_observations(df: DataFrame, path: str, sat: str, window: str) -> None:
@@ -37,8 +45,8 @@ def write_features(df: DataFrame, root: str, sat: str, window: str, post: list[P
 
 
 def write_pred_tiles(preds: DataFrame, path: str) -> None:
-    """Quantised predictions by window (``period=start_end``) and tile."""
-    replace_partitions(preds, path, ["period", "qk"], ["cx", "cy"])
+    """Quantised predictions by window (``period=start_end``) and tile, inside a tile along a curve that keeps neighbours together."""
+    replace_partitions(preds, path, ["period", "qk"], [morton(F.col("cx"), F.col("cy"))], PAGE_CELLS)
 
 
 def point_geometry(lon: str = "lon", lat: str = "lat") -> Column:

@@ -573,3 +573,26 @@ def test_stored_predictions_are_used_again(spark, tmp_path):
     spark.createDataFrame(rows, "aoi string, unosat_id string, start_post date, pred int, date date, damage int").write.parquet(store.predictions(cfg))
     got = X.run_experiment(spark, store, None, cfg).first()
     assert got.tp > 0 and got.fn == 0
+
+
+def test_a_window_reads_few_rows_of_a_tile(spark, tmp_path):
+    from scarmap.operators.raster import morton, pixels_in
+
+    side = 640
+    cells = spark.range(side * side).select(F.lit("2022-02-24_2022-05-23").alias("period"), F.lit("1").alias("qk"), (F.col("id") % side - 100).cast("int").alias("cx"), F.floor(F.col("id") / side).cast("int").alias("cy"), (F.col("id") % 256).cast("short").alias("value"))
+    path = str(tmp_path / "tiles")
+    W.write_pred_tiles(cells, path)
+    stored = spark.read.parquet(path)
+    assert stored.count() == side * side
+    for x, y in ((-100, 0), (57, 311), (400, 500)):
+        window = pixels_in(stored, x, y, x + side // 10 - 1, y + side // 10 - 1, "cx", "cy")
+        assert window.count() == (side // 10) ** 2
+        window.write.format("noop").mode("overwrite").save()
+        plan = window._jdf.queryExecution().executedPlan()
+        window._jdf.queryExecution().toRdd().count()
+        leaf = plan.collectLeaves().head()
+        assert 0 < leaf.metrics().apply("numOutputRows").value() < 0.05 * side * side
+    codes = cells.select(morton(F.col("cx"), F.col("cy")).alias("m")).distinct()
+    assert codes.count() == side * side
+    near = spark.createDataFrame([(0, 0), (1, 0), (0, 1), (1, 1), (2, 0), (-1, -1)], "cx int, cy int")
+    assert [tuple(r) for r in near.orderBy(morton(F.col("cx"), F.col("cy"))).collect()] == [(-1, -1), (0, 0), (1, 0), (0, 1), (1, 1), (2, 0)]

@@ -1,5 +1,6 @@
 import random
 import statistics
+import time
 from datetime import date, datetime
 
 import pytest
@@ -225,3 +226,37 @@ def test_hot_groups_are_evaluated_twice(spark):
     whole = {r.k: r for r in T.reduce_groups(rows, ["k"], ["a", "b"], names, hot_rows=None).collect()}
     for r in got.collect():
         assert [r[c] for c in columns] == pytest.approx([whole[r.k][c] for c in columns])
+
+
+@pytest.mark.parametrize("radius", [1, 3, 10, 300])
+def test_focal_mean_is_the_mean_of_the_window(spark, radius):
+    rng = random.Random(radius)
+    cells = {(s, x, y): rng.choice([None, rng.uniform(-30, 5), 4.0]) for s in (1, None) for x in range(-20, 12) for y in range(250, 268) if rng.random() < 0.7}
+    df = spark.createDataFrame([(*k, v, v and -v, f"p{k[1]}") for k, v in cells.items()], "s int, cx int, cy int, a double, b double, p string")
+    got = {(r.s, r.cx, r.cy): (r.a, r.b, r.p) for r in R.focal_mean(df, ["s"], ["a", "b"], radius, ["p"]).collect()}
+    assert got.keys() == cells.keys()
+    for (s, x, y), (a, b, p) in got.items():
+        window = [v for (t, i, j), v in cells.items() if t == s and abs(i - x) <= radius and abs(j - y) <= radius and v is not None]
+        assert p == f"p{x}" and (a is None) == (not window)
+        if window:
+            assert a == pytest.approx(sum(window) / len(window), abs=1e-9) and b == pytest.approx(-a, abs=1e-9)
+
+
+def test_focal_mean_keeps_odd_values_in_their_windows(spark):
+    rows = [(1, x, 0, float("nan") if x == 0 else float("inf") if x == 10 else 1.0) for x in range(20)] + [(2, 0, 0, 7.0), (2, 0, 0, 9.0)]
+    got = {(r.s, r.cx): r.v for r in R.focal_mean(spark.createDataFrame(rows, "s int, cx int, cy int, v double"), ["s"], ["v"]).collect()}
+    assert got[1, 0] != got[1, 0] and got[1, 1] != got[1, 1] and got[1, 10] == float("inf") == got[1, 9]
+    assert all(got[1, x] == pytest.approx(1.0) for x in range(20) if x not in (0, 1, 9, 10, 11)) and got[2, 0] == pytest.approx(8.0)
+    assert R.focal_mean(spark.createDataFrame([], "s int, cx int, cy int, v double"), ["s"], ["v"]).count() == 0
+
+
+def test_a_wide_focal_mean_takes_little_longer(spark):
+    rng = random.Random(0)
+    n = 256
+    cells = spark.createDataFrame([(1, i % n, i // n, rng.random()) for i in range(n * n)], "s int, cx int, cy int, v double").repartition(1)
+    took = {}
+    for radius in (1, 10, 1, 10, 1, 10):
+        began = time.time()
+        assert R.focal_mean(cells, ["s"], ["v"], radius).count() == n * n
+        took[radius] = min(took.get(radius, 99), time.time() - began)
+    assert took[10] < 2 * took[1] + 0.3
