@@ -178,27 +178,136 @@ def box_cells(box: str, grid: Grid) -> tuple[Column, Column]:
     return F.sequence(a[0], b[0]), F.sequence(a[1], b[1])
 
 
+# Pairs of edges that are tested at a time; so many are tested without a search.
+EDGE_PAIRS, FEW_PAIRS = 1_000_000, 4_096
+# A polygon of so many edges is not cut, and pieces with so few pairs of edges are compared by column expressions.
+FEW_EDGES, FEW_MEETINGS = 16, 64
+
+
+def _segments_meet(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``functions.geometry.segments_meet`` of edges row by row."""
+
+    def side(e, x, y):
+        return (e[:, 2] - e[:, 0]) * (y - e[:, 1]) - (x - e[:, 0]) * (e[:, 3] - e[:, 1])
+
+    def overlap(i, j):
+        return (np.maximum(a[:, i], a[:, j]) >= np.minimum(b[:, i], b[:, j])) & (np.maximum(b[:, i], b[:, j]) >= np.minimum(a[:, i], a[:, j]))
+
+    apart = np.sign(side(b, a[:, 0], a[:, 1])) * np.sign(side(b, a[:, 2], a[:, 3])) > 0
+    beside = np.sign(side(a, b[:, 0], b[:, 1])) * np.sign(side(a, b[:, 2], b[:, 3])) > 0
+    return overlap(0, 2) & overlap(1, 3) & ~apart & ~beside
+
+
+def near_pairs(a: np.ndarray, b: np.ndarray):
+    """(rows of ``a``, rows of ``b``), some at a time: all pairs of edges whose extents along x overlap, and few others.
+
+    Edges of ``b`` are sorted by their start, apart by length: those that reach an edge of ``a`` start at most the greatest length
+    of their class before it.
+    """
+    if len(a) * len(b) <= FEW_PAIRS:
+        yield np.repeat(np.arange(len(a)), len(b)), np.tile(np.arange(len(b)), len(a))
+        return
+    low, high = np.minimum(a[:, 0], a[:, 2]), np.maximum(a[:, 0], a[:, 2])
+    start, length = np.minimum(b[:, 0], b[:, 2]), np.abs(b[:, 2] - b[:, 0])
+    sized = np.frexp(length)[1]
+    for kind in np.unique(sized):
+        own = np.flatnonzero(sized == kind)
+        own = own[np.argsort(start[own])]
+        first = np.searchsorted(start[own], low - length[own].max(), "left")
+        count = np.searchsorted(start[own], high, "right") - first
+        ends = np.cumsum(count)
+        lo = 0
+        while lo < len(a):
+            hi = max(int(np.searchsorted(ends, ends[lo] - count[lo] + EDGE_PAIRS, "right")), lo + 1)
+            n = count[lo:hi]
+            left = np.repeat(np.arange(lo, hi), n)
+            yield left, own[np.arange(len(left)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[lo:hi], n)]
+            lo = hi
+
+
+def _runs_start(edges: np.ndarray, inside: np.ndarray) -> np.ndarray:
+    """One vertex of every run of vertices that follow each other inside a cell."""
+    follows = np.zeros(len(edges), dtype=bool)
+    follows[1:] = (edges[1:, :2] == edges[:-1, 2:]).all(axis=1) & inside[:-1]
+    return edges[inside & ~follows, :2]
+
+
+def _any_held(points: np.ndarray, edges: np.ndarray, flips: np.ndarray) -> bool:
+    """Some point lies inside a piece; points on its edges are for others to find."""
+    for x, y in points:
+        x1, y1, x2, y2 = edges.T
+        side = (x2 - x1) * (y - y1) - (x - x1) * (y2 - y1)
+        crossed = ((y1 > y) != (y2 > y)) & ((side > 0) == (y2 > y1))
+        if (np.count_nonzero(crossed) + np.count_nonzero(flips > y)) % 2 == 1:
+            return True
+    return False
+
+
+def pieces_meet(grid: Grid, cx: int, cy: int, a: np.ndarray, a_flips: np.ndarray, b: np.ndarray, b_flips: np.ndarray) -> bool:
+    """Two pieces of one cell show that their polygons share a point: edges meet, or one holds a vertex that the other has here.
+
+    As long as no edges meet, vertices that follow each other inside the cell lie on one side, so one of them is enough.
+    """
+    if any(_segments_meet(a[i], b[j]).any() for i, j in near_pairs(a, b)):
+        return True
+
+    def starts(e: np.ndarray) -> np.ndarray:
+        return _runs_start(e, (np.floor((e[:, 0] - grid.x0) / grid.dx) == cx) & (np.floor((e[:, 1] - grid.y0) / grid.dy) == cy))
+
+    return _any_held(starts(a), b, b_flips) or _any_held(starts(b), a, a_flips)
+
+
 def polygons_meeting(left: DataFrame, left_keys: list[str], cover: DataFrame, grid: Grid, edges: str = "edges", box: str = "bbox") -> DataFrame:
     """Distinct (left keys, cover keys) of polygons that share a point.
 
-    Tested cell by cell: edges that meet, or a vertex of one inside the other.
+    Both sides are cut into pieces of cells, and pieces meet by cell, so what is compared in a cell are the edges near it. If
+    a cell lies wholly inside one polygon, any vertex of the other there is enough; where both have edges, the
+    edges are swept along x unless they are few. On the left, a polygon of few edges is its own piece in every cell of its box.
     """
-    xs, ys = box_cells(box, grid)
-    cells = left.select(*left_keys, F.col(edges).alias("_edges"), F.explode_outer(xs).alias("cx"), F.col(box).alias("_box"))
-    _, ys = box_cells("_box", grid)
-    cells = cells.withColumn("cy", F.explode_outer(ys)).drop("_box")
     keys = [c for c in cover.columns if c not in PIECE]
-    joined = cells.join(checked_broadcast(cover), ["cx", "cy"])
-    piece = {n: F.col(n) for n in ("full", "edges", "flips")}
-
-    def vertex_inside(e):
-        at = grid.at(e["x1"], e["y1"])
-        return (at[0] == F.col("cx")) & (at[1] == F.col("cy")) & holds(piece, e["x1"], e["y1"])
+    names = {c: f"_{c}" for c in ("full", "edges", "flips")}
+    shapes = left.select(*left_keys, F.col(edges).alias("edges"), F.col(box).alias("_box"))
+    xs, ys = box_cells("_box", grid)
+    whole = shapes.where(F.size("edges") <= FEW_EDGES).withColumn("cx", F.explode_outer(xs)).withColumn("cy", F.explode_outer(ys))
+    whole = whole.select(*left_keys, "cx", "cy", F.lit(False).alias("full"), "edges", F.array().cast("array<double>").alias("flips"))
+    own = settle(whole.unionByName(cell_cover(shapes.where(F.size("edges") > FEW_EDGES), left_keys, grid, "edges", "_box")))
+    joined = own.withColumnsRenamed(names).join(checked_broadcast(cover), ["cx", "cy"])
+
+    def here(e: Column) -> Column:
+        x, y = grid.at(e["x1"], e["y1"])
+        return (x == F.col("cx")) & (y == F.col("cy"))
+
+    def held(vertices: str, holder: str, flips: str) -> Column:
+        return F.exists(vertices, lambda e: here(e) & G.contains(F.col(holder), e["x1"], e["y1"], F.col(flips)))
+
+    crossing = F.exists("_edges", lambda a: F.exists("edges", lambda b: G.segments_meet(a, b)))
+    known = (
+        F.when(F.col("full") & F.col("_full"), True)
+        .when(F.col("_full"), F.exists("edges", here)).when(F.col("full"), F.exists("_edges", here))
+        .when(F.size("_edges") * F.size("edges") <= FEW_MEETINGS, crossing | held("_edges", "edges", "flips") | held("edges", "_edges", "_flips"))
+    )
+    certain = joined.where(known).select(*left_keys, *keys)
+    columns = [*left_keys, *keys]
+    many = ~F.col("full") & ~F.col("_full") & (F.size("_edges") * F.size("edges") > FEW_MEETINGS)
+    open_ = joined.where(many).select(*columns, "cx", "cy", "_edges", "_flips", "edges", "flips")
 
-    meet = F.exists("_edges", lambda a: F.exists("edges", lambda b: G.segments_meet(a, b)))
-    inside = F.exists("_edges", vertex_inside)
-    around = F.exists("edges", lambda b: G.contains(F.col("_edges"), b["x1"], b["y1"]))
-    return joined.where(inside | meet | around).select(*left_keys, *keys).distinct()
+    def sweep(batches):
+        for batch in batches:
+            at = len(columns)
+            cells = zip(batch.column(at).to_pylist(), batch.column(at + 1).to_pylist(), strict=True)
+            sides = []
+            for e, f in ((batch.column(at + 2), batch.column(at + 3)), (batch.column(at + 4), batch.column(at + 5))):
+                flat = np.column_stack([c.to_numpy(zero_copy_only=False) for c in e.values.flatten()])
+                sides.append((e.offsets.to_numpy(), flat, f.offsets.to_numpy(), f.values.to_numpy(zero_copy_only=False)))
+            met = []
+            for i, (cx, cy) in enumerate(cells):
+                pieces = [v for o, e, p, f in sides for v in (e[o[i] : o[i + 1]], f[p[i] : p[i + 1]])]
+                if pieces_meet(grid, cx, cy, *pieces):
+                    met.append(i)
+            yield pa.RecordBatch.from_arrays([batch.column(k).take(pa.array(met, pa.int64())) for k in range(at)], names=columns)
+
+    swept = open_.mapInArrow(sweep, certain.schema)
+    return certain.unionByName(swept).distinct()
 
 
 def points_near_polygons(

@@ -1,7 +1,9 @@
 import math
 import random
+import time
 import struct
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -247,3 +249,32 @@ def test_row_bytes_follow_the_values(spark):
     df = spark.createDataFrame([("x" * 100, [1, 2, 3], [(1.0, "ab")]), ("", None, [])], "a string, b array<long>, c array<struct<x:double,y:string>>")
     got = [r.n for r in df.select(row_bytes(df).alias("n")).collect()]
     assert got[0] > 100 + 3 * 8 + 16 > 60 > got[1]
+
+
+def test_polygons_meet_as_all_their_edges_say(spark):
+    rng = random.Random(11)
+    grid = Grid(-1.0, -1.0, 0.7, 0.7)
+    left = polygons(spark, *[star(rng, n) for n in (3, 4, 9, 40, 40, 12, 5, 7)], [SQUARE, HOLE], [U_SHAPE])
+    right = polygons(spark, *[star(rng, n) for n in (60, 5, 30, 8)], [SQUARE, HOLE], [FAR]).withColumnRenamed("id", "other")
+    got = {(r.id, r.other) for r in C.polygons_meeting(left, ["id"], C.cell_cover(right, ["other"], grid), grid).collect()}
+    pairs = left.select("id", "edges").crossJoin(right.select("other", F.col("edges").alias("b")))
+    want = {(r.id, r.other) for r in pairs.where(G.intersects(F.col("edges"), F.col("b"))).collect()}
+    assert got == want and 0 < len(want) < 60
+    assert C.polygons_meeting(left.limit(0), ["id"], C.cell_cover(right, ["other"], grid), grid).count() == 0
+
+
+def test_work_in_a_cell_grows_with_its_edges():
+    n = 10_000
+    turn = np.linspace(0, 2 * math.pi, n + 1)
+
+    def ring(radius, x=0.0):
+        p = np.column_stack([x + radius * np.cos(turn), radius * np.sin(turn)])
+        return np.hstack([p[:-1], p[1:]])
+
+    grid, none = Grid(-10.0, -10.0, 20.0, 20.0), np.empty(0)
+    for a, b, meet in ((ring(1.0), ring(1.001), True), (ring(1.0), ring(1.0, 2.001), False), (ring(1.0), ring(1.0, 1.0), True)):
+        tested = sum(len(i) for i, _ in C.near_pairs(a, b))
+        assert tested < 40 * n  # not n * n
+        began = time.time()
+        assert C.pieces_meet(grid, 0, 0, a, none, b, none) is meet
+        assert time.time() - began < 5
