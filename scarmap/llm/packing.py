@@ -29,14 +29,18 @@ END = 2
 #: what the vocabulary has beside the rank file, by the contract's file: found in a text, it is one id
 SPECIAL = {"<|endoftext|>": 50256}
 #: pieces of one length that one task numbers
-RANKED_TOGETHER = 100_000
+RANKED_TOGETHER = 10_000
 #: fillings that the search may try in all, and at one place
 MAX_NODES, MAX_FILLINGS = 20_000, 64
 
 
 @cache
 def _encoder(path: str):
-    """Function from a text to its ids, by the kind of vocabulary file. Both kinds give the same ids, also of SPECIAL."""
+    """Function from a text to its ids, by the kind of vocabulary file. Both kinds give the same ids, also of SPECIAL.
+
+    The reader of rank files gives up on very long runs of blanks or of other characters of one kind; such a text is read with
+    the file of the same name that ends in json, which must lie beside it.
+    """
     if path.endswith(".json"):
         from tokenizers import Tokenizer
 
@@ -50,7 +54,14 @@ def _encoder(path: str):
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
     e = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=SPECIAL)
-    return lambda text: e.encode(text, allowed_special="all")
+
+    def encode(text: str) -> list[int]:
+        try:
+            return e.encode(text, allowed_special="all")
+        except ValueError:
+            return _encoder(path.removesuffix("tiktoken") + "json")(text)
+
+    return encode
 
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"

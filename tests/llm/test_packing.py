@@ -116,3 +116,18 @@ def test_special_tokens_in_texts_are_one_id(spark):
     for path in (RANKS, JSON):
         assert [P._encoder(path)(x) for _, x in texts] == [t.encode(x, add_special_tokens=False).ids for _, x in texts]
         whole(P.pack(spark.createDataFrame(texts, "doc_id long, text string"), path).collect(), texts)
+
+
+@pytest.mark.parametrize("run", [" ", "\t", "\n", "\r\n", " \u00a0"])
+def test_runs_of_a_million_characters_are_read(run):
+    text = "a" + run * (1_000_000 // len(run)) + "b <|endoftext|>"
+    ranks, contract = (P._encoder(public_tokenizers.path(f"byte_bpe_50k.{kind}")) for kind in ("tiktoken", "json"))
+    assert ranks(text) == contract(text)
+
+
+def test_a_text_with_a_long_run_is_packed(spark):
+    rows = [(1, "a" + " " * 1_000_000 + "b"), (2, "short text"), (3, "\n" * 1_000_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = P.pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken")).groupBy("doc_id").sum("length").collect()
+    contract = P._encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    assert {r[0]: r[1] for r in got} == {doc: len(contract(text)) + 1 for doc, text in rows}
