@@ -16,9 +16,9 @@ from scarmap.llm.shared import fresh, stored, table
 
 #: a line on at least so many sites is boilerplate
 MIN_SITES = 5
-#: of a text whose boilerplate is at least this share of its line characters nothing is removed: it is a copy of
-#: a widely copied document, which is for the deduplication of documents to judge
-COPY_SHARE = 0.5
+#: a text of which at least this share of line characters recurs on so many sites is no page with boilerplate but a copy, exact
+#: or near, of a widely copied document: nothing is removed, so that the deduplication of documents can choose one of them
+COPY_SHARE = 0.9
 #: log2 of the sketch's registers; its standard error is about 0.8 / sqrt(registers)
 SKETCH_BITS = 10
 #: estimates within so many standard errors of the threshold are counted exactly

@@ -8,7 +8,7 @@ import pytest
 from scarmap.llm import lines as L
 
 
-def brute(rows, min_sites, copy_share=0.5):
+def brute(rows, min_sites, copy_share=0.9):
     sites = defaultdict(set)
     for _, text, source in rows:
         for line in (text or "").split("\n"):
@@ -65,3 +65,11 @@ def test_other_columns_stay_and_sizes_follow(spark):
     got = L.without_boilerplate(docs, 5)
     assert got.columns == docs.columns
     assert Counter(tuple(r) for r in got.collect()) == Counter([(i, f"body {i}", f"s{i}", 6, "keep") for i in range(5)] + [rows[-1]])
+
+
+def test_a_page_that_is_mostly_navigation_is_cleaned(spark):
+    menu = "\n".join(f"menu entry number {i} of the site" for i in range(6))
+    rows = [(i, f"{menu}\nbody of page {i}, with a sentence of its own that is long enough", f"s{i}") for i in range(6)]
+    rows.append((9, f"{menu}\na short but real body, of this page alone", "s9"))
+    got = run(spark, rows, 5)
+    assert got == brute(rows, 5) and (9, "a short but real body, of this page alone", "s9") in got
