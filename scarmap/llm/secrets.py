@@ -25,13 +25,16 @@ MOST_STRINGS = 64
 
 class Rule(NamedTuple):
     """Matches of ``pattern`` whose ``group`` has at least ``least`` characters. ``first`` is a cheaper test that every
-    text with such a match passes, for rules without trigrams. The syntax is what Java and RE2 share."""
+    text with such a match passes, for rules without trigrams. The syntax is what Java and RE2 share. With ``tail`` the span
+    is that of the group, which ends the match: what stands before it only keeps matches from starting inside a run, where
+    each start would read the run to its end."""
 
     kind: str
     pattern: str
     group: int = 0
     least: int = 0
     first: str | None = None
+    tail: bool = False
 
 
 def either_case(word: str) -> str:
@@ -47,7 +50,7 @@ BASE = [
 MORE = [
     Rule("private_key", "-----BEGIN [A-Z ]*PRIVATE KEY-----"),
     Rule("github", "gh[opsur]_[A-Za-z0-9]{36,}"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
+    Rule("jwt", r"(^|[^A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,})", 2, tail=True),
 ]
 
 # A trigram query: True (no condition), a trigram, ("and", parts) or ("or", parts).
@@ -156,6 +159,8 @@ def candidates(docs: DataFrame, rules: list[Rule]) -> DataFrame:
 
 
 SPAN = "array<struct<start:int,no:int,end:int>>"
+#: matches of a text that are laid out together
+TOGETHER = 256
 
 
 def _spans(rule: Rule, no: int) -> Column:
@@ -165,12 +170,22 @@ def _spans(rule: Rule, no: int) -> Column:
     sizes = F.zip_with(F.slice(between, F.lit(1), F.size(whole)), F.zip_with(whole, part, lambda a, b: F.struct(F.length(a).alias("n"), F.length(b).alias("part"))), lambda g, m: F.struct(F.length(g).alias("gap"), m["n"].alias("n"), m["part"].alias("part")))
 
     def add(done, m):
-        start = done["at"] + m["gap"]
-        span = F.array(F.struct(start.alias("start"), F.lit(no).alias("no"), (start + m["n"]).alias("end")))
-        return F.struct((start + m["n"]).alias("at"), F.when(m["part"] >= rule.least, F.concat(done["spans"], span)).otherwise(done["spans"]).alias("spans"))
+        start, end = done["at"] + m["gap"], done["at"] + m["gap"] + m["n"]
+        own = end - m["part"] if rule.tail else start
+        span = F.array(F.struct(own.alias("start"), F.lit(no).alias("no"), end.alias("end")))
+        return F.struct(end.alias("at"), F.when(m["part"] >= rule.least, F.concat(done["spans"], span)).otherwise(done["spans"]).alias("spans"))
 
+    # an array that grows by one is copied each time, so some matches at a time are laid out, and then moved to their places
     empty = F.array().cast(SPAN)
-    return F.aggregate(sizes, F.struct(F.lit(0).alias("at"), empty.alias("spans")), add, lambda s: s["spans"])
+    some = F.transform(F.sequence(F.lit(0), F.floor(F.size(sizes) / TOGETHER).cast("int")), lambda k: F.slice(sizes, k * TOGETHER + 1, F.lit(TOGETHER)))
+    laid = F.transform(some, lambda m: F.aggregate(m, F.struct(F.lit(0).alias("at"), empty.alias("spans")), add))
+
+    def move(done, part):
+        moved = F.transform(part["spans"], lambda s: F.struct((s["start"] + done["at"]).alias("start"), s["no"].alias("no"), (s["end"] + done["at"]).alias("end")))
+        return F.struct((done["at"] + part["at"]).alias("at"), F.concat(done["parts"], F.array(moved)).alias("parts"))
+
+    none = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("parts"))
+    return F.aggregate(laid, none, move, lambda s: F.flatten(s["parts"]))
 
 
 def scan(docs: DataFrame, base: list[Rule] = BASE, more: list[Rule] = MORE) -> DataFrame:
@@ -207,7 +222,7 @@ def _sql(rules: list[Rule], n_base: int) -> str:
     found = ", ".join(f"string_split_regex(text, {quoted(r.pattern)}) AS g{i}, regexp_extract_all(text, {quoted(r.pattern)}, 0) AS m{i}, regexp_extract_all(text, {quoted(r.pattern)}, {r.group}) AS p{i}" for i, r in enumerate(rules))
     spans = ", ".join(
         f"""list_transform(list_filter(list_transform(range(1, len(m{i}) + 1), lambda k: {{'start': list_sum(list_transform(g{i}[1:k], lambda x: length(x))) + coalesce(list_sum(list_transform(m{i}[1:k - 1], lambda x: length(x))), 0), 'no': {i}, 'n': length(m{i}[k]), 'part': length(p{i}[k])}}),
-        lambda s: s.part >= {r.least}), lambda s: {{'start': s.start, 'no': s.no, 'kind': '{r.kind}', 'end': s.start + s.n}}) AS s{i}"""
+        lambda s: s.part >= {r.least}), lambda s: {{'start': s.start{' + s.n - s.part' if r.tail else ''}, 'no': s.no, 'kind': '{r.kind}', 'end': s.start + s.n}}) AS s{i}"""
         for i, r in enumerate(rules)
     )
     text = lambda n: f"coalesce(array_to_string(list_transform(list_sort(list_concat({', '.join(f's{i}' for i in range(n))})), lambda s: s.kind || ':' || s.start::BIGINT || ':' || s.end::BIGINT), ','), '')"

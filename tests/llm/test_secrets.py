@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import pytest
 
@@ -15,10 +16,11 @@ def brute(doc, text):
     text = text or ""
     spans = []
     base = [("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6), ("access", "AKIA[A-Z0-9]+", 0, 20), ("hex", "[0-9a-f]+", 0, 24)]
-    for no, (kind, pattern, group, least) in enumerate(base + [(r.kind, r.pattern, r.group, r.least) for r in S.MORE]):
+    for no, (kind, pattern, group, least, tail) in enumerate([(*b, False) for b in base] + [(r.kind, r.pattern, r.group, r.least, r.tail) for r in S.MORE]):
         for m in re.finditer(pattern, text, re.ASCII):
             if len(m[group]) >= least:
-                spans.append((m.start(), no, f"{kind}:{m.start()}:{m.end()}"))
+                start = m.start(group) if tail else m.start()
+                spans.append((start, no, f"{kind}:{start}:{m.end()}"))
     spans.sort()
     own = [s for s in spans if s[1] < 3]
     counts = [sum(s[1] == i for s in own) for i in range(3)]
@@ -45,6 +47,31 @@ def test_made_up_texts(spark):
     assert S.scan(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+TOKEN = "eyJabcdefghijk.abcdefghijkl.abcdefghijkl"
+
+
+def test_web_tokens_stand_alone(spark):
+    rows = [(1, TOKEN, "x", 1), (2, f"a {TOKEN}, é{TOKEN}\n{TOKEN}.{TOKEN}", "x", 1), (3, f"x{TOKEN}", "x", 1), (4, f"-{TOKEN} ={TOKEN}", "x", 1), (5, f"{TOKEN} {TOKEN}", "x", 1)]
+    check(spark, rows)
+    got = {r.doc_id: r.spans for r in S.scan(spark.createDataFrame(rows, "doc_id long, text string, a string, b int")).collect()}
+    assert got[1] == "jwt:0:40" and got[3] == "" and got[4] == "jwt:43:83" and got[5] == "jwt:0:40,jwt:41:81"
+
+
+def test_long_runs_take_linear_time(spark):
+    spark.range(1).count()
+    for run in ("eyJ", "eyJ-", "password", "0a", "AKIA"):
+        text = run * (3_000_000 // len(run))
+        docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        S.scan(docs.limit(0)).collect()
+        began = time.time()
+        S.scan(docs).collect()
+        assert time.time() - began < 12, run
+
+
+def test_many_matches_in_one_text(spark):
+    check(spark, [(1, "token=abcdef " * 2000 + "é" + "0" * 24 + " x" + "\nsecret: abcdefgh" * 300, "x", 1)])
+
+
 def holds(q, text):
     if q is True or isinstance(q, str):
         return q is True or q in text
