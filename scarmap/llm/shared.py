@@ -46,13 +46,13 @@ def ranked(rows: DataFrame, group: str, order: list[Column | str], place: str =
     return laid.join(parts, [group, task]).withColumn(place, F.col(at) - F.col(first) + F.col(before)).drop(at, task, first, before)
 
 
-def with_texts(units: DataFrame, docs: DataFrame, by: list[str]) -> DataFrame:
-    """``units`` (by..., role, doc_id, ...) with the text of each document, grouped by ``by`` and sorted by it
-    and role, so that a task can stream one unit after the other: first the rows of role 0, which it holds,
+def with_texts(units: DataFrame, docs: DataFrame, by: list[str], what: str = "text") -> DataFrame:
+    """``units`` (by..., role, doc_id, ...) with the text of each document (or its column ``what``), grouped by ``by`` and sorted
+    by it and role, so that a task can stream one unit after the other: first the rows of role 0, which it holds,
     then those of role 1, which pass by. Callers see to it that a unit is small."""
-    columns = [*by, "role", "doc_id", *[c for c in units.columns if c not in {*by, "role", "doc_id"}], "text"]
+    columns = [*by, "role", "doc_id", *[c for c in units.columns if c not in {*by, "role", "doc_id"}], what]
     return (
-        units.join(docs.select("doc_id", "text"), "doc_id")
+        units.join(docs.select("doc_id", what), "doc_id")
         .repartition(*by).sortWithinPartitions(*by, "role", "doc_id").select(*columns)
     )
 
