@@ -131,8 +131,8 @@ def _focal(blocks: pa.Table, group: np.ndarray, bands: list[str], radius: int) -
     for b in bands:
         value, there = blocks.column(b).to_numpy(), ~np.asarray(blocks.column(b).combine_chunks().is_null())
         finite = there & np.isfinite(value)
-        # differences of sums are taken around the mean, where they are small
-        middle = np.where(finite, value, 0.0).sum() / max(int(finite.sum()), 1)
+        # differences of sums are taken around the mean, where they are small; a whole number keeps whole numbers exact
+        middle = float(np.round(np.where(finite, value, 0.0).sum() / max(int(finite.sum()), 1)))
         counts = [there, finite, *[there & (np.isnan(value) if np.isnan(odd) else value == odd) for odd in ODD]]
         amounts[b] = middle, np.where(finite, value - middle, 0.0), [c.astype(np.int64) for c in counts]
     flat = [a for _, total, counts in amounts.values() for a in (total, *counts)]
