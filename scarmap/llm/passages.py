@@ -9,6 +9,9 @@
 4. Chains that are long enough are aligned on the texts: segments word by word, gaps between them by common
    subsequences, ends as far as matches do not fall far behind mismatches. Of the aligned words all stretches that are
    long and equal enough are passages, so that a gap between two passages costs neither of them.
+5. A chain that has no passage is open: the first holder of its seeds has too little of what a later one may share with
+   another. Around the open chains, on both sides, longer k-mers up to the least length of a passage are seeds of a second
+   turn of 1 to 4. A first holder of such a seed has that much more, and one of the longest seed has a passage itself.
 """
 
 from __future__ import annotations
@@ -19,12 +22,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from scarmap.cluster import checked_broadcast
 from scarmap.llm import textkit as K
 from scarmap.llm.registry import query
 from scarmap.llm.shared import star_units, stored, table, with_texts
 
 SEED_WORDS = 5
+#: words of the seeds of the second turn; the last is set to the least words of a passage
+LONG_SEEDS = (14, 28)
+#: the second turn takes texts by blocks of so many words
+BLOCK = 64
 #: log2 of the parts of the hash space; what a batch has in one of them is one row of the shuffle
 BUCKET_BITS = 14
 #: matches on one diagonal so many words apart are one segment
@@ -50,22 +59,51 @@ def _again(h: np.ndarray, row: np.ndarray) -> np.ndarray:
     return out
 
 
-def _seeds(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, doc_id, first word) of the seeds of a batch (doc_id, text).
+def _longer(g: np.ndarray, k: int) -> np.ndarray:
+    """Hash of every ``k`` words, more than SEED_WORDS, from the hashes of every SEED_WORDS: those that cover them."""
+    at = [*range(0, k - SEED_WORDS, SEED_WORDS), k - SEED_WORDS]
+    n = max(len(g) - at[-1], 0)
+    out = np.full(n, np.uint64(k), dtype=np.uint64)
+    for i, j in enumerate(at):
+        out += g[j : j + n] * K.ODD[i]
+    return K.mix(out)
+
+
+def _around(blocks: list[int], words: int) -> np.ndarray:
+    """Which of ``words`` words lie in one of the ``blocks``."""
+    on = np.zeros(words // BLOCK + 1, dtype=bool)
+    at = np.array(blocks, dtype=np.int64)
+    on[at[at < len(on)]] = True
+    return np.repeat(on, BLOCK)[:words]
+
+
+def _seeds(batch: pa.RecordBatch, sizes: tuple[int, ...]) -> tuple[np.ndarray, ...]:
+    """(hash, doc_id, first word, number of its size in ``sizes``) of the seeds of a batch (doc_id, text, blocks if any).
 
     A seed that a text repeats is given once more, hashed with its number there, so that repetitions meet in order.
+    Where a batch has blocks, seeds lie inside those.
     """
     ids = batch.column(0).to_numpy()
-    found = [(np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64))]
-    for lo, _, data, offsets in K.text_blocks(batch.column(1)):
+    found = [(np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64))]
+    for lo, hi, data, offsets in K.text_blocks(batch.column(1)):
         h, cuts = K.words_of(data, offsets, K.VISIBLE)
-        g, at = K.row_grams(h, cuts, SEED_WORDS)
-        row = np.searchsorted(cuts, at, "right") - 1
-        number = _again(g, row)
-        more = number > 0
-        g = np.concatenate([g, K.mix(g[more] ^ (number[more] * K.ODD[1]))])
-        row, at = np.concatenate([row, row[more]]), np.concatenate([at, at[more]])
-        found.append((g, ids[lo + row], at - cuts[row]))
+        short = K.grams(h, SEED_WORDS)
+        if batch.num_columns > 2:
+            blocks = batch.column(2).slice(lo, hi - lo).to_pylist()
+            wanted = [_around(r, int(n)) for r, n in zip(blocks, np.diff(cuts), strict=True)]
+            inside = np.concatenate([[0], np.cumsum(np.concatenate([*wanted, np.zeros(0, dtype=bool)]))])
+        for number, size in enumerate(sizes):
+            g = short if size == SEED_WORDS else _longer(short, size)
+            row = K.row_of(cuts)
+            at = np.flatnonzero(row[: len(g)] == row[size - 1 :]) if len(g) else np.zeros(0, dtype=np.int64)
+            if batch.num_columns > 2:
+                at = at[inside[at + size] - inside[at] == size]
+            g, row = g[at], row[at]
+            times = _again(g, row)
+            more = times > 0
+            g = np.concatenate([g, K.mix(g[more] ^ (times[more] * K.ODD[1]))])
+            row, at = np.concatenate([row, row[more]]), np.concatenate([at, at[more]])
+            found.append((g, ids[lo + row], at - cuts[row], np.full(len(g), number)))
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
@@ -121,60 +159,69 @@ def segments(pos: np.ndarray, other: np.ndarray, words: np.ndarray, doc: np.ndar
     return np.stack([*(x[start] for x in by), pos[start], other[start], end[last] - pos[start]], 1)
 
 
-def _seed_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Seeds of a batch, each hash once, packed by bucket; a batch's other places of it with the first as partner, as
-    segments under a number of the pair, so that they are spread."""
-    for batch in batches:
-        h, doc, pos = _seeds(batch)
-        one, more, head = _star(h, doc, pos)
-        found = segments(pos[more], pos[head], np.full(len(more), SEED_WORDS), doc[more], doc[head])
-        one.sort()
-        bucket = h[one] >> np.uint64(64 - BUCKET_BITS)
-        order = one[np.argsort(bucket, kind="stable")]
-        bucket = (h[order] >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
-        planes = _planes(h[order], doc[order], pos[order])
-        cuts = np.flatnonzero(np.diff(bucket, prepend=-1, append=-1)) if len(bucket) else np.zeros(1, dtype=np.int64)
-        blobs = [planes[:, a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-        spread = K.signed(K.mix(found[:, 0].astype(np.uint64) * K.ODD[0] + found[:, 1].astype(np.uint64)))
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
-        yield pa.record_batch(
-            [
-                pa.array(np.concatenate([bucket[cuts[:-1]], spread])),
-                *[pa.concat_arrays([pa.nulls(len(blobs), k), pa.array(found[:, i]).cast(k)]) for i, k in enumerate(kinds)],
-                pa.array([*blobs, *[None] * len(found)], pa.binary()),
-            ],
-            [c.split()[0] for c in SEEDS.split(", ")],
-        )
-
-
-def _matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _seed_rows(sizes: tuple[int, ...]):
+    """Seeds of a batch, each hash once, packed by size and bucket; a batch's other places of it with the first as partner,
+    as segments under a number of the pair, so that they are spread."""
+    words = np.array(sizes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            h, doc, pos, number = _seeds(batch, sizes)
+            one, more, head = _star(h, doc, pos)
+            found = segments(pos[more], pos[head], words[number[more]], doc[more], doc[head])
+            one.sort()
+            bucket = (h >> np.uint64(64 - BUCKET_BITS)).astype(np.int64) | number << BUCKET_BITS
+            order = one[np.argsort(bucket[one], kind="stable")]
+            bucket = bucket[order]
+            planes = _planes(h[order], doc[order], pos[order])
+            cuts = np.flatnonzero(np.diff(bucket, prepend=-1, append=-1)) if len(bucket) else np.zeros(1, dtype=np.int64)
+            blobs = [planes[:, a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+            spread = K.signed(K.mix(found[:, 0].astype(np.uint64) * K.ODD[0] + found[:, 1].astype(np.uint64)))
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
+            yield pa.record_batch(
+                [
+                    pa.array(np.concatenate([bucket[cuts[:-1]], spread])),
+                    *[pa.concat_arrays([pa.nulls(len(blobs), k), pa.array(found[:, i]).cast(k)]) for i, k in enumerate(kinds)],
+                    pa.array([*blobs, *[None] * len(found)], pa.binary()),
+                ],
+                [c.split()[0] for c in SEEDS.split(", ")],
+            )
+
+    return run
+
+
+def _matches(sizes: tuple[int, ...]):
     """Rows sorted by bucket: segments pass; of the seeds all but a hash's first are matched to that."""
     names = [c.split()[0] for c in SEGMENTS.split(", ")]
 
     def solve(rows: list[tuple[int, bytes]]):
         buckets, blobs = zip(*rows, strict=True)
         h, doc, pos = (np.concatenate(x) for x in zip(*map(_unpacked, blobs), strict=True))
-        h = h | np.repeat(np.array(buckets, dtype=np.uint64), [len(b) // sum(PACKED) for b in blobs]) << np.uint64(64 - BUCKET_BITS)
+        bucket = np.repeat(np.array(buckets), [len(b) // sum(PACKED) for b in blobs])
+        h = h | (bucket & ((1 << BUCKET_BITS) - 1)).astype(np.uint64) << np.uint64(64 - BUCKET_BITS)
         _, more, head = _star(h, doc, pos)
-        columns = [doc[more], doc[head], pos[more], pos[head], np.full(len(more), SEED_WORDS, dtype=np.int32)]
+        columns = [doc[more], doc[head], pos[more], pos[head], np.array(sizes, dtype=np.int32)[bucket[more] >> BUCKET_BITS]]
         return pa.record_batch([pa.array(c) for c in columns], names)
 
-    held: list[tuple[int, bytes]] = []
-    for batch in batches:  # the last bucket of a batch may go on in the next
-        packed = batch.column(6).is_valid()
-        there = batch.filter(pa.compute.invert(packed))
-        if there.num_rows:
-            yield pa.record_batch([there.column(i) for i in range(1, 6)], names)
-        mine = batch.filter(packed)
-        held += zip(mine.column(0).to_pylist(), mine.column(6).to_pylist(), strict=True)
-        cut = len(held)
-        while cut and held[cut - 1][0] == held[-1][0]:
-            cut -= 1
-        if cut:
-            yield solve(held[:cut])
-            held = held[cut:]
-    if held:
-        yield solve(held)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[int, bytes]] = []
+        for batch in batches:  # the last bucket of a batch may go on in the next
+            packed = batch.column(6).is_valid()
+            there = batch.filter(pa.compute.invert(packed))
+            if there.num_rows:
+                yield pa.record_batch([there.column(i) for i in range(1, 6)], names)
+            mine = batch.filter(packed)
+            held += zip(mine.column(0).to_pylist(), mine.column(6).to_pylist(), strict=True)
+            cut = len(held)
+            while cut and held[cut - 1][0] == held[-1][0]:
+                cut -= 1
+            if cut:
+                yield solve(held[:cut])
+                held = held[cut:]
+        if held:
+            yield solve(held)
+
+    return run
 
 
 def chains(runs: np.ndarray, seed: int = SEED_WORDS, gap: float = GAP_COST) -> list[np.ndarray]:
@@ -426,24 +473,70 @@ def _passage_rows(min_words: int, min_percent: int):
     return run
 
 
+def _chained(texts: DataFrame, sizes: tuple[int, ...]) -> DataFrame:
+    """(member, center, chains) of the pairs that share seeds of ``sizes`` words; ``texts`` is (doc_id, text, blocks if any)."""
+    seeds = texts.mapInArrow(_seed_rows(sizes), SEEDS).repartition("bucket").sortWithinPartitions("bucket")
+    matches = seeds.mapInArrow(_matches(sizes), SEGMENTS).repartition("doc", "other").sortWithinPartitions("doc", "other")
+    return stored(matches.mapInArrow(_chain_rows, "member long, center long, chains array<int>"))
+
+
+def _ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per chain of rows (member, center, chains) the words it spans on both sides."""
+    for batch in batches:
+        out = []
+        for member, center, flat in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            i = 0
+            while i < len(flat):
+                first, last = flat[i + 1 : i + 4], flat[i + 3 * flat[i] - 2 : i + 3 * flat[i] + 1]
+                out.append((member, first[0], last[0] + last[2], center, first[1], last[1] + last[2]))
+                i += 1 + 3 * flat[i]
+        kinds = [pa.int64(), pa.int32(), pa.int32()] * 2
+        yield pa.record_batch([pa.array(c, k) for c, k in zip(list(zip(*out, strict=True)) or [()] * 6, kinds, strict=True)], ["doc_id", "s", "e", "center", "cs", "ce"])
+
+
+def open_blocks(found: DataFrame, passages: DataFrame, margin: int) -> DataFrame:
+    """(doc_id, blocks): where chains of ``found`` lie that are in none of their member's ``passages``, on both sides, with
+    ``margin`` words around them, as numbers of blocks of words.
+
+    A document's chains and passages are sorted by their starts, and one sweep keeps the farthest end of a passage.
+    """
+    ends = found.mapInArrow(_ends, "doc_id long, s int, e int, center long, cs int, ce int")
+    none = [F.lit(None).cast("long").alias("center"), *[F.lit(None).cast("int").alias(c) for c in ("cs", "ce")]]
+    held = passages.select("doc_id", F.col("start_word").alias("s"), F.col("end_word").alias("e"), *none)
+    before = Window.partitionBy("doc_id").orderBy("s", F.col("center").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    swept = ends.unionByName(held).withColumn("far", F.max(F.when(F.col("center").isNull(), F.col("e"))).over(before))
+    bare = swept.where("center is not null and (far is null or far < e)")
+    sides = F.array(F.struct("doc_id", "s", "e"), F.struct(F.col("center").alias("doc_id"), F.col("cs").alias("s"), F.col("ce").alias("e")))
+    one = bare.select(F.explode(sides).alias("x")).select("x.doc_id", F.greatest(F.col("x.s") - margin, F.lit(0)).alias("s"), (F.col("x.e") + margin).alias("e"))
+    blocks = one.select("doc_id", F.explode(F.sequence(F.floor(F.col("s") / BLOCK).cast("int"), F.floor(F.col("e") / BLOCK).cast("int"))).alias("block")).distinct()
+    return blocks.groupBy("doc_id").agg(F.collect_list("block").alias("blocks"))
+
+
 def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, min_percent: int = MIN_PERCENT) -> DataFrame:
     """One row per passage of a document that another one has too: doc_id, other_id, word ranges on both sides, equal words.
 
     Words are runs of visible characters, A-Z folded; ends are exclusive. Both sides have at least ``min_words`` words, and the
     aligned words that are equal are at least ``min_percent`` percent of the longer side. Of the documents that share a
     passage one is its source and has no row for it; each of the others is matched to an earlier one (smaller
-    doc_id), through which the source is reached; not all pairs are listed. As a seed is matched to its first holder
-    only, two later holders can miss each other where that one has too little of the passage.
+    doc_id), through which the source is reached; not all pairs are listed. A seed is matched to its first holder
+    only. Where that one has too little of a passage, later holders meet in the second turn, by its longer seeds:
+    always if ``min_words`` words are equal in a row and a chain lies there. Missed are a passage with changed words whose
+    long seeds all have earlier holders that have no passage with it, and one whose seeds lie in many earlier documents,
+    no two of them CHAIN_WORDS apart in the same one.
 
     Null and short texts, and rows without doc_id, have no passages. Rows that repeat a doc_id are one document: what they
     share with each other does not count. No documents give no rows; other columns are disregarded.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null and text is not null")
-    seeds = docs.mapInArrow(_seed_rows, SEEDS).repartition("bucket").sortWithinPartitions("bucket")
-    matches = seeds.mapInArrow(_matches, SEGMENTS).repartition("doc", "other").sortWithinPartitions("doc", "other")
-    found = stored(matches.mapInArrow(_chain_rows, "member long, center long, chains array<int>"))
-    units = star_units(found, ["chains"])
-    return with_texts(units, docs, ["center", "part"]).mapInArrow(_passage_rows(min_words, min_percent), PASSAGES).distinct()
+
+    def aligned(found: DataFrame) -> DataFrame:
+        return with_texts(star_units(found, ["chains"]), docs, ["center", "part"]).mapInArrow(_passage_rows(min_words, min_percent), PASSAGES)
+
+    found = _chained(docs, (SEED_WORDS,))
+    passages = stored(aligned(found))
+    around = docs.join(checked_broadcast(open_blocks(found, passages, min_words)), "doc_id").select("doc_id", "text", "blocks")
+    longer = (*[k for k in LONG_SEEDS if SEED_WORDS < k < min_words], max(min_words, SEED_WORDS))
+    return passages.unionByName(aligned(_chained(around, longer))).distinct()
 
 
 @query("op4_passages")

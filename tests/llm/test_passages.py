@@ -189,3 +189,58 @@ def test_recall_at_the_stated_thresholds(spark, size, changed):
     found = run(spark, rows)
     assert all(f[1] == f[0] - 1 for f in found)
     assert len({f[0] for f in found}) >= 97
+
+
+def test_first_holder_with_too_little_hides_no_link(spark):
+    rng = random.Random(31)
+    fill = lambda n: [f"w{rng.randrange(10**8)}" for _ in range(n)]
+    rows, want = [], set()
+
+    def add(i, part):
+        rows.append((i, " ".join(fill(30) + part + fill(20))))
+
+    whole = fill(55)
+    add(1, whole[:48])  # too little of what 2 and 3 share
+    add(2, whole)
+    add(3, whole)
+    want.add((3, 2))
+    whole = fill(50)
+    add(11, whole[:49])
+    add(12, whole[1:])  # both together have every short seed
+    add(13, whole)
+    add(14, whole)
+    want.add((14, 13))
+    whole = fill(80)
+    for i in range(30):  # random parts, then two holders of the whole
+        at = rng.randrange(0, 32)
+        add(100 + i, whole[at : at + 49])
+    add(200, whole)
+    add(201, whole)
+    want.add((201, 200))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for parts in (1, 50):
+        found = [tuple(r) for r in P.repeated_passages(docs.repartition(parts, "doc_id")).collect()]
+        check(rows, found)
+        assert {f[:2] for f in found} >= want and all(f[0] not in (1, 2, 11, 12) for f in found), parts
+
+
+def test_passages_are_covered_alike_for_any_partitions(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    linked = []
+    for parts in (1, 50):
+        found = P.repeated_passages(docs.repartition(parts, "doc_id")).select("doc_id").distinct().collect()
+        linked.append({r.doc_id for r in found})
+    assert linked[0] == linked[1] != set()
+
+
+def test_longer_seeds_are_those_of_their_words():
+    rng = np.random.default_rng(12)
+    h = rng.integers(0, 3, 400).astype(np.uint64)
+    short = P.K.grams(h, P.SEED_WORDS)
+    for k in (6, 14, 28, 50):
+        g = P._longer(short, k)
+        assert len(g) == 400 - k + 1
+        runs = [tuple(h[i : i + k]) for i in range(len(g))]
+        assert len(set(runs)) == len(set(g.tolist())) == len(set(zip(runs, g.tolist())))
+    assert len(P._longer(short[:20], 50)) == 0
+    assert P._around([0, 2, 9], 150).nonzero()[0].tolist() == [*range(64), *range(128, 150)]
