@@ -59,14 +59,16 @@ def _again(h: np.ndarray, row: np.ndarray) -> np.ndarray:
     return out
 
 
-def _longer(g: np.ndarray, k: int) -> np.ndarray:
-    """Hash of every ``k`` words, more than SEED_WORDS, from the hashes of every SEED_WORDS: those that cover them."""
-    at = [*range(0, k - SEED_WORDS, SEED_WORDS), k - SEED_WORDS]
+def _longer(h: np.ndarray, cuts: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, first word) of every ``k`` words inside a row, more than SEED_WORDS, from the hashes of the SEED_WORDS that cover them."""
+    g, at = K.grams(h, SEED_WORDS), [*range(0, k - SEED_WORDS, SEED_WORDS), k - SEED_WORDS]
     n = max(len(g) - at[-1], 0)
     out = np.full(n, np.uint64(k), dtype=np.uint64)
     for i, j in enumerate(at):
         out += g[j : j + n] * K.ODD[i]
-    return K.mix(out)
+    rows = K.row_of(cuts)
+    inside = np.flatnonzero(rows[:n] == rows[k - 1 :]) if n else np.zeros(0, dtype=np.int64)
+    return K.mix(out[inside]), inside
 
 
 def _around(blocks: list[int], words: int) -> np.ndarray:
@@ -84,26 +86,24 @@ def _seeds(batch: pa.RecordBatch, sizes: tuple[int, ...]) -> tuple[np.ndarray, .
     Where a batch has blocks, seeds lie inside those.
     """
     ids = batch.column(0).to_numpy()
-    found = [(np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64))]
+    found = [(np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint8))]
     for lo, hi, data, offsets in K.text_blocks(batch.column(1)):
         h, cuts = K.words_of(data, offsets, K.VISIBLE)
-        short = K.grams(h, SEED_WORDS)
         if batch.num_columns > 2:
             blocks = batch.column(2).slice(lo, hi - lo).to_pylist()
             wanted = [_around(r, int(n)) for r, n in zip(blocks, np.diff(cuts), strict=True)]
             inside = np.concatenate([[0], np.cumsum(np.concatenate([*wanted, np.zeros(0, dtype=bool)]))])
         for number, size in enumerate(sizes):
-            g = short if size == SEED_WORDS else _longer(short, size)
-            row = K.row_of(cuts)
-            at = np.flatnonzero(row[: len(g)] == row[size - 1 :]) if len(g) else np.zeros(0, dtype=np.int64)
+            g, at = K.row_grams(h, cuts, size) if size == SEED_WORDS else _longer(h, cuts, size)
             if batch.num_columns > 2:
-                at = at[inside[at + size] - inside[at] == size]
-            g, row = g[at], row[at]
+                own = inside[at + size] - inside[at] == size
+                g, at = g[own], at[own]
+            row = np.searchsorted(cuts, at, "right") - 1
             times = _again(g, row)
             more = times > 0
             g = np.concatenate([g, K.mix(g[more] ^ (times[more] * K.ODD[1]))])
             row, at = np.concatenate([row, row[more]]), np.concatenate([at, at[more]])
-            found.append((g, ids[lo + row], at - cuts[row], np.full(len(g), number)))
+            found.append((g, ids[lo + row], at - cuts[row], np.full(len(g), number, dtype=np.uint8)))
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
@@ -170,9 +170,10 @@ def _seed_rows(sizes: tuple[int, ...]):
             one, more, head = _star(h, doc, pos)
             found = segments(pos[more], pos[head], words[number[more]], doc[more], doc[head])
             one.sort()
-            bucket = (h >> np.uint64(64 - BUCKET_BITS)).astype(np.int64) | number << BUCKET_BITS
-            order = one[np.argsort(bucket[one], kind="stable")]
-            bucket = bucket[order]
+            bucket = (h[one] >> np.uint64(64 - BUCKET_BITS)).astype(np.int32) | number[one].astype(np.int32) << BUCKET_BITS
+            turn = np.argsort(bucket, kind="stable")
+            order, bucket = one[turn], bucket[turn].astype(np.int64)
+            del turn, one, more, head
             planes = _planes(h[order], doc[order], pos[order])
             cuts = np.flatnonzero(np.diff(bucket, prepend=-1, append=-1)) if len(bucket) else np.zeros(1, dtype=np.int64)
             blobs = [planes[:, a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
@@ -480,38 +481,66 @@ def _chained(texts: DataFrame, sizes: tuple[int, ...]) -> DataFrame:
     return stored(matches.mapInArrow(_chain_rows, "member long, center long, chains array<int>"))
 
 
-def _ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per chain of rows (member, center, chains) the words it spans on both sides."""
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The segments of the chains of rows (member, center, chains), with the number of their chain there."""
     for batch in batches:
-        out = []
+        out = [np.zeros((0, 6), dtype=np.int64)]
         for member, center, flat in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            i = 0
+            i = number = 0
             while i < len(flat):
-                first, last = flat[i + 1 : i + 4], flat[i + 3 * flat[i] - 2 : i + 3 * flat[i] + 1]
-                out.append((member, first[0], last[0] + last[2], center, first[1], last[1] + last[2]))
-                i += 1 + 3 * flat[i]
-        kinds = [pa.int64(), pa.int32(), pa.int32()] * 2
-        yield pa.record_batch([pa.array(c, k) for c, k in zip(list(zip(*out, strict=True)) or [()] * 6, kinds, strict=True)], ["doc_id", "s", "e", "center", "cs", "ce"])
+                runs = np.array(flat[i + 1 : i + 1 + 3 * flat[i]], dtype=np.int64).reshape(-1, 3)
+                out.append(np.column_stack([np.broadcast_to([member, center, number], (len(runs), 3)), runs]))
+                i, number = i + 1 + 3 * flat[i], number + 1
+        rows = np.concatenate(out)
+        kinds = [pa.int64(), pa.int64(), *[pa.int32()] * 4]
+        yield pa.record_batch([pa.array(rows[:, i]).cast(k) for i, k in enumerate(kinds)], ["doc_id", "center", "chain", "s", "other", "words"])
 
 
 def open_blocks(found: DataFrame, passages: DataFrame, margin: int) -> DataFrame:
-    """(doc_id, blocks): where chains of ``found`` lie that are in none of their member's ``passages``, on both sides, with
-    ``margin`` words around them, as numbers of blocks of words.
+    """(doc_id, blocks): where chains of ``found`` have CHAIN_WORDS words or more that are in none of their member's
+    ``passages``, on both sides, with ``margin`` words around them, as numbers of blocks of words.
 
-    A document's chains and passages are sorted by their starts, and one sweep keeps the farthest end of a passage.
+    A document's segments and passages are sorted by their starts, and one sweep keeps the farthest end of a passage.
     """
-    ends = found.mapInArrow(_ends, "doc_id long, s int, e int, center long, cs int, ce int")
-    none = [F.lit(None).cast("long").alias("center"), *[F.lit(None).cast("int").alias(c) for c in ("cs", "ce")]]
-    held = passages.select("doc_id", F.col("start_word").alias("s"), F.col("end_word").alias("e"), *none)
+    runs = found.mapInArrow(_runs, "doc_id long, center long, chain int, s int, other int, words int").withColumn("e", F.col("s") + F.col("words"))
+    held = passages.select("doc_id", F.col("start_word").alias("s"), F.col("end_word").alias("e")).distinct()
     before = Window.partitionBy("doc_id").orderBy("s", F.col("center").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
-    swept = ends.unionByName(held).withColumn("far", F.max(F.when(F.col("center").isNull(), F.col("e"))).over(before))
-    bare = swept.where("center is not null and (far is null or far < e)")
+    far = F.coalesce(F.max(F.when(F.col("center").isNull(), F.col("e"))).over(before), F.lit(0))
+    bare = runs.unionByName(held, allowMissingColumns=True).withColumn("skip", F.greatest(far - F.col("s"), F.lit(0))).where("center is not null and s + skip < e")
+    spans = bare.groupBy("doc_id", "center", "chain").agg(
+        F.sum(F.col("words") - F.col("skip")).alias("n"), F.min(F.col("s") + F.col("skip")).alias("s"), F.max("e").alias("e"),
+        F.min(F.col("other") + F.col("skip")).alias("cs"), F.max(F.col("other") + F.col("words")).alias("ce"),
+    ).where(F.col("n") >= CHAIN_WORDS)
     sides = F.array(F.struct("doc_id", "s", "e"), F.struct(F.col("center").alias("doc_id"), F.col("cs").alias("s"), F.col("ce").alias("e")))
-    one = bare.select(F.explode(sides).alias("x")).select("x.doc_id", F.greatest(F.col("x.s") - margin, F.lit(0)).alias("s"), (F.col("x.e") + margin).alias("e"))
+    one = spans.select(F.explode(sides).alias("x")).select("x.doc_id", F.greatest(F.col("x.s") - margin, F.lit(0)).alias("s"), (F.col("x.e") + margin).alias("e"))
     blocks = one.select("doc_id", F.explode(F.sequence(F.floor(F.col("s") / BLOCK).cast("int"), F.floor(F.col("e") / BLOCK).cast("int"))).alias("block")).distinct()
     return blocks.groupBy("doc_id").agg(F.collect_list("block").alias("blocks"))
 
 
+def _boxes(flat: list[int]) -> np.ndarray:
+    """Per chain where it starts and ends on both sides and where it lies in ``flat``: (start, end, other, other end, from, to)."""
+    out, i = [], 0
+    while i < len(flat):
+        to = i + 1 + 3 * flat[i]
+        out.append((flat[i + 1], flat[to - 3] + flat[to - 1], flat[i + 2], flat[to - 2] + flat[to - 1], i, to))
+        i = to
+    return np.array(out, dtype=np.int64).reshape(-1, 6)
+
+
+def _unseen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (member, center, chains, chains that are aligned already) without the chains that lie inside one of those."""
+    for batch in batches:
+        kept = []
+        for flat, old in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+            if old:
+                had = _boxes(old)
+                new = [b for b in _boxes(flat) if not ((had[:, [0, 2]] <= b[[0, 2]]).all(1) & (had[:, [1, 3]] >= b[[1, 3]]).all(1)).any()]
+                flat = [x for b in new for x in flat[b[4] : b[5]]]
+            kept.append(flat)
+        rows = pa.record_batch([batch.column(0), batch.column(1), pa.array(kept, pa.list_(pa.int32()))], ["member", "center", "chains"])
+        yield rows.filter(pa.array([bool(k) for k in kept], pa.bool_()))
+
+
 def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, min_percent: int = MIN_PERCENT) -> DataFrame:
     """One row per passage of a document that another one has too: doc_id, other_id, word ranges on both sides, equal words.
 
@@ -536,7 +565,9 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, min_percent:
     passages = stored(aligned(found))
     around = docs.join(checked_broadcast(open_blocks(found, passages, min_words)), "doc_id").select("doc_id", "text", "blocks")
     longer = (*[k for k in LONG_SEEDS if SEED_WORDS < k < min_words], max(min_words, SEED_WORDS))
-    return passages.unionByName(aligned(_chained(around, longer))).distinct()
+    had = found.withColumnRenamed("chains", "had")
+    more = _chained(around, longer).join(had, ["member", "center"], "left").mapInArrow(_unseen, found.schema)
+    return passages.unionByName(aligned(more)).distinct()
 
 
 @query("op4_passages")

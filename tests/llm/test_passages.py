@@ -236,11 +236,18 @@ def test_passages_are_covered_alike_for_any_partitions(spark):
 def test_longer_seeds_are_those_of_their_words():
     rng = np.random.default_rng(12)
     h = rng.integers(0, 3, 400).astype(np.uint64)
-    short = P.K.grams(h, P.SEED_WORDS)
+    cuts = np.array([0, 100, 100, 130, 400])
     for k in (6, 14, 28, 50):
-        g = P._longer(short, k)
-        assert len(g) == 400 - k + 1
-        runs = [tuple(h[i : i + k]) for i in range(len(g))]
+        g, at = P._longer(h, cuts, k)
+        assert at.tolist() == [i for a, b in zip(cuts, cuts[1:]) for i in range(a, b - k + 1)]
+        runs = [tuple(h[i : i + k]) for i in at]
         assert len(set(runs)) == len(set(g.tolist())) == len(set(zip(runs, g.tolist())))
-    assert len(P._longer(short[:20], 50)) == 0
+    assert len(P._longer(h[:20], np.array([0, 20]), 50)[0]) == 0
     assert P._around([0, 2, 9], 150).nonzero()[0].tolist() == [*range(64), *range(128, 150)]
+
+
+def test_chains_inside_aligned_ones_are_left_out():
+    old, new = [2, 0, 10, 20, 30, 45, 8], [1, 5, 15, 14, 2, 25, 36, 14, 60, 70, 14, 1, 0, 40, 28]
+    batch = P.pa.record_batch([P.pa.array([5, 6, 7]), P.pa.array([1, 1, 1]), P.pa.array([new, new, new[:4]]), P.pa.array([old, None, old])], ["member", "center", "chains", "had"])
+    got = [r for out in P._unseen([batch]) for r in out.to_pylist()]
+    assert got == [{"member": 5, "center": 1, "chains": new[4:]}, {"member": 6, "center": 1, "chains": new}]
