@@ -86,7 +86,7 @@ def _seeds(batch: pa.RecordBatch, sizes: tuple[int, ...]) -> tuple[np.ndarray, .
     Where a batch has blocks, seeds lie inside those.
     """
     ids = batch.column(0).to_numpy()
-    found = [(np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint8))]
+    found = [(np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.uint8))]
     for lo, hi, data, offsets in K.text_blocks(batch.column(1)):
         h, cuts = K.words_of(data, offsets, K.VISIBLE)
         if batch.num_columns > 2:
@@ -103,7 +103,7 @@ def _seeds(batch: pa.RecordBatch, sizes: tuple[int, ...]) -> tuple[np.ndarray, .
             more = times > 0
             g = np.concatenate([g, K.mix(g[more] ^ (times[more] * K.ODD[1]))])
             row, at = np.concatenate([row, row[more]]), np.concatenate([at, at[more]])
-            found.append((g, ids[lo + row], at - cuts[row], np.full(len(g), number, dtype=np.uint8)))
+            found.append((g, ids[lo + row], (at - cuts[row]).astype(np.int32), np.full(len(g), number, dtype=np.uint8)))
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
