@@ -202,7 +202,7 @@ def _probe(texts: DataFrame, probes: list[Probes], keep: list[str], name: str) -
 def find_contamination(docs: DataFrame, benchmark: DataFrame, keep: list[str], name: str, window: int = WINDOW, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """``keep`` columns of ``docs`` and, as ``name``, each text's n_words, spans of hit words [start, end, ...] and item ids.
 
-    A null text has no words. Items without words, text or item_id take no part; items that repeat count once per
+    Item ids are whole numbers; others are an error. A null text has no words. Items without words, text or item_id take no part; items that repeat count once per
     item_id. Documents are judged row by row, so repeated and null doc_ids do no harm. With an empty benchmark or
     no documents nothing is hit. ``name`` must not be a column of ``docs`` (``shared.fresh`` gives one).
     """
