@@ -37,7 +37,7 @@ BLOCK_MEMBERS = 64
 EMPTY = np.uint32(0xFFFFFFFF)
 #: the same where registers are compared, which are shorter than texts
 REGISTER_MEMBERS = 2048
-#: of the centers that a member may be linked with, so many are tried in one step
+#: of the centers that a member may be linked with, so many are tried first; the others where these leave them in other groups
 CENTERS = 2
 #: chance that the registers of a pair at the threshold agree too rarely for its texts to be compared
 MISSED = 1e-7
@@ -185,8 +185,11 @@ def _verified(units: DataFrame, docs: DataFrame, shingle: int, percent: int) ->
     return settle(with_texts(units, texts, ["u", "v", "w"]).mapInArrow(_links(shingle, percent), "a long, b long"))
 
 
-def _star(bucketed: DataFrame, registers: DataFrame, percent: int) -> DataFrame:
-    """Every class of a bucket with the bucket's head (rep, n, group), unless sizes, groups or registers rule a link out."""
+def _star(bucketed: DataFrame, registers: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Verified links of every class of a bucket with the bucket's head (rep, n, group), unless sizes, groups or registers rule a link out.
+
+    A member has a center per band at most. The smallest ``CENTERS`` are tried first; then all others of another group by then.
+    """
     possible = F.expr(f"100 * least(n, head.n) >= {percent} * greatest(n, head.n)") & (F.col("group") != F.col("head.group"))
     pairs = bucketed.where(possible).select(F.col("head.rep").alias("center"), F.col("rep").alias("member")).distinct()
     centers = checked_broadcast(pairs.select("center").distinct().join(registers.toDF("center", "of_center"), "center"))
@@ -200,10 +203,24 @@ def _star(bucketed: DataFrame, registers: DataFrame, percent: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([c.filter(pa.array(near)) for c in batch.columns[:2]], names=["center", "member"])
 
     near = both.select("center", "member", "of_center", "of_member").mapInArrow(alike, "center long, member long")
-    # a member has a center per band at most; what its smallest ones do not link stays open for the steps behind
-    first = F.explode(F.slice(F.array_sort(F.collect_list("center")), 1, CENTERS)).alias("center")
-    near = settle(near.groupBy("member").agg(first).select("center", "member"))
-    return star_units(near).select(
+    near = settle(near.groupBy("member").agg(F.array_sort(F.collect_list("center")).alias("centers")))
+    some = lambda part: F.explode(part).alias("center")
+    first = near.select("member", some(F.slice("centers", 1, CENTERS)))
+    links = _verified(_star_rows(first), docs, shingle, percent)
+    rest = near.where(F.size("centers") > CENTERS).select("member", some(F.slice("centers", CENTERS + 1, BANDS)))
+    if rest.limit(1).count() == 0:
+        return links
+    groups = stored(components(links, turns=1))
+    for side in ("center", "member"):
+        own = groups.toDF(side, f"of_{side}")
+        rest = rest.join(own, side, "left").withColumn(f"of_{side}", F.coalesce(f"of_{side}", side))
+    rest = settle(rest.where("of_center <> of_member").select("center", "member"))
+    return links.unionByName(_verified(_star_rows(rest), docs, shingle, percent))
+
+
+def _star_rows(pairs: DataFrame) -> DataFrame:
+    """Units of pairs (center, member), each class its own group."""
+    return star_units(pairs).select(
         F.col("center").alias("u"), F.col("part").alias("v"), F.lit(0).alias("w"), "role", "doc_id", F.col("doc_id").alias("group")
     )
 
@@ -291,11 +308,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 85) -> Dat
     # what is known of a bucket is settled before rows are joined to it: a hot bucket's rows are then split by the join
     bucketed = stored(banded.join(stored(heads.where("size > 1")), "bucket").withColumn("group", F.col("rep")))
 
-    links = _verified(_star(bucketed, registers, percent), docs, shingle, percent)
+    links = _star(bucketed, registers, docs, shingle, percent)
     bucketed = _regroup(bucketed.where("size > 2 and rep <> head.rep"), links)
     if bucketed.limit(1).count():
         heads = settle(bucketed.groupBy("bucket").agg(F.min_by(F.struct("rep", "n", "group"), F.xxhash64("rep")).alias("head")))
-        links = links.unionByName(_verified(_star(bucketed.join(heads, "bucket"), registers, percent), docs, shingle, percent))
+        links = links.unionByName(_star(bucketed.join(heads, "bucket"), registers, docs, shingle, percent))
         bucketed = _with_candidates(_regroup(bucketed, links), registers, percent)
         if bucketed.limit(1).count():
             links = links.unionByName(_verified(_blocks(bucketed, BLOCK_MEMBERS), docs, shingle, percent))

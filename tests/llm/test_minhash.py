@@ -141,3 +141,16 @@ def test_few_true_pairs_agree_in_too_few_registers():
             signature = M.superminhash(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]))
             lost += np.count_nonzero(signature[0] == signature[1]) < M.enough(percent)
         assert lost == 0
+
+
+def test_a_link_with_a_center_behind_those_tried_first(spark):
+    """Text 4 is near 1, 2 and 3 by its registers, alike only 3, and shares no bucket with 3 and another one."""
+    rng = random.Random(789)
+    word = lambda: f"w{rng.randrange(10**9)}"
+    own = [word() for _ in range(400)]
+
+    def changed(lo, n):
+        return " ".join([*own[:lo], *[word() for _ in range(n)], *own[lo + n :]])
+
+    rows = [(1, changed(10, 62)), (2, changed(130, 62)), (3, changed(260, 20)), (4, " ".join(own))]
+    assert run(spark, rows) == brute(rows) == [(1, 396, 1, True), (2, 396, 2, True), (3, 396, 3, True), (4, 396, 3, False)]
