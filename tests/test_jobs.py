@@ -596,3 +596,34 @@ def test_a_window_reads_few_rows_of_a_tile(spark, tmp_path):
     assert codes.count() == side * side
     near = spark.createDataFrame([(0, 0), (1, 0), (0, 1), (1, 1), (2, 0), (-1, -1)], "cx int, cy int")
     assert [tuple(r) for r in near.orderBy(morton(F.col("cx"), F.col("cy"))).collect()] == [(-1, -1), (0, 0), (1, 0), (0, 1), (1, 1), (2, 0)]
+
+
+def _scene_pixels(spark):
+    rows = [(s, x, y, float(s * 100 + x * 10 + y) if (x + y + s) % 4 else None) for s in (1, 2) for x in range(-2, 68) for y in range(5) if (x * y + s) % 3]
+    rows += [rows[7], (None, 1, 1, 5.0), (3, None, 1, 7.0)]
+    return rows, spark.createDataFrame(rows, "scene_id long, cx int, cy int, B1 double")
+
+
+def test_window_means_at_points(spark):
+    """Points that share a cell, lie at a block's border, repeat, are in two cells, or lack a key or a cell."""
+    rows, pixels = _scene_pixels(spark)
+    points = [(1, 0, 0), (2, 0, 0), (3, 63, 2), (4, 64, 2), (5, 9, 1), (5, 9, 1), (6, 1, 1), (6, 40, 3), (None, 20, 2), (7, None, 2), (8, 500, 500)]
+    got = S.extract_points(pixels, spark.createDataFrame(points, "unosat_id long, cx int, cy int"), ["unosat_id"], ["scene_id"], ["B1"], 3)
+    hits = {}
+    for p, px, py in points:
+        for s, x, y, v in rows:
+            if None not in (px, py, x, y) and abs(x - px) <= 1 and abs(y - py) <= 1:
+                hits.setdefault((p, s), []).append(v)
+    present = {k: [v for v in vs if v is not None] for k, vs in hits.items()}
+    want = {k: pytest.approx(sum(v) / len(v)) if v else None for k, v in present.items()}
+    found = [tuple(r) for r in got.select("unosat_id", "scene_id", "B1").collect()]
+    assert len(found) == len(want) and {(p, s): v for p, s, v in found} == want
+
+
+def test_what_window_means_move_does_not_grow_with_the_points(spark):
+    """Points of a cell meet its means; nothing is grouped or moved behind that join."""
+    _, pixels = _scene_pixels(spark)
+    points = spark.createDataFrame([(i, i % 60, 2) for i in range(600)], "unosat_id long, cx int, cy int")
+    plan = S.extract_points(pixels, points, ["unosat_id"], ["scene_id"], ["B1"], 3)._jdf.queryExecution().executedPlan().toString()
+    top = plan[: plan.index("Join")]
+    assert "Aggregate" not in top and "Exchange" not in top
