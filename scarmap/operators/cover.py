@@ -27,7 +27,7 @@ from scarmap.operators.raster import Grid
 COVER_BLOCK = 32
 # Cell sizes, each four times the one before, for polygons of any size near points.
 LEVELS = 4
-# Points near polygons are sent to the polygons up to this size; beyond it the join is left to Spark.
+# Points near polygons are sent to the polygons up to this size; beyond it both are shuffled.
 FEW_POINTS_BYTES = 8 << 20
 # Pieces per cell that are kept as an array in a lookup row.
 MAX_PIECES = 1_000
@@ -161,8 +161,7 @@ def locate(
 
     piece = F.struct(F.col(order).alias("_order"), F.struct(*keys).alias("_keys"), "full", "edges", "flips")
     cells = cover.groupBy("cx", "cy").agg(F.collect_list(piece).alias("_pieces"))
-    if (weight or 0) <= MAX_BROADCAST_BYTES:
-        cells = F.broadcast(cells)
+    cells = F.broadcast(cells) if (weight or 0) <= MAX_BROADCAST_BYTES else cells.hint("merge")
     cx, cy = grid.at(F.col(x), F.col(y))
     joined = points.withColumns({"cx": cx, "cy": cy}).join(cells, ["cx", "cy"], "left")
     hits = F.filter("_pieces", lambda p: holds(p, F.col(x), F.col(y)))

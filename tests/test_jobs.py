@@ -627,3 +627,16 @@ def test_what_window_means_move_does_not_grow_with_the_points(spark):
     plan = S.extract_points(pixels, points, ["unosat_id"], ["scene_id"], ["B1"], 3)._jdf.queryExecution().executedPlan().toString()
     top = plan[: plan.index("Join")]
     assert "Aggregate" not in top and "Exchange" not in top
+
+
+def test_a_side_beyond_the_limit_is_not_broadcast(spark):
+    """Spark would take the side, whose rows a range makes, for small."""
+    from scarmap.cluster import checked_broadcast
+
+    made = spark.range(10).withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(50_000))))
+    left = spark.range(100).withColumn("k", F.col("id"))
+    for how in ("inner", "left_semi"):
+        plan = left.join(checked_broadcast(made, 1 << 20), "k", how)._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    plan = left.join(checked_broadcast(made.limit(5)), "k")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
