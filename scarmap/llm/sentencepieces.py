@@ -72,8 +72,8 @@ class Pieces:
         self.parts = self._cuts(letters)
         self.made: dict[int, list | None] = {}
         self.pairs: dict[int, bool] = {}
-        self.known: dict[str, list[int]] = {}
-        self.older: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _cuts(self, letters: set[str]) -> re.Pattern:
         """Cuts a text where no piece lies across: in front of blanks, behind letters, beside line feeds, as far as that is so."""
@@ -150,18 +150,19 @@ class Pieces:
         ids.reverse()
         return ids
 
+    def packed(self, text: str) -> bytes:
+        """Ids of a whole text, without any special ids, in four bytes each."""
+        if not text:
+            return b""
+        return b"".join([self.known.get(part) or self._part(part) for part in self.parts.findall(" " + text)])
+
     def encode(self, text: str) -> list[int]:
         """Ids of a whole text, without any special ids."""
-        if not text:
-            return []
-        ids: list[int] = []
-        for part in self.parts.findall(" " + text):
-            ids += self.known.get(part) or self._part(part)
-        return ids
+        return np.frombuffer(self.packed(text), dtype=np.int32).tolist()
 
-    def _part(self, part: str) -> list[int]:
+    def _part(self, part: str) -> bytes:
         """Ids of a part that is not among the latest. What has been asked for since the memory was full last is kept."""
-        ids = self.older.get(part) or self.encode_part(part.replace(" ", BLANK))
+        ids = self.older.get(part) or np.array(self.encode_part(part.replace(" ", BLANK)), dtype=np.int32).tobytes()
         if len(part) <= PART:
             if len(self.known) >= REMEMBERED // 2:
                 self.older, self.known = self.known, {}
@@ -199,12 +200,14 @@ def encode(docs: DataFrame, model: str, ids: str = "ids", end: bool = True, text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = _pieces(model)
-        last = [_processor(model).eos_id()] if end else []
+        last = np.array([_processor(model).eos_id()] if end else [], dtype=np.int32).tobytes()
         for batch in batches:
             for lo, hi, _, _ in K.text_blocks(batch.column(at)):
                 part = batch.slice(lo, hi - lo)
-                found = [pieces.encode(x or "") + last for x in part.column(at).to_pylist()]
-                yield pa.record_batch([*part.columns, pa.array(found, pa.list_(pa.int32()))], schema.names)
+                found = [pieces.packed(x or "") + last for x in part.column(at).to_pylist()]
+                ends = pa.array(np.cumsum([0, *map(len, found)]) // 4, pa.int32())
+                lists = pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(found), dtype=np.int32)))
+                yield pa.record_batch([*part.columns, lists], schema.names)
 
     return docs.mapInArrow(run, schema)
 

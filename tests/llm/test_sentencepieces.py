@@ -98,3 +98,11 @@ def test_refuses_models_of_another_kind(tmp_path):
     (tmp_path / "other.model").write_bytes(model.SerializeToString())
     with pytest.raises(ValueError):
         S.Pieces(str(tmp_path / "other.model"))
+
+
+def test_remembered_parts_are_packed():
+    """Ids of a text are joined from parts of four bytes an id, remembered or not."""
+    pieces = S.Pieces(MODEL)
+    for text in ("a few words, a few words", "a few more", ""):
+        assert pieces.packed(text) == b"".join(i.to_bytes(4, "little") for i in LIBRARY.encode(text))
+    assert all(isinstance(ids, bytes) for ids in pieces.known.values())
