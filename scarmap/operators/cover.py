@@ -317,33 +317,70 @@ def points_near_polygons(
 
     A polygon's box is filed under a few cells of the level that suits its size grown by the distance; cells of one level are
     4 x 4 of the level below. A point lies in one cell of each level. So each pair is met once, no polygon has many cells,
-    and no buffer polygon is built. Boxes alone are joined with points; edges are fetched for the pairs that are left, which
-    go to the polygons as long as they are measured to be few, so that edges are not shuffled.
+    and no buffer polygon is built. Few points are sent to the boxes, and edges are fetched for the pairs that are left. Many
+    points meet boxes and edges in one join by cell, so pairs are neither written nor shuffled; polygons that repeat their keys,
+    whose every box counts with every shape of the same keys, take the first way.
     """
-    cx, cy = grid.at(F.col(x), F.col(y))
+    points, polygons = settle(points), polygons.select(*polygon_keys, F.col(edges).alias("_edges"), F.col(box).alias("_shape_box"))
+    boxes, levels, inside = _boxes_by_cell(polygons.withColumnRenamed("_shape_box", "_box"), grid, metres, x, y)
+    located = _at_levels(points, levels, grid, x, y)
+    others = [k for k in polygon_keys if k not in points.columns]
+    within = G.within_metres(F.col("_edges"), F.col(x), F.col(y), metres)
+
+    def by_pairs(boxes: DataFrame, shapes: DataFrame, located: DataFrame) -> DataFrame:
+        cells = spread(_each_cell(boxes.drop("_edges")), *polygon_keys)
+        pairs = checked_broadcast(cells.join(located, ["_level", "cx", "cy"]).where(inside).select(*points.columns, *others))
+        near = shapes.select(*polygon_keys, "_edges").join(pairs, polygon_keys).where(within)
+        return near.select(*points.columns, *others)
+
+    if _weight(points) * len(levels) <= FEW_POINTS_BYTES:
+        return by_pairs(boxes, polygons, F.broadcast(located))
+    located = located.hint("merge")
+    repeated = settle(polygons.groupBy(*polygon_keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))
+    again = repeated.limit(1).count() > 0
+    single = boxes.join(repeated, polygon_keys, "left_anti") if again else boxes
+    cells = _each_cell(single.dropna(subset=polygon_keys))
+    near = cells.join(located, ["_level", "cx", "cy"]).where(inside & within).select(*points.columns, *others)
+    if not again:
+        return near
+    boxes, polygons = (df.join(repeated, polygon_keys, "left_semi") for df in (boxes, polygons))
+    return near.unionByName(by_pairs(boxes, polygons, located))
+
+
+def _boxes_by_cell(polygons: DataFrame, grid: Grid, metres: float, x: str, y: str) -> tuple[DataFrame, list[int], Column]:
+    """``polygons`` with ``_box`` grown by the distance, its level and ranges of cells; the levels in use; whether a box holds a point."""
     up = metres / G.METRES_PER_DEGREE * 1.01
-    side = F.lit(up) / F.cos(F.radians(F.greatest(F.abs(F.col(f"{box}.miny")), F.abs(F.col(f"{box}.maxy")))))
+    side = F.lit(up) / F.cos(F.radians(F.greatest(F.abs(F.col("_box.miny")), F.abs(F.col("_box.maxy")))))
     grown = F.struct(
-        (F.col(f"{box}.minx") - side).alias("minx"), (F.col(f"{box}.miny") - up).alias("miny"),
-        (F.col(f"{box}.maxx") + side).alias("maxx"), (F.col(f"{box}.maxy") + up).alias("maxy"),
+        (F.col("_box.minx") - side).alias("minx"), (F.col("_box.miny") - up).alias("miny"),
+        (F.col("_box.maxx") + side).alias("maxx"), (F.col("_box.maxy") + up).alias("maxy"),
     )
     c = lambda n: F.col(f"_box.{n}")
     span = F.greatest((c("maxx") - c("minx")) / grid.dx, (c("maxy") - c("miny")) / grid.dy)
     level = clamp(F.ceil(F.log(4.0, F.greatest(span / 2, F.lit(1.0)))).cast("int"), 0, LEVELS - 1)
     low, high = grid.at(c("minx"), c("miny")), grid.at(c("maxx"), c("maxy"))
-    rows = polygons.select(*polygon_keys, grown.alias("_box")).withColumn("_level", level).withColumns({
+    rows = polygons.withColumn("_box", grown).withColumn("_level", level).withColumns({
         f"_{n}": F.sequence(_coarser(a), _coarser(b)) for n, a, b in (("xs", low[0], high[0]), ("ys", low[1], high[1]))
     })
-    cells = rows.select(*polygon_keys, "_box", "_level", F.explode_outer("_xs").alias("cx"), "_ys")
-    cells = cells.select(*polygon_keys, "_box", "_level", "cx", F.explode_outer("_ys").alias("cy"))
-    located = points.withColumns({"cx": cx, "cy": cy, "_level": F.explode(F.array(*[F.lit(n) for n in range(LEVELS)]))})
-    located = checked_broadcast(located.withColumns({c: _coarser(F.col(c)) for c in ("cx", "cy")}), FEW_POINTS_BYTES)
-    inside = F.col(x).between(c("minx"), c("maxx")) & F.col(y).between(c("miny"), c("maxy"))
-    others = [k for k in polygon_keys if k not in points.columns]
-    pairs = checked_broadcast(spread(cells, *polygon_keys).join(located, ["_level", "cx", "cy"]).where(inside).select(*points.columns, *others))
-    shapes = polygons.select(*polygon_keys, F.col(edges).alias("_edges"))
-    near = shapes.join(pairs, polygon_keys).where(G.within_metres(F.col("_edges"), F.col(x), F.col(y), metres))
-    return near.select(*points.columns, *others)
+    levels = sorted(r[0] for r in rows.select("_level").distinct().collect() if r[0] is not None)
+    return rows, levels or [0], F.col(x).between(c("minx"), c("maxx")) & F.col(y).between(c("miny"), c("maxy"))
+
+
+def _each_cell(boxes: DataFrame) -> DataFrame:
+    """A row per cell of a box's ranges."""
+    return boxes.withColumn("cx", F.explode_outer("_xs")).drop("_xs").withColumn("cy", F.explode_outer("_ys")).drop("_ys")
+
+
+def _at_levels(points: DataFrame, levels: list[int], grid: Grid, x: str, y: str) -> DataFrame:
+    """Every point with its cell at each level."""
+    cx, cy = grid.at(F.col(x), F.col(y))
+    located = points.withColumns({"cx": cx, "cy": cy, "_level": F.explode(F.array(*[F.lit(n) for n in levels]))})
+    return located.withColumns({c: _coarser(F.col(c)) for c in ("cx", "cy")})
+
+
+def _weight(df: DataFrame) -> int:
+    """Measured bytes of settled rows."""
+    return df.agg(F.sum(row_bytes(df))).first()[0] or 0
 
 
 def _coarser(index: Column) -> Column:
