@@ -347,6 +347,44 @@ def points_near_polygons(
     return near.unionByName(by_pairs(boxes, polygons, located))
 
 
+def first_points_near(
+    points: DataFrame, polygons: DataFrame, polygon_keys: list[str], grid: Grid, metres: float, order: list[str],
+    x: str = "lon", y: str = "lat", edges: str = "edges", box: str = "bbox",
+) -> DataFrame:
+    """(point columns, polygon keys): of the points in a polygon or at most ``metres`` from it, the first by ``order`` and some others.
+
+    Keys that points have too must be equal. Boxes and points meet by cell as in ``points_near_polygons``, but the points of a
+    cell lie in arrays of about ``MAX_PIECES``, and the first one of an array that is near ends the search in it. So pairs
+    are no rows, and what is shuffled grows with points and polygons alone.
+    """
+    points, polygons = settle(points), polygons.select(*polygon_keys, F.col(edges).alias("_edges"), F.col(box).alias("_box"))
+    boxes, levels, _ = _boxes_by_cell(polygons, grid, metres, x, y)
+    shared = [k for k in polygon_keys if k in points.columns]
+    on = ["_level", "cx", "cy", *shared]
+    located = _at_levels(points, levels, grid, x, y)
+    crowded = settle(located.groupBy(*on).agg(F.ceil(F.count(F.lit(1)) / MAX_PIECES).alias("_parts")).where("_parts > 1"))
+    part = F.lit(0)
+    if crowded.limit(1).count():
+        located = located.join(checked_broadcast(crowded), on, "left")
+        part = F.pmod(F.xxhash64(x, y), F.coalesce("_parts", F.lit(1))).cast("int")
+    rest = [c for c in points.columns if c not in (*order, *shared)]
+    listed = located.select(*on, part.alias("_part"), F.struct(*order, *rest).alias("_point")).repartition(*on)
+    listed = listed.groupBy(*on, "_part").agg(F.sort_array(F.collect_list("_point")).alias("_points")).drop("_part")
+    few = _weight(points) * len(levels) <= FEW_POINTS_BYTES
+    found = _each_cell(boxes).join(F.broadcast(listed) if few else listed.hint("merge"), on)
+    c = lambda n: F.col(f"_box.{n}")
+
+    def near(p: Column) -> Column:
+        inside = p[x].between(c("minx"), c("maxx")) & p[y].between(c("miny"), c("maxy"))
+        return inside & G.within_metres(F.col("_edges"), p[x], p[y], metres)
+
+    kind = listed.schema["_points"].dataType.elementType.simpleString()
+    first = F.aggregate("_points", F.lit(None).cast(kind), lambda done, p: F.when(done.isNotNull(), done).when(near(p), p))
+    found = found.select(*polygon_keys, first.alias("_point")).where("_point is not null")
+    others = [k for k in polygon_keys if k not in points.columns]
+    return found.select(*[F.col(n) if n in shared else F.col(f"_point.{n}").alias(n) for n in points.columns], *others)
+
+
 def _boxes_by_cell(polygons: DataFrame, grid: Grid, metres: float, x: str, y: str) -> tuple[DataFrame, list[int], Column]:
     """``polygons`` with ``_box`` grown by the distance, its level and ranges of cells; the levels in use; whether a box holds a point."""
     up = metres / G.METRES_PER_DEGREE * 1.01

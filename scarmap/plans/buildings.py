@@ -44,15 +44,16 @@ def labels_near_buildings(points, buildings, metres: float = NEAR_METRES, grid:
 def worst_labels(buildings: DataFrame, labels: DataFrame, aois: DataFrame, aoi_grid: Grid = AOI_GRID) -> DataFrame:
     """Worst label within reach, of an area the building meets, for every building that has one.
 
-    Labels at one place are reduced to the worst before the spatial join, and only buildings with a
-    label in reach are tested against the areas.
+    Labels at one place are reduced to the worst before the spatial join. Buildings meet the areas first, then only labels of
+    these areas, of which the worst within reach is looked for in every cell: pairs of buildings and labels are no rows.
     """
     row = F.struct("damage", "unosat_id", "date")
     places = labels.groupBy("aoi", "lon", "lat").agg(F.min_by(row, F.struct("damage", "unosat_id")).alias("_l"))
-    near = settle(labels_near_buildings(places.select("aoi", "lon", "lat", "_l.*"), buildings))
-    found = buildings.select("building_id", "edges", "bbox").join(near.select("building_id").distinct(), "building_id", "left_semi")
-    hits = near.join(buildings_in_aoi(found, aois, aoi_grid), ["building_id", "aoi"], "left_semi")
-    return L.worst_label_per_building(hits)
+    shapes = buildings.select("building_id", "edges", "bbox")
+    found = settle(shapes.join(buildings_in_aoi(shapes, aois, aoi_grid), "building_id"))
+    places = places.select("aoi", "lon", "lat", "_l.*")
+    near = C.first_points_near(places, found, ["building_id", "aoi"], NEAR_GRID, NEAR_METRES, ["damage", "unosat_id"])
+    return L.worst_label_per_building(near)
 
 
 def add_damage_labels(buildings: DataFrame, labels: DataFrame, aois: DataFrame, aoi_grid: Grid = AOI_GRID) -> DataFrame:

@@ -1,12 +1,15 @@
 """What a task holds and what is moved must not grow faster than the tables."""
 
 import random
+from datetime import date
 
 from pyspark.sql import functions as F
 
 from scarmap.functions import geometry as G
 from scarmap.operators import cover as C
+from scarmap.operators import labels as L
 from scarmap.operators.raster import Grid
+from scarmap.plans import buildings as B
 from scarmap.sources.readers import with_geometry
 
 NEAR = Grid(-180.0, -90.0, 0.0005, 0.0005)
@@ -34,3 +37,23 @@ def test_many_points_meet_edges_without_a_table_of_pairs(spark, monkeypatch):
     once = shapes.where("building_id > 4")
     got = C.points_near_polygons(points, once, ["building_id"], NEAR, 5.0).select("id", "building_id").collect()
     assert sorted(tuple(r) for r in got) == [r for r in want if r[1] > 4]
+
+
+def test_the_worst_label_is_found_without_rows_of_pairs(spark, monkeypatch):
+    rng = random.Random(6)
+    shapes = boxes(spark, [(k, (30 + k % 6 * 0.004, 50 + k // 6 * 0.004, 0.003 * (1 + k % 3), 0.003)) for k in range(30)], "building_id int")
+    aois = boxes(spark, [("A", (29.9, 49.9, 0.11, 1)), ("B", (30.015, 49.9, 1, 1))], "aoi string")
+    labels = [(f"u{i:04}", rng.choice(["A", "B", "C", None]), rng.choice([1, 2, 3, None]), date(2022, 3, 1 + i % 28), 30 + rng.random() * 0.03, 50 + rng.random() * 0.03) for i in range(900)]
+    labels = spark.createDataFrame(labels, "unosat_id string, aoi string, damage int, date date, lon double, lat double")
+    near = labels.crossJoin(shapes).where(G.within_metres(F.col("edges"), F.col("lon"), F.col("lat"), 5.0)).select("unosat_id", "damage", "date", "aoi", "building_id")
+    want = L.worst_label_per_building(near.join(B.buildings_in_aoi(shapes, aois), ["building_id", "aoi"], "left_semi"))
+    want = sorted(want.collect(), key=str)
+    assert len(want) > 20
+    for few, pieces in ((0, 1_000), (0, 20), (8 << 20, 1_000)):
+        monkeypatch.setattr(C, "FEW_POINTS_BYTES", few)
+        monkeypatch.setattr(C, "MAX_PIECES", pieces)
+        assert sorted(B.worst_labels(shapes, labels, aois).collect(), key=str) == want
+    monkeypatch.setattr(B, "labels_near_buildings", None)  # makes a row of every label that is near
+    assert B.worst_labels(shapes, labels, aois).count() == len(want)
+    found = C.first_points_near(labels, shapes, ["building_id"], NEAR, 5.0, ["damage", "unosat_id"])
+    assert found.count() < near.count() / 5
