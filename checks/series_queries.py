@@ -11,6 +11,7 @@ from checks import standins as D
 from checks.registry import query
 from checks.standins import BANDS, EVENT, POST, PRE, SCENE_PERIODS, r6, read, rounded, sql
 from checks.statistics_sql import LABEL_SQL, experiment_sql, features, statistics
+from scarmap.cluster import tasks_of
 from scarmap.config import REDUCERS, Period, RunConfig
 from scarmap.functions import values as V
 from scarmap.operators import evaluate as E
@@ -528,7 +529,9 @@ class Step:
 
 
 def _area_pixels(spark, sf):
-    pixels = D.scene_pixels(spark, sf).join(D.scenes(spark, sf).select("scene_id", F.pmod("orbit", F.lit(2)).alias("orbit")), "scene_id")
+    pixels, scenes = D.scene_pixels(spark, sf), D.scenes(spark, sf).select("scene_id", F.pmod("orbit", F.lit(2)).alias("orbit"))
+    tasks = tasks_of(spark, pixels.count())
+    pixels = pixels.repartition(tasks, "scene_id").join(scenes.repartition(tasks, "scene_id"), "scene_id")
     cx, cy = ((F.col(c) % 10).cast("int") for c in ("cx", "cy"))
     tile = F.concat(F.floor(cx / 5), F.floor(cy / 5))
     return pixels.select("scene_id", "orbit", "ts", "B2", tile.alias("qk"), cx.alias("cx"), cy.alias("cy"))

@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scarmap.cluster import checked_broadcast
+from scarmap.cluster import checked_broadcast, tasks_of
 from scarmap.functions.values import cell, clamp
 from scarmap.operators.series import reduce_groups
 
@@ -72,7 +72,8 @@ def focal_mean(pixels: DataFrame, scene_keys: list[str], bands: list[str], radiu
 
     ``payload`` columns belong to a cell, not to its scene: neighbours may differ in them, and each cell keeps its own.
 
-    Cells are shuffled once, by square block with a halo copied from the neighbours, and sorted in it. Windows of a full block
+    Cells are counted, then shuffled once, by square block with a halo copied from the neighbours, to tasks of a bounded number
+    of rows, and sorted in them. Windows of a full block
     are read from an array of summed areas, four numbers each, so the cost does not grow with the radius; windows of thinly
     filled blocks, many blocks at a time, from sums along sorted columns. Cells may be missing; cells that occur twice count
     twice and come out once. Means are doubles.
@@ -90,7 +91,8 @@ def focal_mean(pixels: DataFrame, scene_keys: list[str], bands: list[str], radiu
             out = blocks.take(pa.array(own))
             yield pa.RecordBatch.from_arrays([means[n] if n in means else out.column(n).combine_chunks() for n in names], names=names)
 
-    return halo.repartition(*by).sortWithinPartitions(*by, "cx", "cy").mapInArrow(run, kept.schema)
+    tasks = tasks_of(pixels.sparkSession, kept.count())
+    return halo.repartition(tasks, *by).sortWithinPartitions(*by, "cx", "cy").mapInArrow(run, kept.schema)
 
 
 def _whole_groups(batches: Iterator[pa.RecordBatch], by: list[str], rows: int = 400_000) -> Iterator[tuple[pa.Table, np.ndarray]]:

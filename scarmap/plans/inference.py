@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from scarmap.cluster import checked_broadcast, settle
 from scarmap.config import Period, RunConfig
-from scarmap.functions.values import quantised
+from scarmap.functions.values import in_period, quantised
 from scarmap.operators import model as M
 from scarmap.operators import raster as R
 from scarmap.operators import scenes as S
@@ -36,15 +36,17 @@ def predict_area(
     An orbit takes part in a tile and window if it has enough images before and after; ``orbits`` names the
     orbits instead. Means over a window cross the borders of tiles: images are smoothed whole, and a cell keeps its
     tile. Rows are shuffled by cell once (and once before by block, if smoothed): statistics, scores and the mean over
-    orbits follow in that stage. Only ``scenes`` is evaluated while the plan is built.
+    orbits follow in that stage. While the plan is built ``scenes`` is evaluated and, if smoothed, pixels are counted.
     """
     size = window_size(cfg.window)
     place = [*by, "cx", "cy"]
-    usable = None
+    # windows lie in one image, so images of no period are left out before anything is moved
+    seen = R.any_of([in_period(F.col("ts"), p) for p in dict.fromkeys([*cfg.pre, *post])])
+    pixels, usable = pixels.where(seen), None
     if orbits is not None:
         pixels = pixels.where(F.col("orbit").isin(list(orbits)))
     else:
-        usable = settle(qualifying_orbits(scenes, cfg.pre, post, by))
+        usable = settle(qualifying_orbits(scenes.where(seen), cfg.pre, post, by))
         # a neighbour tile may lack images of an orbit, but its cells belong to windows at the border
         early = ["orbit"] if size > 1 else [*by, "orbit"]
         pixels = pixels.join(checked_broadcast(usable.select(*early).distinct()), early, "left_semi")

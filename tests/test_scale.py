@@ -5,11 +5,16 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
+from checks.series_queries import Step
+from scarmap import cluster
+from scarmap.config import Period, RunConfig
 from scarmap.functions import geometry as G
 from scarmap.operators import cover as C
 from scarmap.operators import labels as L
+from scarmap.operators import raster as R
 from scarmap.operators.raster import Grid
 from scarmap.plans import buildings as B
+from scarmap.plans import inference
 from scarmap.sources.readers import with_geometry
 
 NEAR = Grid(-180.0, -90.0, 0.0005, 0.0005)
@@ -57,3 +62,23 @@ def test_the_worst_label_is_found_without_rows_of_pairs(spark, monkeypatch):
     assert B.worst_labels(shapes, labels, aois).count() == len(want)
     found = C.first_points_near(labels, shapes, ["building_id"], NEAR, 5.0, ["damage", "unosat_id"])
     assert found.count() < near.count() / 5
+
+
+def test_images_of_no_period_are_not_smoothed(spark, monkeypatch):
+    rows = [(s, s % 2, date(1996 + s % 4, 1, 5), "0", x, y, 1.0) for s in range(80) for x in range(2) for y in range(2)]
+    pixels = spark.createDataFrame(rows, "scene_id int, orbit int, ts date, qk string, cx int, cy int, B2 double")
+    pre, post = Period.of("1996-01-01", "1996-02-01"), Period.of("1998-01-01", "1998-02-01")
+    cfg = RunConfig(s1_bands=["B2"], pre=[pre], post=[post], reducers=["mean"], window=["3x3"])
+    smoothed, smooth = [], R.focal_mean
+    monkeypatch.setattr(R, "focal_mean", lambda p, *args, **more: smoothed.append(p.count()) or smooth(p, *args, **more))
+    scenes = pixels.select("qk", "scene_id", "orbit", "ts").distinct()
+    got = inference.predict_area(pixels, scenes, Step("B2_post_3x3_mean", 0.5), cfg, cfg.post).collect()
+    assert {(r.cx, r.cy): r.value for r in got} == {(x, y): 0.75 for x in range(2) for y in range(2)}
+    assert smoothed == [len(rows) // 2]
+
+
+def test_more_cells_are_smoothed_in_more_tasks(spark, monkeypatch):
+    monkeypatch.setattr(cluster, "TASK_ROWS", 50)
+    cells = spark.range(1_000).selectExpr("id % 4 AS s", "CAST(id AS INT) AS cx", "0 AS cy", "1.0D AS v")
+    smoothed = R.focal_mean(cells, ["s"], ["v"])
+    assert smoothed.rdd.getNumPartitions() == 20 and smoothed.where("v = 1").count() == 1_000
