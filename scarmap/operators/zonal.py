@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
-from scarmap.cluster import checked_broadcast, spread
+from scarmap.cluster import checked_broadcast, spread, tasks_of
 from scarmap.operators.cover import box_cells
 from scarmap.operators.raster import Grid, spread_dates
 
@@ -147,6 +147,12 @@ def _block(cell: Column) -> Column:
     return F.floor(cell / OVERLAP_BLOCK).cast("int")
 
 
+def overlap_tasks(buildings: DataFrame, grid: Grid, box: str = "bbox") -> int:
+    """Tasks for the pixels under buildings: by the number of squares in all boxes, which bounds the overlaps from above."""
+    xs, ys = box_cells(box, grid)
+    return tasks_of(buildings.sparkSession, buildings.agg(F.sum(F.size(xs).cast("long") * F.size(ys))).first()[0])
+
+
 def pixels_x_buildings(
     buildings: DataFrame, pixels: DataFrame, grid: Grid, keys=("building_id",), date: str = "post_date", value: str = "value",
     edges: str = "edges", box: str = "bbox",

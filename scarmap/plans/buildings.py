@@ -88,7 +88,7 @@ def predictions_to_buildings(buildings: DataFrame, tiles: DataFrame, grid: Grid,
     The raster is pruned by the buildings: with ``zoom``, the level of the tiles' ids ``qk``, only tiles that a building, grown by
     ``margin`` cells, may touch are read (as literals, so other folders of a table partitioned by ``qk`` are not opened); then
     only cells in blocks with buildings are shuffled, once, by cell. Where tiles overlap, the last one by ``qk`` with a value
-    wins; that is settled after the join, in its partitions, for the cells under buildings alone.
+    wins; that is settled in these partitions before the join, so what a task holds are cells, not their overlaps.
     """
     if zoom is not None:
         around = margin * max(grid.dx, grid.dy)
@@ -96,7 +96,7 @@ def predictions_to_buildings(buildings: DataFrame, tiles: DataFrame, grid: Grid,
     # as numbers, ids keep their order and the aggregate needs no sort
     order = F.conv("qk", 4, 10).cast("long").alias("_order")
     near = Z.pixels_near(tiles.select("cx", "cy", "post_date", order, "value"), buildings, grid)
-    overlaps = Z.pixel_overlaps(buildings, ["building_id"], grid)
-    met = overlaps.join(near.repartition("cx", "cy"), ["cx", "cy"])
-    once = R.mosaic(met, ["building_id", "cx", "cy", "post_date", "overlap_area"], "_order")
-    return buildings.join(Z.wide_means(once, dates), "building_id", "left")
+    tasks = Z.overlap_tasks(buildings, grid)
+    once = R.mosaic(near.repartition(tasks, "cx", "cy"), ["cx", "cy", "post_date"], "_order")
+    overlaps = Z.pixel_overlaps(buildings, ["building_id"], grid).repartition(tasks, "cx", "cy")
+    return buildings.join(Z.wide_means(overlaps.join(once, ["cx", "cy"]), dates), "building_id", "left")

@@ -3,6 +3,7 @@
 import random
 from datetime import date
 
+import pytest
 from pyspark.sql import functions as F
 
 from checks.series_queries import Step
@@ -82,3 +83,13 @@ def test_more_cells_are_smoothed_in_more_tasks(spark, monkeypatch):
     cells = spark.range(1_000).selectExpr("id % 4 AS s", "CAST(id AS INT) AS cx", "0 AS cy", "1.0D AS v")
     smoothed = R.focal_mean(cells, ["s"], ["v"])
     assert smoothed.rdd.getNumPartitions() == 20 and smoothed.where("v = 1").count() == 1_000
+
+
+def test_overlapping_tiles_are_settled_per_cell(spark, monkeypatch):
+    shapes = boxes(spark, [(k, (k % 5 + 0.5, 0.0, 3.0, 2.0)) for k in range(40)], "building_id int")
+    tiles = spark.createDataFrame([(x, y, 1999, qk, 10.0 * x + int(qk)) for x in range(9) for y in range(2) for qk in ("0", "1")], "cx int, cy int, post_date int, qk string, value double")
+    held, settled = [], R.mosaic
+    monkeypatch.setattr(R, "mosaic", lambda *args, **more: held.append(settled(*args, **more)) or held[-1])
+    got = {r.building_id: r.pred_1999 for r in B.predictions_to_buildings(shapes, tiles, Grid(0.0, 0.0, 1.0, 1.0), [1999]).collect()}
+    assert got == {k: pytest.approx(10 * (k % 5) + 16) for k in range(40)}
+    assert held[0].count() == 8 * 2 + 2  # cells near buildings, not their overlaps
