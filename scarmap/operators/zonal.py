@@ -157,9 +157,10 @@ def pixels_x_buildings(
     buildings: DataFrame, pixels: DataFrame, grid: Grid, keys=("building_id",), date: str = "post_date", value: str = "value",
     edges: str = "edges", box: str = "bbox",
 ) -> DataFrame:
-    """(building, cell, date, value, overlap_area): one equi-join on the cell."""
-    parts = pixel_overlaps(buildings, list(keys), grid, edges, box)
-    return parts.join(pixels.select("cx", "cy", date, value), ["cx", "cy"])
+    """(building, cell, date, value, overlap_area): one equi-join on the cell, in tasks of a bounded number of overlaps."""
+    tasks = overlap_tasks(buildings, grid, box)
+    parts = pixel_overlaps(buildings, list(keys), grid, edges, box).repartition(tasks, "cx", "cy")
+    return parts.join(pixels.select("cx", "cy", date, value).repartition(tasks, "cx", "cy"), ["cx", "cy"])
 
 
 def zonal_measures(overlap: DataFrame, keys=("building_id",), date: str = "post_date", value: str = "value") -> DataFrame:

@@ -13,6 +13,7 @@ from scarmap.functions import geometry as G
 from scarmap.operators import cover as C
 from scarmap.operators import labels as L
 from scarmap.operators import raster as R
+from scarmap.operators import zonal as Z
 from scarmap.operators.raster import Grid
 from scarmap.plans import buildings as B
 from scarmap.plans import inference
@@ -93,3 +94,12 @@ def test_overlapping_tiles_are_settled_per_cell(spark, monkeypatch):
     got = {r.building_id: r.pred_1999 for r in B.predictions_to_buildings(shapes, tiles, Grid(0.0, 0.0, 1.0, 1.0), [1999]).collect()}
     assert got == {k: pytest.approx(10 * (k % 5) + 16) for k in range(40)}
     assert held[0].count() == 8 * 2 + 2  # cells near buildings, not their overlaps
+
+
+def test_more_overlaps_are_joined_in_more_tasks(spark, monkeypatch):
+    monkeypatch.setattr(cluster, "TASK_ROWS", 50)
+    shapes = boxes(spark, [(k, (k % 5 + 0.5, 0.5, 3.0, 2.0)) for k in range(40)], "building_id int")
+    pixels = spark.createDataFrame([(x, y, 1999, 1.0) for x in range(9) for y in range(4)], "cx int, cy int, post_date int, value double")
+    grid = Grid(0.0, 0.0, 1.0, 1.0)
+    assert Z.pixels_x_buildings(shapes, pixels, grid).rdd.getNumPartitions() == 40 * 4 * 3 // 50 + 1
+    assert Z.zonal_stats(shapes, pixels, grid).where("abs(weighted_mean - 1) < 1e-9 and max = 1").count() == 40
