@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from scarmap.cluster import bounded_batches
 from scarmap.llm import textkit as K
 from scarmap.llm.registry import query
 from scarmap.llm.shared import fresh, stored, table
@@ -206,6 +207,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, keep: list[str], n
     item_id. Documents are judged row by row, so repeated and null doc_ids do no harm. With an empty benchmark or
     no documents nothing is hit. ``name`` must not be a column of ``docs`` (``shared.fresh`` gives one).
     """
+    bounded_batches(docs.sparkSession)
     cut = stored(windows(benchmark, window))
     slices = -(-cut.count() // slice_rows)
     for i in range(max(slices, 1)):  # a window of many items is dealt to several slices; what they find is united

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scarmap.cluster import checked_broadcast, settle
+from scarmap.cluster import bounded_batches, checked_broadcast, settle
 from scarmap.llm import textkit as K
 from scarmap.llm.registry import query
 from scarmap.llm.shared import components, find, star_units, stored, table, unite, with_texts
@@ -296,6 +296,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 85) -> Dat
     any of its texts hold for all. A row without doc_id gets the component of the documents with equal shingle
     sets, if there are any, and brings no links. An empty table gives no rows; other columns are disregarded.
     """
+    bounded_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     profile = stored(profiles(docs, shingle))
     classes = profile.where("set_a is not null").groupBy("set_a", "set_b").agg(

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from scarmap.cluster import bounded_batches
 from scarmap.llm import textkit as K
 from scarmap.llm.registry import query
 from scarmap.llm.shared import fresh, stored, table
@@ -220,6 +221,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, bits: int = BI
     Ratings or documents with a null doc_id, rating or text are not used; a document rated twice counts twice. Without
     any, all scores are 0 and every tail probability is above one half, so nothing is rejected.
     """
+    bounded_batches(docs.sparkSession)
     rated = labels.select(F.col("doc_id").cast("long"), grade(F.col("quality"), F.col("toxic")).alias("grade")).where("doc_id is not null and grade is not null")
     total = rated.count()
     share = min(1.0, sample / max(total, 1))
@@ -254,6 +256,7 @@ def score(docs: DataFrame, model: Model, keep: list[str], name: str) -> DataFram
 
     A null text is judged as an empty one, by its style features alone. Rows are judged one by one.
     """
+    bounded_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(Model(model.weights.astype(np.float32), model.thresholds))  # as large as the number of features
     bits = int(np.log2(len(model.weights)))
     schema = T.StructType([*[docs.schema[c] for c in keep], T.StructField(name, GIVEN)])

@@ -2,10 +2,18 @@
 
 from collections import Counter
 
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as C
+from scarmap.cluster import MAX_BATCH_BYTES
 from scarmap.llm import lines as L
+from scarmap.llm.packing import pieces
+from scarmap.llm.quality import Model, score
+from scarmap.llm.textkit import BLOCK
 from tests.llm import test_decontaminate, test_lines, test_minhash, test_packing
 
 SF = "/root/testdata/sf0.001"
@@ -87,3 +95,25 @@ def test_odd_rows_and_extra_columns_pass_all_stages(spark):
             assert out.count() == len(rows), name
     assert C.packing(spark, docs, SF).count() >= len(rows)
     assert C.packing(spark, docs.limit(0), SF).count() == 0
+
+
+def test_stages_send_texts_to_python_in_small_batches(spark):
+    """Memory of a task is bounded by bytes of texts, not by rows of any length."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("abcdefg "), 1000).alias("text")).coalesce(1)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.record_batch([pa.array([batch.nbytes])], ["n"])
+
+    spark.conf.unset(name)
+    for operator in (lambda: score(docs, Model(np.zeros(4), np.array([-2.0, -1.0])), ["doc_id"], "given"), lambda: pieces(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))):
+        operator()
+        assert spark.conf.get(name) == str(MAX_BATCH_BYTES)
+        assert docs.mapInArrow(sizes, "n long").agg(F.max("n")).first()[0] < 1.5 * MAX_BATCH_BYTES
+        spark.conf.unset(name)
+    spark.conf.set(name, "1000000")
+    pieces(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    assert spark.conf.get(name) == "1000000"
+    spark.conf.unset(name)
+    assert BLOCK * 8 <= MAX_BATCH_BYTES  # what is held per byte of a block
