@@ -187,3 +187,53 @@ def test_clip_grid_on_a_concave_polygon_with_rows_of_all_kinds(spark):
     arms = [r for r in T.clip_grid(T.tiles_intersecting(rows.where("k = 1"), ["k"], 4), rows.where("k = 1"), ["k"], 4).collect()]
     assert sorted(len(r.rings) for r in arms)[-1] >= 1
     assert T.tile_grid(rows.limit(0), ["k"], 7).count() == 0
+
+
+def test_small_polygons_of_one_partition_are_spread_and_their_rings_are_made_once(spark):
+    x = F.col("id") % 97 / 10 + 10.0
+    y = F.col("id") % 89 / 10 + 30.0
+    rows = with_geometry(spark.range(0, 500, 1, 1).select("id", G.box_rings(x, y, x + 0.06, y + 0.05).alias("rings")))
+    rows = rows.withColumn("rings", F.when(F.col("id") % 10 != 3, F.col("rings")))
+    parts = Q.polygon_parts(rows, ["id"], 12)
+    plan = parts._jdf.queryExecution().optimizedPlan().toString()
+    # a filter on the rings would be moved before the spread, and hold all of what they are made from
+    assert "RepartitionByExpression" in plan.split("MapInArrow")[0] and "Repartition" in plan.split("MapInArrow")[1] and "Filter" not in plan
+    assert sorted(r.id for r in parts.select("id").distinct().collect()) == [i for i in range(500) if i % 10 != 3]
+
+
+@pytest.mark.parametrize("zoom", [3, 7])
+def test_polygons_in_one_block_are_cut_as_each_alone(zoom, monkeypatch):
+    monkeypatch.setattr(Q, "BATCH_VALUES", 700)  # blocks are divided on the way
+    held = [whole(rings, zoom)[1] for rings in shapes()]
+    scheme = Q.Scheme(zoom)
+    edges, starts = np.concatenate([p.edges for p in held]), np.cumsum([0, *[len(p.edges) for p in held]])
+    ranges = np.array([(p.x0, p.y0, p.x1, p.y1) for p in held])
+    no = np.empty(0, dtype=np.int64)
+    block = Q.Block(np.arange(len(held)), ranges, starts, edges, np.zeros(len(held) + 1, dtype=np.int64), np.empty(0), no)
+    got = {}
+    for found in Q.descend_all(block, scheme, lambda b: b.sizes == 0):
+        crossed = found.taken(np.flatnonzero(found.sizes))
+        boxes = scheme.boxes(crossed.ranges)
+        areas = Q.areas_inside(crossed, boxes)
+        values = zip(Q.tiles_touched(crossed, boxes).tolist(), areas.tolist(), Q.rings_of_tiles(crossed, boxes, areas), strict=True)
+        got |= {(row, *r): v for row, r, v in zip(crossed.rows.tolist(), crossed.ranges.tolist(), values, strict=True)}
+        got |= {(row, *r): None for row, r, n in zip(found.rows.tolist(), found.ranges.tolist(), found.sizes, strict=True) if not n}
+    assert len(got) > 100 or zoom == 3
+    alone = {}
+    for row, part in enumerate(held):
+        for p in Q.descend(part, scheme, lambda p: not len(p.edges)):
+            box, value = scheme.box(p.x0, p.y0, p.x1, p.y1), None
+            if len(p.edges):
+                area = Q.area_inside(p, box)
+                value = (Q.touches(p, box), area, Q.rings_inside(p, box, area))
+            alone[row, p.x0, p.y0, p.x1, p.y1] = value
+    assert got.keys() == alone.keys()
+    for k, v in got.items():
+        assert v == alone[k] or (v[0], v[2]) == (alone[k][0], alone[k][2]) and v[1] == pytest.approx(alone[k][1])
+
+
+def test_a_coordinate_that_is_no_number_is_an_error():
+    scheme = Q.Scheme(5)
+    for box in ((math.nan, 1.0, 2.0, 3.0), (1.0, 1.0, 2.0, math.nan), (1.0, 1.0, math.inf, 3.0)):
+        with pytest.raises(ValueError):
+            scheme.range(*box)
