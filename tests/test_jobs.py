@@ -620,20 +620,23 @@ def test_window_means_at_points(spark):
     assert len(found) == len(want) and {(p, s): v for p, s, v in found} == want
 
 
-def test_many_points_of_a_cell_follow_each_other(spark, monkeypatch):
+@pytest.mark.parametrize("size", [1, 3])
+def test_many_points_of_a_cell_follow_each_other(spark, monkeypatch, size):
     """Rows of a result that is much larger than the tables come cell by cell, in tiles of a bounded number of rows."""
     rows, pixels = _scene_pixels(spark)
     pixels = pixels.repartition(7)
     points = [(i, i % 23, i % 3) for i in range(900)] + [(7, 7, 1), (None, 20, 2), (901, None, 2), (902, 500, 500)]
     table = spark.createDataFrame(points, "unosat_id long, cx int, cy int")
-    take = lambda: S.extract_points(pixels, table, ["unosat_id"], ["scene_id"], ["B1"], 3, finish=lambda c: F.round(c, 3)).select("unosat_id", "scene_id", "B1")
+    take = lambda: S.extract_points(pixels, table, ["unosat_id"], ["scene_id"], ["B1"], size, finish=lambda c: F.round(c, 3)).select("unosat_id", "scene_id", "B1")
     want = sorted(map(tuple, take().collect()), key=str)
+    if size == 1:
+        assert want == sorted(((p, s, v) for p, px, py in points for s, x, y, v in rows if (px, py) == (x, y) and None not in (x, y)), key=str)
     for per_task, held in ((300, 100_000), (5, 9)):
         monkeypatch.setattr(S, "RESULT_ROWS", per_task)
         monkeypatch.setattr(S, "POINTS_HELD", held)
         found = take()
         parts = found.rdd.glom().collect()
-        assert sorted((tuple(r) for p in parts for r in p), key=str) == want and len(want) > 1500
+        assert sorted((tuple(r) for p in parts for r in p), key=str) == want and len(want) > 900
     monkeypatch.setattr(S, "RESULT_ROWS", 300)
     parts = take().rdd.glom().collect()
     cells = [[dict((p, (x, y)) for p, x, y in points).get(r.unosat_id) for r in p] for p in parts]
