@@ -12,15 +12,18 @@ expression behind the range below it. Ranges are never empty, and a null one joi
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType, IntegerType, StructField, StructType
 
-from scarmap.cluster import MAX_BROADCAST_BYTES, checked_broadcast, row_bytes, settle, spread
+from scarmap.cluster import MAX_BROADCAST_BYTES, checked_broadcast, join_null_safe, row_bytes, settle, spread
 from scarmap.functions import geometry as G
 from scarmap.functions.values import clamp
+from scarmap.operators import cells as K
 from scarmap.operators.raster import Grid
 
 # Cells per side of the block that is one unit of work when a polygon is cut.
@@ -70,11 +73,18 @@ def _pieces_of_block(edges: np.ndarray, grid: Grid, bx: int, by: int):
             yield columns[k], cy, False, e[near[:, k]], heights[(times % 2 == 1) & (heights > y0)]
 
 
-def cell_cover(polygons: DataFrame, keys: list[str], grid: Grid, edges: str = "edges", box: str = "bbox") -> DataFrame:
+def cell_cover(polygons: DataFrame, keys: list[str], grid: Grid, edges: str = "edges", box: str = "bbox", whole: int = 0) -> DataFrame:
     """``keys, cx, cy, full, edges, flips``: the pieces of every polygon.
 
-    Large polygons are spread over tasks by block, each block with the edges of its rows only.
+    Large polygons are spread over tasks by block, each block with the edges of its rows only. With ``whole``, polygons of up to so
+    many edges are not cut but are their own piece in every cell of their box, and a column ``first`` has the lowest of these cells.
     """
+    if whole:
+        few = K.plain(F.col(edges), whole)
+        shapes = polygons.select(*keys, F.col(edges).alias("edges"), F.col(box).alias("_box"), few.alias("_few"))
+        shapes = settle(shapes.repartition(4 * polygons.sparkSession.sparkContext.defaultParallelism, *keys))
+        cut = cell_cover(shapes.where("not _few"), keys, grid, "edges", "_box")
+        return whole_pieces(shapes.where("_few"), keys, grid).unionByName(cut, allowMissingColumns=True)
     c = lambda n: F.col(f"{box}.{n}")
     (ax, ay), (bx, by) = grid.at(c("minx"), c("miny")), grid.at(c("maxx"), c("maxy"))
     blocks = polygons.select(*keys, F.col(edges).alias("edges"), box)
@@ -114,6 +124,15 @@ def cell_cover(polygons: DataFrame, keys: list[str], grid: Grid, edges: str = "e
     return spread(blocks, *keys, "_bx", "_by").mapInArrow(cut, schema)
 
 
+def whole_pieces(shapes: DataFrame, keys: list[str], grid: Grid) -> DataFrame:
+    """A cover of polygons (``edges``, ``_box``) that are their own piece in every cell of their box, with its lowest cell as ``first``."""
+    xs, ys = box_cells("_box", grid)
+    lowest = F.struct(*[F.element_at(n, 1).alias(a) for n, a in (("_xs", "cx"), ("_ys", "cy"))])
+    ranges = shapes.withColumns({"_xs": xs, "_ys": ys}).withColumn("first", lowest)
+    each = ranges.withColumn("cx", F.explode_outer("_xs")).drop("_xs").withColumn("cy", F.explode_outer("_ys")).drop("_ys")
+    return each.select(*keys, "cx", "cy", F.lit(False).alias("full"), "edges", F.array().cast("array<double>").alias("flips"), "first")
+
+
 def _to_batch(batch: pa.RecordBatch, i: int, keys: list[str], found: list) -> pa.RecordBatch:
     cx, cy, full, edges, flips = zip(*found)
     ends = lambda arrays: pa.array(np.cumsum([0, *map(len, arrays)]), pa.int32())
@@ -262,14 +281,57 @@ def polygons_meeting(left: DataFrame, left_keys: list[str], cover: DataFrame, gr
     Both sides are cut into pieces of cells, and pieces meet by cell, so what is compared in a cell are the edges near it. If
     a cell lies wholly inside one polygon, any vertex of the other there is enough; where both have edges, the
     edges are swept along x unless they are few. On the left, a polygon of few edges is its own piece in every cell of its box.
+    If the cover has such polygons too (``whole`` in ``cell_cover``), a pair of them is compared in one cell only, in blocks of
+    arrays, and needs no deduplication; polygons that repeat their keys go the way of pieces.
     """
-    keys = [c for c in cover.columns if c not in PIECE]
-    names = {c: f"_{c}" for c in ("full", "edges", "flips")}
+    keys = [c for c in cover.columns if c not in (*PIECE, "first")]
     shapes = left.select(*left_keys, F.col(edges).alias("edges"), F.col(box).alias("_box"))
-    xs, ys = box_cells("_box", grid)
-    whole = shapes.where(F.size("edges") <= FEW_EDGES).withColumn("cx", F.explode_outer(xs)).withColumn("cy", F.explode_outer(ys))
-    whole = whole.select(*left_keys, "cx", "cy", F.lit(False).alias("full"), "edges", F.array().cast("array<double>").alias("flips"))
-    own = settle(whole.unionByName(cell_cover(shapes.where(F.size("edges") > FEW_EDGES), left_keys, grid, "edges", "_box")))
+    few = F.size("edges") <= FEW_EDGES
+    if "first" not in cover.columns:
+        own = whole_pieces(shapes.where(few), left_keys, grid).drop("first")
+        return _pieces_meeting(own.unionByName(cell_cover(shapes.where(~few), left_keys, grid, "edges", "_box")), left_keys, cover, keys, grid).distinct()
+    own = cell_cover(shapes, left_keys, grid, "edges", "_box", FEW_EDGES)
+    sides = [[side, names] for side, names in ((own, left_keys), (cover, keys))]
+    cut = [settle(side.where("first is null").drop("first")) for side, _ in sides]
+    whole = [side.where("first is not null") for side, _ in sides]
+    for k, (_, names) in enumerate(sides):
+        polygons = whole[k].where("cx = first.cx and cy = first.cy").select(*names).unionAll(cut[k].select(*names).distinct())
+        repeated = settle(polygons.groupBy(*names).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))
+        if repeated.limit(1).count():
+            cut[k] = cut[k].unionByName(join_null_safe(whole[k], repeated, names, "left_semi").drop("first"))
+            whole[k] = join_null_safe(whole[k], repeated, names, "left_anti")
+    once = _whole_meeting(*whole, left_keys, keys)
+    some = [side.limit(1).count() > 0 for side in cut]
+    rest = [_pieces_meeting(cut[0], left_keys, cover.drop("first"), keys, grid)] if some[0] else []
+    rest += [_pieces_meeting(whole[0].drop("first"), left_keys, cut[1], keys, grid)] if some[1] else []
+    return once.unionByName(reduce(DataFrame.unionByName, rest).distinct()) if rest else once
+
+
+def _whole_meeting(left: DataFrame, right: DataFrame, left_keys: list[str], keys: list[str]) -> DataFrame:
+    """(left keys, keys) of whole polygons that share a point, each pair of rows once: in the lowest cell that both boxes have."""
+    kept = lambda df, names: df.select("cx", "cy", *names, "edges", F.col("first.cx").alias("_fx"), F.col("first.cy").alias("_fy"))
+
+    def test(at, a, b):
+        p, q = K.Polygons(a.field("edges")), K.Polygons(b.field("edges"))
+        firsts = [(a.numbers(n), b.numbers(n)) for n in ("_fx", "_fy")]
+        (ax0, ay0, ax1, ay1), (bx0, by0, bx1, by1) = p.bounds(), q.bounds()
+
+        def may(k, s, t):
+            here = [np.maximum.outer(f[s], g[t]) == at[n][k] for n, (f, g) in enumerate(firsts)]
+            beside = np.less_equal.outer(ax0[s], bx1[t]) & np.greater_equal.outer(ax1[s], bx0[t])
+            return here[0] & here[1] & beside & np.less_equal.outer(ay0[s], by1[t]) & np.greater_equal.outer(ay1[s], by0[t])
+
+        for i, j in K.candidates(a, b, may):
+            met = K.meet(p, i, q, j, _segments_meet)
+            yield i[met], j[met]
+
+    return K.pairs_by_cell(kept(left, left_keys), kept(right, keys), ["cx", "cy"], left_keys, keys, test)
+
+
+def _pieces_meeting(own: DataFrame, left_keys: list[str], cover: DataFrame, keys: list[str], grid: Grid) -> DataFrame:
+    """(left keys, keys) of pieces that meet in a cell, a pair as often as there are such cells."""
+    names = {c: f"_{c}" for c in ("full", "edges", "flips")}
+    own = settle(own)
     joined = own.withColumnsRenamed(names).join(checked_broadcast(cover), ["cx", "cy"])
 
     def here(e: Column) -> Column:
@@ -306,7 +368,7 @@ def polygons_meeting(left: DataFrame, left_keys: list[str], cover: DataFrame, gr
             yield pa.RecordBatch.from_arrays([batch.column(k).take(pa.array(met, pa.int64())) for k in range(at)], names=columns)
 
     swept = open_.mapInArrow(sweep, certain.schema)
-    return certain.unionByName(swept).distinct()
+    return certain.unionByName(swept)
 
 
 def points_near_polygons(

@@ -33,7 +33,7 @@ def within_country(buildings: DataFrame, country: DataFrame, grid: Grid = REGION
 
 def buildings_in_aoi(buildings: DataFrame, aois: DataFrame, grid: Grid = AOI_GRID) -> DataFrame:
     """(building_id, aoi) pairs whose polygons share a point."""
-    return C.polygons_meeting(buildings, ["building_id"], C.cell_cover(aois, ["aoi"], grid), grid)
+    return C.polygons_meeting(buildings, ["building_id"], C.cell_cover(aois, ["aoi"], grid, whole=C.FEW_EDGES), grid)
 
 
 def labels_near_buildings(points, buildings, metres: float = NEAR_METRES, grid: Grid = NEAR_GRID) -> DataFrame:

@@ -1,5 +1,6 @@
 """What a task holds and what is moved must not grow faster than the tables."""
 
+import math
 import random
 from datetime import date
 
@@ -10,6 +11,7 @@ from checks.series_queries import Step
 from scarmap import cluster
 from scarmap.config import Period, RunConfig
 from scarmap.functions import geometry as G
+from scarmap.operators import cells as K
 from scarmap.operators import cover as C
 from scarmap.operators import labels as L
 from scarmap.operators import raster as R
@@ -96,3 +98,42 @@ def test_more_overlaps_are_joined_in_more_tasks(spark, monkeypatch):
     grid = Grid(0.0, 0.0, 1.0, 1.0)
     assert Z.pixels_x_buildings(shapes, pixels, grid).rdd.getNumPartitions() == 40 * 4 * 3 // 50 + 1
     assert Z.zonal_stats(shapes, pixels, grid).where("abs(weighted_mean - 1) < 1e-9 and max = 1").count() == 40
+
+
+def test_whole_polygons_meet_once_without_a_deduplication(spark, monkeypatch):
+    rng = random.Random(8)
+    some = lambda n, wide: [(rng.random() * 4, rng.random() * 4, rng.random() * wide, rng.random() * wide) for _ in range(n)]
+    ring = lambda x, y, n: [(x + math.cos(t) * (1 + k % 2), y + math.sin(t) * (1 + k % 2)) for k in range(n) for t in [2 * math.pi * k / n]]
+    many = with_geometry(spark.createDataFrame([(k, [[*(r := ring(k % 4, 2, 40)), r[0]]]) for k in (2, 90, 91)], f"k int, rings {G.RINGS_DDL}"))
+    left = boxes(spark, [(k if k else None, b) for k, b in enumerate(some(60, 0.9))], "k int")
+    right = boxes(spark, [(k if k else None, b) for k, b in enumerate(some(30, 2.0))], "k int")
+    grid = Grid(0.0, 0.0, 0.4, 0.3)
+
+    def both(a, b):
+        b = b.withColumnRenamed("k", "o")
+        got = [tuple(r) for r in C.polygons_meeting(a, ["k"], C.cell_cover(b, ["o"], grid, whole=C.FEW_EDGES), grid).collect()]
+        pairs = a.select("k", F.col("edges").alias("a")).crossJoin(b.select("o", "edges")).where(G.intersects(F.col("a"), F.col("edges")))
+        want = {tuple(r) for r in pairs.select("k", "o").collect()}
+        assert len(got) == len(set(got)) and set(got) == want and len(want) > 20
+
+    twice = left.limit(5).unionByName(left)
+    for a, b in ((left.unionByName(many), right), (twice, right.unionByName(many))):
+        both(a, b)
+
+    def refused(*_):
+        raise AssertionError("pairs are found cell by cell and deduplicated")
+
+    monkeypatch.setattr(C, "_pieces_meeting", refused)
+    for listed, at_once in ((1_000, 1 << 18), (2, 3)):
+        monkeypatch.setattr(K, "MAX_LISTED", listed)
+        monkeypatch.setattr(K, "PAIRS", at_once)
+        both(left, right)
+        both(boxes(spark, [(k, (0.1, 0.1, 0.1, 0.1)) for k in range(9)], "k int"), boxes(spark, [(k, (0.0, 0.0, 0.3, 0.2)) for k in range(9)], "k int"))
+
+
+def test_buildings_meet_areas_as_whole_polygons(spark, monkeypatch):
+    shapes = boxes(spark, [(k, (k * 0.01, 0.0, 0.03, 0.03)) for k in range(40)], "building_id int")
+    aois = boxes(spark, [("A", (0.0, 0.0, 0.1, 1.0)), ("B", (0.2, 0.0, 0.2, 1.0))], "aoi string")
+    monkeypatch.setattr(C, "_pieces_meeting", None)
+    got = {tuple(r) for r in B.buildings_in_aoi(shapes, aois).collect()}
+    assert {k for k, a in got if a == "A"} == set(range(11)) and {k for k, a in got if a == "B"} == set(range(17, 40))
