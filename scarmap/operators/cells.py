@@ -90,7 +90,8 @@ def _lists(df: DataFrame, on: list[str], name: str, columns: list[str], crowded:
         dealt = [c for c in columns if "map<" not in df.schema[c].dataType.simpleString()]
         part = F.pmod(F.xxhash64(*dealt), F.coalesce("_parts", F.lit(1))).cast("int")
         df, keys = df.join(checked_broadcast(crowded), on, "left").withColumn("_part", part), [*on, "_part"]
-    return df.groupBy(*keys).agg(F.collect_list(F.struct(*columns)).alias(name))
+    # moved first, so that lists are made in the tasks that join them and not in the few that read the table
+    return df.repartition(*keys).groupBy(*keys).agg(F.collect_list(F.struct(*columns)).alias(name))
 
 
 def candidates(left: Listed, right: Listed, may: Callable) -> Iterator[tuple[np.ndarray, np.ndarray]]:

@@ -380,10 +380,14 @@ def points_near_polygons(
     A polygon's box is filed under a few cells of the level that suits its size grown by the distance; cells of one level are
     4 x 4 of the level below. A point lies in one cell of each level. So each pair is met once, no polygon has many cells,
     and no buffer polygon is built. Few points are sent to the boxes, and edges are fetched for the pairs that are left. Many
-    points meet boxes and edges in one join by cell, so pairs are neither written nor shuffled; polygons that repeat their keys,
-    whose every box counts with every shape of the same keys, take the first way.
+    points meet boxes and edges in one join by cell, so pairs are neither written nor shuffled; polygons of few edges and points come
+    as lists there and are tested in blocks of arrays. Polygons that repeat their keys, whose every box counts with every shape of
+    the same keys, take the first way.
     """
     points, polygons = settle(points), polygons.select(*polygon_keys, F.col(edges).alias("_edges"), F.col(box).alias("_shape_box"))
+    weight = _weight(points)
+    if weight > FEW_POINTS_BYTES:
+        polygons = settle(polygons.repartition(4 * points.sparkSession.sparkContext.defaultParallelism, *polygon_keys))
     boxes, levels, inside = _boxes_by_cell(polygons.withColumnRenamed("_shape_box", "_box"), grid, metres, x, y)
     located = _at_levels(points, levels, grid, x, y)
     others = [k for k in polygon_keys if k not in points.columns]
@@ -395,20 +399,45 @@ def points_near_polygons(
         near = shapes.select(*polygon_keys, "_edges").join(pairs, polygon_keys).where(within)
         return near.select(*points.columns, *others)
 
-    if _weight(points) * len(levels) <= FEW_POINTS_BYTES:
+    if weight * len(levels) <= FEW_POINTS_BYTES:
         return by_pairs(boxes, polygons, F.broadcast(located))
     located = located.hint("merge")
     repeated = settle(polygons.groupBy(*polygon_keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))
     again = repeated.limit(1).count() > 0
     single = boxes.join(repeated, polygon_keys, "left_anti") if again else boxes
-    cells = _each_cell(single.dropna(subset=polygon_keys))
-    near = cells.join(located, ["_level", "cx", "cy"]).where(inside & within).select(*points.columns, *others)
+    single = single.dropna(subset=polygon_keys).withColumn("_few", K.plain(F.col("_edges"), FEW_EDGES))
+    near = _near_in_arrays(points, single.where("_few"), levels, grid, metres, x, y, others)
+    large = single.where("not _few").drop("_few")
+    if large.limit(1).count():
+        near = near.unionByName(_each_cell(large).join(located, ["_level", "cx", "cy"]).where(inside & within).select(*points.columns, *others))
     if not again:
         return near
     boxes, polygons = (df.join(repeated, polygon_keys, "left_semi") for df in (boxes, polygons))
     return near.unionByName(by_pairs(boxes, polygons, located))
 
 
+def _near_in_arrays(points: DataFrame, boxes: DataFrame, levels: list[int], grid: Grid, metres: float, x: str, y: str, others: list[str]) -> DataFrame:
+    """(point columns, polygon keys) of points near polygons of few edges, tested in blocks of arrays."""
+    bounds = ("minx", "miny", "maxx", "maxy")
+    filed = _each_cell(boxes).select("_level", "cx", "cy", *others, "_edges", *[F.col(f"_box.{n}").alias(f"_{n}") for n in bounds])
+
+    def test(at, a, b):
+        px, py, shapes = a.numbers(x), a.numbers(y), K.Polygons(b.field("_edges"))
+        minx, miny, maxx, maxy = (b.numbers(f"_{n}") for n in bounds)
+
+        def may(k, s, t):
+            beside = np.greater_equal.outer(px[s], minx[t]) & np.less_equal.outer(px[s], maxx[t])
+            return beside & np.greater_equal.outer(py[s], miny[t]) & np.less_equal.outer(py[s], maxy[t])
+
+        for i, j in K.candidates(a, b, may):
+            met = K.held(shapes, j, px[i], py[i])
+            rest = np.flatnonzero(~met)
+            met[rest] = K.near(shapes, j[rest], px[i[rest]], py[i[rest]], metres)
+            yield i[met], j[met]
+
+    return K.pairs_by_cell(_at_levels(points, levels, grid, x, y), filed, ["_level", "cx", "cy"], points.columns, others, test)
+
+
 def first_points_near(
     points: DataFrame, polygons: DataFrame, polygon_keys: list[str], grid: Grid, metres: float, order: list[str],
     x: str = "lon", y: str = "lat", edges: str = "edges", box: str = "bbox",

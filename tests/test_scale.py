@@ -137,3 +137,34 @@ def test_buildings_meet_areas_as_whole_polygons(spark, monkeypatch):
     monkeypatch.setattr(C, "_pieces_meeting", None)
     got = {tuple(r) for r in B.buildings_in_aoi(shapes, aois).collect()}
     assert {k for k, a in got if a == "A"} == set(range(11)) and {k for k, a in got if a == "B"} == set(range(17, 40))
+
+
+def test_many_points_are_tested_in_arrays(spark, monkeypatch):
+    rng = random.Random(9)
+    lon, lat = 30.0, 50.0
+    at = lambda: (lon + rng.random() * 0.004, lat + rng.random() * 0.004)
+    shapes = boxes(spark, [(k, (*at(), rng.random() * 0.002, rng.random() * 0.001)) for k in range(30)], "building_id int")
+    turn = [2 * math.pi * k / 40 for k in range(40)] + [0.0]
+    large = with_geometry(spark.createDataFrame([(99, [[(lon + 0.002 + math.cos(t) * 0.001, lat + 0.002 + math.sin(t) * 0.001) for t in turn]])], f"building_id int, rings {G.RINGS_DDL}"))
+    corners = [(r.x, r.y) for r in shapes.select(F.explode(F.flatten("rings")).alias("p")).select("p.*").collect()]
+    places = [at() for _ in range(150)] + [(x + rng.uniform(-1, 1) * 1e-4, y + rng.uniform(-1, 1) * 1e-4) for x, y in corners] + [(None, lat), (lon, None)]
+    points = spark.createDataFrame([(f"u{i}", date(2022, 3, 1), x, y) for i, (x, y) in enumerate(places)], "id string, day date, lon double, lat double")
+    monkeypatch.setattr(C, "FEW_POINTS_BYTES", 0)
+
+    def rows(shapes):
+        near = points.crossJoin(shapes).where(G.within_metres(F.col("edges"), F.col("lon"), F.col("lat"), 5.0))
+        want = sorted(tuple(r) for r in near.select(*points.columns, "building_id").collect())
+        got = C.points_near_polygons(points, shapes, ["building_id"], NEAR, 5.0)
+        assert got.columns == [*points.columns, "building_id"]
+        assert sorted(tuple(r) for r in got.collect()) == want and len(want) > 100
+
+    rows(shapes.unionByName(large))
+
+    monkeypatch.setattr(G, "within_metres", lambda *_: F.raise_error(F.lit("pairs are tested one by one")).cast("boolean"))
+    got = C.points_near_polygons(points, shapes, ["building_id"], NEAR, 5.0).select("id", "building_id")
+    found = sorted(tuple(r) for r in got.collect())
+    monkeypatch.undo()
+    monkeypatch.setattr(C, "FEW_POINTS_BYTES", 0)
+    monkeypatch.setattr(K, "MAX_LISTED", 3)
+    again = C.points_near_polygons(points, shapes, ["building_id"], NEAR, 5.0).select("id", "building_id").collect()
+    assert sorted(tuple(r) for r in again) == found and len(found) > 100
